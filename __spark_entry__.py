@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from cellscope.session import ensure_session
 from cellscope.plans.layers import Layers
-from cellscope.operators import curated, serving, staging
+from cellscope.operators import curated, kpi, quality, serving, staging
+from cellscope.sources import fixture
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -109,6 +110,95 @@ def q_fct_by_date(spark, d):
     return curated.fct_by_date(_layers(spark, d).voice)
 
 
+def q_cell_hourly_kpi(spark, d):
+    return kpi.cell_hourly_kpi(_layers(spark, d).valid)
+
+
+def q_region_quality(spark, d):
+    return kpi.region_quality(_layers(spark, d).valid)
+
+
+def _all_checks(L: Layers) -> list:
+    return (quality.staging_checks(L.stg)
+            + quality.curated_checks(L.dim_cell, L.dim_sub, L.voice, L.data)
+            + quality.serving_checks(L.ranking(), L.churn()))
+
+
+def q_dq_unique(spark, d):
+    L = _layers(spark, d)
+    return quality.checks_table([c for c in _all_checks(L) if c.name.startswith(("not_null", "unique"))])
+
+
+def q_dq_accepted_values(spark, d):
+    L = _layers(spark, d)
+    return quality.checks_table([quality.accepted_values(L.voice, "fct_voice_call", "call_result",
+                                                         ("completed", "dropped", "failed_setup"))])
+
+
+def q_dq_relationships(spark, d):
+    L = _layers(spark, d)
+    return quality.checks_table([c for c in quality.curated_checks(L.dim_cell, L.dim_sub, L.voice, L.data)
+                                 if c.name.startswith("relationships")])
+
+
+def q_dq_gate(spark, d):
+    L = _layers(spark, d)
+    checks = quality.checks_table(quality.curated_checks(L.dim_cell, L.dim_sub, L.voice, L.data))
+    return quality.gate_decision(checks, "curated")
+
+
+def q_layer_counts(spark, d):
+    L = _layers(spark, d)
+    return quality.layer_counts({
+        ("raw", "network_events"): L.raw, ("staging", "stg_network_events"): L.stg,
+        ("staging", "stg_network_events_valid"): L.valid,
+        ("staging", "stg_network_events_rejected"): L.rejected,
+        ("curated", "dim_cell_site"): L.dim_cell, ("curated", "dim_subscriber"): L.dim_sub,
+        ("curated", "fct_voice_call"): L.voice, ("curated", "fct_data_session"): L.data,
+        ("serving", "vw_cell_quality_ranking"): L.ranking(),
+        ("serving", "vw_subscriber_churn_signals"): L.churn(),
+    })
+
+
+def q_dq_completeness(spark, d):
+    L = _layers(spark, d)
+    return quality.checks_table([quality.equal_counts(L.stg, [L.valid, L.rejected],
+                                                      "raw_equals_valid_plus_rejected", "stg_network_events")])
+
+
+def q_dq_summary(spark, d):
+    L = _layers(spark, d)
+    checks = quality.checks_table(quality.staging_checks(L.stg)
+                                  + quality.curated_checks(L.dim_cell, L.dim_sub, L.voice, L.data))
+    return quality.flag_summary(staging.flag_counts(L.stg), checks)
+
+
+def q_dq_drift_keys(spark, d):
+    return quality.drift_keys(_layers(spark, d).stg)
+
+
+def q_stg_volte(spark, d):
+    return quality.volte_counts(_layers(spark, d).stg)
+
+
+def q_dq_freshness(spark, d):
+    return quality.freshness(_layers(spark, d).raw, F.lit("2024-01-31 00:00:00").cast("timestamp"))
+
+
+def q_dq_reconcile(spark, d):
+    L = _layers(spark, d)
+    return quality.reconcile(fixture.read_table(spark, d, "events"), L.stg, "ts", "event_time")
+
+
+def q_cdc_latency(spark, d):
+    return quality.cdc_latency(_layers(spark, d).raw)
+
+
+def q_degraded_recall(spark, d):
+    L = _layers(spark, d)
+    return quality.degraded_recall(L.ranking(), fixture.degraded_cells(L.dim_cell), k=6)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_events": q_stg_events,
     "stg_valid": q_stg_valid,
@@ -127,6 +217,21 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "poor_experience": q_poor_experience,
     "plan_as_of_event": q_plan_as_of_event,
     "fct_by_date": q_fct_by_date,
+    "cell_hourly_kpi": q_cell_hourly_kpi,
+    "region_quality": q_region_quality,
+    "dq_unique": q_dq_unique,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_relationships": q_dq_relationships,
+    "dq_gate": q_dq_gate,
+    "layer_counts": q_layer_counts,
+    "dq_completeness": q_dq_completeness,
+    "dq_summary": q_dq_summary,
+    "dq_drift_keys": q_dq_drift_keys,
+    "stg_volte": q_stg_volte,
+    "dq_freshness": q_dq_freshness,
+    "dq_reconcile": q_dq_reconcile,
+    "cdc_latency": q_cdc_latency,
+    "degraded_recall": q_degraded_recall,
 }
 
 

@@ -285,3 +285,166 @@ WHERE e.subscriber_id IS NOT NULL""")
 _q("fct_by_date", """
 SELECT CAST(event_time AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS row_count
 FROM fct_voice GROUP BY 1""")
+
+
+_q("cell_hourly_kpi", """
+SELECT cell_id, date_trunc('hour', event_time) AS kpi_hour,
+  CAST(count(*) FILTER (WHERE event_type = 'voice_call') AS BIGINT) AS call_attempts,
+  CAST(count(*) FILTER (WHERE event_type = 'voice_call' AND call_result = 'dropped') AS BIGINT) AS dropped_calls,
+  CAST(count(*) FILTER (WHERE event_type = 'voice_call' AND call_result = 'failed_setup') AS BIGINT) AS failed_setups,
+  CAST(round(CAST(CASE WHEN count(*) FILTER (WHERE event_type = 'voice_call') = 0 THEN NULL
+       ELSE count(*) FILTER (WHERE event_type = 'voice_call' AND call_result IN ('dropped', 'failed_setup')) * 1.0e0
+            / count(*) FILTER (WHERE event_type = 'voice_call') END AS DECIMAL(18, 9)), 4) AS DOUBLE) AS drop_rate,
+  CAST(count(*) FILTER (WHERE event_type = 'data_session') AS BIGINT) AS data_sessions,
+  CAST(sum(CASE WHEN event_type = 'data_session' THEN CAST(data_volume_mb AS DECIMAL(18, 6)) END) AS DOUBLE) AS total_volume_mb,
+  CAST(round(CAST(avg(CASE WHEN event_type = 'data_session' THEN avg_throughput_mbps END) AS DECIMAL(18, 9)), 4) AS DOUBLE) AS avg_throughput_mbps,
+  round(quantile_cont(latency_ms, 0.95), 4) AS p95_latency_ms,
+  CAST(round(CAST(avg(signal_dbm) AS DECIMAL(18, 9)), 4) AS DOUBLE) AS avg_signal_dbm,
+  CAST(date_trunc('hour', event_time) AS DATE) AS kpi_date
+FROM valid GROUP BY 1, 2""")
+
+_q("region_quality", """
+SELECT cell_region, event_date, CAST(vc AS BIGINT) AS voice_call_count,
+  CAST(bad AS BIGINT) AS dropped_or_failed_count,
+  CAST(round(CAST(dr AS DECIMAL(18, 9)), 4) AS DOUBLE) AS drop_rate,
+  CAST(dc AS BIGINT) AS data_session_count,
+  CAST(round(CAST(tp AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_throughput_mbps,
+  CAST(round(CAST(lat AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_latency_ms,
+  CAST(round(score, 4) AS DOUBLE) AS quality_score,
+  CASE WHEN dterm >= lterm THEN 'drop_rate' ELSE 'latency' END AS kpi_at_fault,
+  CAST(rank() OVER (PARTITION BY event_date ORDER BY score DESC) AS INTEGER) AS day_rank
+FROM (
+  SELECT *, CAST(dterm + lterm - tterm AS DECIMAL(18, 9)) AS score FROM (
+    SELECT *, CAST(coalesce(dr, 0) * 100 AS DECIMAL(18, 9)) AS dterm,
+              CAST(coalesce(lat, 0) / 10.0e0 AS DECIMAL(18, 9)) AS lterm,
+              CAST(coalesce(tp, 0) / 10.0e0 AS DECIMAL(18, 9)) AS tterm
+    FROM (
+      SELECT *, CASE WHEN vc = 0 THEN NULL ELSE bad * 1.0e0 / vc END AS dr FROM (
+        SELECT cell_region, CAST(event_time AS DATE) AS event_date,
+          count(*) FILTER (WHERE event_type = 'voice_call') AS vc,
+          count(*) FILTER (WHERE event_type = 'voice_call' AND call_result IN ('dropped', 'failed_setup')) AS bad,
+          count(*) FILTER (WHERE event_type = 'data_session') AS dc,
+          avg(CASE WHEN event_type = 'data_session' THEN avg_throughput_mbps END) AS tp,
+          avg(CASE WHEN event_type = 'data_session' THEN latency_ms END) AS lat
+        FROM valid WHERE event_type IN ('voice_call', 'data_session') GROUP BY 1, 2))))""")
+
+
+def _check(name: str, model: str, column: str, severity: str, failing_sql: str) -> str:
+    return (f"SELECT '{name}' AS check_name, '{model}' AS model, '{column}' AS column_name, "
+            f"'{severity}' AS severity, CAST(({failing_sql}) AS BIGINT) AS failing_rows")
+
+
+def _not_null(cte: str, model: str, column: str) -> str:
+    return _check(f"not_null_{model}_{column}", model, column, "error",
+                  f"SELECT count(*) FROM {cte} WHERE {column} IS NULL")
+
+
+def _unique(cte: str, model: str, column: str) -> str:
+    return _check(f"unique_{model}_{column}", model, column, "error",
+                  f"SELECT count(*) FROM (SELECT {column} FROM {cte} WHERE {column} IS NOT NULL "
+                  f"GROUP BY {column} HAVING count(*) > 1)")
+
+
+def _accepted(cte: str, model: str, column: str, values) -> str:
+    vals = ", ".join(f"'{v}'" for v in values)
+    return _check(f"accepted_values_{model}_{column}", model, column, "error",
+                  f"SELECT count(*) FROM {cte} WHERE {column} IS NOT NULL AND {column} NOT IN ({vals})")
+
+
+def _rel(cte: str, model: str, column: str, pcte: str, pcol: str, pmodel: str) -> str:
+    return _check(f"relationships_{model}_{column}_to_{pmodel}", model, column, "error",
+                  f"SELECT count(*) FROM {cte} c WHERE c.{column} IS NOT NULL AND NOT EXISTS "
+                  f"(SELECT 1 FROM {pcte} p WHERE p.{pcol} = c.{column})")
+
+
+def _checks(parts: list[str]) -> str:
+    return ("SELECT *, CASE WHEN failing_rows = 0 THEN 'pass' WHEN severity = 'error' THEN 'fail' "
+            "ELSE 'warn' END AS status FROM (" + "\nUNION ALL\n".join(parts) + ")")
+
+
+STAGING_CHECKS = [_not_null("stg", "stg_network_events", "event_id"),
+                  _unique("stg", "stg_network_events", "event_id")]
+CURATED_NN_UNIQUE = [
+    _not_null("dim_cell", "dim_cell_site", "cell_id"), _unique("dim_cell", "dim_cell_site", "cell_id"),
+    _not_null("dim_sub", "dim_subscriber", "subscriber_id"), _not_null("dim_sub", "dim_subscriber", "valid_from"),
+    _not_null("fct_voice", "fct_voice_call", "event_id"), _unique("fct_voice", "fct_voice_call", "event_id"),
+    _not_null("fct_data", "fct_data_session", "event_id"), _unique("fct_data", "fct_data_session", "event_id"),
+]
+ACCEPTED = [_accepted("fct_voice", "fct_voice_call", "call_result", ("completed", "dropped", "failed_setup"))]
+RELATIONSHIPS = [
+    _rel("fct_voice", "fct_voice_call", "cell_id", "dim_cell", "cell_id", "dim_cell_site"),
+    _rel("fct_voice", "fct_voice_call", "subscriber_id", "dim_sub", "subscriber_id", "dim_subscriber"),
+    _rel("fct_data", "fct_data_session", "cell_id", "dim_cell", "cell_id", "dim_cell_site"),
+    _rel("fct_data", "fct_data_session", "subscriber_id", "dim_sub", "subscriber_id", "dim_subscriber"),
+]
+SERVING_CHECKS = [
+    _not_null("ranking", "vw_cell_quality_ranking", "cell_id"),
+    _unique("ranking", "vw_cell_quality_ranking", "cell_id"),
+    _not_null("ranking", "vw_cell_quality_ranking", "quality_rank"),
+    _not_null("churn", "vw_subscriber_churn_signals", "subscriber_id"),
+    _unique("churn", "vw_subscriber_churn_signals", "subscriber_id"),
+]
+CURATED_CHECKS = CURATED_NN_UNIQUE + ACCEPTED + RELATIONSHIPS
+
+_q("dq_unique", _checks(STAGING_CHECKS + CURATED_NN_UNIQUE + SERVING_CHECKS))
+_q("dq_accepted_values", _checks(ACCEPTED))
+_q("dq_relationships", _checks(RELATIONSHIPS))
+_q("dq_gate", """
+SELECT 'curated' AS layer, CAST(count(*) AS BIGINT) AS checks_run,
+  CAST(count(*) FILTER (WHERE status = 'fail') AS BIGINT) AS checks_failed,
+  CAST(count(*) FILTER (WHERE status = 'warn') AS BIGINT) AS checks_warned,
+  count(*) FILTER (WHERE status = 'fail') = 0 AS publish
+FROM (""" + _checks(CURATED_CHECKS) + ")")
+
+_LAYERS = [("raw", "network_events", "network_events"), ("staging", "stg_network_events", "stg"),
+           ("staging", "stg_network_events_valid", "valid"), ("staging", "stg_network_events_rejected", "rejected"),
+           ("curated", "dim_cell_site", "dim_cell"), ("curated", "dim_subscriber", "dim_sub"),
+           ("curated", "fct_voice_call", "fct_voice"), ("curated", "fct_data_session", "fct_data"),
+           ("serving", "vw_cell_quality_ranking", "ranking"), ("serving", "vw_subscriber_churn_signals", "churn")]
+_q("layer_counts", "\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS layer, '{model}' AS model, CAST(count(*) AS BIGINT) AS row_count FROM {cte}"
+    for layer, model, cte in _LAYERS))
+_q("dq_completeness", _checks([_check(
+    "raw_equals_valid_plus_rejected", "stg_network_events", "*", "error",
+    "SELECT abs((SELECT count(*) FROM stg) - (SELECT count(*) FROM valid) - (SELECT count(*) FROM rejected))")]))
+_q("dq_summary", """
+SELECT 'flag' AS kind, flag AS name, CAST(count(*) AS BIGINT) AS failing_rows, 'reject' AS status
+FROM (SELECT unnest(flags) AS flag FROM stg) GROUP BY flag
+UNION ALL
+SELECT 'test' AS kind, check_name AS name, failing_rows, status FROM (""" + _checks(STAGING_CHECKS + CURATED_CHECKS) + ")")
+_q("dq_drift_keys", """
+SELECT drift_key, CAST(count(*) AS BIGINT) AS row_count
+FROM (SELECT unnest(json_keys(extra)) AS drift_key FROM stg)
+WHERE drift_key NOT IN ('volte_enabled') GROUP BY drift_key""")
+_q("stg_volte", "SELECT volte_enabled, CAST(count(*) AS BIGINT) AS row_count FROM stg GROUP BY volte_enabled")
+_q("dq_freshness", """
+SELECT newest_loaded_at, as_of, lag_seconds,
+       CASE WHEN lag_seconds <= 7200 THEN 'pass' ELSE 'warn' END AS status
+FROM (SELECT max(_loaded_at) AS newest_loaded_at, TIMESTAMP '2024-01-31 00:00:00' AS as_of,
+             (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(_loaded_at))) / 1.0e6 AS lag_seconds
+      FROM network_events)""")
+_q("dq_reconcile", """
+SELECT window_date, CAST(coalesce(source_rows, 0) AS BIGINT) AS source_rows,
+  CAST(coalesce(raw_rows, 0) AS BIGINT) AS raw_rows,
+  round((coalesce(source_rows, 0) - coalesce(raw_rows, 0)) * 1.0e0 / nullif(coalesce(source_rows, 0), 0), 6) AS gap_ratio,
+  CASE WHEN abs((coalesce(source_rows, 0) - coalesce(raw_rows, 0)) * 1.0e0 / nullif(coalesce(source_rows, 0), 0)) > 0.02 THEN 'fail'
+       WHEN abs((coalesce(source_rows, 0) - coalesce(raw_rows, 0)) * 1.0e0 / nullif(coalesce(source_rows, 0), 0)) > 0.005 THEN 'warn'
+       ELSE 'pass' END AS status
+FROM (SELECT CAST(ts AS DATE) AS window_date, count(*) AS source_rows FROM events GROUP BY 1) s
+FULL OUTER JOIN (SELECT CAST(event_time AS DATE) AS window_date, count(*) AS raw_rows
+                 FROM stg WHERE event_time IS NOT NULL GROUP BY 1) r USING (window_date)""")
+_q("cdc_latency", """
+SELECT CAST(_loaded_at AS DATE) AS load_date, CAST(count(*) AS BIGINT) AS row_count,
+  round(quantile_cont(lat, 0.5), 3) AS p50_latency_s, round(quantile_cont(lat, 0.95), 3) AS p95_latency_s,
+  round(max(lat), 3) AS max_latency_s
+FROM (SELECT _loaded_at, (epoch_us(_loaded_at) - _cdc_source_ts_ms * 1000) / 1.0e6 AS lat
+      FROM network_events WHERE _cdc_source_ts_ms IS NOT NULL)
+GROUP BY 1""")
+_q("degraded_recall", """
+SELECT 6 AS k, CAST(count(*) AS BIGINT) AS ranked_cells,
+  CAST(count(*) FILTER (WHERE degraded) AS BIGINT) AS degraded_in_top_k,
+  round(count(*) FILTER (WHERE degraded) / 6.0e0, 4) AS precision_at_k
+FROM ranking r
+LEFT JOIN (SELECT cell_id, CAST(substr(cell_id, 6, 4) AS INTEGER) % 10 = 3 AS degraded FROM dim_cell) g
+  USING (cell_id)
+WHERE quality_rank <= 6""")
