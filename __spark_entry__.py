@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from cellscope.session import ensure_session
 from cellscope.plans.layers import Layers
-from cellscope.operators import curated, kpi, quality, serving, staging
-from cellscope.sources import fixture
+from cellscope import schemas as S
+from cellscope.operators import curated, incremental, ingest, kpi, quality, serving, staging
+from cellscope.sources import cdc, fixture
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -199,6 +200,89 @@ def q_degraded_recall(spark, d):
     return quality.degraded_recall(L.ranking(), fixture.degraded_cells(L.dim_cell), k=6)
 
 
+def q_cdc_unwrap(spark, d):
+    raw = fixture.network_events(spark, d)
+    # voice/data rows arrive as full change envelopes, sms rows as already-unwrapped records
+    value = cdc.record_json(raw, envelope=F.col("event_type") != "sms")
+    out = cdc.record_to_raw(cdc.unwrap(raw.select(value.alias("value"))))
+    return out.select(*S.RECORD_COLUMNS, "extra", "_cdc_source_ts_ms")
+
+
+def q_flatten_events(spark, d):
+    raw = fixture.network_events(spark, d)
+    nested = F.to_json(F.struct(
+        "event_id", "event_type", F.col("event_time_raw").alias("event_time"),
+        F.struct("subscriber_id", F.col("subscriber_msisdn_masked").alias("msisdn_masked"),
+                 F.col("subscriber_plan").alias("plan"),
+                 F.col("subscriber_activation_date").cast("string").alias("activation_date")).alias("subscriber"),
+        F.struct("cell_id", F.col("cell_region").alias("region"),
+                 F.col("cell_radio_tech").alias("radio_tech")).alias("cell"),
+        "signal_dbm", "duration_sec", "call_result", "data_volume_mb", "avg_throughput_mbps", "latency_ms",
+        F.from_json("extra", cdc.ANY_MAP).alias("extra")))
+    return cdc.flatten_nested(raw.select(nested.alias("value")))
+
+
+def q_epoch_day_decode(spark, d):
+    raw = fixture.network_events(spark, d)
+    # the connector sends DATE as epoch days; older records carry ISO text: both decode
+    value = F.when(F.col("event_type") == "sms", cdc.record_json(raw, activation_as_epoch_days=False)) \
+        .otherwise(cdc.record_json(raw))
+    out = cdc.record_to_raw(cdc.unwrap(raw.select(value.alias("value"))))
+    return out.select("event_id", "subscriber_activation_date")
+
+
+def q_drift_extra(spark, d):
+    raw = fixture.network_events(spark, d)
+    fields = [F.col(c) for c in S.RECORD_COLUMNS]
+    value = F.to_json(F.struct(*fields, F.col("extra"), F.lit("v2").alias("probe_version"),
+                               F.col("_loaded_at").cast("string").alias("inserted_at"),
+                               F.col("_cdc_source_ts_ms").alias(S.SOURCE_TS_FIELD)))
+    out = cdc.record_to_raw(cdc.unwrap(raw.select(value.alias("value"))))
+    kv = F.explode(F.from_json("extra", cdc.ANY_MAP))
+    return out.select("event_id", kv).select("event_id", F.col("key").alias("drift_key"),
+                                             F.to_json("value").alias("drift_value"))
+
+
+def q_ingest_hour_partitions(spark, d):
+    return ingest.ingest_hour_partitions(fixture.network_events(spark, d), "_cdc_source_ts_ms")
+
+
+def q_raw_keep_first(spark, d):
+    kept = ingest.keep_first(fixture.landed_events(spark, d))
+    return kept.select("event_id", "cell_region", "_source_object_key")
+
+
+def _ledger_scenario(spark, d):
+    """Objects of the first half of the month were loaded by earlier runs."""
+    landed = fixture.landed_events(spark, d)
+    objects = landed.select(F.col("_source_object_key").alias("object_key")).distinct()
+    ledger = objects.where(ingest.object_date("object_key") < "2024-01-16")
+    return landed, objects, ledger
+
+
+def q_load_ledger_skip(spark, d):
+    _, objects, ledger = _ledger_scenario(spark, d)
+    return ingest.objects_to_load(objects, ledger)
+
+
+def q_load_report(spark, d):
+    landed, objects, ledger = _ledger_scenario(spark, d)
+    in_ledger = landed.join(ledger.withColumnRenamed("object_key", "_source_object_key"),
+                            "_source_object_key", "left_semi")
+    batch = landed.join(ledger.withColumnRenamed("object_key", "_source_object_key"),
+                        "_source_object_key", "left_anti")
+    inserted = ingest.keep_first(batch, target=in_ledger)
+    return ingest.load_report(objects, ledger, inserted)
+
+
+def q_fct_incremental(spark, d):
+    L = _layers(spark, d)
+    first_run = L.voice.where(F.col("event_time") < F.lit("2024-01-16 00:00:00").cast("timestamp"))
+    states = [incremental.merge(first_run, L.voice, late=mode).select(F.lit(mode).alias("late_mode"), "*")
+              for mode in ("drop", "upsert")]
+    return states[0].unionByName(states[1])
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_events": q_stg_events,
     "stg_valid": q_stg_valid,
@@ -232,6 +316,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_reconcile": q_dq_reconcile,
     "cdc_latency": q_cdc_latency,
     "degraded_recall": q_degraded_recall,
+    "cdc_unwrap": q_cdc_unwrap,
+    "flatten_events": q_flatten_events,
+    "epoch_day_decode": q_epoch_day_decode,
+    "drift_extra": q_drift_extra,
+    "ingest_hour_partitions": q_ingest_hour_partitions,
+    "raw_keep_first": q_raw_keep_first,
+    "load_ledger_skip": q_load_ledger_skip,
+    "load_report": q_load_report,
+    "fct_incremental": q_fct_incremental,
 }
 
 

@@ -448,3 +448,70 @@ FROM ranking r
 LEFT JOIN (SELECT cell_id, CAST(substr(cell_id, 6, 4) AS INTEGER) % 10 = 3 AS degraded FROM dim_cell) g
   USING (cell_id)
 WHERE quality_rank <= 6""")
+
+RECORD_COLS = """event_id, event_type, event_time_raw, subscriber_id, subscriber_msisdn_masked,
+  subscriber_plan, subscriber_activation_date, cell_id, cell_region, cell_radio_tech, signal_dbm,
+  duration_sec, call_result, data_volume_mb, avg_throughput_mbps, latency_ms"""
+LANDED = r"""
+landed AS (
+  SELECT event_id, cell_region, _source_object_key, _cdc_source_ts_ms FROM network_events
+  UNION ALL
+  SELECT event_id, 'REPLAY' AS cell_region,
+         'raw/network_events/dt=2024-12-31/hr=00/p0_replay.jsonl' AS _source_object_key, _cdc_source_ts_ms
+  FROM network_events WHERE n % 97 = 0
+),
+objs AS (SELECT DISTINCT _source_object_key AS object_key FROM landed),
+ledger AS (SELECT object_key FROM objs
+           WHERE regexp_extract(object_key, 'dt=(\d{4}-\d{2}-\d{2})', 1) < '2024-01-16'),
+first_delivery AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id
+                                              ORDER BY _source_object_key, _cdc_source_ts_ms) AS rn
+                 FROM landed) WHERE rn = 1
+)"""
+
+_q("cdc_unwrap", f"SELECT {RECORD_COLS}, CAST(json(extra) AS VARCHAR) AS extra, _cdc_source_ts_ms FROM network_events")
+_q("flatten_events", f"SELECT {RECORD_COLS}, CAST(json(extra) AS VARCHAR) AS extra FROM network_events")
+_q("epoch_day_decode", "SELECT event_id, subscriber_activation_date FROM network_events")
+_q("drift_extra", """
+SELECT event_id, k AS drift_key, CAST(json_extract(extra, '$.' || k) AS VARCHAR) AS drift_value
+FROM (SELECT event_id, extra, unnest(json_keys(extra)) AS k FROM network_events)
+UNION ALL
+SELECT event_id, 'probe_version' AS drift_key, '"v2"' AS drift_value FROM network_events""")
+_q("ingest_hour_partitions", """
+SELECT strftime(epoch_ms(_cdc_source_ts_ms), '%Y-%m-%d') AS dt, strftime(epoch_ms(_cdc_source_ts_ms), '%H') AS hr,
+       CAST(count(*) AS BIGINT) AS row_count
+FROM network_events GROUP BY 1, 2""")
+_q("raw_keep_first", "SELECT event_id, cell_region, _source_object_key FROM first_delivery", LANDED)
+_q("load_ledger_skip", "SELECT object_key FROM objs WHERE object_key NOT IN (SELECT object_key FROM ledger)", LANDED)
+_q("load_report", r"""
+SELECT o.load_date, o.objects_seen, o.objects_loaded, o.objects_skipped,
+       CAST(coalesce(r.rows_inserted, 0) AS BIGINT) AS rows_inserted
+FROM (SELECT regexp_extract(object_key, 'dt=(\d{4}-\d{2}-\d{2})', 1) AS load_date,
+             CAST(count(*) AS BIGINT) AS objects_seen,
+             CAST(count(*) FILTER (WHERE object_key NOT IN (SELECT object_key FROM ledger)) AS BIGINT) AS objects_loaded,
+             CAST(count(*) FILTER (WHERE object_key IN (SELECT object_key FROM ledger)) AS BIGINT) AS objects_skipped
+      FROM objs GROUP BY 1) o
+LEFT JOIN (
+  SELECT regexp_extract(_source_object_key, 'dt=(\d{4}-\d{2}-\d{2})', 1) AS load_date, count(*) AS rows_inserted
+  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id
+                                                   ORDER BY _source_object_key, _cdc_source_ts_ms) AS rn2
+                       FROM landed WHERE _source_object_key NOT IN (SELECT object_key FROM ledger))
+        WHERE rn2 = 1) b
+  WHERE NOT EXISTS (SELECT 1 FROM landed t WHERE t.event_id = b.event_id
+                      AND t._source_object_key IN (SELECT object_key FROM ledger))
+  GROUP BY 1) r ON r.load_date = o.load_date""", LANDED)
+_q("fct_incremental", """
+SELECT 'drop' AS late_mode, * FROM (
+  SELECT * FROM inc_target WHERE event_id NOT IN (SELECT event_id FROM inc_new_drop)
+  UNION ALL SELECT * FROM inc_new_drop)
+UNION ALL
+SELECT 'upsert' AS late_mode, * FROM (
+  SELECT * FROM inc_target
+  UNION ALL
+  SELECT * FROM fct_voice s WHERE NOT EXISTS (SELECT 1 FROM inc_target t WHERE t.event_id = s.event_id))""",
+   """
+inc_target AS (SELECT * FROM fct_voice WHERE event_time < TIMESTAMP '2024-01-16 00:00:00'),
+inc_new_drop AS (
+  SELECT * FROM fct_voice
+  WHERE event_time > (SELECT coalesce(max(event_time), TIMESTAMP '1970-01-01 00:00:00') FROM inc_target)
+)""")
