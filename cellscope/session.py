@@ -53,13 +53,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset (tests, a laptop)
     do we pick a scratch folder of our own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="cellscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 

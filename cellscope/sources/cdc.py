@@ -91,7 +91,7 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
     out = records.select(*cols, text.alias("_line"))
     if on_malformed == "quarantine":
         out = out.withColumn("_corrupt_record",
-                             F.when(F.from_json(text, ANY_MAP).isNull(), F.col("_line")))
+                             F.when(F.from_json(F.col("_line"), ANY_MAP).isNull(), F.col("_line")))
     return out.drop("_line")
 
 
