@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscope.session import ensure_session
+from cellscope.plans import publish
 from cellscope.plans.layers import Layers
 from cellscope import schemas as S
 from cellscope.operators import curated, incremental, ingest, kpi, quality, serving, staging
@@ -20,9 +21,38 @@ from cellscope.sources import cdc, fixture
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> Layers:
+_RAW: dict = {}
+
+
+def _raw_table(spark: SparkSession, sf_dir: str, landed: bool = False) -> DataFrame:
+    """The raw table derived from `events`, written once per session to the shared checkpoint
+    folder and read back (as the loader's output would be): every query then starts from a
+    Parquet scan with column pruning instead of re-deriving the fixture."""
     ensure_session(spark)
-    return Layers.from_fixture(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, landed)
+    if key not in _RAW:
+        build = fixture.landed_events if landed else fixture.network_events
+        _RAW[key] = publish.stage(build(spark, sf_dir), "landed" if landed else "raw")
+    return _RAW[key]
+
+
+_LAYERS: dict = {}
+MATERIALIZE_CURATED = False
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """One lazily built chain of layers per session and data folder; curated layers are
+    written once on first use (see Layers)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYERS:
+        _LAYERS[key] = Layers(_raw_table(spark, sf_dir), materialize=MATERIALIZE_CURATED)
+    return _LAYERS[key]
+
+
+def reset_cache() -> None:
+    """Forget materialised tables (the bench starts every timed run from the raw data)."""
+    _RAW.clear()
+    _LAYERS.clear()
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -182,7 +212,7 @@ def q_stg_volte(spark, d):
     return quality.volte_counts(_layers(spark, d).stg)
 
 
-def q_dq_freshness(spark, d):
+def q_dq_freshness(spark, d):  # noqa: D103
     return quality.freshness(_layers(spark, d).raw, F.lit("2024-01-31 00:00:00").cast("timestamp"))
 
 
@@ -201,7 +231,7 @@ def q_degraded_recall(spark, d):
 
 
 def q_cdc_unwrap(spark, d):
-    raw = fixture.network_events(spark, d)
+    raw = _raw_table(spark, d)
     # voice/data rows arrive as full change envelopes, sms rows as already-unwrapped records
     value = cdc.record_json(raw, envelope=F.col("event_type") != "sms")
     out = cdc.record_to_raw(cdc.unwrap(raw.select(value.alias("value"))))
@@ -209,7 +239,7 @@ def q_cdc_unwrap(spark, d):
 
 
 def q_flatten_events(spark, d):
-    raw = fixture.network_events(spark, d)
+    raw = _raw_table(spark, d)
     nested = F.to_json(F.struct(
         "event_id", "event_type", F.col("event_time_raw").alias("event_time"),
         F.struct("subscriber_id", F.col("subscriber_msisdn_masked").alias("msisdn_masked"),
@@ -223,7 +253,7 @@ def q_flatten_events(spark, d):
 
 
 def q_epoch_day_decode(spark, d):
-    raw = fixture.network_events(spark, d)
+    raw = _raw_table(spark, d)
     # the connector sends DATE as epoch days; older records carry ISO text: both decode
     value = F.when(F.col("event_type") == "sms", cdc.record_json(raw, activation_as_epoch_days=False)) \
         .otherwise(cdc.record_json(raw))
@@ -232,7 +262,7 @@ def q_epoch_day_decode(spark, d):
 
 
 def q_drift_extra(spark, d):
-    raw = fixture.network_events(spark, d)
+    raw = _raw_table(spark, d)
     fields = [F.col(c) for c in S.RECORD_COLUMNS]
     value = F.to_json(F.struct(*fields, F.col("extra"), F.lit("v2").alias("probe_version"),
                                F.col("_loaded_at").cast("string").alias("inserted_at"),
@@ -244,17 +274,17 @@ def q_drift_extra(spark, d):
 
 
 def q_ingest_hour_partitions(spark, d):
-    return ingest.ingest_hour_partitions(fixture.network_events(spark, d), "_cdc_source_ts_ms")
+    return ingest.ingest_hour_partitions(_raw_table(spark, d), "_cdc_source_ts_ms")
 
 
 def q_raw_keep_first(spark, d):
-    kept = ingest.keep_first(fixture.landed_events(spark, d))
+    kept = ingest.keep_first(_raw_table(spark, d, landed=True))
     return kept.select("event_id", "cell_region", "_source_object_key")
 
 
 def _ledger_scenario(spark, d):
     """Objects of the first half of the month were loaded by earlier runs."""
-    landed = fixture.landed_events(spark, d)
+    landed = _raw_table(spark, d, landed=True)
     objects = landed.select(F.col("_source_object_key").alias("object_key")).distinct()
     ledger = objects.where(ingest.object_date("object_key") < "2024-01-16")
     return landed, objects, ledger

@@ -12,13 +12,22 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from cellscope.operators import curated, serving, staging
+from cellscope.plans import publish
 from cellscope.sources import fixture
 
 
 class Layers:
-    def __init__(self, raw: DataFrame, keep_flags: tuple[str, ...] = ()):
+    """`materialize=True` writes the curated layers (facts, dimensions) once to the shared
+    checkpoint folder on first use, as the pipeline publishes them; later consumers scan the
+    written tables instead of recomputing staging in every branch of their plan."""
+
+    def __init__(self, raw: DataFrame, keep_flags: tuple[str, ...] = (), materialize: bool = False):
         self.raw = raw
         self.keep_flags = keep_flags
+        self.materialize = materialize
+
+    def _m(self, df: DataFrame, name: str) -> DataFrame:
+        return publish.stage(df, name) if self.materialize else df
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, **kw) -> "Layers":
@@ -38,19 +47,19 @@ class Layers:
 
     @cached_property
     def voice(self) -> DataFrame:
-        return curated.fct_voice_call(self.valid)
+        return self._m(curated.fct_voice_call(self.valid), "fct_voice_call")
 
     @cached_property
     def data(self) -> DataFrame:
-        return curated.fct_data_session(self.valid)
+        return self._m(curated.fct_data_session(self.valid), "fct_data_session")
 
     @cached_property
     def dim_cell(self) -> DataFrame:
-        return curated.dim_cell_site(self.valid)
+        return self._m(curated.dim_cell_site(self.valid), "dim_cell_site")
 
     @cached_property
     def dim_sub(self) -> DataFrame:
-        return curated.dim_subscriber(self.valid)
+        return self._m(curated.dim_subscriber(self.valid), "dim_subscriber")
 
     def reference_time(self):
         return serving.reference_time(self.voice, self.data)

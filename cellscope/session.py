@@ -72,3 +72,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def ensure_parallelism(df):
+    """Spread a scan that arrived in fewer partitions than the cluster has cores (one small
+    file) before expensive per-row work. A no-op for real inputs, which split into many
+    partitions on their own; it never reduces parallelism."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

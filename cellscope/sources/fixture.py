@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.session import table_path
+from cellscope.session import ensure_parallelism, table_path
 
 REPLAY_KEY = "raw/network_events/dt=2024-12-31/hr=00/p0_replay.jsonl"
 
@@ -26,7 +26,7 @@ def _ntz(text: str):
 
 def network_events(spark: SparkSession, sf_dir: str, with_order_key: bool = False) -> DataFrame:
     """raw.network_events built from `events` (one row per kept event)."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    ev = ensure_parallelism(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
     n, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     # usage decay for a fifth of the users in the last week, so churn signals exist
     ev = ev.where(~((u % 5 == 0) & (ts >= _ntz("2024-01-24 00:00:00")) & (n % 3 != 0)))
