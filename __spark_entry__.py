@@ -149,15 +149,11 @@ def q_region_quality(spark, d):
     return kpi.region_quality(_layers(spark, d).valid)
 
 
-def _all_checks(L: Layers) -> list:
-    return (quality.staging_checks(L.stg)
-            + quality.curated_checks(L.dim_cell, L.dim_sub, L.voice, L.data)
-            + quality.serving_checks(L.ranking(), L.churn()))
-
-
 def q_dq_unique(spark, d):
     L = _layers(spark, d)
-    return quality.checks_table([c for c in _all_checks(L) if c.name.startswith(("not_null", "unique"))])
+    return quality.checks_table(quality.staging_checks(L.stg)
+                                + quality.curated_key_checks(L.dim_cell, L.dim_sub, L.voice, L.data)
+                                + quality.serving_checks(L.ranking(), L.churn()))
 
 
 def q_dq_accepted_values(spark, d):
@@ -168,8 +164,7 @@ def q_dq_accepted_values(spark, d):
 
 def q_dq_relationships(spark, d):
     L = _layers(spark, d)
-    return quality.checks_table([c for c in quality.curated_checks(L.dim_cell, L.dim_sub, L.voice, L.data)
-                                 if c.name.startswith("relationships")])
+    return quality.checks_table(quality.relationship_checks(L.dim_cell, L.dim_sub, L.voice, L.data))
 
 
 def q_dq_gate(spark, d):
@@ -180,15 +175,13 @@ def q_dq_gate(spark, d):
 
 def q_layer_counts(spark, d):
     L = _layers(spark, d)
-    return quality.layer_counts({
-        ("raw", "network_events"): L.raw, ("staging", "stg_network_events"): L.stg,
-        ("staging", "stg_network_events_valid"): L.valid,
-        ("staging", "stg_network_events_rejected"): L.rejected,
+    others = quality.layer_counts({
+        ("raw", "network_events"): L.raw,
         ("curated", "dim_cell_site"): L.dim_cell, ("curated", "dim_subscriber"): L.dim_sub,
-        ("curated", "fct_voice_call"): L.voice, ("curated", "fct_data_session"): L.data,
         ("serving", "vw_cell_quality_ranking"): L.ranking(),
         ("serving", "vw_subscriber_churn_signals"): L.churn(),
     })
+    return quality.staging_layer_counts(L.stg).unionByName(others)
 
 
 def q_dq_completeness(spark, d):

@@ -80,42 +80,78 @@ def equal_counts(total: DataFrame, parts: list[DataFrame], name: str, model: str
     return Check(name, model, "*", "error", gap)
 
 
-def checks_table(checks: list[Check]) -> DataFrame:
-    """All checks as one DataFrame with a pass/fail/warn status per check."""
-    rows = reduce(DataFrame.unionByName, [c.as_row() for c in checks])
+def model_checks(df: DataFrame, model: str, not_null: tuple[str, ...] = (), unique: str | None = None,
+                 severity: str = "error") -> DataFrame:
+    """Every not-null check of a model plus its unique-key check from ONE pass over it.
+
+    With a unique key the model is grouped once by that key (the per-key count combines
+    map-side); the not-null counts ride along as per-key sums. One row per check comes out.
+    """
+    specs = [(f"not_null_{model}_{c}", c) for c in not_null]
+    if unique is not None:
+        per_key = df.groupBy(unique).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, (_, c) in enumerate(specs)])
+        totals = per_key.agg(
+            *[F.sum(f"_null_{i}").alias(f"f{i}") for i in range(len(specs))],
+            F.count_if(F.col(unique).isNotNull() & (F.col("_n") > 1)).alias("f_unique"))
+        specs_all = specs + [(f"unique_{model}_{unique}", unique)]
+        cols = [f"f{i}" for i in range(len(specs))] + ["f_unique"]
+    else:
+        totals = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"f{i}") for i, (_, c) in enumerate(specs)])
+        specs_all, cols = specs, [f"f{i}" for i in range(len(specs))]
+    rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(model).alias("model"),
+                              F.lit(column).alias("column_name"), F.lit(severity).alias("severity"),
+                              F.coalesce(F.col(c), F.lit(0)).cast("long").alias("failing_rows"))
+                     for (name, column), c in zip(specs_all, cols)])
+    return totals.select(F.inline(rows))
+
+
+def checks_table(checks: list) -> DataFrame:
+    """All checks (Check objects or ready check rows) as one DataFrame with a status."""
+    rows = reduce(DataFrame.unionByName, [c.as_row() if isinstance(c, Check) else c for c in checks])
     status = (F.when(F.col("failing_rows") == 0, "pass")
               .when(F.col("severity") == "error", "fail").otherwise("warn"))
     return rows.withColumn("status", status)
 
 
-def staging_checks(stg: DataFrame) -> list[Check]:
+def staging_checks(stg: DataFrame) -> list:
     """Q1: event id not null and unique on staging (blocks curated)."""
-    return [not_null(stg, "stg_network_events", "event_id"), unique(stg, "stg_network_events", "event_id")]
+    return [model_checks(stg, "stg_network_events", ("event_id",), "event_id")]
 
 
-def curated_checks(dim_cell: DataFrame, dim_sub: DataFrame, voice: DataFrame, data: DataFrame) -> list[Check]:
-    """Q6, Q7, Q12 on the curated model (block serving)."""
+def curated_key_checks(dim_cell: DataFrame, dim_sub: DataFrame, voice: DataFrame, data: DataFrame) -> list:
+    """Q12 on the curated model: keys present and unique."""
+    return [
+        model_checks(dim_cell, "dim_cell_site", ("cell_id",), "cell_id"),
+        model_checks(dim_sub, "dim_subscriber", ("subscriber_id", "valid_from")),
+        model_checks(voice, "fct_voice_call", ("event_id",), "event_id"),
+        model_checks(data, "fct_data_session", ("event_id",), "event_id"),
+    ]
+
+
+def relationship_checks(dim_cell: DataFrame, dim_sub: DataFrame, voice: DataFrame, data: DataFrame) -> list:
+    """Q7: every fact key has its dimension row."""
     return [
-        not_null(dim_cell, "dim_cell_site", "cell_id"), unique(dim_cell, "dim_cell_site", "cell_id"),
-        not_null(dim_sub, "dim_subscriber", "subscriber_id"), not_null(dim_sub, "dim_subscriber", "valid_from"),
-        not_null(voice, "fct_voice_call", "event_id"), unique(voice, "fct_voice_call", "event_id"),
-        accepted_values(voice, "fct_voice_call", "call_result", S.CALL_RESULTS),
         relationships(voice, "fct_voice_call", "cell_id", dim_cell, "cell_id", "dim_cell_site"),
         relationships(voice, "fct_voice_call", "subscriber_id", dim_sub, "subscriber_id", "dim_subscriber"),
-        not_null(data, "fct_data_session", "event_id"), unique(data, "fct_data_session", "event_id"),
         relationships(data, "fct_data_session", "cell_id", dim_cell, "cell_id", "dim_cell_site"),
         relationships(data, "fct_data_session", "subscriber_id", dim_sub, "subscriber_id", "dim_subscriber"),
     ]
 
 
-def serving_checks(ranking: DataFrame, churn: DataFrame) -> list[Check]:
+def curated_checks(dim_cell: DataFrame, dim_sub: DataFrame, voice: DataFrame, data: DataFrame) -> list:
+    """Q6, Q7, Q12 on the curated model (block serving)."""
+    return (curated_key_checks(dim_cell, dim_sub, voice, data)
+            + [accepted_values(voice, "fct_voice_call", "call_result", S.CALL_RESULTS)]
+            + relationship_checks(dim_cell, dim_sub, voice, data))
+
+
+def serving_checks(ranking: DataFrame, churn: DataFrame) -> list:
     """Q12/Q14 on the two views (reported, not blocking in the pipeline)."""
     return [
-        not_null(ranking, "vw_cell_quality_ranking", "cell_id"),
-        unique(ranking, "vw_cell_quality_ranking", "cell_id"),
-        not_null(ranking, "vw_cell_quality_ranking", "quality_rank"),
-        not_null(churn, "vw_subscriber_churn_signals", "subscriber_id"),
-        unique(churn, "vw_subscriber_churn_signals", "subscriber_id"),
+        model_checks(ranking, "vw_cell_quality_ranking", ("cell_id", "quality_rank"), "cell_id"),
+        model_checks(churn, "vw_subscriber_churn_signals", ("subscriber_id",), "subscriber_id"),
     ]
 
 
@@ -219,3 +255,19 @@ def layer_counts(models: dict) -> DataFrame:
                     F.count(F.lit(1)).alias("row_count"))
              for (layer, model), df in models.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def staging_layer_counts(stg: DataFrame) -> DataFrame:
+    """Row counts of staging, its valid/rejected split and the two facts, from ONE pass over
+    staging (the split and the facts are filters of it)."""
+    valid, et = F.col("is_valid"), F.col("event_type")
+    parts = [("staging", "stg_network_events", F.count(F.lit(1))),
+             ("staging", "stg_network_events_valid", F.count_if(valid)),
+             ("staging", "stg_network_events_rejected", F.count_if(~valid)),
+             ("curated", "fct_voice_call", F.count_if(valid & (et == "voice_call"))),
+             ("curated", "fct_data_session", F.count_if(valid & (et == "data_session")))]
+    totals = stg.agg(*[c.alias(f"c{i}") for i, (_, _, c) in enumerate(parts)])
+    rows = F.array(*[F.struct(F.lit(layer).alias("layer"), F.lit(model).alias("model"),
+                              F.col(f"c{i}").cast("long").alias("row_count"))
+                     for i, (layer, model, _) in enumerate(parts)])
+    return totals.select(F.inline(rows))
