@@ -124,12 +124,12 @@ def q_churn_signals(spark, d):
 
 def q_subscriber_activity(spark, d):
     L = _layers(spark, d)
-    return serving.subscriber_activity(L.voice, L.data)
+    return serving.subscriber_activity(L.voice, L.data, L.ref)
 
 
 def q_poor_experience(spark, d):
     L = _layers(spark, d)
-    return serving.poor_experience(L.voice, L.data, L.dim_cell)
+    return serving.poor_experience(L.voice, L.data, L.dim_cell, L.ref)
 
 
 def q_plan_as_of_event(spark, d):

@@ -61,12 +61,13 @@ def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
     obs = obs.withColumn("changed", changed.cast("int"))
     obs = obs.withColumn("run", F.sum("changed").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)))
     runs = (obs.groupBy("subscriber_id", "chunk", "run")
-            .agg(F.min(F.struct("event_time", "event_id")).alias("start"),
+            .agg(F.min("event_time").alias("start"),
                  F.max("subscriber_plan").alias("plan"),
                  F.max("subscriber_msisdn_masked").alias("subscriber_msisdn_masked"),
                  F.max("subscriber_activation_date").alias("subscriber_activation_date")))
 
-    by_sub = Window.partitionBy("subscriber_id").orderBy("start")
+    # runs never overlap: chunks are consecutive time slices, runs are numbered in order
+    by_sub = Window.partitionBy("subscriber_id").orderBy("chunk", "run")
     runs = runs.withColumn(
         "changed", (~F.lag("plan").over(by_sub).eqNullSafe(F.col("plan"))).cast("int"))
     runs = runs.withColumn(
@@ -74,7 +75,7 @@ def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
     versions = (runs.groupBy("subscriber_id", "plan", "version_number")
                 .agg(F.max("subscriber_msisdn_masked").alias("subscriber_msisdn_masked"),
                      F.max("subscriber_activation_date").alias("subscriber_activation_date"),
-                     F.min("start.event_time").alias("valid_from")))
+                     F.min("start").alias("valid_from")))
     by_version = Window.partitionBy("subscriber_id").orderBy("version_number")
     valid_to = F.lead("valid_from").over(by_version)
     return versions.select(

@@ -1,8 +1,11 @@
 """Serving: which cells need attention, which subscribers show churn signals.
 
-"Now" is defined by the data: the latest event time over both facts (E1). It is used as an
-uncorrelated scalar subquery, evaluated once per query and inlined as a value, not as a
-cross join.
+"Now" is defined by the data: the latest event time over both facts (E1). It is resolved
+once to a literal (`reference_time_value`, one aggregate over the `event_time` column) and
+inlined, never joined. As a literal, the trailing windows become plain range predicates:
+Parquet pushdown applies, and on published facts (partitioned by `event_date`) a derived
+`event_date` bound prunes every partition outside the window. `reference_time()` keeps the
+scalar-subquery form for callers that want a single lazy plan.
 
 Both views are written as one aggregate each (instead of two aggregates plus outer joins):
 conditional counts over the union of the facts, grouped once by the view's key. The
@@ -30,9 +33,24 @@ def reference_time(voice: DataFrame, data: DataFrame) -> Column:
     return reference_time_df(voice, data).scalar()
 
 
+def reference_time_value(voice: DataFrame, data: DataFrame) -> Column:
+    """E1 resolved to a TIMESTAMP literal (NULL when both facts are empty, T16)."""
+    value = reference_time_df(voice, data).first()[0]
+    return F.lit(value).cast("timestamp")
+
+
+def _in_window(df: DataFrame, ref: Column, days: int) -> DataFrame:
+    """Rows with event_time in (ref - days, ref]; prunes `event_date` partitions if present."""
+    out = df.where(X.in_trailing_window("event_time", ref, days))
+    if "event_date" in df.columns:
+        lo = F.to_date(ref - F.make_interval(days=F.lit(days)))
+        out = out.where((F.col("event_date") >= lo) & (F.col("event_date") <= F.to_date(ref)))
+    return out
+
+
 def voice_agg(voice: DataFrame, ref: Column) -> DataFrame:
     """Voice calls and dropped/failed calls per cell in the trailing window."""
-    return (voice.where(X.in_trailing_window("event_time", ref, S.RANKING_WINDOW_DAYS))
+    return (_in_window(voice, ref, S.RANKING_WINDOW_DAYS)
             .groupBy("cell_id")
             .agg(F.count(F.lit(1)).alias("voice_call_count"),
                  F.count_if(F.col("call_result").isin(*S.BAD_CALL_RESULTS)).alias("dropped_or_failed_count")))
@@ -40,7 +58,7 @@ def voice_agg(voice: DataFrame, ref: Column) -> DataFrame:
 
 def data_agg(data: DataFrame, ref: Column) -> DataFrame:
     """Data sessions, mean throughput and latency per cell in the trailing window."""
-    return (data.where(X.in_trailing_window("event_time", ref, S.RANKING_WINDOW_DAYS))
+    return (_in_window(data, ref, S.RANKING_WINDOW_DAYS)
             .groupBy("cell_id")
             .agg(F.count(F.lit(1)).alias("data_session_count"),
                  X.exact_avg("avg_throughput_mbps").alias("avg_throughput_mbps"),
@@ -56,13 +74,14 @@ def cell_quality_ranking(voice: DataFrame, data: DataFrame, dim_cell: DataFrame,
     unrounded score (T10) unless `rank_on_rounded`. The final rank is a window without
     partition over one row per cell: its size is the number of cell sites, not events.
     """
-    ref = reference_time(voice, data) if ref is None else ref
+    ref = reference_time_value(voice, data) if ref is None else ref
+    voice, data = _in_window(voice, ref, S.RANKING_WINDOW_DAYS), _in_window(data, ref, S.RANKING_WINDOW_DAYS)
     v = voice.select("event_time", "cell_id", "call_result",
                      F.lit(None).cast("double").alias("avg_throughput_mbps"),
                      F.lit(None).cast("double").alias("latency_ms"), F.lit(True).alias("is_voice"))
     d = data.select("event_time", "cell_id", F.lit(None).cast("string").alias("call_result"),
                     "avg_throughput_mbps", "latency_ms", F.lit(False).alias("is_voice"))
-    ev = v.unionByName(d).where(X.in_trailing_window("event_time", ref, S.RANKING_WINDOW_DAYS))
+    ev = v.unionByName(d)
     is_voice = F.col("is_voice")
     agg = ev.groupBy("cell_id").agg(
         F.count_if(is_voice).alias("voice_call_count"),
@@ -121,10 +140,11 @@ def subscriber_signals(voice: DataFrame, data: DataFrame, dim_cell: DataFrame,
     `recent_only`, events older than the 35-day baseline are pruned before the shuffle; such
     subscribers can never be flagged, so the churn view is unchanged.
     """
-    ref = reference_time(voice, data) if ref is None else ref
-    ev = _subscriber_events(voice, data, dim_cell)
+    ref = reference_time_value(voice, data) if ref is None else ref
     if recent_only:
-        ev = ev.where(F.col("event_time") > ref - F.make_interval(days=F.lit(S.BASELINE_WINDOW_DAYS)))
+        voice = _in_window(voice, ref, S.BASELINE_WINDOW_DAYS)
+        data = _in_window(data, ref, S.BASELINE_WINDOW_DAYS)
+    ev = _subscriber_events(voice, data, dim_cell)
     t = F.col("event_time")
     return ev.groupBy("subscriber_id").agg(
         F.count_if(X.in_trailing_window(t, ref, S.ACTIVITY_WINDOW_DAYS)).alias("last_7_day_activity"),
@@ -135,7 +155,7 @@ def subscriber_signals(voice: DataFrame, data: DataFrame, dim_cell: DataFrame,
 
 def subscriber_activity(voice: DataFrame, data: DataFrame, ref: Column | None = None) -> DataFrame:
     """E4 on its own: every subscriber with a voice/data event, both activity counts."""
-    ref = reference_time(voice, data) if ref is None else ref
+    ref = reference_time_value(voice, data) if ref is None else ref
     ev = voice_and_data_events(voice, data).where(F.col("subscriber_id").isNotNull())
     t = F.col("event_time")
     return ev.groupBy("subscriber_id").agg(
@@ -147,7 +167,9 @@ def subscriber_activity(voice: DataFrame, data: DataFrame, ref: Column | None =
 def poor_experience(voice: DataFrame, data: DataFrame, dim_cell: DataFrame,
                     ref: Column | None = None) -> DataFrame:
     """E5 on its own: subscribers with at least one poor-experience event in 14 days."""
-    ref = reference_time(voice, data) if ref is None else ref
+    ref = reference_time_value(voice, data) if ref is None else ref
+    voice = _in_window(voice, ref, S.POOR_WINDOW_DAYS)
+    data = _in_window(data, ref, S.POOR_WINDOW_DAYS)
     ev = _subscriber_events(voice, data, dim_cell).where(_poor_experience(F.col("event_time"), ref))
     return ev.groupBy("subscriber_id").agg(F.count(F.lit(1)).alias("poor_experience_count"))
 

@@ -61,11 +61,16 @@ class Layers:
     def dim_sub(self) -> DataFrame:
         return self._m(curated.dim_subscriber(self.valid), "dim_subscriber")
 
+    @cached_property
+    def ref(self):
+        """E1, resolved once for every serving query of this chain."""
+        return serving.reference_time_value(self.voice, self.data)
+
     def reference_time(self):
-        return serving.reference_time(self.voice, self.data)
+        return self.ref
 
     def ranking(self) -> DataFrame:
-        return serving.cell_quality_ranking(self.voice, self.data, self.dim_cell)
+        return serving.cell_quality_ranking(self.voice, self.data, self.dim_cell, self.ref)
 
     def churn(self) -> DataFrame:
-        return serving.churn_signals(self.voice, self.data, self.dim_cell, self.dim_sub)
+        return serving.churn_signals(self.voice, self.data, self.dim_cell, self.dim_sub, self.ref)

@@ -77,13 +77,14 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
 
     dim_cell = spark.read.parquet(paths["dim_cell_site"])
     dim_sub = spark.read.parquet(paths["dim_subscriber"])
-    voice = spark.read.parquet(paths["fct_voice_call"]).drop("event_date")
-    data = spark.read.parquet(paths["fct_data_session"]).drop("event_date")
+    # event_date stays: the serving windows use it to prune partitions
+    voice = spark.read.parquet(paths["fct_voice_call"])
+    data = spark.read.parquet(paths["fct_data_session"])
     result.checks["curated"] = quality.gate(
         quality.checks_table(quality.curated_checks(dim_cell, dim_sub, voice, data)), "curated").collect()
 
     # serving: materialised once per run, also exposed as temp views for analyst SQL
-    ref = serving.reference_time(voice, data)
+    ref = serving.reference_time_value(voice, data)
     ranking = serving.cell_quality_ranking(voice, data, dim_cell, ref)
     churn = serving.churn_signals(voice, data, dim_cell, dim_sub, ref)
     publish.full_refresh(ranking, table(warehouse, "serving", "vw_cell_quality_ranking"), "ranking")
