@@ -31,8 +31,11 @@ def _raw_table(spark: SparkSession, sf_dir: str, landed: bool = False) -> DataFr
     ensure_session(spark)
     key = (spark.sparkContext.applicationId, sf_dir, landed)
     if key not in _RAW:
-        build = fixture.landed_events if landed else fixture.network_events
-        _RAW[key] = publish.stage(build(spark, sf_dir), "landed" if landed else "raw")
+        if landed:
+            df = fixture.landed_events(spark, sf_dir, _raw_table(spark, sf_dir))
+        else:
+            df = fixture.network_events(spark, sf_dir)
+        _RAW[key] = publish.stage(df, "landed" if landed else "raw")
     return _RAW[key]
 
 

@@ -50,7 +50,7 @@ def publish_fact(spark: SparkSession, source: DataFrame, path: str, late: str =
     touched = incremental.touched_partitions(target, new, key, "event_date")
     # the touched set has one row per day: small by construction, broadcast is safe
     old = target.join(F.broadcast(touched), "event_date", "left_semi").join(new.select(key), key, "left_anti")
-    publish.replace_partitions(old.unionByName(new), path, ("event_date",), "fact-merge")
+    publish.replace_partitions(old.unionByName(new), path, ("event_date",), "fact-merge", reads_target=True)
 
 
 def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,

@@ -44,17 +44,24 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return spark.read.parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str, name: str) -> None:
-    """Replace the whole table with `df` (SCD1 overwrite, rebuilt SCD2)."""
-    staged = stage(df, name)
-    staged.write.mode("overwrite").parquet(path)
+def full_refresh(df: DataFrame, path: str, name: str, reads_target: bool = False) -> None:
+    """Replace the whole table with `df` (SCD1 overwrite, rebuilt SCD2).
+
+    Only a plan that reads the table it replaces goes through a staged copy; derived tables
+    (dimensions, views) are written straight from their plan and are recomputable from the
+    layer below if a run fails.
+    """
+    src = stage(df, name) if reads_target else df
+    src.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], name: str) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], name: str,
+                       reads_target: bool = False) -> None:
     """Replace exactly the partitions present in `df` (e.g. every `kpi_date` the run
-    touched); re-running a date rewrites the same partitions with the same rows."""
-    staged = stage(df, name, partition_by)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    touched); re-running a date rewrites the same partitions with the same rows. A plan that
+    reads the table it rewrites (an incremental merge) goes through a staged copy first."""
+    src = stage(df, name, partition_by) if reads_target else df
+    (src.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 

@@ -114,14 +114,14 @@ def network_events(spark: SparkSession, sf_dir: str, with_order_key: bool = Fals
     return ev.select(*cols)
 
 
-def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_events(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """The view plus re-delivered copies (every 97th event, from a later replay object):
-    the input of keep-first loading."""
-    base = network_events(spark, sf_dir, with_order_key=True)
-    replay = (base.where(F.col("n") % 97 == 0)
+    the input of keep-first loading. `raw` reuses an already derived raw table."""
+    base = network_events(spark, sf_dir) if raw is None else raw
+    replay = (base.where(F.col("event_id").cast("bigint") % 97 == 0)
               .withColumn("cell_region", F.lit("REPLAY"))
               .withColumn("_source_object_key", F.lit(REPLAY_KEY)))
-    return base.unionByName(replay).drop("n")
+    return base.unionByName(replay)
 
 
 def degraded_cells(dim_cell: DataFrame) -> DataFrame:
