@@ -3,8 +3,9 @@
 Skew notes. A single cell or subscriber may carry a third of all events, so nothing here puts
 all rows of one key into one task:
 * latest-per-cell is a `max(struct)` aggregate, which combines map-side before the shuffle;
-* the plan history orders events inside (subscriber, time-chunk) groups, collapses each group
-  to its runs of equal plan, and only then orders the (few) runs per subscriber.
+* the plan history orders events inside (subscriber, time-slice) groups, collapses each group
+  to its runs of equal plan, and only then orders the (few) runs per subscriber; slices of a
+  hot subscriber are cut finer until each holds a bounded number of events.
 """
 
 from __future__ import annotations
@@ -39,35 +40,46 @@ def dim_cell_site(valid: DataFrame) -> DataFrame:
                     F.col("m.tech").alias("cell_radio_tech"), F.col("m.t").alias("last_seen_at")))
 
 
-def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
+def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600, max_rows_per_group: int = 2_000_000) -> DataFrame:
     """Plan history per subscriber (I4; SCD type 2 keyed by subscriber_id, valid_from).
 
     A new version starts at every event whose plan differs (null-safe) from the subscriber's
     previous event in (event_time, event_id) order; a leading NULL plan is version 0 (F1-F4,
     E6). Computed in two ordered passes so that no task holds all events of one subscriber:
 
-    1. within each (subscriber, time chunk) group, collapse consecutive equal plans into runs;
-    2. order the runs of each subscriber and number versions across chunk borders.
+    1. within each (subscriber, time slice) group, collapse consecutive equal plans into runs;
+    2. order the runs of each subscriber and number versions across slice borders.
 
-    A group in pass 1 holds one subscriber's events of one chunk (`chunk_seconds`), pass 2 one
-    row per run, i.e. about one per active chunk plus one per plan change.
+    Slices are `chunk_seconds` long. A (subscriber, chunk) with more than `max_rows_per_group`
+    events - a hot subscriber - is cut into k equal sub-slices, k = ceil(rows / limit). The
+    hot-chunk list comes from a map-side-combined count and has at most
+    rows / `max_rows_per_group` entries, so it is broadcast. Pass 2 holds one row per run:
+    about one per active slice plus one per plan change.
     """
+    chunk_us = chunk_seconds * 1_000_000
     obs = (valid.where(F.col("subscriber_id").isNotNull())
            .select("subscriber_id", "subscriber_msisdn_masked", "subscriber_plan",
                    "subscriber_activation_date", "event_time", "event_id",
-                   F.floor(F.unix_micros("event_time") / F.lit(chunk_seconds * 1_000_000)).alias("chunk")))
-    in_chunk = Window.partitionBy("subscriber_id", "chunk").orderBy("event_time", "event_id")
-    changed = ~F.lag("subscriber_plan").over(in_chunk).eqNullSafe(F.col("subscriber_plan"))
+                   F.floor(F.unix_micros("event_time") / F.lit(chunk_us)).alias("chunk")))
+    hot = (obs.groupBy("subscriber_id", "chunk").agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > max_rows_per_group)
+           .select("subscriber_id", "chunk", F.ceil(F.col("n") / F.lit(max_rows_per_group)).alias("k")))
+    obs = obs.join(F.broadcast(hot), ["subscriber_id", "chunk"], "left")
+    offset = F.unix_micros("event_time") - F.col("chunk") * F.lit(chunk_us)
+    obs = obs.withColumn("sub", F.coalesce(F.floor(offset * F.col("k") / F.lit(chunk_us)), F.lit(0)))
+
+    in_slice = Window.partitionBy("subscriber_id", "chunk", "sub").orderBy("event_time", "event_id")
+    changed = ~F.lag("subscriber_plan").over(in_slice).eqNullSafe(F.col("subscriber_plan"))
     obs = obs.withColumn("changed", changed.cast("int"))
-    obs = obs.withColumn("run", F.sum("changed").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = (obs.groupBy("subscriber_id", "chunk", "run")
+    obs = obs.withColumn("run", F.sum("changed").over(in_slice.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = (obs.groupBy("subscriber_id", "chunk", "sub", "run")
             .agg(F.min("event_time").alias("start"),
                  F.max("subscriber_plan").alias("plan"),
                  F.max("subscriber_msisdn_masked").alias("subscriber_msisdn_masked"),
                  F.max("subscriber_activation_date").alias("subscriber_activation_date")))
 
-    # runs never overlap: chunks are consecutive time slices, runs are numbered in order
-    by_sub = Window.partitionBy("subscriber_id").orderBy("chunk", "run")
+    # runs never overlap: slices are consecutive time ranges, runs are numbered in order
+    by_sub = Window.partitionBy("subscriber_id").orderBy("chunk", "sub", "run")
     runs = runs.withColumn(
         "changed", (~F.lag("plan").over(by_sub).eqNullSafe(F.col("plan"))).cast("int"))
     runs = runs.withColumn(

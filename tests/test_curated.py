@@ -105,3 +105,16 @@ def test_plan_as_of_event(spark):
                         F.lit(1.0).alias("latency_ms")).limit(0)
     got = {r.event_id: r.plan for r in curated.plan_as_of_event(voice, data, dim).collect()}
     assert got == {"0": "A", "1": "B", "2": "B", "3": "A"}
+
+
+def test_hot_subscriber_split_equals_brute_force(spark):
+    """One subscriber holds most events of one hour: its hour is cut into sub-slices."""
+    rnd = random.Random(11)
+    evs = []
+    for i in range(800):
+        sub = "hot" if i % 4 else f"s{i % 3}"
+        evs.append(dict(event_id=f"{i:04d}", subscriber_id=sub,
+                        subscriber_plan=rnd.choice(["A", "A", "B", None]),
+                        event_time=T0 + dt.timedelta(seconds=rnd.randint(0, 3599))))
+    got = scd2_rows(curated.dim_subscriber(valid(spark, evs), chunk_seconds=3600, max_rows_per_group=50))
+    assert got == brute_force_scd2(evs)
