@@ -16,6 +16,7 @@ from cellscope.plans import publish
 from cellscope.plans.layers import Layers
 from cellscope import schemas as S
 from cellscope.operators import curated, incremental, ingest, kpi, quality, serving, staging
+from cellscope.functions import expressions as X
 from cellscope.sources import cdc, fixture
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -309,6 +310,16 @@ def q_fct_incremental(spark, d):
     return states[0].unionByName(states[1])
 
 
+def q_msisdn_mask(spark, d):
+    # full numbers as the source holds them (derived from the user id), masked on the way out
+    raw = _raw_table(spark, d)
+    events = fixture.read_table(spark, d, "events").select(F.col("event_id").cast("string").alias("event_id"),
+                                                            "user_id")
+    full = F.concat(F.lit("+99450"), F.lpad((F.col("user_id") % 10000000).cast("string"), 7, "0"))
+    return (raw.select("event_id").join(events, "event_id")
+            .select("event_id", X.mask_msisdn(full).alias("subscriber_msisdn_masked")))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_events": q_stg_events,
     "stg_valid": q_stg_valid,
@@ -351,6 +362,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_ledger_skip": q_load_ledger_skip,
     "load_report": q_load_report,
     "fct_incremental": q_fct_incremental,
+    "msisdn_mask": q_msisdn_mask,
 }
 
 

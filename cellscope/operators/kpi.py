@@ -48,8 +48,9 @@ def cell_hourly_kpi(valid: DataFrame, exact: bool = True) -> DataFrame:
         F.to_date("kpi_hour").alias("kpi_date"))
 
 
-def region_quality(valid: DataFrame) -> DataFrame:
-    """Worst regions per day, with the KPI at fault.
+def region_quality(valid: DataFrame, period: str = "day") -> DataFrame:
+    """Worst regions per day (or week: `period="week"`, weeks start Monday), with the KPI at
+    fault (E16).
 
     Same score as the cell ranking (drop rate x 100 + latency / 10 - throughput / 10) per
     (region, event date); `kpi_at_fault` names the larger penalty term. The rank window is
@@ -58,7 +59,7 @@ def region_quality(valid: DataFrame) -> DataFrame:
     et = F.col("event_type")
     voice, data = et == "voice_call", et == "data_session"
     agg = (valid.where(et.isin("voice_call", "data_session"))
-           .groupBy("cell_region", F.to_date("event_time").alias("event_date"))
+           .groupBy("cell_region", F.to_date(F.date_trunc(period, "event_time")).alias("event_date"))
            .agg(F.count_if(voice).alias("voice_call_count"),
                 F.count_if(voice & F.col("call_result").isin(*S.BAD_CALL_RESULTS)).alias("dropped_or_failed_count"),
                 F.count_if(data).alias("data_session_count"),

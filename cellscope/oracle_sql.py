@@ -515,3 +515,5 @@ inc_new_drop AS (
   SELECT * FROM fct_voice
   WHERE event_time > (SELECT coalesce(max(event_time), TIMESTAMP '1970-01-01 00:00:00') FROM inc_target)
 )""")
+
+_q("msisdn_mask", "SELECT event_id, subscriber_msisdn_masked FROM network_events")

@@ -93,8 +93,11 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     churn = spark.read.parquet(table(warehouse, "serving", "vw_subscriber_churn_signals"))
     ranking.createOrReplaceTempView("vw_cell_quality_ranking")
     churn.createOrReplaceTempView("vw_subscriber_churn_signals")
-    # serving tests report but do not block (Q14)
+    # serving tests report but do not block (Q14); so do freshness and drift (Q8, Q9, Q11)
     result.checks["serving"] = quality.checks_table(quality.serving_checks(ranking, churn)).collect()
+    result.checks["freshness"] = quality.freshness(raw_run, F.current_timestamp()).collect()
+    result.checks["drift_keys"] = quality.drift_keys(stg_run).collect()
+    result.checks["flags"] = staging.flag_counts(stg_run).collect()
 
     # hourly KPI (parallel branch in the source system): replace every event date this run touched
     touched = valid_run.select(F.to_date("event_time").alias("kpi_date")).distinct()

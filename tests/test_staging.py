@@ -72,3 +72,9 @@ def test_flag_counts(spark):
                            dict(event_id="c", data_volume_mb=-1.0)])
     got = {r.flag: r.row_count for r in staging.flag_counts(staging.stg_network_events(raw)).collect()}
     assert got == {"missing_subscriber": 2, "negative_volume": 1}
+
+
+def test_msisdn_mask(spark):
+    from cellscope.functions import expressions as X
+    df = spark.createDataFrame([("+994501234567",), ("+99450***4567",), (None,)], "m string")
+    assert [r[0] for r in df.select(X.mask_msisdn("m")).collect()] == ["+99450***4567", "+99450***4567", None]
