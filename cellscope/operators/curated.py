@@ -26,18 +26,41 @@ def fct_data_session(valid: DataFrame) -> DataFrame:
     return valid.where(F.col("event_type") == "data_session").select(*S.DATA_FACT_COLUMNS)
 
 
-def dim_cell_site(valid: DataFrame) -> DataFrame:
+def _cell_candidates(valid: DataFrame) -> DataFrame:
+    return valid.select("cell_id", F.struct(
+        F.col("_loaded_at").alias("t"), F.col("event_time").alias("et"), F.col("event_id").alias("id"),
+        F.col("cell_region").alias("region"), F.col("cell_radio_tech").alias("tech")).alias("c"))
+
+
+def _latest_cells(candidates: DataFrame, keep_state: bool) -> DataFrame:
+    m = candidates.groupBy("cell_id").agg(F.max("c").alias("m"))
+    cols = ["cell_id", F.col("m.region").alias("cell_region"), F.col("m.tech").alias("cell_radio_tech"),
+            F.col("m.t").alias("last_seen_at")]
+    if keep_state:
+        cols += [F.col("m.et").alias("_event_time"), F.col("m.id").alias("_event_id")]
+    return m.select(*cols)
+
+
+def dim_cell_site(valid: DataFrame, keep_state: bool = False) -> DataFrame:
     """Latest observed attributes per cell (E7, I2; SCD type 1).
 
     Latest = greatest (`_loaded_at`, `event_time`, `event_id`): the load time alone ties across
-    one object, so the event time and id decide deterministically (T4).
+    one object, so the event time and id decide deterministically (T4). `keep_state` also
+    returns the tie-break fields, so that the table can later be merged incrementally.
     """
-    latest = F.max(F.struct(
-        F.col("_loaded_at").alias("t"), F.col("event_time").alias("et"), F.col("event_id").alias("id"),
-        F.col("cell_region").alias("region"), F.col("cell_radio_tech").alias("tech")))
-    return (valid.groupBy("cell_id").agg(latest.alias("m"))
-            .select("cell_id", F.col("m.region").alias("cell_region"),
-                    F.col("m.tech").alias("cell_radio_tech"), F.col("m.t").alias("last_seen_at")))
+    return _latest_cells(_cell_candidates(valid), keep_state)
+
+
+def merge_dim_cell_site(state: DataFrame, valid_new: DataFrame) -> DataFrame:
+    """Incremental SCD1: previous latest state + this run's rows -> new latest state.
+
+    Exact: `max` is associative and the raw table is append-only, so merging the stored
+    maxima with the new rows equals recomputing over the whole history - without reading it.
+    """
+    prev = state.select("cell_id", F.struct(
+        F.col("last_seen_at").alias("t"), F.col("_event_time").alias("et"), F.col("_event_id").alias("id"),
+        F.col("cell_region").alias("region"), F.col("cell_radio_tech").alias("tech")).alias("c"))
+    return _latest_cells(prev.unionByName(_cell_candidates(valid_new)), keep_state=True)
 
 
 def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600, max_rows_per_group: int = 2_000_000) -> DataFrame:
@@ -95,6 +118,17 @@ def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600, max_rows_per_gro
         "valid_from", valid_to.alias("valid_to"), valid_to.isNull().alias("is_current"))
 
 
+def merge_dim_subscriber(state: DataFrame, valid_all: DataFrame, valid_new: DataFrame, **kw) -> DataFrame:
+    """Incremental SCD2: recompute the history of subscribers seen in this run only.
+
+    Untouched subscribers keep their rows (their event set did not change); touched ones are
+    rebuilt from all their events, which also places late events correctly.
+    """
+    touched = valid_new.where(F.col("subscriber_id").isNotNull()).select("subscriber_id").distinct()
+    fresh = dim_subscriber(valid_all.join(touched, "subscriber_id", "left_semi"), **kw)
+    return state.join(touched, "subscriber_id", "left_anti").unionByName(fresh)
+
+
 def voice_and_data_events(voice: DataFrame, data: DataFrame) -> DataFrame:
     """Both facts aligned on one schema, NULL-padded."""
     v = voice.select("event_id", "event_time", "subscriber_id", "cell_id", "call_result",

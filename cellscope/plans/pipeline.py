@@ -53,9 +53,32 @@ def publish_fact(spark: SparkSession, source: DataFrame, path: str, late: str =
     publish.replace_partitions(old.unionByName(new), path, ("event_date",), "fact-merge", reads_target=True)
 
 
+def publish_dims(spark: SparkSession, valid_all: DataFrame, valid_run: DataFrame, paths: dict,
+                 incremental_dims: bool = True) -> None:
+    """Cell dimension (SCD1) and subscriber history (SCD2).
+
+    Incremental (default): the cell dimension merges its stored latest state with the run's
+    rows, the subscriber history is rebuilt only for subscribers seen in the run. Both equal a
+    full rebuild because the raw table is append-only. The first run, or
+    `incremental_dims=False`, rebuilds from all valid rows as the source system does.
+    """
+    cell_state = publish.read_table(spark, paths["dim_cell_site"])
+    sub_state = publish.read_table(spark, paths["dim_subscriber"])
+    if incremental_dims and cell_state is not None and "_event_id" in cell_state.columns:
+        publish.full_refresh(curated.merge_dim_cell_site(cell_state, valid_run), paths["dim_cell_site"],
+                             "dim-cell", reads_target=True)
+    else:
+        publish.full_refresh(curated.dim_cell_site(valid_all, keep_state=True), paths["dim_cell_site"], "dim-cell")
+    if incremental_dims and sub_state is not None:
+        publish.full_refresh(curated.merge_dim_subscriber(sub_state, valid_all, valid_run),
+                             paths["dim_subscriber"], "dim-sub", reads_target=True)
+    else:
+        publish.full_refresh(curated.dim_subscriber(valid_all), paths["dim_subscriber"], "dim-sub")
+
+
 def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
                  late: str = "upsert", keep_flags: tuple[str, ...] = (),
-                 exact_kpi: bool = True) -> PipelineResult:
+                 exact_kpi: bool = True, incremental_dims: bool = True) -> PipelineResult:
     result = PipelineResult(load=load_date(spark, lake_root, warehouse, date))
 
     raw_all = spark.read.parquet(raw_path(warehouse))
@@ -66,12 +89,11 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     # staging gate (Q1) on the rows of this run
     result.checks["staging"] = quality.gate(quality.checks_table(quality.staging_checks(stg_run)), "staging").collect()
 
-    # curated: dimensions are rebuilt from all valid rows, facts merged from this run's rows
+    # curated: dimensions merged (or rebuilt), facts merged from this run's rows
     valid_all, valid_run = staging.stg_valid(stg_all), staging.stg_valid(stg_run)
     paths = {n: table(warehouse, "curated", n) for n in
              ("dim_cell_site", "dim_subscriber", "fct_voice_call", "fct_data_session")}
-    publish.full_refresh(curated.dim_cell_site(valid_all), paths["dim_cell_site"], "dim-cell")
-    publish.full_refresh(curated.dim_subscriber(valid_all), paths["dim_subscriber"], "dim-sub")
+    publish_dims(spark, valid_all, valid_run, paths, incremental_dims)
     publish_fact(spark, curated.fct_voice_call(valid_run), paths["fct_voice_call"], late)
     publish_fact(spark, curated.fct_data_session(valid_run), paths["fct_data_session"], late)
 
