@@ -42,8 +42,13 @@ def dedupe_within(rows: DataFrame, delay: str) -> DataFrame:
 
 def stream_load(spark: SparkSession, lake_root: str, warehouse: str, checkpoint: str,
                 available_now: bool = True, dedupe_delay: str | None = None,
-                max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Load landed objects continuously (or drain them once with `available_now`)."""
+                max_files_per_trigger: int | None = None,
+                dedup_horizon_days: int | None = None) -> StreamingQuery:
+    """Load landed objects continuously (or drain them once with `available_now`).
+
+    `dedup_horizon_days` bounds the per-batch id check to raw partitions within that many
+    days of the batch's ingestion dates (default: the whole table, exact).
+    """
     rows = parse_lines(lake_stream(spark, lake_root, max_files_per_trigger))
     if dedupe_delay:
         rows = dedupe_within(rows, dedupe_delay)
@@ -52,6 +57,13 @@ def stream_load(spark: SparkSession, lake_root: str, warehouse: str, checkpoint:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("_loaded_at", F.current_timestamp())
         target = publish.read_table(batch.sparkSession, target_path)
+        if target is not None and dedup_horizon_days is not None:
+            lo, hi = batch.agg(F.min("_ingest_date"), F.max("_ingest_date")).first()
+            if lo is None:
+                return
+            span = F.make_interval(days=F.lit(dedup_horizon_days))
+            target = target.where(F.col("_ingest_date").between(F.to_date(F.lit(lo)) - span,
+                                                                 F.to_date(F.lit(hi)) + span))
         new = ingest.keep_first(batch, target)
         publish.append(new.select(*S.RAW_COLUMNS, "_ingest_date"), target_path, ("_ingest_date",))
 
