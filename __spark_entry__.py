@@ -53,9 +53,10 @@ def _layers(spark: SparkSession, sf_dir: str) -> Layers:
     return _LAYERS[key]
 
 
-def reset_cache() -> None:
-    """Forget materialised tables (the bench starts every timed run from the raw data)."""
-    _RAW.clear()
+def reset_cache(keep_raw: bool = False) -> None:
+    """Forget layer objects (and, unless `keep_raw`, the derived raw tables)."""
+    if not keep_raw:
+        _RAW.clear()
     _LAYERS.clear()
 
 

@@ -74,3 +74,23 @@ def test_kpi_with_lateness_bound_equals_full_scan(spark, tmp_path):
     a = spark.read.parquet(table(wh_full, "curated", "agg_cell_hourly_kpi")).select(*cols).collect()
     b = spark.read.parquet(table(wh_pruned, "curated", "agg_cell_hourly_kpi")).select(*cols).collect()
     assert sorted(map(str, a)) == sorted(map(str, b)) and len(a) > 0
+
+
+def test_malformed_line_failfast_or_quarantine(spark, tmp_path):
+    import json
+
+    import pytest
+
+    root = str(tmp_path / "lake")
+    good = json.dumps({"event_id": "g1", "event_type": "sms", "event_time_raw": "2024-01-05T00:00:00",
+                       "subscriber_id": "s", "cell_id": "C", "__source_ts_ms": 1})
+    lines = spark.createDataFrame([(good, "2024-01-05", "00"), ("{broken", "2024-01-05", "00")],
+                                  "value string, dt string, hr string")
+    lake.write_ndjson(lines.coalesce(1), root)
+    with pytest.raises(Exception):
+        load_date(spark, root, str(tmp_path / "wh1"), "2024-01-05")
+    wh = str(tmp_path / "wh2")
+    res = load_date(spark, root, wh, "2024-01-05", on_malformed="quarantine")
+    assert res.rows_inserted == 1
+    q = spark.read.parquet(f"{wh}/raw/_quarantine").collect()
+    assert [r._corrupt_record for r in q] == ["{broken"]
