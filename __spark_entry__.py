@@ -45,8 +45,8 @@ MATERIALIZE_CURATED = False
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """One lazily built chain of layers per session and data folder; curated layers are
-    written once on first use (see Layers)."""
+    """One lazily built chain of layers per session and data folder (plan objects only;
+    `MATERIALIZE_CURATED` would also write the curated layers once, see Layers)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAYERS:
         _LAYERS[key] = Layers(_raw_table(spark, sf_dir), materialize=MATERIALIZE_CURATED)
@@ -210,7 +210,7 @@ def q_stg_volte(spark, d):
     return quality.volte_counts(_layers(spark, d).stg)
 
 
-def q_dq_freshness(spark, d):  # noqa: D103
+def q_dq_freshness(spark, d):
     return quality.freshness(_layers(spark, d).raw, F.lit("2024-01-31 00:00:00").cast("timestamp"))
 
 
