@@ -124,113 +124,96 @@ dim_cell AS (
                                  ORDER BY _loaded_at DESC, event_time DESC, event_id DESC) AS rn
     FROM valid) WHERE rn = 1
 ),
-ref_time AS (
-  SELECT max(event_time) AS ts FROM (
-    SELECT event_time FROM fct_voice UNION ALL SELECT event_time FROM fct_data)
+now_ts AS (
+  SELECT max(t) AS ts FROM (SELECT event_time AS t FROM fct_voice UNION ALL SELECT event_time AS t FROM fct_data)
 ),
-sub_observed AS (
-  SELECT subscriber_id, subscriber_msisdn_masked, subscriber_plan, subscriber_activation_date,
-         event_time, event_id,
-         lag(subscriber_plan) OVER (PARTITION BY subscriber_id ORDER BY event_time, event_id) AS prev_plan
+plan_rows AS (
+  SELECT subscriber_id, subscriber_plan, subscriber_msisdn_masked, subscriber_activation_date, event_time,
+         row_number() OVER (PARTITION BY subscriber_id ORDER BY event_time, event_id) AS pos,
+         row_number() OVER (PARTITION BY subscriber_id ORDER BY event_time, event_id)
+           - row_number() OVER (PARTITION BY subscriber_id, subscriber_plan ORDER BY event_time, event_id) AS island
   FROM valid WHERE subscriber_id IS NOT NULL
 ),
-sub_versioned AS (
-  SELECT *, sum(CASE WHEN prev_plan IS DISTINCT FROM subscriber_plan THEN 1 ELSE 0 END)
-              OVER (PARTITION BY subscriber_id ORDER BY event_time, event_id
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS version_number
-  FROM sub_observed
-),
-sub_versions AS (
-  SELECT subscriber_id, max(subscriber_msisdn_masked) AS subscriber_msisdn_masked,
-         subscriber_plan AS plan, max(subscriber_activation_date) AS subscriber_activation_date,
-         version_number, min(event_time) AS valid_from
-  FROM sub_versioned GROUP BY subscriber_id, subscriber_plan, version_number
+plan_islands AS (
+  SELECT subscriber_id, subscriber_plan AS plan, min(pos) AS first_pos, min(event_time) AS valid_from,
+         max(subscriber_msisdn_masked) AS subscriber_msisdn_masked,
+         max(subscriber_activation_date) AS subscriber_activation_date
+  FROM plan_rows GROUP BY subscriber_id, subscriber_plan, island
 ),
 dim_sub AS (
   SELECT subscriber_id, subscriber_msisdn_masked, plan, subscriber_activation_date, valid_from,
-         lead(valid_from) OVER (PARTITION BY subscriber_id ORDER BY version_number) AS valid_to,
-         lead(valid_from) OVER (PARTITION BY subscriber_id ORDER BY version_number) IS NULL AS is_current
-  FROM sub_versions
+         lead(valid_from) OVER (PARTITION BY subscriber_id ORDER BY first_pos) AS valid_to,
+         lead(valid_from) OVER (PARTITION BY subscriber_id ORDER BY first_pos) IS NULL AS is_current
+  FROM plan_islands
 ),
-voice_agg AS (
-  SELECT v.cell_id, count(*) AS voice_call_count,
-         sum(CASE WHEN v.call_result IN ('dropped', 'failed_setup') THEN 1 ELSE 0 END) AS dropped_or_failed_count
-  FROM fct_voice v CROSS JOIN ref_time r
-  WHERE v.event_time > r.ts - INTERVAL 7 DAY AND v.event_time <= r.ts
-  GROUP BY v.cell_id
+cell_win AS (
+  SELECT cell_id, TRUE AS is_voice, call_result, CAST(NULL AS DOUBLE) AS tput, CAST(NULL AS DOUBLE) AS lat
+  FROM fct_voice
+  WHERE event_time > (SELECT ts FROM now_ts) - INTERVAL 7 DAY AND event_time <= (SELECT ts FROM now_ts)
+  UNION ALL
+  SELECT cell_id, FALSE AS is_voice, NULL AS call_result, avg_throughput_mbps AS tput, latency_ms AS lat
+  FROM fct_data
+  WHERE event_time > (SELECT ts FROM now_ts) - INTERVAL 7 DAY AND event_time <= (SELECT ts FROM now_ts)
 ),
-data_agg AS (
-  SELECT d.cell_id, count(*) AS data_session_count,
-         avg(d.avg_throughput_mbps) AS avg_throughput_mbps, avg(d.latency_ms) AS avg_latency_ms
-  FROM fct_data d CROSS JOIN ref_time r
-  WHERE d.event_time > r.ts - INTERVAL 7 DAY AND d.event_time <= r.ts
-  GROUP BY d.cell_id
+voice_by_cell AS (
+  SELECT cell_id, count(*) AS voice_call_count,
+         count(*) FILTER (WHERE call_result IN ('dropped', 'failed_setup')) AS dropped_or_failed_count
+  FROM cell_win WHERE is_voice GROUP BY cell_id
 ),
-cell_metrics AS (
-  SELECT c.cell_id, c.cell_region, c.cell_radio_tech,
-         coalesce(v.voice_call_count, 0) AS voice_call_count,
-         coalesce(v.dropped_or_failed_count, 0) AS dropped_or_failed_count,
-         CASE WHEN coalesce(v.voice_call_count, 0) = 0 THEN NULL
-              ELSE v.dropped_or_failed_count * 1.0e0 / v.voice_call_count END AS drop_rate,
-         coalesce(d.data_session_count, 0) AS data_session_count,
-         d.avg_throughput_mbps, d.avg_latency_ms
-  FROM dim_cell c
-  LEFT JOIN voice_agg v ON v.cell_id = c.cell_id
-  LEFT JOIN data_agg d ON d.cell_id = c.cell_id
+data_by_cell AS (
+  SELECT cell_id, count(*) AS data_session_count, avg(tput) AS avg_throughput_mbps, avg(lat) AS avg_latency_ms
+  FROM cell_win WHERE NOT is_voice GROUP BY cell_id
 ),
-scored AS (
-  SELECT *, CAST(coalesce(drop_rate, 0) * 100 + coalesce(avg_latency_ms, 0) / 10.0e0
-                 - coalesce(avg_throughput_mbps, 0) / 10.0e0 AS DECIMAL(18, 9)) AS quality_score
-  FROM cell_metrics WHERE voice_call_count > 0 OR data_session_count > 0
+cell_stats AS (
+  SELECT cell_id, vc, bad, dc, tp, la,
+         CASE WHEN vc = 0 THEN NULL ELSE bad * 1.0e0 / vc END AS dr
+  FROM (SELECT cell_id, count(*) FILTER (WHERE is_voice) AS vc,
+               count(*) FILTER (WHERE is_voice AND call_result IN ('dropped', 'failed_setup')) AS bad,
+               count(*) FILTER (WHERE NOT is_voice) AS dc, avg(tput) AS tp, avg(lat) AS la
+        FROM cell_win GROUP BY cell_id)
 ),
 ranking AS (
-  SELECT cell_id, cell_region, cell_radio_tech,
-         CAST(voice_call_count AS BIGINT) AS voice_call_count,
-         CAST(dropped_or_failed_count AS BIGINT) AS dropped_or_failed_count,
-         CAST(round(CAST(drop_rate AS DECIMAL(18, 9)), 4) AS DOUBLE) AS drop_rate,
-         CAST(data_session_count AS BIGINT) AS data_session_count,
-         CAST(round(CAST(avg_throughput_mbps AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_throughput_mbps,
-         CAST(round(CAST(avg_latency_ms AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_latency_ms,
-         CAST(round(quality_score, 4) AS DOUBLE) AS quality_score,
-         CAST(rank() OVER (ORDER BY quality_score DESC) AS INTEGER) AS quality_rank
-  FROM scored
-),
-sub_events AS (
-  SELECT subscriber_id, event_time, cell_id, call_result, CAST(NULL AS DOUBLE) AS latency_ms
-  FROM fct_voice WHERE subscriber_id IS NOT NULL
-  UNION ALL
-  SELECT subscriber_id, event_time, cell_id, NULL AS call_result, latency_ms
-  FROM fct_data WHERE subscriber_id IS NOT NULL
-),
-activity AS (
-  SELECT e.subscriber_id,
-    count(*) FILTER (WHERE e.event_time > r.ts - INTERVAL 7 DAY AND e.event_time <= r.ts) AS l7,
-    count(*) FILTER (WHERE e.event_time > r.ts - INTERVAL 35 DAY
-                       AND e.event_time <= r.ts - INTERVAL 7 DAY) AS p28
-  FROM sub_events e CROSS JOIN ref_time r GROUP BY e.subscriber_id
+  SELECT cell_id, cell_region, cell_radio_tech, CAST(vc AS BIGINT) AS voice_call_count,
+         CAST(bad AS BIGINT) AS dropped_or_failed_count,
+         CAST(round(CAST(dr AS DECIMAL(18, 9)), 4) AS DOUBLE) AS drop_rate,
+         CAST(dc AS BIGINT) AS data_session_count,
+         CAST(round(CAST(tp AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_throughput_mbps,
+         CAST(round(CAST(la AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_latency_ms,
+         CAST(round(score, 4) AS DOUBLE) AS quality_score,
+         CAST(rank() OVER (ORDER BY score DESC) AS INTEGER) AS quality_rank
+  FROM (SELECT d.cell_id, d.cell_region, d.cell_radio_tech, s.*,
+               CAST(coalesce(s.dr, 0) * 100 + coalesce(s.la, 0) / 10.0e0 - coalesce(s.tp, 0) / 10.0e0
+                    AS DECIMAL(18, 9)) AS score
+        FROM dim_cell d JOIN cell_stats s ON s.cell_id = d.cell_id)
 ),
-poor AS (
-  SELECT e.subscriber_id, count(*) AS poor_experience_count
-  FROM sub_events e CROSS JOIN ref_time r
+sub_ev AS (
+  SELECT e.subscriber_id, e.event_time, e.call_result, e.latency_ms, c.cell_radio_tech AS tech
+  FROM (SELECT subscriber_id, event_time, cell_id, call_result, CAST(NULL AS DOUBLE) AS latency_ms FROM fct_voice
+        UNION ALL
+        SELECT subscriber_id, event_time, cell_id, NULL AS call_result, latency_ms FROM fct_data) e
   LEFT JOIN dim_cell c ON c.cell_id = e.cell_id
-  WHERE e.event_time > r.ts - INTERVAL 14 DAY AND e.event_time <= r.ts
-    AND (e.call_result IN ('dropped', 'failed_setup')
-         OR (e.latency_ms IS NOT NULL AND e.latency_ms > 100 AND c.cell_radio_tech IN ('4G', '5G')))
-  GROUP BY e.subscriber_id
+  WHERE e.subscriber_id IS NOT NULL
 ),
-signals AS (
-  SELECT a.subscriber_id, a.l7, a.p28,
-         CAST(coalesce(p.poor_experience_count, 0) AS BIGINT) AS poor_experience_count_14d,
-         (a.p28 > 0 AND 20 * a.l7 <= 3 * a.p28) AS usage_drop_flag,
-         coalesce(p.poor_experience_count, 0) >= 3 AS poor_experience_flag
-  FROM activity a LEFT JOIN poor p ON p.subscriber_id = a.subscriber_id
+sub_counts AS (
+  SELECT subscriber_id,
+    count(*) FILTER (WHERE event_time > (SELECT ts FROM now_ts) - INTERVAL 7 DAY
+                       AND event_time <= (SELECT ts FROM now_ts)) AS l7,
+    count(*) FILTER (WHERE event_time > (SELECT ts FROM now_ts) - INTERVAL 35 DAY
+                       AND event_time <= (SELECT ts FROM now_ts) - INTERVAL 7 DAY) AS p28,
+    count(*) FILTER (WHERE event_time > (SELECT ts FROM now_ts) - INTERVAL 14 DAY
+                       AND event_time <= (SELECT ts FROM now_ts)
+                       AND (call_result IN ('dropped', 'failed_setup')
+                            OR (latency_ms > 100 AND tech IN ('4G', '5G')))) AS poor14
+  FROM sub_ev GROUP BY subscriber_id
 ),
 churn AS (
-  SELECT s.subscriber_id, sub.plan, CAST(s.l7 AS BIGINT) AS last_7_day_activity,
-         round(s.p28 / 4.0e0, 2) AS trailing_4_week_weekly_avg_activity,
-         s.poor_experience_count_14d, s.usage_drop_flag, s.poor_experience_flag
-  FROM signals s JOIN dim_sub sub ON sub.subscriber_id = s.subscriber_id AND sub.is_current
-  WHERE s.usage_drop_flag AND s.poor_experience_flag
+  SELECT c.subscriber_id, d.plan, CAST(c.l7 AS BIGINT) AS last_7_day_activity,
+         round(c.p28 / 4.0e0, 2) AS trailing_4_week_weekly_avg_activity,
+         CAST(c.poor14 AS BIGINT) AS poor_experience_count_14d,
+         (c.p28 > 0 AND 20 * c.l7 <= 3 * c.p28) AS usage_drop_flag,
+         c.poor14 >= 3 AS poor_experience_flag
+  FROM sub_counts c JOIN dim_sub d ON d.subscriber_id = c.subscriber_id AND d.is_current
+  WHERE c.p28 > 0 AND 20 * c.l7 <= 3 * c.p28 AND c.poor14 >= 3
 )"""
 
 STG_COLS = """event_id, event_type, event_time, subscriber_id, subscriber_msisdn_masked,
@@ -259,20 +242,20 @@ _q("stg_flag_counts",
 _q("fct_voice_call", "SELECT * FROM fct_voice")
 _q("fct_data_session", "SELECT * FROM fct_data")
 _q("dim_cell_site", "SELECT * FROM dim_cell")
-_q("reference_time", "SELECT ts AS reference_time FROM ref_time")
+_q("reference_time", "SELECT ts AS reference_time FROM now_ts")
 _q("voice_agg", "SELECT cell_id, CAST(voice_call_count AS BIGINT) AS voice_call_count, "
-                "CAST(dropped_or_failed_count AS BIGINT) AS dropped_or_failed_count FROM voice_agg")
+                "CAST(dropped_or_failed_count AS BIGINT) AS dropped_or_failed_count FROM voice_by_cell")
 _q("data_agg", "SELECT cell_id, CAST(data_session_count AS BIGINT) AS data_session_count, "
                "CAST(round(CAST(avg_throughput_mbps AS DECIMAL(18, 9)), 6) AS DOUBLE) AS avg_throughput_mbps, "
-               "CAST(round(CAST(avg_latency_ms AS DECIMAL(18, 9)), 6) AS DOUBLE) AS avg_latency_ms FROM data_agg")
+               "CAST(round(CAST(avg_latency_ms AS DECIMAL(18, 9)), 6) AS DOUBLE) AS avg_latency_ms FROM data_by_cell")
 _q("cell_quality_ranking", "SELECT * FROM ranking")
 _q("dim_subscriber", "SELECT * FROM dim_sub")
 _q("churn_signals", "SELECT * FROM churn")
 _q("subscriber_activity",
    "SELECT subscriber_id, CAST(l7 AS BIGINT) AS last_7_day_activity, "
-   "round(p28 / 4.0e0, 2) AS trailing_4_week_weekly_avg_activity FROM activity")
+   "round(p28 / 4.0e0, 2) AS trailing_4_week_weekly_avg_activity FROM sub_counts")
 _q("poor_experience",
-   "SELECT subscriber_id, CAST(poor_experience_count AS BIGINT) AS poor_experience_count FROM poor")
+   "SELECT subscriber_id, CAST(poor14 AS BIGINT) AS poor_experience_count FROM sub_counts WHERE poor14 > 0")
 _q("plan_as_of_event", """
 SELECT e.event_id, e.event_type, e.event_time, e.subscriber_id, d.plan, d.valid_from
 FROM (SELECT event_id, 'voice_call' AS event_type, event_time, subscriber_id FROM fct_voice
