@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.session import ensure_session
+from cellscope.session import ensure_session, session_key
 from cellscope.plans import publish
 from cellscope.plans.layers import Layers
 from cellscope import schemas as S
@@ -30,7 +30,7 @@ def _raw_table(spark: SparkSession, sf_dir: str, landed: bool = False) -> DataFr
     folder and read back (as the loader's output would be): every query then starts from a
     Parquet scan with column pruning instead of re-deriving the fixture."""
     ensure_session(spark)
-    key = (spark.sparkContext.applicationId, sf_dir, landed)
+    key = (session_key(spark), sf_dir, landed)
     if key not in _RAW:
         if landed:
             df = fixture.landed_events(spark, sf_dir, _raw_table(spark, sf_dir))
@@ -47,7 +47,7 @@ MATERIALIZE_CURATED = False
 def _layers(spark: SparkSession, sf_dir: str) -> Layers:
     """One lazily built chain of layers per session and data folder (plan objects only;
     `MATERIALIZE_CURATED` would also write the curated layers once, see Layers)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _LAYERS:
         _LAYERS[key] = Layers(_raw_table(spark, sf_dir), materialize=MATERIALIZE_CURATED)
     return _LAYERS[key]

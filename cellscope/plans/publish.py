@@ -18,11 +18,12 @@ from cellscope.session import scratch_path
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    return bool(fs.exists(p) and len(fs.listStatus(p)) > 0)
+    """True when `path` holds a readable Parquet table."""
+    try:
+        spark.read.parquet(path).schema  # resolves the listing only, reads no rows
+        return True
+    except Exception:  # noqa: BLE001 - missing or empty path
+        return False
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:

@@ -53,7 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset (tests, a laptop)
     do we pick a scratch folder of our own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session exposes no SparkContext
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="cellscope-ckpt-")
     configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="cellscope-ckpt-")
@@ -62,6 +68,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session memoisation)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote session
+        return str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (never a machine-local temp dir)."""
     import uuid
@@ -78,8 +92,9 @@ def ensure_parallelism(df):
     """Spread a scan that arrived in fewer partitions than the cluster has cores (one small
     file) before expensive per-row work. A no-op for real inputs, which split into many
     partitions on their own; it never reduces parallelism."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote session: leave partitioning to the server
+        return df
+    return df.repartition(target) if current < target else df
