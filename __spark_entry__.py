@@ -154,6 +154,10 @@ def q_region_quality(spark, d):
     return kpi.region_quality(_layers(spark, d).valid)
 
 
+def q_cell_weekly_quality(spark, d):
+    return kpi.region_quality(_layers(spark, d).valid, period="week", level="cell_id")
+
+
 def q_dq_unique(spark, d):
     L = _layers(spark, d)
     return quality.checks_table(quality.staging_checks(L.stg)
@@ -216,7 +220,10 @@ def q_dq_freshness(spark, d):
 
 def q_dq_reconcile(spark, d):
     L = _layers(spark, d)
-    return quality.reconcile(fixture.read_table(spark, d, "events"), L.stg, "ts", "event_time")
+    source = fixture.read_table(spark, d, "events")
+    # only windows closed by the newest source change are compared
+    newest = source.agg(F.max("ts").cast("timestamp")).scalar()
+    return quality.reconcile(source, L.stg, "ts", "event_time", closed_before=newest)
 
 
 def q_cdc_latency(spark, d):
@@ -341,6 +348,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_by_date": q_fct_by_date,
     "cell_hourly_kpi": q_cell_hourly_kpi,
     "region_quality": q_region_quality,
+    "cell_weekly_quality": q_cell_weekly_quality,
     "dq_unique": q_dq_unique,
     "dq_accepted_values": q_dq_accepted_values,
     "dq_relationships": q_dq_relationships,

@@ -48,18 +48,18 @@ def cell_hourly_kpi(valid: DataFrame, exact: bool = True) -> DataFrame:
         F.to_date("kpi_hour").alias("kpi_date"))
 
 
-def region_quality(valid: DataFrame, period: str = "day") -> DataFrame:
-    """Worst regions per day (or week: `period="week"`, weeks start Monday), with the KPI at
-    fault (E16).
+def region_quality(valid: DataFrame, period: str = "day", level: str = "cell_region") -> DataFrame:
+    """Worst regions (or cells: `level="cell_id"`) per day (or week: `period="week"`, weeks
+    start Monday), with the KPI at fault (E16).
 
     Same score as the cell ranking (drop rate x 100 + latency / 10 - throughput / 10) per
-    (region, event date); `kpi_at_fault` names the larger penalty term. The rank window is
-    partitioned by day and holds one row per region.
+    (level, period); `kpi_at_fault` names the larger penalty term. The rank window is
+    partitioned by period and holds one row per region or cell site.
     """
     et = F.col("event_type")
     voice, data = et == "voice_call", et == "data_session"
     agg = (valid.where(et.isin("voice_call", "data_session"))
-           .groupBy("cell_region", F.to_date(F.date_trunc(period, "event_time")).alias("event_date"))
+           .groupBy(level, F.to_date(F.date_trunc(period, "event_time")).alias("event_date"))
            .agg(F.count_if(voice).alias("voice_call_count"),
                 F.count_if(voice & F.col("call_result").isin(*S.BAD_CALL_RESULTS)).alias("dropped_or_failed_count"),
                 F.count_if(data).alias("data_session_count"),
@@ -74,7 +74,7 @@ def region_quality(valid: DataFrame, period: str = "day") -> DataFrame:
                         F.when(drop_term >= lat_term, "drop_rate").otherwise("latency").alias("kpi_at_fault"))
     by_day = Window.partitionBy("event_date").orderBy(F.col("score").desc())
     return scored.select(
-        "cell_region", "event_date",
+        level, "event_date",
         F.col("voice_call_count").cast("long").alias("voice_call_count"),
         F.col("dropped_or_failed_count").cast("long").alias("dropped_or_failed_count"),
         X.round_half_up("drop_rate", 4).alias("drop_rate"),

@@ -199,14 +199,20 @@ def freshness(raw: DataFrame, as_of: Column, warn_hours: int = S.FRESHNESS_WARN_
 
 
 def reconcile(source: DataFrame, raw: DataFrame, source_time: str, raw_time: str,
-              warn_ratio: float = S.RECONCILE_WARN_RATIO, fail_ratio: float = S.RECONCILE_FAIL_RATIO) -> DataFrame:
-    """Source vs raw row counts per closed day window (Q10): warn above 0.5 %, fail above 2 %.
+              warn_ratio: float = S.RECONCILE_WARN_RATIO, fail_ratio: float = S.RECONCILE_FAIL_RATIO,
+              closed_before: Column | None = None) -> DataFrame:
+    """Source vs raw row counts per day window (Q10): warn above 0.5 %, fail above 2 %.
 
+    With `closed_before` (a timestamp, e.g. the newest source change), only windows that
+    ended by then are compared: rows of an open window may still be in flight.
     Both sides are reduced to one row per day before they meet, so the join is tiny.
     """
     s = source.groupBy(F.to_date(source_time).alias("window_date")).agg(F.count(F.lit(1)).alias("source_rows"))
-    r = raw.where(F.col(raw_time).isNotNull()).groupBy(F.to_date(raw_time).alias("window_date")).agg(F.count(F.lit(1)).alias("raw_rows"))
+    r = raw.where(F.col(raw_time).isNotNull()).groupBy(F.to_date(raw_time).alias("window_date")).agg(
+        F.count(F.lit(1)).alias("raw_rows"))
     j = s.join(r, "window_date", "full").na.fill(0, ["source_rows", "raw_rows"])
+    if closed_before is not None:
+        j = j.where(F.date_add("window_date", 1).cast("timestamp") <= closed_before)
     gap = F.try_divide((F.col("source_rows") - F.col("raw_rows")).cast("double"), F.col("source_rows").cast("double"))
     return j.select("window_date", F.col("source_rows").cast("long").alias("source_rows"),
                     F.col("raw_rows").cast("long").alias("raw_rows"),

@@ -286,8 +286,9 @@ SELECT cell_id, date_trunc('hour', event_time) AS kpi_hour,
   CAST(date_trunc('hour', event_time) AS DATE) AS kpi_date
 FROM valid GROUP BY 1, 2""")
 
-_q("region_quality", """
-SELECT cell_region, event_date, CAST(vc AS BIGINT) AS voice_call_count,
+def _period_quality(level: str, period: str) -> str:
+    return f"""
+SELECT {level}, event_date, CAST(vc AS BIGINT) AS voice_call_count,
   CAST(bad AS BIGINT) AS dropped_or_failed_count,
   CAST(round(CAST(dr AS DECIMAL(18, 9)), 4) AS DOUBLE) AS drop_rate,
   CAST(dc AS BIGINT) AS data_session_count,
@@ -303,13 +304,17 @@ FROM (
               CAST(coalesce(tp, 0) / 10.0e0 AS DECIMAL(18, 9)) AS tterm
     FROM (
       SELECT *, CASE WHEN vc = 0 THEN NULL ELSE bad * 1.0e0 / vc END AS dr FROM (
-        SELECT cell_region, CAST(event_time AS DATE) AS event_date,
+        SELECT {level}, CAST(date_trunc('{period}', event_time) AS DATE) AS event_date,
           count(*) FILTER (WHERE event_type = 'voice_call') AS vc,
           count(*) FILTER (WHERE event_type = 'voice_call' AND call_result IN ('dropped', 'failed_setup')) AS bad,
           count(*) FILTER (WHERE event_type = 'data_session') AS dc,
           avg(CASE WHEN event_type = 'data_session' THEN avg_throughput_mbps END) AS tp,
           avg(CASE WHEN event_type = 'data_session' THEN latency_ms END) AS lat
-        FROM valid WHERE event_type IN ('voice_call', 'data_session') GROUP BY 1, 2))))""")
+        FROM valid WHERE event_type IN ('voice_call', 'data_session') GROUP BY 1, 2))))"""
+
+
+_q("region_quality", _period_quality("cell_region", "day"))
+_q("cell_weekly_quality", _period_quality("cell_id", "week"))
 
 
 def _check(name: str, model: str, column: str, severity: str, failing_sql: str) -> str:
@@ -415,7 +420,8 @@ SELECT window_date, CAST(coalesce(source_rows, 0) AS BIGINT) AS source_rows,
        ELSE 'pass' END AS status
 FROM (SELECT CAST(ts AS DATE) AS window_date, count(*) AS source_rows FROM events GROUP BY 1) s
 FULL OUTER JOIN (SELECT CAST(event_time AS DATE) AS window_date, count(*) AS raw_rows
-                 FROM stg WHERE event_time IS NOT NULL GROUP BY 1) r USING (window_date)""")
+                 FROM stg WHERE event_time IS NOT NULL GROUP BY 1) r USING (window_date)
+WHERE window_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events)""")
 _q("cdc_latency", """
 SELECT CAST(_loaded_at AS DATE) AS load_date, CAST(count(*) AS BIGINT) AS row_count,
   round(quantile_cont(lat, 0.5), 3) AS p50_latency_s, round(quantile_cont(lat, 0.95), 3) AS p95_latency_s,

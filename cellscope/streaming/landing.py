@@ -37,21 +37,41 @@ def landing_lines(messages: DataFrame, value_col: str = "value", time_col: str =
                        *X.ingest_partition_columns(F.unix_millis(F.col(time_col))))
 
 
+def stop_after_batches(query: StreamingQuery, max_batches: int, poll_seconds: float = 0.1) -> StreamingQuery:
+    """A5: stop a running query once `max_batches` micro-batches have completed.
+
+    Meant for timer-triggered queries (the trigger interval leaves time to stop between two
+    batches); batch boundaries stay exactly-once through the checkpoint either way.
+    """
+    import time
+
+    while query.isActive:
+        progress = query.lastProgress
+        if progress is not None and progress["batchId"] >= max_batches - 1:
+            query.stop()
+            break
+        time.sleep(poll_seconds)
+    return query
+
+
 def land_stream(messages: DataFrame, lake_root: str, checkpoint: str,
                 processing_time: str | None = None, available_now: bool = False,
-                value_col: str = "value", time_col: str = "timestamp") -> StreamingQuery:
+                value_col: str = "value", time_col: str = "timestamp",
+                max_batches: int | None = None) -> StreamingQuery:
     """Write every message as one NDJSON line under dt=/hr=.
 
     `processing_time` flushes partial batches on a timer (W3); `available_now` drains what is
-    available and stops (a scheduled run).
+    available and stops (a scheduled run); `max_batches` stops after that many micro-batches
+    (A5; the batch size itself is the source's `maxOffsetsPerTrigger` / `maxFilesPerTrigger`).
     """
     lines = landing_lines(messages, value_col, time_col)
     writer = (lines.writeStream.format("text").partitionBy("dt", "hr")
               .option("path", lake.lake_dir(lake_root))
               .option("checkpointLocation", checkpoint)
               .outputMode("append"))
-    if available_now:
+    if available_now and not max_batches:
         writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    elif processing_time or max_batches:
+        writer = writer.trigger(processingTime=processing_time or "2 seconds")
+    query = writer.start()
+    return stop_after_batches(query, max_batches) if max_batches else query

@@ -57,3 +57,16 @@ def test_dedupe_within_watermark(spark, tmp_path):
     q = rows.writeStream.format("memory").queryName("dedup_out").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.event_id for r in spark.sql("select event_id from dedup_out").collect()) == ["e1", "e2"]
+
+
+def test_landing_stops_after_max_batches(spark, tmp_path):
+    src, root, ck = str(tmp_path / "src"), str(tmp_path / "lake"), str(tmp_path / "ck")
+    for i in range(3):
+        write_messages(src, f"m{i}.json", [(rec(i), "2024-01-01T10:00:00Z")])
+    msgs = spark.readStream.schema(MSG_SCHEMA).option("maxFilesPerTrigger", 1).json(src)
+    q = land_stream(msgs, root, ck, max_batches=2)
+    assert not q.isActive
+    assert lake.read_lines(spark, root).count() == 2
+    # the next run continues from the checkpoint with the remaining message
+    land_stream(spark.readStream.schema(MSG_SCHEMA).json(src), root, ck, available_now=True).awaitTermination()
+    assert lake.read_lines(spark, root).count() == 3
