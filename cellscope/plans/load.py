@@ -56,7 +56,7 @@ def _loaded_keys(spark: SparkSession, warehouse: str, date: str) -> set[str]:
 
 def parse_lines(lines: DataFrame, on_malformed: str = "failfast") -> DataFrame:
     """Landed lines -> raw rows (A3, A9, B2-B5); `_loaded_at` is the run's start time (T4)."""
-    unwrapped = cdc.unwrap(lines)
+    unwrapped = cdc.unwrap(lines, on_malformed=on_malformed)
     return cdc.record_to_raw(unwrapped, object_key=F.col("object_key"), on_malformed=on_malformed) \
         .withColumn("_ingest_date", ingest.object_date("_source_object_key"))
 

@@ -1,19 +1,20 @@
 """Decoding change records: envelope unwrap, nested-event flatten, drift catch-all.
 
-All parsing is `from_json` with explicit schemas (no inference) plus a
-`map<string, variant>` view of the same text for keys outside the contract, so unknown keys
-keep their JSON types. Row-local: no shuffle.
+Each message is parsed once into a VARIANT (`parse_json`); contract columns are read from it
+with typed `try_variant_get` paths (no schema inference), and keys outside the contract are
+taken from the same value as a `map<string, variant>`, so unknown keys keep their JSON types.
+Row-local: no shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellscope import schemas as S
 from cellscope.functions import expressions as X
 
-ENVELOPE_SCHEMA = "struct<before:string, after:string, source:struct<ts_ms:bigint>, op:string>"
 ANY_MAP = "map<string,variant>"
 NESTED_KNOWN_KEYS = ("event_id", "event_type", "event_time", "subscriber", "cell", "signal_dbm",
                      "duration_sec", "call_result", "data_volume_mb", "avg_throughput_mbps",
@@ -25,97 +26,119 @@ def drop_tombstones(messages: DataFrame, value_col: str = "value") -> DataFrame:
     return messages.where(F.col(value_col).isNotNull())
 
 
-def unwrap(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """A3: change envelope -> flat record text plus its source change time.
+def _parse(text: Column, on_malformed: str) -> Column:
+    """JSON text -> VARIANT, parsed once per record. FAILFAST raises on malformed text (the
+    reference aborts the object, T7); "quarantine" yields NULL and keeps the line."""
+    return F.parse_json(text) if on_malformed == "failfast" else F.try_parse_json(text)
+
+
+def unwrap(messages: DataFrame, value_col: str = "value", on_malformed: str = "failfast") -> DataFrame:
+    """A3: change envelope -> the new-row record plus its source change time.
 
     Accepts both shapes: a full envelope (`after` holds the new row, `source.ts_ms` the change
     time) and an already-unwrapped flat record carrying `__source_ts_ms`. Delete events (no
     `after`) are dropped, as the unwrap step of the source connector does.
-    Adds `record` (JSON text) and `cdc_ts_ms`.
+    Adds `record` (VARIANT, the message parsed once), `_line` (its text) and `cdc_ts_ms`.
     """
-    value = F.col(value_col).cast("string")
-    env = F.from_json(value, ENVELOPE_SCHEMA)
-    is_envelope = env["op"].isNotNull()
-    record = F.when(is_envelope, env["after"]).otherwise(value)
-    flat_ts = F.get_json_object(value, f"$.{S.SOURCE_TS_FIELD}").try_cast("bigint")
-    ts = F.when(is_envelope, env["source"]["ts_ms"]).otherwise(flat_ts)
-    return (messages.select("*", record.alias("record"), ts.alias("cdc_ts_ms"))
-            .where(F.col("record").isNotNull()))
+    text = F.col(value_col).cast("string")
+    v = _parse(text, on_malformed)
+    is_envelope = F.try_variant_get(v, "$.op", "string").isNotNull()
+    after = F.try_variant_get(v, "$.after", "variant")
+    after = F.when(~F.is_variant_null(after), after)          # JSON null -> SQL NULL
+    record = F.when(is_envelope, after).otherwise(v)
+    ts = F.when(is_envelope, F.try_variant_get(v, "$.source.ts_ms", "bigint")) \
+        .otherwise(F.try_variant_get(v, f"$.{S.SOURCE_TS_FIELD}", "bigint"))
+    return (messages.select("*", record.alias("record"), text.alias("_line"), ts.alias("cdc_ts_ms"))
+            .where(~is_envelope | F.col("record").isNotNull()))
+
+
+def _as_object_map(v: Column) -> Column:
+    return F.try_variant_get(v, "$", ANY_MAP)
 
 
-def drift_extra(record_json: Column, known: tuple[str, ...]) -> Column:
+def drift_extra(record: Column, known: tuple[str, ...]) -> Column:
     """B2 + T2: every key outside `known` as one JSON object, nothing dropped.
 
-    A nested `extra` (an object, or an object encoded as a JSON string by the CDC converter)
-    is merged in; top-level keys win on a clash. `__source_ts_ms` and `inserted_at` are
-    delivery metadata, not drift, and are removed.
+    `record` is the parsed record (VARIANT). A nested `extra` (an object, or an object encoded
+    as a JSON string by the CDC converter) is merged in; top-level keys win on a clash.
+    `__source_ts_ms` and `inserted_at` are delivery metadata, not drift, and are removed.
     """
-    every = F.from_json(record_json, ANY_MAP)
-    skip = set(known) | set(S.NON_DRIFT_KEYS)
-    top = F.map_filter(every, lambda k, v: ~k.isin(*sorted(skip)))
+    every = _as_object_map(record)
+    skip = sorted(set(known) | set(S.NON_DRIFT_KEYS))
+    top = F.map_filter(every, lambda k, v: ~k.isin(*skip))
     nested_raw = every["extra"]
-    nested_text = F.coalesce(F.try_variant_get(nested_raw, "$", "string"), F.to_json(nested_raw))
-    nested = F.coalesce(F.from_json(nested_text, ANY_MAP), F.create_map().cast(ANY_MAP))
-    nested = F.map_filter(nested, lambda k, v: ~k.isin(*sorted(skip)) & ~F.array_contains(F.map_keys(top), k))
-    merged = F.map_concat(nested, top)
-    return F.coalesce(F.to_json(merged), F.lit("{}"))
+    nested = F.coalesce(_as_object_map(nested_raw),
+                        _as_object_map(F.try_parse_json(F.try_variant_get(nested_raw, "$", "string"))),
+                        F.create_map().cast(ANY_MAP))
+    nested = F.map_filter(nested, lambda k, v: ~k.isin(*skip) & ~F.array_contains(F.map_keys(top), k))
+    return F.coalesce(F.to_json(F.map_concat(nested, top)), F.lit("{}"))
+
+
+def _field(record: Column, name: str, dtype) -> Column:
+    return F.try_variant_get(record, f"$.{name}", dtype.simpleString())
 
 
 def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str = "cdc_ts_ms",
                   object_key: Column | None = None, loaded_at: Column | None = None,
                   on_malformed: str = "failfast") -> DataFrame:
-    """Flat record text -> raw.network_events columns.
+    """Flat record -> raw.network_events columns.
 
-    Known columns are copied (an absent key gives NULL), the activation date is decoded from
-    epoch days (B4), unknown keys go to `extra` (B2), the object key and CDC time are attached.
-    `on_malformed="failfast"` raises on a line that is not JSON (the reference aborts the
-    object, T7); "quarantine" keeps such lines with `_corrupt_record` set and NULL columns.
+    `record_col` is the parsed record (VARIANT, from `unwrap`) or its JSON text. Known columns
+    are read from the parsed value (an absent key gives NULL), the activation date is decoded
+    from epoch days (B4), unknown keys go to `extra` (B2), the object key and CDC time are
+    attached. With `on_malformed="quarantine"` a line that is not a JSON object keeps NULL
+    columns and its text in `_corrupt_record`.
     """
-    text = F.col(record_col)
-    opts = {"mode": "FAILFAST"} if on_malformed == "failfast" else {"mode": "PERMISSIVE"}
-    rec = F.from_json(text, S.RECORD_SCHEMA, opts)
+    if isinstance(records.schema[record_col].dataType, T.VariantType):
+        rec = F.col(record_col)
+    else:
+        rec = _parse(F.col(record_col).cast("string"), on_malformed)
+    line = F.col("_line") if "_line" in records.columns else F.col(record_col).cast("string")
+    types = {f.name: f.dataType for f in S.RECORD_SCHEMA.fields}
     cols = []
     for c in S.RECORD_COLUMNS:
         if c == "subscriber_activation_date":
-            cols.append(X.epoch_day_to_date(rec[c]).alias(c))
+            cols.append(X.epoch_day_to_date(_field(rec, c, T.StringType())).alias(c))
         elif c == "duration_sec":
-            cols.append(rec[c].try_cast("int").alias(c))
+            cols.append(_field(rec, c, T.LongType()).try_cast("int").alias(c))
         else:
-            cols.append(rec[c].alias(c))
+            cols.append(_field(rec, c, types[c]).alias(c))
+    ts = F.col(ts_col) if ts_col in records.columns else F.lit(None).cast("bigint")
     cols += [
-        drift_extra(text, S.RECORD_COLUMNS).alias("extra"),
+        drift_extra(rec, S.RECORD_COLUMNS).alias("extra"),
         (object_key if object_key is not None else F.lit(None).cast("string")).alias("_source_object_key"),
-        F.coalesce(F.col(ts_col), rec[S.SOURCE_TS_FIELD]).alias("_cdc_source_ts_ms"),
+        F.coalesce(ts, _field(rec, S.SOURCE_TS_FIELD, T.LongType())).alias("_cdc_source_ts_ms"),
         (loaded_at if loaded_at is not None else F.current_timestamp()).alias("_loaded_at"),
     ]
-    out = records.select(*cols, text.alias("_line"))
     if on_malformed == "quarantine":
-        out = out.withColumn("_corrupt_record",
-                             F.when(F.from_json(F.col("_line"), ANY_MAP).isNull(), F.col("_line")))
-    return out.drop("_line")
+        cols.append(F.when(_as_object_map(rec).isNull(), line).alias("_corrupt_record"))
+    return records.select(*cols)
 
 
-def flatten_nested(events: DataFrame, value_col: str = "value") -> DataFrame:
+def flatten_nested(events: DataFrame, value_col: str = "value", on_malformed: str = "failfast") -> DataFrame:
     """B1: nested event JSON (subscriber and cell as objects) -> flat source record columns.
 
-    `event_time` becomes `event_time_raw`; subscriber/cell fields get their prefixes; keys
-    outside the nested contract are collected into `extra`.
+    Parsed once; `event_time` becomes `event_time_raw`, subscriber/cell fields get their
+    prefixes, keys outside the nested contract are collected into `extra`.
     """
-    text = F.col(value_col)
-    ev = F.from_json(text, S.NESTED_EVENT_SCHEMA)
+    ev = _parse(F.col(value_col).cast("string"), on_malformed)
+
+    def get(path: str, dtype: str = "string") -> Column:
+        return F.try_variant_get(ev, f"$.{path}", dtype)
+
     return events.select(
-        ev["event_id"].alias("event_id"), ev["event_type"].alias("event_type"),
-        ev["event_time"].alias("event_time_raw"),
-        ev["subscriber"]["subscriber_id"].alias("subscriber_id"),
-        ev["subscriber"]["msisdn_masked"].alias("subscriber_msisdn_masked"),
-        ev["subscriber"]["plan"].alias("subscriber_plan"),
-        X.epoch_day_to_date(ev["subscriber"]["activation_date"]).alias("subscriber_activation_date"),
-        ev["cell"]["cell_id"].alias("cell_id"), ev["cell"]["region"].alias("cell_region"),
-        ev["cell"]["radio_tech"].alias("cell_radio_tech"),
-        ev["signal_dbm"].alias("signal_dbm"), ev["duration_sec"].try_cast("int").alias("duration_sec"),
-        ev["call_result"].alias("call_result"), ev["data_volume_mb"].alias("data_volume_mb"),
-        ev["avg_throughput_mbps"].alias("avg_throughput_mbps"), ev["latency_ms"].alias("latency_ms"),
-        drift_extra(text, NESTED_KNOWN_KEYS).alias("extra"))
+        get("event_id").alias("event_id"), get("event_type").alias("event_type"),
+        get("event_time").alias("event_time_raw"),
+        get("subscriber.subscriber_id").alias("subscriber_id"),
+        get("subscriber.msisdn_masked").alias("subscriber_msisdn_masked"),
+        get("subscriber.plan").alias("subscriber_plan"),
+        X.epoch_day_to_date(get("subscriber.activation_date")).alias("subscriber_activation_date"),
+        get("cell.cell_id").alias("cell_id"), get("cell.region").alias("cell_region"),
+        get("cell.radio_tech").alias("cell_radio_tech"),
+        get("signal_dbm", "double").alias("signal_dbm"), get("duration_sec", "bigint").try_cast("int").alias("duration_sec"),
+        get("call_result").alias("call_result"), get("data_volume_mb", "double").alias("data_volume_mb"),
+        get("avg_throughput_mbps", "double").alias("avg_throughput_mbps"), get("latency_ms", "double").alias("latency_ms"),
+        drift_extra(ev, NESTED_KNOWN_KEYS).alias("extra"))
 
 
 def record_json(raw: DataFrame, activation_as_epoch_days: bool = True, envelope: Column | None = None,

@@ -62,7 +62,7 @@ def test_malformed_line_fails_fast(spark):
 
 def test_malformed_line_quarantined(spark):
     msgs = spark.createDataFrame([(json.dumps(RECORD),), ("{not json",)], "value string")
-    out = cdc.record_to_raw(cdc.unwrap(msgs), on_malformed="quarantine").collect()
+    out = cdc.record_to_raw(cdc.unwrap(msgs, on_malformed="quarantine"), on_malformed="quarantine").collect()
     assert sorted(r._corrupt_record is None for r in out) == [False, True]
 
 
