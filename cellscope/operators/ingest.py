@@ -73,6 +73,8 @@ def ingest_hour_partitions(messages: DataFrame, ts_ms_col: str) -> DataFrame:
 
 
 def cast_to_contract_decimals(raw: DataFrame) -> DataFrame:
-    """Cast measures to the warehouse's fixed-point types (signal 6,1; volume 12,2; ...)."""
-    return raw.select(*[F.col(c).cast(S.RAW_DECIMALS[c]).alias(c) if c in S.RAW_DECIMALS else F.col(c)
+    """Cast measures to the warehouse's fixed-point types (signal 6,1; volume 12,2;
+    throughput 8,2; latency 8,1), rounding half up as a fixed-point column does on insert.
+    A value that does not fit becomes NULL instead of failing the load."""
+    return raw.select(*[F.col(c).try_cast(S.RAW_DECIMALS[c]).alias(c) if c in S.RAW_DECIMALS else F.col(c)
                         for c in raw.columns])

@@ -54,15 +54,19 @@ def _loaded_keys(spark: SparkSession, warehouse: str, date: str) -> set[str]:
     return {r[0] for r in rows}
 
 
-def parse_lines(lines: DataFrame, on_malformed: str = "failfast") -> DataFrame:
-    """Landed lines -> raw rows (A3, A9, B2-B5); `_loaded_at` is the run's start time (T4)."""
+def parse_lines(lines: DataFrame, on_malformed: str = "failfast", contract_types: bool = True) -> DataFrame:
+    """Landed lines -> raw rows (A3, A9, B2-B5); `_loaded_at` is the run's start time (T4).
+
+    `contract_types` stores the measures as the raw contract's fixed-point decimals."""
     unwrapped = cdc.unwrap(lines, on_malformed=on_malformed)
-    return cdc.record_to_raw(unwrapped, object_key=F.col("object_key"), on_malformed=on_malformed) \
+    rows = cdc.record_to_raw(unwrapped, object_key=F.col("object_key"), on_malformed=on_malformed) \
         .withColumn("_ingest_date", ingest.object_date("_source_object_key"))
+    return ingest.cast_to_contract_decimals(rows) if contract_types else rows
 
 
 def load_date(spark: SparkSession, lake_root: str, warehouse: str, date: str,
-              on_malformed: str = "failfast", dedup_horizon_days: int | None = None) -> LoadResult:
+              on_malformed: str = "failfast", dedup_horizon_days: int | None = None,
+              contract_types: bool = True) -> LoadResult:
     """Load every not-yet-loaded object under `dt=<date>/` into the raw table.
 
     `dedup_horizon_days=None` checks new ids against the whole raw table (exact, like a
@@ -81,7 +85,7 @@ def load_date(spark: SparkSession, lake_root: str, warehouse: str, date: str,
         return LoadResult(date, len(files), 0, skipped, 0)
 
     lines = lake.read_lines(spark, lake_root, paths=todo)
-    rows = parse_lines(lines, on_malformed)
+    rows = parse_lines(lines, on_malformed, contract_types)
     if on_malformed == "quarantine":
         bad = rows.where(F.col("_corrupt_record").isNotNull())
         publish.append(bad.select("_source_object_key", "_corrupt_record", "_ingest_date"),

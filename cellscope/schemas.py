@@ -71,7 +71,8 @@ RECORD_SCHEMA = T.StructType([
     T.StructField(SOURCE_TS_FIELD, T.LongType()),
 ])
 
-# raw.network_events: the contract of the whole pipeline.
+# raw.network_events: the contract of the whole pipeline. Measures are DOUBLE here (the fixture
+# view keeps them so); the lake loader stores them as the fixed-point types of RAW_DECIMALS.
 RAW_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("event_type", T.StringType(), False),

@@ -28,6 +28,9 @@ def test_load_twice_is_idempotent(spark, tmp_path):
     assert again.rows_inserted == 0 and again.objects_loaded == 0 and again.objects_skipped == first.objects_seen
     assert spark.read.parquet(raw_path(wh)).count() == expected
     loaded = spark.read.parquet(raw_path(wh))
+    types = dict(loaded.dtypes)
+    assert (types["signal_dbm"], types["data_volume_mb"], types["avg_throughput_mbps"], types["latency_ms"]) == \
+        ("decimal(6,1)", "decimal(12,2)", "decimal(8,2)", "decimal(8,1)")
     # drift keys survive the lake round trip
     assert loaded.where(F.col("extra").contains("volte_enabled")).count() == \
         raw.where(F.col("extra").contains("volte_enabled") &
