@@ -18,12 +18,18 @@ from cellscope.session import scratch_path
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when `path` holds a readable Parquet table."""
+    """True when `path` holds a table (a non-empty folder)."""
     try:
-        spark.read.parquet(path).schema  # resolves the listing only, reads no rows
-        return True
-    except Exception:  # noqa: BLE001 - missing or empty path
-        return False
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - remote session: ask the reader instead
+        try:
+            spark.read.parquet(path).schema  # resolves the listing only, reads no rows
+            return True
+        except Exception:  # noqa: BLE001 - missing or empty path
+            return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    return bool(fs.exists(p) and len(fs.listStatus(p)) > 0)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
