@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from cellscope import schemas as S
 
-CHECK_SCHEMA = "check_name string, model string, column_name string, severity string, failing_rows bigint"
-
-
 class QualityGateError(RuntimeError):
     """Raised when a blocking check fails; nothing downstream is published."""
 
