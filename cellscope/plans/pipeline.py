@@ -149,3 +149,31 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
         ("serving", "vw_subscriber_churn_signals"): churn}).collect()
     result.counts = {r["model"]: r["row_count"] for r in counts}
     return result
+
+
+PUBLISHED = {
+    "network_events": ("raw", "network_events"),
+    "dim_cell_site": ("curated", "dim_cell_site"),
+    "dim_subscriber": ("curated", "dim_subscriber"),
+    "fct_voice_call": ("curated", "fct_voice_call"),
+    "fct_data_session": ("curated", "fct_data_session"),
+    "agg_cell_hourly_kpi": ("curated", "agg_cell_hourly_kpi"),
+    "vw_cell_quality_ranking": ("serving", "vw_cell_quality_ranking"),
+    "vw_subscriber_churn_signals": ("serving", "vw_subscriber_churn_signals"),
+}
+
+
+def register_views(spark: SparkSession, warehouse: str) -> list[str]:
+    """Expose every published table as a temp view for SQL users (analyst entry point).
+
+    Views are lazy scans of the Parquet tables, so filters in the user's SQL still prune
+    partitions and columns. Returns the names registered (tables not published yet are
+    skipped).
+    """
+    names = []
+    for view, (layer, name) in PUBLISHED.items():
+        df = publish.read_table(spark, table(warehouse, layer, name))
+        if df is not None:
+            df.createOrReplaceTempView(view)
+            names.append(view)
+    return names

@@ -55,6 +55,11 @@ def test_pipeline_two_dates_and_rerun(spark, tmp_path):
     assert spark.read.parquet(table(wh, "curated", "agg_cell_hourly_kpi")).count() == kpi_rows
     assert spark.sql("select count(*) from vw_cell_quality_ranking").first()[0] == r3.counts["vw_cell_quality_ranking"]
     assert all(c["status"] == "pass" for c in r3.checks["curated"])
+    from cellscope.plans.pipeline import register_views
+    assert len(register_views(spark, wh)) == 8
+    worst = spark.sql("SELECT r.cell_id, k.kpi_date FROM vw_cell_quality_ranking r "
+                      "JOIN agg_cell_hourly_kpi k ON k.cell_id = r.cell_id WHERE r.quality_rank = 1 LIMIT 1").collect()
+    assert len(worst) == 1
     assert r1.load.rows_inserted > 0
     # incrementally maintained dimensions equal a full rebuild from the loaded raw table
     loaded_valid = staging.stg_valid(staging.stg_network_events(spark.read.parquet(raw_path(wh)).drop("_ingest_date")))
