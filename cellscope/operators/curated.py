@@ -118,6 +118,20 @@ def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600, max_rows_per_gro
         "valid_from", valid_to.alias("valid_to"), valid_to.isNull().alias("is_current"))
 
 
+def current_plans(valid: DataFrame) -> DataFrame:
+    """(subscriber_id, plan, is_current=true) of each subscriber's current version.
+
+    The current version of the plan history is the run that contains the subscriber's latest
+    event, so its plan is that event's plan: one latest-per-key aggregate (map-side combined)
+    instead of the full history when only the current plan is needed.
+    """
+    latest = F.max(F.struct(F.col("event_time").alias("t"), F.col("event_id").alias("id"),
+                            F.col("subscriber_plan").alias("plan")))
+    return (valid.where(F.col("subscriber_id").isNotNull()).groupBy("subscriber_id")
+            .agg(latest.alias("m")).select("subscriber_id", F.col("m.plan").alias("plan"),
+                                           F.lit(True).alias("is_current")))
+
+
 def merge_dim_subscriber(state: DataFrame, valid_all: DataFrame, valid_new: DataFrame, **kw) -> DataFrame:
     """Incremental SCD2: recompute the history of subscribers seen in this run only.
 

@@ -73,4 +73,6 @@ class Layers:
         return serving.cell_quality_ranking(self.voice, self.data, self.dim_cell, self.ref)
 
     def churn(self) -> DataFrame:
-        return serving.churn_signals(self.voice, self.data, self.dim_cell, self.dim_sub, self.ref)
+        # only the current plan is joined: the latest event's plan, no full history needed
+        return serving.churn_signals(self.voice, self.data, self.dim_cell,
+                                     curated.current_plans(self.valid), self.ref)

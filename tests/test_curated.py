@@ -118,3 +118,13 @@ def test_hot_subscriber_split_equals_brute_force(spark):
                         event_time=T0 + dt.timedelta(seconds=rnd.randint(0, 3599))))
     got = scd2_rows(curated.dim_subscriber(valid(spark, evs), chunk_seconds=3600, max_rows_per_group=50))
     assert got == brute_force_scd2(evs)
+
+
+def test_current_plans_equal_current_versions(spark):
+    rnd = random.Random(3)
+    evs = [dict(event_id=f"{i:04d}", subscriber_id=f"s{rnd.randint(0, 5)}", subscriber_plan=rnd.choice(["A", "B", None]),
+                event_time=T0 + dt.timedelta(seconds=rnd.randint(0, 5000))) for i in range(300)]
+    v = valid(spark, evs)
+    full = curated.dim_subscriber(v).where("is_current").select("subscriber_id", "plan")
+    got = curated.current_plans(v).select("subscriber_id", "plan")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
