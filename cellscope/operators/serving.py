@@ -181,6 +181,8 @@ def churn_signals(voice: DataFrame, data: DataFrame, dim_cell: DataFrame, dim_su
     usage drop (E10): baseline > 0 and last-7 <= 0.6 * baseline, where baseline is the
     prior-28-day count / 4; evaluated exactly in integers as 20 * last7 <= 3 * prior28.
     poor experience (E11): at least 3 poor events in 14 days.
+    `dim_sub` is the plan history (its `is_current` rows are joined, D5) or, equivalently and
+    cheaper when no history is at hand, `curated.current_plans(valid)`.
     """
     sig = subscriber_signals(voice, data, dim_cell, ref)
     l7, p28, poor = F.col("last_7_day_activity"), F.col("prior_28_day_activity"), F.col("poor_experience_count_14d")
