@@ -87,7 +87,9 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     dates instead of the whole raw table. Default: whole table (exact without assumptions)."""
     result = PipelineResult(load=load_date(spark, lake_root, warehouse, date))
 
-    raw_all = spark.read.parquet(raw_path(warehouse))
+    raw_all = publish.read_table(spark, raw_path(warehouse))
+    if raw_all is None:        # nothing landed yet: nothing to publish
+        return result
     raw_run = raw_all.where(F.col("_ingest_date") == date).drop("_ingest_date")
     stg_all = staging.stg_network_events(raw_all.drop("_ingest_date"), keep_flags)
     stg_run = staging.stg_network_events(raw_run, keep_flags)

@@ -102,3 +102,8 @@ def test_malformed_line_failfast_or_quarantine(spark, tmp_path):
     assert res.rows_inserted == 1
     q = spark.read.parquet(f"{wh}/raw/_quarantine").collect()
     assert [r._corrupt_record for r in q] == ["{broken"]
+
+
+def test_pipeline_on_empty_lake_is_a_no_op(spark, tmp_path):
+    res = run_pipeline(spark, str(tmp_path / "lake"), str(tmp_path / "wh"), "2024-01-05")
+    assert (res.load.objects_seen, res.load.rows_inserted) == (0, 0) and res.counts == {}
