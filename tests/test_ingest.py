@@ -94,3 +94,20 @@ def test_ingest_hour_rollover_utc(spark):
     df = spark.createDataFrame([(ms,), (ms + 1000,)], "ts bigint")
     got = rows = sorted((r.dt, r.hr, r.row_count) for r in ingest.ingest_hour_partitions(df, "ts").collect())
     assert got == [("2024-01-31", "23", 1), ("2024-02-01", "00", 1)]
+
+
+def test_contract_decimals_round_half_up_and_overflow_to_null(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(22.875, -80.25, 1.005, 12345678.0), (-20000000.5, 1.0, 2.0, 3.0)],
+                               "latency_ms double, signal_dbm double, data_volume_mb double, avg_throughput_mbps double")
+    rows = ingest.cast_to_contract_decimals(df).collect()
+    assert rows[0].latency_ms == Decimal("22.9") and rows[0].signal_dbm == Decimal("-80.3")
+    assert rows[0].avg_throughput_mbps is None          # does not fit decimal(8,2)
+    assert rows[1].latency_ms is None                   # does not fit decimal(8,1)
+
+
+def test_epoch_day_decode_rejects_non_dates(spark):
+    from cellscope.functions import expressions as X
+    df = spark.createDataFrame([("19936",), ("2024-07-01",), ("true",), ("1.5",)], "v string")
+    got = [r[0] for r in df.select(X.epoch_day_to_date("v")).collect()]
+    assert got == [dt.date(2024, 8, 1), dt.date(2024, 7, 1), None, None]
