@@ -63,7 +63,8 @@ def merge_dim_cell_site(state: DataFrame, valid_new: DataFrame) -> DataFrame:
     return _latest_cells(prev.unionByName(_cell_candidates(valid_new)), keep_state=True)
 
 
-def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600, max_rows_per_group: int = 2_000_000) -> DataFrame:
+def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600,
+                   max_rows_per_group: int | None = 2_000_000) -> DataFrame:
     """Plan history per subscriber (I4; SCD type 2 keyed by subscriber_id, valid_from).
 
     A new version starts at every event whose plan differs (null-safe) from the subscriber's
@@ -76,20 +77,24 @@ def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600, max_rows_per_gro
     Slices are `chunk_seconds` long. A (subscriber, chunk) with more than `max_rows_per_group`
     events - a hot subscriber - is cut into k equal sub-slices, k = ceil(rows / limit). The
     hot-chunk list comes from a map-side-combined count and has at most
-    rows / `max_rows_per_group` entries, so it is broadcast. Pass 2 holds one row per run:
-    about one per active slice plus one per plan change.
+    rows / `max_rows_per_group` entries, so it is broadcast. `max_rows_per_group=None` skips
+    that extra counting pass for inputs known to have no hot subscriber. Pass 2 holds one row
+    per run: about one per active slice plus one per plan change.
     """
     chunk_us = chunk_seconds * 1_000_000
     obs = (valid.where(F.col("subscriber_id").isNotNull())
            .select("subscriber_id", "subscriber_msisdn_masked", "subscriber_plan",
                    "subscriber_activation_date", "event_time", "event_id",
                    F.floor(F.unix_micros("event_time") / F.lit(chunk_us)).alias("chunk")))
-    hot = (obs.groupBy("subscriber_id", "chunk").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > max_rows_per_group)
-           .select("subscriber_id", "chunk", F.ceil(F.col("n") / F.lit(max_rows_per_group)).alias("k")))
-    obs = obs.join(F.broadcast(hot), ["subscriber_id", "chunk"], "left")
-    offset = F.unix_micros("event_time") - F.col("chunk") * F.lit(chunk_us)
-    obs = obs.withColumn("sub", F.coalesce(F.floor(offset * F.col("k") / F.lit(chunk_us)), F.lit(0)))
+    if max_rows_per_group is None:      # caller knows there are no hot subscribers
+        obs = obs.withColumn("sub", F.lit(0).cast("bigint"))
+    else:
+        hot = (obs.groupBy("subscriber_id", "chunk").agg(F.count(F.lit(1)).alias("n"))
+               .where(F.col("n") > max_rows_per_group)
+               .select("subscriber_id", "chunk", F.ceil(F.col("n") / F.lit(max_rows_per_group)).alias("k")))
+        obs = obs.join(F.broadcast(hot), ["subscriber_id", "chunk"], "left")
+        offset = F.unix_micros("event_time") - F.col("chunk") * F.lit(chunk_us)
+        obs = obs.withColumn("sub", F.coalesce(F.floor(offset * F.col("k") / F.lit(chunk_us)), F.lit(0)))
 
     in_slice = Window.partitionBy("subscriber_id", "chunk", "sub").orderBy("event_time", "event_id")
     changed = ~F.lag("subscriber_plan").over(in_slice).eqNullSafe(F.col("subscriber_plan"))

@@ -128,3 +128,11 @@ def test_current_plans_equal_current_versions(spark):
     full = curated.dim_subscriber(v).where("is_current").select("subscriber_id", "plan")
     got = curated.current_plans(v).select("subscriber_id", "plan")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
+
+
+def test_history_without_hot_split_is_identical(spark):
+    rnd = random.Random(5)
+    evs = [dict(event_id=f"{i:04d}", subscriber_id=f"s{rnd.randint(0, 4)}", subscriber_plan=rnd.choice(["A", "B"]),
+                event_time=T0 + dt.timedelta(seconds=rnd.randint(0, 9000))) for i in range(200)]
+    v = valid(spark, evs)
+    assert scd2_rows(curated.dim_subscriber(v, max_rows_per_group=None)) == brute_force_scd2(evs)
