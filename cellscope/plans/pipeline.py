@@ -81,10 +81,21 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
                  late: str = "upsert", keep_flags: tuple[str, ...] = (),
                  exact_kpi: bool = True, incremental_dims: bool = True,
                  late_days: int | None = None) -> PipelineResult:
-    """`late_days`: if set, events are assumed to be ingested at most that many days after
-    their event date (and at most one day before it, for clock skew); the KPI recomputation
-    then reads only the raw `_ingest_date` partitions that can hold events of the touched
-    dates instead of the whole raw table. Default: whole table (exact without assumptions)."""
+    """Load one logical date and publish every layer that depends on it.
+
+    Order: load (ledger + keep-first) -> staging checks (block curated) -> dimensions and
+    facts -> curated checks (block serving) -> serving views -> non-blocking reports -> KPI
+    day replace. Re-running a date, also after a crash part-way, converges to the same tables:
+    the load inserts nothing twice and the facts merge the date's rows by `event_id`.
+
+    late: incremental policy of the facts ("upsert" keeps late rows, "drop" reproduces the
+    source system's watermark). keep_flags: flags that do not reject a row (T1).
+    exact_kpi: exact or approximate p95. incremental_dims: merge instead of rebuild.
+    late_days: if set, events are assumed to be ingested at most that many days after their
+    event date (and at most one day before it, for clock skew); the KPI recomputation then
+    reads only the raw `_ingest_date` partitions that can hold events of the touched dates
+    instead of the whole raw table. Default: whole table (exact without assumptions).
+    """
     result = PipelineResult(load=load_date(spark, lake_root, warehouse, date))
 
     raw_all = publish.read_table(spark, raw_path(warehouse))
