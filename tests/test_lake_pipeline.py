@@ -107,3 +107,15 @@ def test_malformed_line_failfast_or_quarantine(spark, tmp_path):
 def test_pipeline_on_empty_lake_is_a_no_op(spark, tmp_path):
     res = run_pipeline(spark, str(tmp_path / "lake"), str(tmp_path / "wh"), "2024-01-05")
     assert (res.load.objects_seen, res.load.rows_inserted) == (0, 0) and res.counts == {}
+
+
+def test_command_line_load(spark, tmp_path, capsys):
+    import json
+
+    from cellscope.__main__ import main
+
+    root = str(tmp_path / "lake")
+    build_lake(spark, root)
+    assert main(["load", "--lake", root, "--warehouse", str(tmp_path / "wh"), "--date", DATES[0]]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["date"] == DATES[0] and out["rows_inserted"] > 0 and out["objects_skipped"] == 0
