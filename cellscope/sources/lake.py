@@ -64,3 +64,16 @@ def write_ndjson(lines: DataFrame, lake_root: str, mode: str = "append") -> None
     """
     (lines.select("value", "dt", "hr").write.mode(mode).partitionBy("dt", "hr")
      .text(lake_dir(lake_root)))
+
+
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create an empty folder if it is missing (a file stream needs its directory to exist
+    before the first object lands)."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - remote session: the server side must provide it
+        return
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        fs.mkdirs(p)

@@ -27,6 +27,7 @@ def lake_stream(spark: SparkSession, lake_root: str, max_files_per_trigger: int
     reader = spark.readStream.schema(lake.LAKE_PARTITIONS).option("basePath", lake.lake_dir(lake_root))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    lake.ensure_dir(spark, lake.lake_dir(lake_root))     # may start before the first landing
     lines = reader.text(lake.lake_dir(lake_root))
     return (lines.where(F.trim("value") != "")
             .select("value", "dt", "hr", lake.object_key_of(F.col("_metadata.file_path")).alias("object_key")))

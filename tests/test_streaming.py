@@ -70,3 +70,11 @@ def test_landing_stops_after_max_batches(spark, tmp_path):
     # the next run continues from the checkpoint with the remaining message
     land_stream(spark.readStream.schema(MSG_SCHEMA).json(src), root, ck, available_now=True).awaitTermination()
     assert lake.read_lines(spark, root).count() == 3
+
+
+def test_loader_starts_before_anything_landed(spark, tmp_path):
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    stream_load(spark, root, wh, str(tmp_path / "ck")).awaitTermination()
+    lake.write_ndjson(spark.createDataFrame([(rec(1), "2024-01-01", "00")], "value string, dt string, hr string"), root)
+    stream_load(spark, root, wh, str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(raw_path(wh)).count() == 1
