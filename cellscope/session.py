@@ -13,7 +13,7 @@ REQUIRED_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Tuning defaults for local runs; a cluster submit overrides them.
+# Tuning defaults for local runs (applied only when get_spark starts a local master).
 LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,9 +28,12 @@ LOCAL_CONF = {
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "cellscope", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    # local tuning only for sessions we start ourselves (tests, bench, a laptop); on a
+    # cluster (no master given) its own configuration stays in force
+    conf = {**(LOCAL_CONF if master else {}), **REQUIRED_CONF, **(extra or {})}
     if master:
         builder = builder.master(master)
-    for key, value in {**LOCAL_CONF, **REQUIRED_CONF, **(extra or {})}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
