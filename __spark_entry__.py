@@ -382,11 +382,32 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _corpus() -> tuple[dict, dict]:
+    """Queries and reference SQL of the corpus operators and their pipeline, where present."""
+    try:
+        from cellscope.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith("cellscope.llm"):
+            raise
+        return {}, {}
+    found, sql = dict(llm.QUERIES), dict(llm.ORACLE_SQL)
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline":
+            raise
+    else:
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_corpus()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
     from cellscope.oracle_sql import QUERIES
 
-    return {k: v for k, v in QUERIES.items() if k in _QUERIES}
+    return {**{k: v for k, v in QUERIES.items() if k in _QUERIES}, **_corpus()[1]}
