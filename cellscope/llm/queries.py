@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellscope.llm import langid, mil_quality, rules, secret_scan
+from cellscope.llm import decontam, langid, line_dedup, mil_quality, near_dup, packing, rules, secret_scan, token_orc
 from cellscope.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_mil_quality(spark, sf_dir):
     return mil_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark, sf_dir):
     return secret_scan.train_and_scan(table(spark, sf_dir, "documents"))
 
@@ -20,15 +24,28 @@ def op4_decision_list(spark, sf_dir):
     return rules.screen(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_token_orc(spark, sf_dir):
+    return token_orc.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op8_spaced_seed_leaks(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_rank_order_langid(spark, sf_dir):
     return langid.train_and_identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op1_mil_quality": op1_mil_quality,
-    "op3_secret_scan": op3_secret_scan,
-    "op4_decision_list": op4_decision_list,
-    "op9_rank_order_langid": op9_rank_order_langid,
-}
+def op10_setsketch_near_dup(spark, sf_dir):
+    return near_dup.link(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mil_quality, op2_line_dedup, op3_secret_scan, op4_decision_list, op5_packing, op7_token_orc,
+    op8_spaced_seed_leaks, op9_rank_order_langid, op10_setsketch_near_dup)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op8_spaced_seed_leaks": decontam.ORACLE_SQL}
