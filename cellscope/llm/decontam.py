@@ -8,8 +8,8 @@ at least `MIN_SHARE` of the block agrees.
 
 A document's windows are generated, hashed and probed inside one code-generated stage. The
 benchmark's seed table is counted first: up to `broadcast_rows` rows it is broadcast, beyond that
-the same join runs as a shuffled one. Only hits leave the stage; they are reduced per document
-and item with partial aggregates, so a passage that a third of all documents hold is no group of
+the same join runs as a shuffled one over hashes alone. Only hits leave the stage; they are
+reduced per document and item with partial aggregates, so a passage that a third of all documents hold is no group of
 its own anywhere.
 
 Defined results: null and empty texts match nothing; items of fewer words than the widest mask
@@ -30,7 +30,9 @@ from cellscope.llm.common import staged
 #: Positions with 1 are hashed, positions with 0 are ignored.
 MASKS = ("1101011001", "1010110011", "1100101101")
 SPAN = max(map(len, MASKS))
+#: Words compared around a hit, and the grid on which such blocks start in an item.
 BLOCK = 20
+STEP = 10
 MIN_SHARE = (3, 4)
 WORD = r"[\p{L}\p{N}]+"
 
@@ -57,10 +59,9 @@ def seeds(text_rows: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """item_id, b_seed, b_at and the block of aligned words around the window: b_from (its first
-    word in the item) and b_words."""
-    n = F.size("w")
-    first = F.greatest(F.lit(0), F.least(F.col("at") - (BLOCK - SPAN) // 2, n - BLOCK))
+    """item_id, b_seed, b_at and the block of aligned words that holds the window: b_from (its
+    first word in the item, a multiple of STEP or as far as the item goes) and b_words."""
+    first = F.greatest(F.lit(0), F.least(F.col("at") - F.col("at") % STEP, F.size("w") - BLOCK))
     return (seeds(benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct(), ["item_id"])
             .select("item_id", F.col("seed").alias("b_seed"), F.col("at").alias("b_at"), first.alias("b_from"),
                     F.slice("w", first + 1, BLOCK).alias("b_words")).distinct())
@@ -70,18 +71,30 @@ def matches(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_0
     """doc_id, text_hash, item_id, matched (words of the best block that agree) for every document
     and item that it holds."""
     table = staged(benchmark_seeds(benchmark), "seeds")
+    source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     if table.count() <= broadcast_rows:
-        table = F.broadcast(table)
-    hits = seeds(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), ["doc_id", "text_hash"]) \
-        .join(table, F.col("seed") == F.col("b_seed"))
+        hits = seeds(source, ["doc_id", "text_hash"]).join(F.broadcast(table), F.col("seed") == F.col("b_seed"))
+    else:
+        # too large to broadcast: only hashes and places go through the shuffle, and the words of
+        # documents with a hit are joined back
+        bare = seeds(source, ["doc_id", "text_hash"]).drop("w")
+        found = bare.join(table, F.col("seed") == F.col("b_seed"))
+        own = source.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), word_hashes("text").alias("w")) \
+            .dropDuplicates(["_id", "_hash"])
+        hits = found.join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     shift = F.col("at") - F.col("b_at") + F.col("b_from")     # of the block's first word in the document
-    agree = F.size(F.filter(F.sequence(F.lit(0), F.size("b_words") - 1),
-                            lambda k: F.coalesce(F.get("b_words", k) == F.when(shift + k >= 0, F.get("w", shift + k)),
-                                                 F.lit(False))))
-    checked = hits.select("doc_id", "text_hash", "item_id", agree.alias("matched"), F.size("b_words").alias("of"))
-    return (checked.where(F.col("matched") * MIN_SHARE[1] >= F.col("of") * MIN_SHARE[0])
-            .groupBy("doc_id", "text_hash", "item_id")
-            .agg(F.max("matched").cast("long").alias("matched")))
+    lead = F.greatest(F.lit(0), -shift)                       # words of the block before the document starts
+    blocks = hits.select("doc_id", "text_hash", "item_id", "b_words", lead.alias("lead"),
+                         F.slice("w", F.greatest(F.lit(0), shift) + 1, BLOCK - lead).alias("d_words")).distinct()
+    agree = F.size(F.filter(F.transform("b_words", lambda x, k: F.when(k >= F.col("lead"),
+                                                                       x == F.get("d_words", k - F.col("lead")))),
+                            lambda same: F.coalesce(same, F.lit(False))))
+    # the share is tested behind the aggregate: as a filter before it, it would move into the join
+    # and take that out of the code-generated stage
+    return (blocks.select("doc_id", "text_hash", "item_id", agree.cast("long").alias("n"), F.size("b_words").alias("of"))
+            .groupBy("doc_id", "text_hash", "item_id", "of").agg(F.max("n").alias("matched"))
+            .where(F.col("matched") * MIN_SHARE[1] >= F.col("of") * MIN_SHARE[0])
+            .select("doc_id", "text_hash", "item_id", "matched"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -109,7 +122,7 @@ WITH b0 AS (SELECT DISTINCT item_id, {words} AS w FROM benchmark WHERE item_id I
 b1 AS (SELECT item_id, w, len(w) AS n, unnest(range(len(w) - {SPAN - 1})) AS pos FROM b0 WHERE len(w) >= {SPAN}),
 b2 AS ({masks.format("b1")}),
 b AS (SELECT DISTINCT item_id, m, seed, pos AS b_at,
-        greatest(0, least(pos - {(BLOCK - SPAN) // 2}, len(w) - {BLOCK})) AS b_from, w AS iw FROM b2),
+        greatest(0, least(pos - pos % {STEP}, len(w) - {BLOCK})) AS b_from, w AS iw FROM b2),
 d0 AS (SELECT doc_id, {words} AS w FROM documents),
 d1 AS (SELECT doc_id, w, len(w) AS n, unnest(range(len(w) - {SPAN - 1})) AS pos FROM d0 WHERE len(w) >= {SPAN}),
 d2 AS ({masks.format("d1")}),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellscope.llm import decontam, langid, line_dedup, mil_quality, near_dup, packing, rules, secret_scan, token_orc
+from cellscope.llm import decontam, langid, line_dedup, mil_quality, near_dup, packing, rules, secret_scan, token_orc, warc
 from cellscope.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_token_orc(spark, sf_dir):
     return token_orc.round_trip(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_setsketch_near_dup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mil_quality, op2_line_dedup, op3_secret_scan, op4_decision_list, op5_packing, op7_token_orc,
+    op1_mil_quality, op2_line_dedup, op3_secret_scan, op4_decision_list, op5_packing, op6_warc, op7_token_orc,
     op8_spaced_seed_leaks, op9_rank_order_langid, op10_setsketch_near_dup)}
 
 ORACLE_SQL = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op8_spaced_seed_leaks": decontam.ORACLE_SQL}
