@@ -2,9 +2,11 @@
 
 Two first-order Markov models over the characters of keys and identifiers are trained from
 labelled samples: *random* (values that the patterns below mark in the corpus, and seeded random
-strings in the usual key alphabets) and *ordinary* (all other text of the corpus). A token of at
+strings in the usual key alphabets) and *ordinary* (all names of the corpus: tokens of letters, _
+and - outside those values). A token of at
 least `MIN_TOKEN` characters that no pattern marks becomes a span of kind `markov` if its
-log-likelihood ratio exceeds `min_llr` in all and `min_rate` for each character.
+log-likelihood ratio reaches `min_llr` in all and `min_rate` for each character, which is
+calibrated on random strings that the models haven't seen.
 
 Training counts character pairs over every document: one partial count per task (at most the
 square of the alphabet), one small shuffle, a few thousand rows to the driver. Scanning is row by
@@ -32,6 +34,8 @@ from cellscope.llm.common import blocks, map_batches, texts
 KINDS = ("assign", "access", "hex", "markov")
 MIN_VALUE = {"assign": 12, "access": 18, "hex": 16}
 MIN_TOKEN = 16
+#: Fewer different characters are a rule or a filler, not a key.
+MIN_DISTINCT = 8
 
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
                      re.IGNORECASE | re.ASCII)
@@ -47,6 +51,8 @@ _N = _EDGE + 1
 _CODE = np.full(256, _EDGE, np.int64)
 _CODE[list(ALPHABET.encode())] = np.arange(_EDGE)
 
+_NOT_NAME = np.isin(np.arange(_N), [ALPHABET.index(c) for c in string.digits + "+/="])
+
 Span = tuple[int, int, int]    # start, index of the kind, end
 
 
@@ -62,10 +68,17 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-def _pairs(raw: bytes) -> np.ndarray:
-    """Counts of neighbouring characters; anything outside the alphabet is the edge."""
+def _pairs(raw: bytes, names_only: bool = False) -> np.ndarray:
+    """Counts of neighbouring characters; anything outside the alphabet is the edge. With
+    `names_only`, tokens with anything but letters, _ and - don't count."""
     code = _CODE[np.frombuffer(raw, np.uint8)]
-    return np.bincount(code[:-1] * _N + code[1:], minlength=_N * _N)
+    pair = code[:-1] * _N + code[1:]
+    if names_only:
+        run = np.cumsum(code == _EDGE)                    # every edge starts a token
+        mixed = np.zeros(run[-1] + 1 if len(run) else 1, bool)
+        mixed[run[_NOT_NAME[code]]] = True
+        pair = pair[~mixed[run[:-1]] & ~(mixed[run[1:]] & (code[1:] != _EDGE))]
+    return np.bincount(pair, minlength=_N * _N)
 
 
 def _values(text: str, spans: list[Span]) -> list[str]:
@@ -88,9 +101,10 @@ def train(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for text in texts(batch):
                 for b in blocks(text):
-                    total += _pairs(f" {b} ".encode())
+                    total += _pairs(f" {b} ".encode(), names_only=True)
                 for value in _values(text, base_spans(text)):
                     hit += _pairs(f" {value} ".encode())
+                    total -= _pairs(f" {value} ".encode(), names_only=True)
         k = np.flatnonzero(total + hit)
         yield pa.RecordBatch.from_pydict({"pair": k, "n_all": total[k], "n_hit": hit[k]})
 
@@ -98,7 +112,7 @@ def train(docs: DataFrame) -> np.ndarray:
     got = partial.groupBy("pair").agg(F.sum("n_all").alias("a"), F.sum("n_hit").alias("h")).collect()
     every, rand = np.zeros(_N * _N), _pairs(f" {' '.join(seeded_samples())} ".encode()).astype(float)
     for r in got:
-        every[r["pair"]] += r["a"] - r["h"]
+        every[r["pair"]] += r["a"]
         rand[r["pair"]] += r["h"]
 
     def log_p(counts: np.ndarray) -> np.ndarray:
@@ -118,8 +132,8 @@ def find(text: str, llr: np.ndarray, min_llr: float = 16.0, min_rate: float = 0.
     spans = base_spans(text)
     for m in _TOKEN.finditer(text):
         a, b = m.span()
-        if all(b <= s or e <= a for s, _, e in spans) and (got := ratio(m[0], llr)) >= min_llr \
-                and got >= min_rate * (b - a):
+        if len(set(m[0])) >= MIN_DISTINCT and all(b <= s or e <= a for s, _, e in spans) \
+                and (got := ratio(m[0], llr)) >= max(min_llr, min_rate * (b - a)):
             spans.append((a, 3, b))
     return sorted(spans)
 
@@ -148,5 +162,13 @@ def scan(docs: DataFrame, llr: np.ndarray, min_llr: float = 16.0, min_rate: floa
                        "base_sha256 string, spans string")
 
 
+def calibrated_rate(llr: np.ndarray, share: float = 0.02, least: float = 0.6) -> float:
+    """The ratio per character that all but `share` of fresh labelled random strings exceed; it
+    rises with the corpus, which makes unseen pairs of ordinary names ever less likely."""
+    fresh = seeded_samples(200, 20, seed=12)
+    return max(least, float(np.quantile([ratio(x, llr) / len(x) for x in fresh], share)))
+
+
 def train_and_scan(docs: DataFrame) -> DataFrame:
-    return scan(docs, train(docs))
+    llr = train(docs)
+    return scan(docs, llr, min_rate=calibrated_rate(llr))
