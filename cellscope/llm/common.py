@@ -60,19 +60,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """`df` written once to the shared folder and read back: cuts the lineage, so a lost
     executor re-reads files instead of repeating the work, and later plans scan only the
-    columns they need."""
+    columns they need. The folder is added to `made`, for `drop_paths` once nothing reads it."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this library made under the shared folder."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def drop_paths(spark: SparkSession, made: list[str]) -> None:
+    """Delete folders that `staged` made, and forget them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while made:
+        p = jvm.org.apache.hadoop.fs.Path(made.pop())
+        p.getFileSystem(conf).delete(p, True)
 
 
 def id_bucket(doc_id: Column, mod: int) -> Column:

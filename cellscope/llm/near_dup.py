@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope.llm import shingles as S
-from cellscope.llm.common import fresh_path, map_batches, staged
+from cellscope.llm.common import drop_paths, map_batches, staged
 
 BAND_REGISTERS = 4
 BANDS = S.M // BAND_REGISTERS
@@ -82,13 +82,13 @@ def band_rows(nodes: DataFrame) -> DataFrame:
                     "rid"))
 
 
-def star_pairs(rows: DataFrame) -> DataFrame:
+def star_pairs(rows: DataFrame, made: list[str] | None = None) -> DataFrame:
     """Distinct (node, hub) of all buckets with two or more nodes."""
     order = F.xxhash64("rid", "bucket")
     hubs = (rows.groupBy("bucket").agg(F.min("rid").alias("h1"), F.min_by("rid", order).alias("h2"),
                                        F.max("rid").alias("top"))
             .where("h1 < top").select(F.col("bucket").alias("b"), "h1", "h2"))
-    hubs = staged(hubs, "hubs")    # read back, so that the join has its own shuffles, which can be split
+    hubs = staged(hubs, "hubs", made)    # read back, so that the join has its own shuffles, which can be split
     found = rows.join(hubs, rows["bucket"] == hubs["b"])
     return (found.select("rid", F.explode(F.array("h1", "h2")).alias("hub"))
             .where("rid <> hub").distinct())
@@ -157,12 +157,15 @@ def components(pairs: DataFrame, name: str = "components") -> DataFrame:
         return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)))
                      .first())
 
+    old, made = [], []
     edges = staged(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                   .distinct(), name)
+                   .distinct(), name, made)
     last = signature(edges)
     while last[0]:
-        edges = staged(star(star(edges, True), False), name)
+        old, made = made, []
+        edges = staged(star(star(edges, True), False), name, made)
         now = signature(edges)
+        drop_paths(pairs.sparkSession, old)
         if now == last:
             break
         last = now
@@ -194,8 +197,9 @@ def link(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     sketches = staged(sketch(docs), "sketches")
     nodes = staged(nodes_of(sketches), "nodes")
     rows = band_rows(nodes)
-    stars = star_pairs(rows).select(F.col("rid").alias("a"), F.col("hub").alias("b"))
-    pairs = staged(_estimated(stars, nodes, threshold), "pairs")
+    made: list[str] = []      # tables that only the search needs
+    stars = star_pairs(rows, made).select(F.col("rid").alias("a"), F.col("hub").alias("b"))
+    pairs = staged(_estimated(stars, nodes, threshold), "pairs", made)
 
     source = docs.select(F.col("doc_id").cast("long").alias("rid"), F.xxhash64("text").alias("text_hash"), "text")
 
@@ -206,33 +210,35 @@ def link(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
         # repeated rows of one document are one text
         return source.join(ends, ["rid", "text_hash"]).dropDuplicates(["rid", "text_hash"])
 
-    texts = staged(texts_of(pairs), "texts")
+    texts = staged(texts_of(pairs), "texts", made)
 
     # one pair for each node, then those that still stand between components
     choice = F.row_number().over(W.partitionBy("a").orderBy(*_first_choice(F.col("est"))))
-    first = staged(pairs.withColumn("k", choice).where("k = 1").drop("k"), "first")
+    first = staged(pairs.withColumn("k", choice).where("k = 1").drop("k"), "first", made)
     labels = components(_confirmed(first, texts, threshold))
     open_pairs = staged(_with_components(pairs, labels).where("ca <> cb")
-                        .join(first.select("a", "b"), ["a", "b"], "left_anti"), "open")
+                        .join(first.select("a", "b"), ["a", "b"], "left_anti"), "open", made)
     if not open_pairs.isEmpty():
         labels = components(_as_edges(labels).unionByName(_confirmed(open_pairs, texts, threshold)))
 
     # buckets that hold several components: all pairs between them that were not tried yet
     tagged = staged(rows.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
-                    .select("bucket", "rid", F.coalesce("component", "rid").alias("c")), "tagged")
+                    .select("bucket", "rid", F.coalesce("component", "rid").alias("c")), "tagged", made)
     mixed = (tagged.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
              .where("lo < hi").select("bucket"))
-    mixed = staged(mixed, "mixed-buckets")
-    left = staged(tagged.join(mixed, "bucket"), "mixed")
+    mixed = staged(mixed, "mixed-buckets", made)
+    left = staged(tagged.join(mixed, "bucket"), "mixed", made)
     if not left.isEmpty():
         cross = (left.select("bucket", F.col("rid").alias("a"), F.col("c").alias("ca"))
                  .join(left.select("bucket", F.col("rid").alias("b"), F.col("c").alias("cb")), "bucket")
                  .where("ca < cb").select("a", "b").distinct())
         tried = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rest = staged(_estimated(cross.join(tried, ["a", "b"], "left_anti"), nodes, threshold), "rest")
+        rest = staged(_estimated(cross.join(tried, ["a", "b"], "left_anti"), nodes, threshold), "rest", made)
         if not rest.isEmpty():
-            more = staged(texts_of(rest), "more-texts")
+            more = staged(texts_of(rest), "more-texts", made)
             labels = components(_as_edges(labels).unionByName(_confirmed(rest, more, threshold)))
+    # the result reads the sketches, the nodes and the last labels
+    drop_paths(docs.sparkSession, made)
 
     named = (nodes.select("fp1", "fp2", "rid").join(labels, F.col("rid") == F.col("node"), "left")
              .select("fp1", "fp2", F.coalesce("component", "rid").alias("component_id")))
