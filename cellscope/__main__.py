@@ -1,7 +1,14 @@
-"""Command line for spark-submit: load or run one logical date.
+"""Command line for spark-submit.
 
-    python -m cellscope load     --lake ROOT --warehouse ROOT --date YYYY-MM-DD
-    python -m cellscope run-date --lake ROOT --warehouse ROOT --date YYYY-MM-DD [--late drop|upsert]
+    python -m cellscope load        --lake ROOT --warehouse ROOT --date YYYY-MM-DD
+    python -m cellscope run-date    --lake ROOT --warehouse ROOT --date YYYY-MM-DD [--late drop|upsert|replace]
+    python -m cellscope kpi         --warehouse ROOT --date YYYY-MM-DD
+    python -m cellscope stream-load --lake ROOT --warehouse ROOT --checkpoint DIR
+    python -m cellscope land        --lake ROOT --checkpoint DIR --servers HOST:PORT --topic NAME
+                                    [--batch-size N] [--max-batches N]
+
+`load` and `run-date` end with status 1 if objects could not be loaded, `run-date` also if a
+serving check failed.
 """
 
 from __future__ import annotations
@@ -16,34 +23,61 @@ from cellscope.session import get_spark
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="cellscope")
     sub = parser.add_subparsers(dest="command", required=True)
-    for name, helptext in (("load", "load one date from the lake into the raw table"),
-                           ("run-date", "load one date and publish every layer")):
-        p = sub.add_parser(name, help=helptext)
-        p.add_argument("--lake", required=True)
-        p.add_argument("--warehouse", required=True)
-        p.add_argument("--date", required=True, help="logical date, YYYY-MM-DD")
+
+    def command(name: str, text: str, *options: str) -> argparse.ArgumentParser:
+        p = sub.add_parser(name, help=text)
+        for o in options:
+            p.add_argument(o, required=True)
+        return p
+
+    for name, text in (("load", "load one date from the lake into the raw table"),
+                       ("run-date", "load one date and publish every layer")):
+        p = command(name, text, "--lake", "--warehouse", "--date")
         p.add_argument("--on-malformed", choices=("failfast", "quarantine"), default="failfast")
         if name == "run-date":
-            p.add_argument("--late", choices=("upsert", "drop"), default="upsert")
-            p.add_argument("--late-days", type=int, default=None)
+            p.add_argument("--late", choices=("upsert", "drop", "replace"), default="upsert")
+    command("kpi", "replace the hourly KPI of the event dates that one ingestion date touches", "--warehouse", "--date")
+    command("stream-load", "load newly landed objects once, from a checkpoint", "--lake", "--warehouse", "--checkpoint")
+    p = command("land", "land the change stream in the lake", "--lake", "--checkpoint", "--servers", "--topic")
+    p.add_argument("--batch-size", type=int, default=200)
+    p.add_argument("--max-batches", type=int, default=None)
     return parser
 
 
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     spark = get_spark()
-    if args.command == "load":
-        from cellscope.plans.load import load_date
+    out: dict = {}
+    status = 0
+    if args.command in ("load", "run-date"):
+        from cellscope.plans.load import MalformedObjects, load_date
+        from cellscope.plans.pipeline import run_pipeline
 
-        res = load_date(spark, args.lake, args.warehouse, args.date, on_malformed=args.on_malformed)
-        print(json.dumps(res.__dict__))
+        try:
+            if args.command == "load":
+                out = load_date(spark, args.lake, args.warehouse, args.date, args.on_malformed).__dict__
+            else:
+                res = run_pipeline(spark, args.lake, args.warehouse, args.date, late=args.late,
+                                   on_malformed=args.on_malformed)
+                out = {"load": res.load.__dict__, "counts": res.counts, "failed_checks": res.failed}
+                status = int(bool(res.failed))
+        except MalformedObjects as e:
+            out, status = {**e.result.__dict__, "error": str(e)}, 1
+    elif args.command == "kpi":
+        from cellscope.plans.pipeline import publish_kpi
+
+        publish_kpi(spark, args.warehouse, args.date)
+    elif args.command == "stream-load":
+        from cellscope.streaming.loader import stream_load
+
+        stream_load(spark, args.lake, args.warehouse, args.checkpoint).awaitTermination()
     else:
-        from cellscope.plans.pipeline import run_pipeline
+        from cellscope.streaming.landing import kafka_source, land_stream
 
-        res = run_pipeline(spark, args.lake, args.warehouse, args.date, late=args.late,
-                           late_days=args.late_days)
-        print(json.dumps({"load": res.load.__dict__, "counts": res.counts}))
-    return 0
+        messages = kafka_source(spark, args.servers, args.topic, args.batch_size)
+        land_stream(messages, args.lake, args.checkpoint, max_batches=args.max_batches).awaitTermination()
+    print(json.dumps(out))
+    return status
 
 
 if __name__ == "__main__":

@@ -50,11 +50,6 @@ def json_bool(json_text, key: str) -> Column:
     return F.get_json_object(col(json_text), f"$.{key}").try_cast("boolean")
 
 
-def safe_ratio(numerator, denominator) -> Column:
-    """numerator / denominator as DOUBLE, NULL when the denominator is 0 or NULL."""
-    return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))
-
-
 def exact_ratio(numerator, denominator) -> Column:
     """Integer counts -> exact DECIMAL ratio (38,18), NULL when the denominator is 0.
 
@@ -82,10 +77,20 @@ def in_trailing_window(ts, reference, days: int, end_days: int = 0) -> Column:
     return (ts > reference - F.make_interval(days=F.lit(days))) & (ts <= upper)
 
 
-def mask_msisdn(msisdn) -> Column:
+def mask_msisdn(msisdn, country: str = "994") -> Column:
     """Keep country code, operator prefix and last four digits: '+994501234567' ->
-    '+99450***4567' (X22). Values that are already masked pass unchanged."""
-    return F.regexp_replace(col(msisdn), r"^(\+\d{5})\d+(\d{4})$", "$1***$2")
+    '+99450***4567' (X22).
+
+    Blanks, dots, dashes and brackets are ignored; '00' and a missing '+' are read as an
+    international number, a single leading '0' as a national one of `country`. Values that are
+    masked already pass unchanged. Whatever cannot be read as a number becomes NULL: an unmasked
+    number never leaves.
+    """
+    bare = F.regexp_replace(col(msisdn), r"[\s().-]", "")
+    full = (F.when(bare.rlike(r"^0[1-9]\d{8}$"), F.concat(F.lit(country), F.substring(bare, 2, 9)))
+            .otherwise(F.regexp_extract(bare, r"^(?:\+|00)?([1-9]\d{9,14})$", 1)))
+    return (F.when(bare.rlike(r"^\+\d{5}\*{3}\d{4}$"), bare)
+            .when(full != "", F.concat(F.lit("+"), F.substring(full, 1, 5), F.lit("***"), F.right(full, F.lit(4)))))
 
 
 def ingest_partition_columns(ts_ms) -> list[Column]:

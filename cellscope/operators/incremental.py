@@ -1,12 +1,15 @@
 """Incremental facts keyed by `event_id`.
 
-Two policies for rows that arrive after newer ones were already published (T3):
+Three policies for rows that arrive after newer ones were already published (T3):
 
 * ``late="drop"`` reproduces the source system: only rows with `event_time` strictly later
   than the target's newest `event_time` are taken; matching ids are replaced
   (delete + insert). Late rows and ties at the newest time are skipped.
 * ``late="upsert"`` (default) takes every row whose id is not in the target yet, whatever
-  its time, so late data is not lost.
+  its time, so late data is not lost. Enough while a stored row never changes, as with
+  keep-first loading.
+* ``late="replace"`` takes every row of the source: a row whose id is stored replaces it
+  (delete + insert), whatever its time.
 
 The watermark is an uncorrelated scalar subquery over the target (one value), the id tests
 are left-anti joins on `event_id`.
@@ -30,7 +33,9 @@ def new_rows(target: DataFrame | None, source: DataFrame, key: str = "event_id",
         return source.where(F.col(time_col) > wm)
     if late == "upsert":
         return source.join(target.select(key), key, "left_anti")
-    raise ValueError(f"late must be 'drop' or 'upsert', not {late!r}")
+    if late == "replace":
+        return source
+    raise ValueError(f"late must be 'drop', 'upsert' or 'replace', not {late!r}")
 
 
 def merge(target: DataFrame | None, source: DataFrame, key: str = "event_id",
@@ -39,6 +44,8 @@ def merge(target: DataFrame | None, source: DataFrame, key: str = "event_id",
     new = new_rows(target, source, key, time_col, late)
     if target is None:
         return new
+    if late == "upsert":       # only unseen ids: nothing to delete
+        return target.unionByName(new)
     kept = target.join(new.select(key), key, "left_anti")
     return kept.unionByName(new)
 

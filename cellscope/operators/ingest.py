@@ -4,9 +4,11 @@ The raw table's key is `event_id`, first delivery wins (A11, I6, T6). "First" is
 of (`_source_object_key` as text, `_cdc_source_ts_ms`); line position inside an object is not
 kept by Spark, so it is not part of the rule.
 
-Keep-first is a `min(struct(order, payload))` aggregate per `event_id`: it combines map-side,
-so repeated deliveries of one id never meet in a single task as a whole group, and it does
-not sort. Against the existing table it is a left-anti join on `event_id`.
+Keep-first counts deliveries per `event_id` first, which combines map-side on fixed-width
+buffers; only ids delivered more than once go through a `min(struct(order, payload))`
+aggregate, so the payload of the many single deliveries is never sorted. Against the existing
+table it is a left-anti join on `event_id`. Rows without an id can't be keyed: they are
+rejected while the records are decoded, and `keep_first` refuses them.
 """
 
 from __future__ import annotations
@@ -32,9 +34,13 @@ def keep_first(batch: DataFrame, target: DataFrame | None = None, key: str = "ev
     One row per key (the first by `order`), minus keys already present in `target`.
     """
     payload = [c for c in batch.columns if c != key and c not in order]
+    batch = batch.withColumn(key, F.when(F.col(key).isNull(), F.raise_error(F.lit(f"row without {key}")))
+                             .otherwise(F.col(key)))
+    repeated = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
     first = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload]))
-    kept = batch.groupBy(key).agg(first.alias("_first")).select(key, "_first.*")
-    kept = kept.select(*batch.columns)
+    again = (batch.join(repeated, key, "left_semi").groupBy(key).agg(first.alias("_first"))
+             .select(key, "_first.*").select(*batch.columns))
+    kept = batch.join(repeated, key, "left_anti").select(*batch.columns).unionByName(again)
     if target is not None:
         kept = kept.join(target.select(key), key, "left_anti")
     return kept
@@ -75,6 +81,6 @@ def ingest_hour_partitions(messages: DataFrame, ts_ms_col: str) -> DataFrame:
 def cast_to_contract_decimals(raw: DataFrame) -> DataFrame:
     """Cast measures to the warehouse's fixed-point types (signal 6,1; volume 12,2;
     throughput 8,2; latency 8,1), rounding half up as a fixed-point column does on insert.
-    A value that does not fit becomes NULL instead of failing the load."""
+    Values that do not fit are rejected while the records are decoded (`cdc.unfit`)."""
     return raw.select(*[F.col(c).try_cast(S.RAW_DECIMALS[c]).alias(c) if c in S.RAW_DECIMALS else F.col(c)
                         for c in raw.columns])

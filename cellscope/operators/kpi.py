@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 from cellscope import schemas as S
 from cellscope.functions import expressions as X
 
-KPI_COLUMNS = ("cell_id", "kpi_hour", "call_attempts", "dropped_calls", "failed_setups",
-               "drop_rate", "data_sessions", "total_volume_mb", "avg_throughput_mbps",
-               "p95_latency_ms", "avg_signal_dbm", "kpi_date")
-
-
 def cell_hourly_kpi(valid: DataFrame, exact: bool = True) -> DataFrame:
     """agg_cell_hourly_kpi: one row per cell and hour of event time (valid rows, T17)."""
     et = F.col("event_type")
@@ -53,7 +48,9 @@ def region_quality(valid: DataFrame, period: str = "day", level: str = "cell_reg
     start Monday), with the KPI at fault (E16).
 
     Same score as the cell ranking (drop rate x 100 + latency / 10 - throughput / 10) per
-    (level, period); `kpi_at_fault` names the larger penalty term. The rank window is
+    (level, period); `kpi_at_fault` names the term that most exceeds its best value: drop rate and
+    latency above 0, throughput below the period's best (ties in that order, NULL when no term
+    costs anything). The rank window is
     partitioned by period and holds one row per region or cell site.
     """
     et = F.col("event_type")
@@ -70,8 +67,15 @@ def region_quality(valid: DataFrame, period: str = "day", level: str = "cell_reg
     drop_term = F.coalesce(drop_rate, zero) * S.DROP_RATE_WEIGHT
     lat_term = F.coalesce(F.col("lat"), zero) / int(S.LATENCY_DIVISOR)
     tp_term = F.coalesce(F.col("tp"), zero) / int(S.THROUGHPUT_DIVISOR)
-    scored = agg.select("*", drop_rate.alias("drop_rate"), (drop_term + lat_term - tp_term).alias("score"),
-                        F.when(drop_term >= lat_term, "drop_rate").otherwise("latency").alias("kpi_at_fault"))
+    best_tp = F.max(tp_term).over(Window.partitionBy("event_date"))
+    # a level without data sessions has no throughput that could be at fault
+    lost = F.when(F.col("tp").isNotNull(), best_tp - tp_term).otherwise(zero)
+    scored = (agg.select("*", drop_rate.alias("drop_rate"), (drop_term + lat_term - tp_term).alias("score"),
+                         drop_term.alias("dt"), lat_term.alias("lt"), lost.alias("tt"))
+              .withColumn("most", F.greatest("dt", "lt", "tt"))
+              .withColumn("kpi_at_fault", F.when(F.col("most") <= 0, F.lit(None))
+                          .when(F.col("dt") == F.col("most"), "drop_rate")
+                          .when(F.col("lt") == F.col("most"), "latency").otherwise("throughput")))
     by_day = Window.partitionBy("event_date").orderBy(F.col("score").desc())
     return scored.select(
         level, "event_date",

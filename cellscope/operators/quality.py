@@ -39,11 +39,6 @@ def _count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("failing_rows"))
 
 
-def not_null(df: DataFrame, model: str, column: str, severity: str = "error") -> Check:
-    return Check(f"not_null_{model}_{column}", model, column, severity,
-                 df.agg(F.count_if(F.col(column).isNull()).alias("failing_rows")))
-
-
 def unique(df: DataFrame, model: str, column: str, severity: str = "error") -> Check:
     """Number of key values that occur more than once (NULL ignored). The per-key count
     combines map-side, so a hot key is one partial row per task."""
@@ -152,17 +147,17 @@ def serving_checks(ranking: DataFrame, churn: DataFrame) -> list:
     ]
 
 
-def gate(checks: DataFrame, layer: str) -> DataFrame:
+def gate(checks: DataFrame, layer: str) -> list:
     """Write-audit-publish gate (Q13): raise if any blocking check fails.
 
-    Collects the check table only (one row per check). Returns it for reporting.
+    Runs the checks once and returns their rows (one per check) for reporting.
     """
     rows = checks.collect()
     failed = [r for r in rows if r["status"] == "fail"]
     if failed:
         names = ", ".join(f"{r['check_name']}={r['failing_rows']}" for r in failed)
         raise QualityGateError(f"{layer}: blocking checks failed: {names}")
-    return checks
+    return rows
 
 
 def gate_decision(checks: DataFrame, layer: str) -> DataFrame:

@@ -4,7 +4,7 @@
 once to a literal (`reference_time_value`, one aggregate over the `event_time` column) and
 inlined, never joined. As a literal, the trailing windows become plain range predicates:
 Parquet pushdown applies, and on published facts (partitioned by `event_date`) a derived
-`event_date` bound prunes every partition outside the window. `reference_time()` keeps the
+`event_date` bound prunes every partition outside the window. `reference_time_df()` keeps the
 scalar-subquery form for callers that want a single lazy plan.
 
 Both views are written as one aggregate each (instead of two aggregates plus outer joins):
@@ -28,11 +28,6 @@ def reference_time_df(voice: DataFrame, data: DataFrame) -> DataFrame:
     return times.agg(F.max("event_time").alias("reference_time"))
 
 
-def reference_time(voice: DataFrame, data: DataFrame) -> Column:
-    """E1 as a scalar-subquery column."""
-    return reference_time_df(voice, data).scalar()
-
-
 def reference_time_value(voice: DataFrame, data: DataFrame) -> Column:
     """E1 resolved to a TIMESTAMP literal (NULL when both facts are empty, T16)."""
     value = reference_time_df(voice, data).first()[0]

@@ -11,11 +11,12 @@ TS_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 
 FIXTURE = r"""
 fx0 AS (
-  SELECT event_id AS n, user_id AS u, ts FROM events
-  WHERE NOT (user_id % 5 = 0 AND ts >= TIMESTAMP '2024-01-24 00:00:00' AND event_id % 3 <> 0)
+  SELECT event_id AS n, user_id AS u, ts,
+         (user_id % 5 = 0 AND ts >= TIMESTAMP '2024-01-24 00:00:00' AND event_id % 3 <> 0) AS decayed
+  FROM events
 ),
 fx1 AS (
-  SELECT n, u, ts, n % 20 AS tm, n % 21 AS dm, n % 11 AS kd, (n * 31 + u * 17) % 101 AS rl,
+  SELECT n, u, ts, CASE WHEN decayed THEN 17 + n % 3 ELSE n % 20 END AS tm, n % 21 AS dm, n % 11 AS kd, (n * 31 + u * 17) % 101 AS rl,
          CASE WHEN u % 5 = 0 AND n % 2 = 0 THEN (u % 6) * 10 + 3 ELSE (n * 7 + u) % 60 END AS c
   FROM fx0
 ),
@@ -295,10 +296,12 @@ SELECT {level}, event_date, CAST(vc AS BIGINT) AS voice_call_count,
   CAST(round(CAST(tp AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_throughput_mbps,
   CAST(round(CAST(lat AS DECIMAL(18, 9)), 2) AS DOUBLE) AS avg_latency_ms,
   CAST(round(score, 4) AS DOUBLE) AS quality_score,
-  CASE WHEN dterm >= lterm THEN 'drop_rate' ELSE 'latency' END AS kpi_at_fault,
+  CASE WHEN greatest(dterm, lterm, lost) <= 0 THEN NULL WHEN dterm = greatest(dterm, lterm, lost) THEN 'drop_rate'
+       WHEN lterm = greatest(dterm, lterm, lost) THEN 'latency' ELSE 'throughput' END AS kpi_at_fault,
   CAST(rank() OVER (PARTITION BY event_date ORDER BY score DESC) AS INTEGER) AS day_rank
 FROM (
-  SELECT *, CAST(dterm + lterm - tterm AS DECIMAL(18, 9)) AS score FROM (
+  SELECT *, CAST(dterm + lterm - tterm AS DECIMAL(18, 9)) AS score,
+         CASE WHEN tp IS NULL THEN 0 ELSE max(tterm) OVER (PARTITION BY event_date) - tterm END AS lost FROM (
     SELECT *, CAST(coalesce(dr, 0) * 100 AS DECIMAL(18, 9)) AS dterm,
               CAST(coalesce(lat, 0) / 10.0e0 AS DECIMAL(18, 9)) AS lterm,
               CAST(coalesce(tp, 0) / 10.0e0 AS DECIMAL(18, 9)) AS tterm
@@ -505,4 +508,6 @@ inc_new_drop AS (
   WHERE event_time > (SELECT coalesce(max(event_time), TIMESTAMP '1970-01-01 00:00:00') FROM inc_target)
 )""")
 
-_q("msisdn_mask", "SELECT event_id, subscriber_msisdn_masked FROM network_events")
+_q("msisdn_mask", """SELECT CAST(n AS VARCHAR) AS event_id,
+  CASE WHEN n % 6 <> 5 THEN '+99450***' || lpad(CAST(u % 10000 AS VARCHAR), 4, '0') END AS subscriber_msisdn_masked
+FROM fx0""")

@@ -9,29 +9,17 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from cellscope.operators import curated, serving, staging
-from cellscope.plans import publish
-from cellscope.sources import fixture
 
 
 class Layers:
-    """`materialize=True` writes the curated layers (facts, dimensions) once to the shared
-    checkpoint folder on first use, as the pipeline publishes them; later consumers scan the
-    written tables instead of recomputing staging in every branch of their plan."""
+    """The model's layers over one raw DataFrame."""
 
-    def __init__(self, raw: DataFrame, keep_flags: tuple[str, ...] = (), materialize: bool = False):
+    def __init__(self, raw: DataFrame, keep_flags: tuple[str, ...] = ()):
         self.raw = raw
         self.keep_flags = keep_flags
-        self.materialize = materialize
-
-    def _m(self, df: DataFrame, name: str) -> DataFrame:
-        return publish.stage(df, name) if self.materialize else df
-
-    @classmethod
-    def from_fixture(cls, spark: SparkSession, sf_dir: str, **kw) -> "Layers":
-        return cls(fixture.network_events(spark, sf_dir), **kw)
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -47,19 +35,19 @@ class Layers:
 
     @cached_property
     def voice(self) -> DataFrame:
-        return self._m(curated.fct_voice_call(self.valid), "fct_voice_call")
+        return curated.fct_voice_call(self.valid)
 
     @cached_property
     def data(self) -> DataFrame:
-        return self._m(curated.fct_data_session(self.valid), "fct_data_session")
+        return curated.fct_data_session(self.valid)
 
     @cached_property
     def dim_cell(self) -> DataFrame:
-        return self._m(curated.dim_cell_site(self.valid), "dim_cell_site")
+        return curated.dim_cell_site(self.valid)
 
     @cached_property
     def dim_sub(self) -> DataFrame:
-        return self._m(curated.dim_subscriber(self.valid), "dim_subscriber")
+        return curated.dim_subscriber(self.valid)
 
     @cached_property
     def ref(self):

@@ -4,19 +4,24 @@ Idempotent at two levels, like the source system:
 * object level: objects recorded in the ledger are not read again (A10);
 * row level: an `event_id` already in the raw table is not inserted again (A11).
 
-Write order is rows first, ledger second. A run that dies between the two leaves objects
-unrecorded; the next run reads them again and the row-level anti-join drops every row that
-already landed, so replays are harmless (A12). Spark's commit protocol makes each of the two
-appends all-or-nothing, so a lost executor only retries tasks, never publishes half a write.
+An object is loaded as a whole or not at all (A12): under `failfast` one line that can't be
+stored keeps its object out, the sound objects are committed, and the run ends with an error
+that names the others. Under `quarantine` such lines go to `raw/_quarantine` and the rest of
+their object is loaded.
+
+Write order is quarantine, rows, ledger. A run that dies in between leaves objects unrecorded;
+the next run reads them again, and anti-joins drop every quarantined line and every row that
+already landed, so replays are harmless. Spark's commit protocol makes each append
+all-or-nothing, so a lost executor only retries tasks, never publishes half a write.
 
 Tables (Parquet, under `warehouse`):
 * `raw/network_events`, partitioned by `_ingest_date` (the object's `dt`);
-* `raw/_loaded_objects` (object_key, loaded_at), partitioned by `_ingest_date`.
+* `raw/_loaded_objects` (object_key, loaded_at), partitioned by `_ingest_date`;
+* `raw/_quarantine` (_source_object_key, _corrupt_record), partitioned by `_ingest_date`.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,6 +42,14 @@ class LoadResult:
     rows_inserted: int
 
 
+class MalformedObjects(RuntimeError):
+    """Some objects hold lines that can't be stored; every other object has been loaded."""
+
+    def __init__(self, result: LoadResult, failed: int, examples: list[str]):
+        super().__init__(f"{failed} object(s) not loaded, for example {', '.join(examples)}")
+        self.result = result
+
+
 def raw_path(warehouse: str) -> str:
     return f"{warehouse.rstrip('/')}/raw/network_events"
 
@@ -45,13 +58,16 @@ def ledger_path(warehouse: str) -> str:
     return f"{warehouse.rstrip('/')}/raw/_loaded_objects"
 
 
-def _loaded_keys(spark: SparkSession, warehouse: str, date: str) -> set[str]:
-    """Ledger entries of one date (bounded by the number of objects of that date)."""
-    ledger = publish.read_table(spark, ledger_path(warehouse))
-    if ledger is None:
-        return set()
-    rows = ledger.where(F.col("_ingest_date") == date).select("object_key").collect()
-    return {r[0] for r in rows}
+def quarantine_path(warehouse: str) -> str:
+    return f"{warehouse.rstrip('/')}/raw/_quarantine"
+
+
+def _ledger(spark: SparkSession, warehouse: str, date: str) -> DataFrame:
+    """Objects of one date that are loaded already."""
+    found = publish.read_table(spark, ledger_path(warehouse))
+    if found is None:
+        return spark.createDataFrame([], "object_key string")
+    return found.where(F.col("_ingest_date") == date).select("object_key")
 
 
 def parse_lines(lines: DataFrame, on_malformed: str = "failfast", contract_types: bool = True) -> DataFrame:
@@ -65,48 +81,46 @@ def parse_lines(lines: DataFrame, on_malformed: str = "failfast", contract_types
 
 
 def load_date(spark: SparkSession, lake_root: str, warehouse: str, date: str,
-              on_malformed: str = "failfast", dedup_horizon_days: int | None = None,
-              contract_types: bool = True) -> LoadResult:
+              on_malformed: str = "failfast", contract_types: bool = True) -> LoadResult:
     """Load every not-yet-loaded object under `dt=<date>/` into the raw table.
 
-    `dedup_horizon_days=None` checks new ids against the whole raw table (exact, like a
-    primary key). A bound N restricts the check to raw partitions within N days of the
-    loaded date, which keeps the anti-join proportional to the recent data when duplicates
-    can only come from re-delivery of recent offsets.
-    With `on_malformed="quarantine"`, unparsable lines go to `raw/_quarantine` instead of
-    failing the run.
+    The listing, the ledger and the objects' lines meet in joins on the object key; only counts
+    come to the driver. New ids are checked against the whole raw table, like a primary key.
     """
-    files = lake.list_objects(spark, lake_root, date)
-    keys = {f: f[f.rindex(S.LAKE_PREFIX + "/dt="):] for f in files}
-    done = _loaded_keys(spark, warehouse, date)
-    todo = [f for f in files if keys[f] not in done]
-    skipped = len(files) - len(todo)
-    if not todo:
-        return LoadResult(date, len(files), 0, skipped, 0)
-
-    lines = lake.read_lines(spark, lake_root, paths=todo)
-    rows = parse_lines(lines, on_malformed, contract_types)
-    if on_malformed == "quarantine":
-        bad = rows.where(F.col("_corrupt_record").isNotNull())
-        publish.append(bad.select("_source_object_key", "_corrupt_record", "_ingest_date"),
-                       f"{warehouse.rstrip('/')}/raw/_quarantine", ("_ingest_date",))
-        rows = rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    rows = rows.withColumn("_loaded_at", F.current_timestamp())
-
-    target = publish.read_table(spark, raw_path(warehouse))
-    if target is not None and dedup_horizon_days is not None:
-        day = dt.date.fromisoformat(date)
-        lo = (day - dt.timedelta(days=dedup_horizon_days)).isoformat()
-        hi = (day + dt.timedelta(days=dedup_horizon_days)).isoformat()
-        target = target.where(F.col("_ingest_date").between(lo, hi))
-    new = ingest.keep_first(rows, target)
-    # the inserted-row count is a metric of the append itself: no second pass over the rows
-    counter = Observation(f"load-{date}")
-    new = new.observe(counter, F.count(F.lit(1)).alias("rows"))
-    publish.append(new.select(*S.RAW_COLUMNS, "_ingest_date"), raw_path(warehouse), ("_ingest_date",))
-    inserted = int(counter.get["rows"])
-
-    loaded = spark.createDataFrame([(keys[f],) for f in todo], "object_key string") \
-        .select("object_key", F.current_timestamp().alias("loaded_at"), F.lit(date).alias("_ingest_date"))
-    publish.append(loaded, ledger_path(warehouse), ("_ingest_date",))
-    return LoadResult(date, len(files), len(todo), skipped, inserted)
+    objects, done = lake.objects(spark, lake_root, date), _ledger(spark, warehouse, date)
+    todo = publish.stage(ingest.objects_to_load(objects, done), "objects")
+    seen, n_todo = objects.count(), todo.count()
+    if not n_todo:
+        return LoadResult(date, seen, 0, seen, 0)
+
+    lines = ingest.objects_to_load(lake.read_lines(spark, lake_root, date=date), done)
+    with publish.staged(parse_lines(lines, "quarantine", contract_types), "parsed") as parsed:
+        bad = parsed.where(F.col("_corrupt_record").isNotNull())
+        rows = parsed.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+        failed = bad.select(F.col("_source_object_key").alias("object_key")).distinct()
+        n_failed = 0
+        if on_malformed == "quarantine":
+            line = ["_source_object_key", "_corrupt_record"]
+            held = publish.read_table(spark, quarantine_path(warehouse), bad)
+            new_bad = bad.select(*line, "_ingest_date").distinct().join(held.select(*line), line, "left_anti")
+            publish.append(new_bad, quarantine_path(warehouse), ("_ingest_date",))
+        else:
+            n_failed = failed.count()
+            rows = rows.join(failed.withColumnRenamed("object_key", "_source_object_key"),
+                             "_source_object_key", "left_anti")
+            todo = todo.join(failed, "object_key", "left_anti")
+
+        target = publish.read_table(spark, raw_path(warehouse))
+        new = ingest.keep_first(rows.withColumn("_loaded_at", F.current_timestamp()), target)
+        # the inserted-row count is a metric of the append itself: no second pass over the rows
+        counter = Observation(f"load-{date}")
+        new = new.select(*S.RAW_COLUMNS, "_ingest_date").observe(counter, F.count(F.lit(1)).alias("rows"))
+        publish.append(new, raw_path(warehouse), ("_ingest_date",))
+        inserted = int(counter.get["rows"])
+
+        loaded = todo.select("object_key", F.current_timestamp().alias("loaded_at"), F.lit(date).alias("_ingest_date"))
+        publish.append(loaded, ledger_path(warehouse), ("_ingest_date",))
+        result = LoadResult(date, seen, n_todo - n_failed, seen - n_todo, inserted)
+        if n_failed:
+            raise MalformedObjects(result, n_failed, [r[0] for r in failed.orderBy("object_key").limit(5).collect()])
+    return result

@@ -8,7 +8,6 @@ table, not from the lake.
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +24,12 @@ class PipelineResult:
     checks: dict = field(default_factory=dict)
     counts: dict = field(default_factory=dict)
 
+    @property
+    def failed(self) -> list[str]:
+        """Names of the checks that failed without blocking (Q14)."""
+        return [r["check_name"] for rows in self.checks.values() for r in rows
+                if "check_name" in r.asDict() and r["status"] == "fail"]
+
 
 def table(warehouse: str, layer: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{layer}/{name}"
@@ -35,8 +40,8 @@ def publish_fact(spark: SparkSession, source: DataFrame, path: str, late: str =
     """Merge `source` into a fact table partitioned by `event_date`.
 
     upsert: unseen ids are appended (late data kept). drop: rows newer than the table's newest
-    event time replace matching ids; the touched dates (of new rows and of replaced old rows)
-    are rewritten through a staged copy with dynamic partition overwrite.
+    event time replace matching ids; replace: all rows do. The touched dates (of new rows and of
+    replaced old rows) are rewritten through a staged copy with dynamic partition overwrite.
     """
     source = source.withColumn("event_date", F.to_date("event_time"))
     target = publish.read_table(spark, path)
@@ -47,11 +52,10 @@ def publish_fact(spark: SparkSession, source: DataFrame, path: str, late: str =
     if late == "upsert":
         publish.append(new, path, ("event_date",))
         return
-    new = publish.stage(new, "fact-new")
-    touched = incremental.touched_partitions(target, new, key, "event_date")
-    # the touched set has one row per day: small by construction, broadcast is safe
-    old = target.join(F.broadcast(touched), "event_date", "left_semi").join(new.select(key), key, "left_anti")
-    publish.replace_partitions(old.unionByName(new), path, ("event_date",), "fact-merge", reads_target=True)
+    with publish.staged(new, "fact-new") as new:
+        touched = incremental.touched_partitions(target, new, key, "event_date")
+        old = target.join(touched, "event_date", "left_semi").join(new.select(key), key, "left_anti")
+        publish.replace_partitions(old.unionByName(new), path, ("event_date",), "fact-merge", reads_target=True)
 
 
 def publish_dims(spark: SparkSession, valid_all: DataFrame, valid_run: DataFrame, paths: dict,
@@ -77,10 +81,36 @@ def publish_dims(spark: SparkSession, valid_all: DataFrame, valid_run: DataFrame
         publish.full_refresh(curated.dim_subscriber(valid_all), paths["dim_subscriber"], "dim-sub")
 
 
+def publish_kpi(spark: SparkSession, warehouse: str, date: str, keep_flags: tuple[str, ...] = (),
+                exact: bool = True) -> None:
+    """Hourly KPI (a job of its own in the source system, needing the raw table alone): replace
+    every event date that rows ingested on `date` touch, from all raw rows of those dates, so
+    that events ingested on other days stay counted."""
+    raw = publish.read_table(spark, raw_path(warehouse))
+    if raw is None:
+        return
+    stg = lambda df: staging.stg_valid(staging.stg_network_events(df.drop("_ingest_date"), keep_flags))
+    touched = stg(raw.where(F.col("_ingest_date") == date)).select(F.to_date("event_time").alias("kpi_date")).distinct()
+    source = stg(raw).withColumn("kpi_date", F.to_date("event_time")).join(touched, "kpi_date", "left_semi").drop("kpi_date")
+    publish.replace_partitions(kpi.cell_hourly_kpi(source, exact), table(warehouse, "curated", "agg_cell_hourly_kpi"),
+                               ("kpi_date",), "kpi")
+
+
+def publish_dq_summary(spark: SparkSession, warehouse: str, date: str, result: PipelineResult) -> None:
+    """Q11 of one run: rows per flag and failing rows per check, as the run's day of a table.
+    The rows are those of the checks that ran (one per check or flag)."""
+    rows = [("flag", r["flag"], r["row_count"], "reject") for r in result.checks.get("flags", [])]
+    for layer in ("staging", "curated", "serving", "completeness"):
+        rows += [("test", r["check_name"], r["failing_rows"], r["status"]) for r in result.checks.get(layer, [])]
+    df = spark.createDataFrame(rows, "kind string, name string, failing_rows long, status string")
+    publish.replace_partitions(df.withColumn("run_date", F.lit(date)), table(warehouse, "quality", "dq_summary"),
+                               ("run_date",), "dq")
+
+
 def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
                  late: str = "upsert", keep_flags: tuple[str, ...] = (),
                  exact_kpi: bool = True, incremental_dims: bool = True,
-                 late_days: int | None = None) -> PipelineResult:
+                 on_malformed: str = "failfast") -> PipelineResult:
     """Load one logical date and publish every layer that depends on it.
 
     Order: load (ledger + keep-first) -> staging checks (block curated) -> dimensions and
@@ -89,14 +119,11 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     the load inserts nothing twice and the facts merge the date's rows by `event_id`.
 
     late: incremental policy of the facts ("upsert" keeps late rows, "drop" reproduces the
-    source system's watermark). keep_flags: flags that do not reject a row (T1).
-    exact_kpi: exact or approximate p95. incremental_dims: merge instead of rebuild.
-    late_days: if set, events are assumed to be ingested at most that many days after their
-    event date (and at most one day before it, for clock skew); the KPI recomputation then
-    reads only the raw `_ingest_date` partitions that can hold events of the touched dates
-    instead of the whole raw table. Default: whole table (exact without assumptions).
+    source system's watermark, "replace" also takes changed rows). keep_flags: flags that do not
+    reject a row (T1). exact_kpi: exact or approximate p95. incremental_dims: merge instead of
+    rebuild. on_malformed: see `load_date`.
     """
-    result = PipelineResult(load=load_date(spark, lake_root, warehouse, date))
+    result = PipelineResult(load=load_date(spark, lake_root, warehouse, date, on_malformed))
 
     raw_all = publish.read_table(spark, raw_path(warehouse))
     if raw_all is None:        # nothing landed yet: nothing to publish
@@ -105,24 +132,26 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     stg_all = staging.stg_network_events(raw_all.drop("_ingest_date"), keep_flags)
     stg_run = staging.stg_network_events(raw_run, keep_flags)
 
-    # staging gate (Q1) on the rows of this run
-    result.checks["staging"] = quality.gate(quality.checks_table(quality.staging_checks(stg_run)), "staging").collect()
+    # staging gate (Q1) on the whole model: an id of this run may clash with an earlier one
+    result.checks["staging"] = quality.gate(quality.checks_table(quality.staging_checks(stg_all)), "staging")
 
     # curated: dimensions merged (or rebuilt), facts merged from this run's rows
     valid_all, valid_run = staging.stg_valid(stg_all), staging.stg_valid(stg_run)
     paths = {n: table(warehouse, "curated", n) for n in
              ("dim_cell_site", "dim_subscriber", "fct_voice_call", "fct_data_session")}
     publish_dims(spark, valid_all, valid_run, paths, incremental_dims)
-    publish_fact(spark, curated.fct_voice_call(valid_run), paths["fct_voice_call"], late)
-    publish_fact(spark, curated.fct_data_session(valid_run), paths["fct_data_session"], late)
+    voice_run, data_run = curated.fct_voice_call(valid_run), curated.fct_data_session(valid_run)
+    publish_fact(spark, voice_run, paths["fct_voice_call"], late)
+    publish_fact(spark, data_run, paths["fct_data_session"], late)
 
     dim_cell = spark.read.parquet(paths["dim_cell_site"])
     dim_sub = spark.read.parquet(paths["dim_subscriber"])
     # event_date stays: the serving windows use it to prune partitions
-    voice = spark.read.parquet(paths["fct_voice_call"])
-    data = spark.read.parquet(paths["fct_data_session"])
+    with_date = lambda df: df.withColumn("event_date", F.to_date("event_time"))
+    voice = publish.read_table(spark, paths["fct_voice_call"], with_date(voice_run))
+    data = publish.read_table(spark, paths["fct_data_session"], with_date(data_run))
     result.checks["curated"] = quality.gate(
-        quality.checks_table(quality.curated_checks(dim_cell, dim_sub, voice, data)), "curated").collect()
+        quality.checks_table(quality.curated_checks(dim_cell, dim_sub, voice, data)), "curated")
 
     # serving: materialised once per run, also exposed as temp views for analyst SQL
     ref = serving.reference_time_value(voice, data)
@@ -140,20 +169,10 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     result.checks["drift_keys"] = quality.drift_keys(stg_run).collect()
     result.checks["flags"] = staging.flag_counts(stg_run).collect()
 
-    # hourly KPI (parallel branch in the source system): replace every event date this run touched
-    touched = valid_run.select(F.to_date("event_time").alias("kpi_date")).distinct()
-    kpi_src = valid_all
-    if late_days is not None:
-        # the touched dates are a handful of days: bounded, read to the driver as two values
-        lo, hi = touched.agg(F.min("kpi_date"), F.max("kpi_date")).first()
-        if lo is not None:
-            parts = raw_all.where(F.col("_ingest_date").between(lo - dt.timedelta(days=1),
-                                                                hi + dt.timedelta(days=late_days)))
-            kpi_src = staging.stg_valid(staging.stg_network_events(parts.drop("_ingest_date"), keep_flags))
-    # one row per touched day: bounded by construction, so broadcasting it is safe
-    kpi_src = kpi_src.join(F.broadcast(touched), F.to_date("event_time") == touched.kpi_date, "left_semi")
-    publish.replace_partitions(kpi.cell_hourly_kpi(kpi_src, exact_kpi), table(warehouse, "curated", "agg_cell_hourly_kpi"),
-                               ("kpi_date",), "kpi")
+    publish_kpi(spark, warehouse, date, keep_flags, exact_kpi)
+    result.checks["completeness"] = quality.checks_table([quality.equal_counts(
+        stg_run, [valid_run, staging.stg_rejected(stg_run)], "raw_equals_valid_plus_rejected", "stg_network_events")]).collect()
+    publish_dq_summary(spark, warehouse, date, result)
 
     counts = quality.layer_counts({
         ("raw", "network_events"): raw_all, ("curated", "dim_cell_site"): dim_cell,
@@ -171,6 +190,7 @@ PUBLISHED = {
     "fct_voice_call": ("curated", "fct_voice_call"),
     "fct_data_session": ("curated", "fct_data_session"),
     "agg_cell_hourly_kpi": ("curated", "agg_cell_hourly_kpi"),
+    "dq_summary": ("quality", "dq_summary"),
     "vw_cell_quality_ranking": ("serving", "vw_cell_quality_ranking"),
     "vw_subscriber_churn_signals": ("serving", "vw_subscriber_churn_signals"),
 }

@@ -12,6 +12,9 @@ Staged copies live under the shared checkpoint folder named by `spark.checkpoint
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from cellscope.session import scratch_path
@@ -32,11 +35,36 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and len(fs.listStatus(p)) > 0)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if table_exists(spark, path) else None
+def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame | None:
+    """The table at `path`, or None. A table that was published without rows has no file to tell
+    its columns: it reads as None, or as an empty table with the columns of `like`."""
+    if table_exists(spark, path):
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+    return None if like is None else spark.createDataFrame([], like.schema)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str):
+    """`stage`, deleted at the end of the block."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        drop(df.sparkSession, path)
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to a fresh folder of the shared checkpoint location and read it back.
 
     Cuts the lineage (a lost executor re-reads the staged files instead of recomputing the
@@ -44,11 +72,8 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str, name: str, reads_target: bool = False) -> None:
@@ -58,8 +83,11 @@ def full_refresh(df: DataFrame, path: str, name: str, reads_target: bool = False
     (dimensions, views) are written straight from their plan and are recomputable from the
     layer below if a run fails.
     """
-    src = stage(df, name) if reads_target else df
-    src.write.mode("overwrite").parquet(path)
+    if reads_target:
+        with staged(df, name) as src:
+            src.write.mode("overwrite").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], name: str,
@@ -67,9 +95,15 @@ def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...],
     """Replace exactly the partitions present in `df` (e.g. every `kpi_date` the run
     touched); re-running a date rewrites the same partitions with the same rows. A plan that
     reads the table it rewrites (an incremental merge) goes through a staged copy first."""
-    src = stage(df, name, partition_by) if reads_target else df
-    (src.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    def write(src: DataFrame) -> None:
+        (src.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
+
+    if reads_target:
+        with staged(df, name) as src:
+            write(src)
+    else:
+        write(df)
 
 
 def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -117,27 +117,3 @@ VOICE_FACT_COLUMNS = ("event_id", "event_time", "subscriber_id", "cell_id", "cal
                       "duration_sec", "signal_dbm")
 DATA_FACT_COLUMNS = ("event_id", "event_time", "subscriber_id", "cell_id", "data_volume_mb",
                      "avg_throughput_mbps", "latency_ms", "signal_dbm")
-
-# Nested event as produced upstream (subscriber and cell as structs, drift keys beside them).
-NESTED_EVENT_SCHEMA = T.StructType([
-    T.StructField("event_id", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("event_time", T.StringType()),
-    T.StructField("subscriber", T.StructType([
-        T.StructField("subscriber_id", T.StringType()),
-        T.StructField("msisdn_masked", T.StringType()),
-        T.StructField("plan", T.StringType()),
-        T.StructField("activation_date", T.StringType()),
-    ])),
-    T.StructField("cell", T.StructType([
-        T.StructField("cell_id", T.StringType()),
-        T.StructField("region", T.StringType()),
-        T.StructField("radio_tech", T.StringType()),
-    ])),
-    T.StructField("signal_dbm", T.DoubleType()),
-    T.StructField("duration_sec", T.LongType()),
-    T.StructField("call_result", T.StringType()),
-    T.StructField("data_volume_mb", T.DoubleType()),
-    T.StructField("avg_throughput_mbps", T.DoubleType()),
-    T.StructField("latency_ms", T.DoubleType()),
-])

@@ -51,22 +51,23 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged tables.
+    """Shared folder for checkpoints and staged tables: `spark.checkpoint.dir`.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset (tests, a laptop)
-    do we pick a scratch folder of our own.
+    Where it is unset, a local master (tests, a laptop) gets a scratch folder of its own; any
+    other master is an error, since executors on other machines could not read it.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote (Connect) session exposes no SparkContext
         sc = None
-    if sc is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="cellscope-ckpt-")
-    configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if sc is not None:
+        configured = configured or sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cellscope-ckpt-")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
 
@@ -80,7 +81,7 @@ def session_key(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (never a machine-local temp dir)."""
+    """A fresh sub-folder of the shared checkpoint folder."""
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
@@ -89,15 +90,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
-
-
-def ensure_parallelism(df):
-    """Spread a scan that arrived in fewer partitions than the cluster has cores (one small
-    file) before expensive per-row work. A no-op for real inputs, which split into many
-    partitions on their own; it never reduces parallelism."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - remote session: leave partitioning to the server
-        return df
-    return df.repartition(target) if current < target else df

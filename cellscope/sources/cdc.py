@@ -78,6 +78,17 @@ def _field(record: Column, name: str, dtype) -> Column:
     return F.try_variant_get(record, f"$.{name}", dtype.simpleString())
 
 
+def unfit(record: Column, values: dict[str, Column]) -> Column:
+    """True if a contract column is present in the record but its value can't be stored: the
+    read of it gave NULL, or it exceeds the column's fixed-point type."""
+    out = F.lit(False)
+    for c, value in values.items():
+        given = F.try_variant_get(record, f"$.{c}", "variant")
+        stored = value.try_cast(S.RAW_DECIMALS[c]) if c in S.RAW_DECIMALS else value
+        out = out | (given.isNotNull() & ~F.is_variant_null(given) & stored.isNull())
+    return F.coalesce(out, F.lit(False))
+
+
 def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str = "cdc_ts_ms",
                   object_key: Column | None = None, loaded_at: Column | None = None,
                   on_malformed: str = "failfast") -> DataFrame:
@@ -86,8 +97,9 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
     `record_col` is the parsed record (VARIANT, from `unwrap`) or its JSON text. Known columns
     are read from the parsed value (an absent key gives NULL), the activation date is decoded
     from epoch days (B4), unknown keys go to `extra` (B2), the object key and CDC time are
-    attached. With `on_malformed="quarantine"` a line that is not a JSON object keeps NULL
-    columns and its text in `_corrupt_record`.
+    attached. A line is rejected if it is not a JSON object, has no event id (the raw key) or
+    holds a value that its column can't take (wrong type, out of the contract's range): it fails
+    the read, or with `on_malformed="quarantine"` keeps its text in `_corrupt_record`.
     """
     if isinstance(records.schema[record_col].dataType, T.VariantType):
         rec = F.col(record_col)
@@ -95,14 +107,19 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
         rec = _parse(F.col(record_col).cast("string"), on_malformed)
     line = F.col("_line") if "_line" in records.columns else F.col(record_col).cast("string")
     types = {f.name: f.dataType for f in S.RECORD_SCHEMA.fields}
-    cols = []
+    values = {}
     for c in S.RECORD_COLUMNS:
         if c == "subscriber_activation_date":
-            cols.append(X.epoch_day_to_date(_field(rec, c, T.StringType())).alias(c))
+            values[c] = X.epoch_day_to_date(_field(rec, c, T.StringType()))
         elif c == "duration_sec":
-            cols.append(_field(rec, c, T.LongType()).try_cast("int").alias(c))
+            values[c] = _field(rec, c, T.LongType()).try_cast("int")
         else:
-            cols.append(_field(rec, c, types[c]).alias(c))
+            values[c] = _field(rec, c, types[c])
+    bad = _as_object_map(rec).isNull() | values["event_id"].isNull() | unfit(rec, values)
+    if on_malformed != "quarantine":
+        why = F.concat(F.lit("record does not fit the raw contract: "), line)
+        values["event_id"] = F.when(bad, F.raise_error(why)).otherwise(values["event_id"])
+    cols = [v.alias(c) for c, v in values.items()]
     ts = F.col(ts_col) if ts_col in records.columns else F.lit(None).cast("bigint")
     cols += [
         drift_extra(rec, S.RECORD_COLUMNS).alias("extra"),
@@ -111,7 +128,7 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
         (loaded_at if loaded_at is not None else F.current_timestamp()).alias("_loaded_at"),
     ]
     if on_malformed == "quarantine":
-        cols.append(F.when(_as_object_map(rec).isNull(), line).alias("_corrupt_record"))
+        cols.append(F.when(bad, line).alias("_corrupt_record"))
     return records.select(*cols)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.session import ensure_parallelism, table_path
+from cellscope.session import table_path
 
 REPLAY_KEY = "raw/network_events/dt=2024-12-31/hr=00/p0_replay.jsonl"
 
@@ -24,14 +24,14 @@ def _ntz(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def network_events(spark: SparkSession, sf_dir: str, with_order_key: bool = False) -> DataFrame:
-    """raw.network_events built from `events` (one row per kept event)."""
-    ev = ensure_parallelism(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
+def network_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw.network_events built from `events` (one row per event)."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     n, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    # usage decay for a fifth of the users in the last week, so churn signals exist
-    ev = ev.where(~((u % 5 == 0) & (ts >= _ntz("2024-01-24 00:00:00")) & (n % 3 != 0)))
-
-    tm, dm, kd = n % 20, n % 21, n % 11
+    # usage decay for a fifth of the users in the last week, so churn signals exist: two thirds of
+    # their events are sms, which feed no activity
+    decayed = (u % 5 == 0) & (ts >= _ntz("2024-01-24 00:00:00")) & (n % 3 != 0)
+    tm, dm, kd = F.when(decayed, 17 + n % 3).otherwise(n % 20), n % 21, n % 11
     rl = (n * 31 + u * 17) % 101
     c = F.when((u % 5 == 0) & (n % 2 == 0), (u % 6) * 10 + 3).otherwise((n * 7 + u) % 60)
     ev = ev.select(
@@ -109,8 +109,6 @@ def network_events(spark: SparkSession, sf_dir: str, with_order_key: bool = Fals
         (F.lit(1704067200000) + n * 1000).alias("_cdc_source_ts_ms"),
         (ts + F.expr("INTERVAL 1 HOUR")).cast("timestamp").alias("_loaded_at"),
     ]
-    if with_order_key:
-        cols.append(n.alias("n"))
     return ev.select(*cols)
 
 

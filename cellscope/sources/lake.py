@@ -27,32 +27,23 @@ def object_key_of(path_col) -> F.Column:
     return F.regexp_extract(path_col, r"(raw/network_events/.*)$", 1)
 
 
-def list_objects(spark: SparkSession, lake_root: str, date: str | None = None) -> list[str]:
-    """File paths of one logical date (or the whole lake), sorted as text.
-
-    This is the file listing Spark itself performs on the driver to plan a scan; the paths
-    are metadata, not data.
-    """
+def objects(spark: SparkSession, lake_root: str, date: str | None = None) -> DataFrame:
+    """Objects of one logical date (or the whole lake) as rows `object_key`: the file listing as
+    a DataFrame, contents are not read."""
     path = lake_dir(lake_root) + (f"/dt={date}" if date else "")
     try:
-        files = spark.read.text(path).inputFiles()
+        files = (spark.read.format("binaryFile").option("basePath", lake_dir(lake_root))
+                 .option("recursiveFileLookup", "true").load(path))
+        return files.select(object_key_of(F.col("_metadata.file_path")).alias("object_key"))
     except AnalysisException:
-        return []
-    return sorted(files, key=lambda p: p.split(S.LAKE_PREFIX, 1)[-1])
-
-
-def read_lines(spark: SparkSession, lake_root: str, paths: list[str] | None = None,
-               date: str | None = None) -> DataFrame:
-    """Non-blank lines of the given objects (or of one date) with their object key, dt, hr."""
-    reader = spark.read.schema(LAKE_PARTITIONS).option("basePath", lake_dir(lake_root))
-    if paths is not None:
-        if not paths:
-            return spark.createDataFrame([], "value string, dt string, hr string, object_key string")
-        df = reader.text(paths)
-    else:
-        df = reader.text(lake_dir(lake_root))
-        if date:
-            df = df.where(F.col("dt") == date)
+        return spark.createDataFrame([], "object_key string")
+
+
+def read_lines(spark: SparkSession, lake_root: str, date: str | None = None) -> DataFrame:
+    """Non-blank lines of one date (or the whole lake) with their object key, dt, hr."""
+    df = spark.read.schema(LAKE_PARTITIONS).option("basePath", lake_dir(lake_root)).text(lake_dir(lake_root))
+    if date:
+        df = df.where(F.col("dt") == date)
     return (df.where(F.trim("value") != "")
             .select("value", "dt", "hr", object_key_of(F.col("_metadata.file_path")).alias("object_key")))
 

@@ -38,16 +38,22 @@ def landing_lines(messages: DataFrame, value_col: str = "value", time_col: str =
 
 
 def stop_after_batches(query: StreamingQuery, max_batches: int, poll_seconds: float = 0.1) -> StreamingQuery:
-    """A5: stop a running query once `max_batches` micro-batches have completed.
+    """A5: stop a running query once `max_batches` micro-batches have completed in this run, or
+    once the source has nothing more to give.
 
     Meant for timer-triggered queries (the trigger interval leaves time to stop between two
     batches); batch boundaries stay exactly-once through the checkpoint either way.
     """
     import time
 
+    done: set[int] = set()
     while query.isActive:
-        progress = query.lastProgress
-        if progress is not None and progress["batchId"] >= max_batches - 1:
+        for progress in query.recentProgress:
+            if progress["numInputRows"]:
+                done.add(progress["batchId"])
+        status = query.status
+        idle = query.lastProgress is not None and not status["isDataAvailable"] and not status["isTriggerActive"]
+        if len(done) >= max_batches or idle:
             query.stop()
             break
         time.sleep(poll_seconds)

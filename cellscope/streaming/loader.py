@@ -2,11 +2,9 @@
 
 The file source's checkpoint is the object ledger: each file is processed once, a restart
 continues with the files not yet committed (W6). Each micro-batch goes through the same
-keep-first insert as the batch loader, so a replayed batch inserts nothing twice (A12).
-
-`dedupe_within` offers the bounded-state alternative (W4): duplicates that arrive within the
-given delay of each other (by CDC change time) are removed in the stream's state store
-before the table check; state older than the watermark is dropped.
+keep-first insert as the batch loader, so a replayed batch inserts nothing twice (A12). That
+insert is also the duplicate suppression (W4): it compares ids with the whole raw table, however
+late a re-delivery is, and never drops a first delivery.
 """
 
 from __future__ import annotations
@@ -33,38 +31,15 @@ def lake_stream(spark: SparkSession, lake_root: str, max_files_per_trigger: int
             .select("value", "dt", "hr", lake.object_key_of(F.col("_metadata.file_path")).alias("object_key")))
 
 
-def dedupe_within(rows: DataFrame, delay: str) -> DataFrame:
-    """Drop repeated `event_id`s seen within `delay` of each other (bounded state)."""
-    return (rows.withColumn("_cdc_time", F.timestamp_millis("_cdc_source_ts_ms"))
-            .withWatermark("_cdc_time", delay)
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .drop("_cdc_time"))
-
-
 def stream_load(spark: SparkSession, lake_root: str, warehouse: str, checkpoint: str,
-                available_now: bool = True, dedupe_delay: str | None = None,
-                max_files_per_trigger: int | None = None,
-                dedup_horizon_days: int | None = None) -> StreamingQuery:
-    """Load landed objects continuously (or drain them once with `available_now`).
-
-    `dedup_horizon_days` bounds the per-batch id check to raw partitions within that many
-    days of the batch's ingestion dates (default: the whole table, exact).
-    """
+                available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Load landed objects continuously (or drain them once with `available_now`)."""
     rows = parse_lines(lake_stream(spark, lake_root, max_files_per_trigger))
-    if dedupe_delay:
-        rows = dedupe_within(rows, dedupe_delay)
     target_path = raw_path(warehouse)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("_loaded_at", F.current_timestamp())
         target = publish.read_table(batch.sparkSession, target_path)
-        if target is not None and dedup_horizon_days is not None:
-            lo, hi = batch.agg(F.min("_ingest_date"), F.max("_ingest_date")).first()
-            if lo is None:
-                return
-            span = F.make_interval(days=F.lit(dedup_horizon_days))
-            target = target.where(F.col("_ingest_date").between(F.to_date(F.lit(lo)) - span,
-                                                                 F.to_date(F.lit(hi)) + span))
         new = ingest.keep_first(batch, target)
         publish.append(new.select(*S.RAW_COLUMNS, "_ingest_date"), target_path, ("_ingest_date",))
 

@@ -17,8 +17,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_matches_its_oracle(spark):
-    res = compare(spark, SF, log=lambda *_: None)
-    assert set(res) == set(E.queries())
-    bad = {k: v for k, v in res.items() if v not in ("ok", "rows")}
-    assert not bad, bad
+    # the corpus queries have tests of their own beside their operators
+    res = compare(spark, SF, log=lambda *_: None, queries=E._QUERIES)
+    bad = {k: v for k, v in res.items() if v != "ok"}
+    assert set(res) == set(E._QUERIES) and not bad, bad
     assert set(E.oracle_sql()) <= set(E.queries())

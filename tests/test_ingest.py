@@ -96,14 +96,31 @@ def test_ingest_hour_rollover_utc(spark):
     assert got == [("2024-01-31", "23", 1), ("2024-02-01", "00", 1)]
 
 
-def test_contract_decimals_round_half_up_and_overflow_to_null(spark):
+def test_contract_decimals_round_half_up(spark):
     from decimal import Decimal
-    df = spark.createDataFrame([(22.875, -80.25, 1.005, 12345678.0), (-20000000.5, 1.0, 2.0, 3.0)],
+    df = spark.createDataFrame([(22.875, -80.25, 1.005, 12.0)],
                                "latency_ms double, signal_dbm double, data_volume_mb double, avg_throughput_mbps double")
-    rows = ingest.cast_to_contract_decimals(df).collect()
-    assert rows[0].latency_ms == Decimal("22.9") and rows[0].signal_dbm == Decimal("-80.3")
-    assert rows[0].avg_throughput_mbps is None          # does not fit decimal(8,2)
-    assert rows[1].latency_ms is None                   # does not fit decimal(8,1)
+    (row,) = ingest.cast_to_contract_decimals(df).collect()
+    assert row.latency_ms == Decimal("22.9") and row.signal_dbm == Decimal("-80.3")
+
+
+@pytest.mark.parametrize("bad", [
+    {"data_volume_mb": -99999999999999}, {"duration_sec": -5000000000}, {"signal_dbm": -99999999.5},
+    {"latency_ms": 1e12}, {"avg_throughput_mbps": "abc"}, {"subscriber_activation_date": "soon"},
+    {"event_id": None}])
+def test_values_that_do_not_fit_are_told(spark, bad):
+    line = json.dumps({**RECORD, **bad})
+    with pytest.raises(Exception, match="does not fit|event_id"):
+        decode(spark, [line])
+    msgs = spark.createDataFrame([(json.dumps(RECORD),), (line,)], "value string")
+    out = cdc.record_to_raw(cdc.unwrap(msgs, on_malformed="quarantine"), on_malformed="quarantine").collect()
+    assert sorted((r._corrupt_record or "") for r in out) == ["", line]
+
+
+def test_keep_first_refuses_rows_without_a_key(spark):
+    batch = spark.createDataFrame([(None, "o", 1), ("a", "o", 1)], "event_id string, _source_object_key string, _cdc_source_ts_ms bigint")
+    with pytest.raises(Exception, match="row without event_id"):
+        ingest.keep_first(batch).collect()
 
 
 def test_epoch_day_decode_rejects_non_dates(spark):

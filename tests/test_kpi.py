@@ -27,3 +27,10 @@ def test_hourly_kpi_measures(spark):
 def test_hourly_kpi_approximate_percentile(spark):
     (r,) = kpi.cell_hourly_kpi(rows(spark), exact=False).collect()
     assert abs(r.p95_latency_ms - 95.05) <= 1.0
+
+
+def test_throughput_can_be_at_fault(spark):
+    data = [("data_session", T, c, c, None, 1.0, tp, 1.0, -80.0) for c, tp in (("slow", 1.0), ("fast", 500.0))]
+    data += [("voice_call", T, "slow", "slow", "completed", None, None, None, None)]
+    got = {r.cell_region: r.kpi_at_fault for r in kpi.region_quality(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert got == {"slow": "throughput", "fast": "latency"}

@@ -56,7 +56,7 @@ def test_pipeline_two_dates_and_rerun(spark, tmp_path):
     assert spark.sql("select count(*) from vw_cell_quality_ranking").first()[0] == r3.counts["vw_cell_quality_ranking"]
     assert all(c["status"] == "pass" for c in r3.checks["curated"])
     from cellscope.plans.pipeline import register_views
-    assert len(register_views(spark, wh)) == 8
+    assert len(register_views(spark, wh)) == 9
     worst = spark.sql("SELECT r.cell_id, k.kpi_date FROM vw_cell_quality_ranking r "
                       "JOIN agg_cell_hourly_kpi k ON k.cell_id = r.cell_id WHERE r.quality_rank = 1 LIMIT 1").collect()
     assert len(worst) == 1
@@ -71,37 +71,93 @@ def test_pipeline_two_dates_and_rerun(spark, tmp_path):
     assert sorted(map(str, got_sub.collect())) == sorted(map(str, full_sub.collect()))
 
 
-def test_kpi_with_lateness_bound_equals_full_scan(spark, tmp_path):
-    root = str(tmp_path / "lake")
-    build_lake(spark, root)
-    wh_full, wh_pruned = str(tmp_path / "full"), str(tmp_path / "pruned")
-    for d in DATES:
-        run_pipeline(spark, root, wh_full, d)
-        run_pipeline(spark, root, wh_pruned, d, late_days=2)
-    cols = ["cell_id", "kpi_hour", "call_attempts", "data_sessions", "total_volume_mb", "p95_latency_ms"]
-    a = spark.read.parquet(table(wh_full, "curated", "agg_cell_hourly_kpi")).select(*cols).collect()
-    b = spark.read.parquet(table(wh_pruned, "curated", "agg_cell_hourly_kpi")).select(*cols).collect()
-    assert sorted(map(str, a)) == sorted(map(str, b)) and len(a) > 0
+def line(i, kind="voice_call", time="2024-01-10T10:05:00", **more):
+    import json
 
+    return json.dumps({"event_id": i, "event_type": kind, "event_time_raw": time, "subscriber_id": "s", "cell_id": "C",
+                       "cell_region": "R", "call_result": "completed" if kind == "voice_call" else None,
+                       "__source_ts_ms": 1, **more})
 
-def test_malformed_line_failfast_or_quarantine(spark, tmp_path):
-    import json
 
+def land(spark, root, *rows):
+    for value, dt, hr in rows:      # one object for each row
+        lake.write_ndjson(spark.createDataFrame([(value, dt, hr)], "value string, dt string, hr string").coalesce(1), root)
+
+
+def test_kpi_counts_rows_ingested_on_other_days(spark, tmp_path):
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land(spark, root, (line("a"), "2024-01-10", "00"), (line("b"), "2024-01-20", "00"))
+    run_pipeline(spark, root, wh, "2024-01-10")
+    run_pipeline(spark, root, wh, "2024-01-20")
+    (r,) = spark.read.parquet(table(wh, "curated", "agg_cell_hourly_kpi")).collect()
+    assert r.call_attempts == 2
+
+
+def test_pipeline_with_an_empty_fact(spark, tmp_path):
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land(spark, root, (line("a"), "2024-01-10", "00"), (line("d", "data_session", "2024-01-11T00:00:00", latency_ms=1.0), "2024-01-11", "00"))
+    first = run_pipeline(spark, root, wh, "2024-01-10")
+    assert (first.counts["fct_voice_call"], first.counts["fct_data_session"]) == (1, 0) and first.failed == []
+    assert run_pipeline(spark, root, wh, "2024-01-11").counts["fct_data_session"] == 1
+    summary = spark.read.parquet(table(wh, "quality", "dq_summary"))
+    assert {str(r.run_date) for r in summary.select("run_date").distinct().collect()} == {"2024-01-10", "2024-01-11"}
+
+
+def test_bad_object_stays_out_and_the_others_load(spark, tmp_path):
     import pytest
 
-    root = str(tmp_path / "lake")
-    good = json.dumps({"event_id": "g1", "event_type": "sms", "event_time_raw": "2024-01-05T00:00:00",
-                       "subscriber_id": "s", "cell_id": "C", "__source_ts_ms": 1})
-    lines = spark.createDataFrame([(good, "2024-01-05", "00"), ("{broken", "2024-01-05", "00")],
-                                  "value string, dt string, hr string")
-    lake.write_ndjson(lines.coalesce(1), root)
-    with pytest.raises(Exception):
-        load_date(spark, root, str(tmp_path / "wh1"), "2024-01-05")
-    wh = str(tmp_path / "wh2")
+    from cellscope.plans.load import MalformedObjects
+
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land(spark, root, (line("g1"), "2024-01-05", "00"), (line("g2"), "2024-01-05", "01"), ("{broken", "2024-01-05", "02"),
+         (line("x", latency_ms=1e12), "2024-01-05", "03"))
+    for _ in range(2):
+        with pytest.raises(MalformedObjects) as e:
+            load_date(spark, root, wh, "2024-01-05")
+    assert (e.value.result.objects_seen, e.value.result.objects_skipped) == (4, 2)
+    assert sorted(r.event_id for r in spark.read.parquet(raw_path(wh)).collect()) == ["g1", "g2"]
     res = load_date(spark, root, wh, "2024-01-05", on_malformed="quarantine")
-    assert res.rows_inserted == 1
-    q = spark.read.parquet(f"{wh}/raw/_quarantine").collect()
-    assert [r._corrupt_record for r in q] == ["{broken"]
+    assert (res.objects_loaded, res.rows_inserted) == (2, 0)
+    held = lambda: sorted(r._corrupt_record for r in spark.read.parquet(f"{wh}/raw/_quarantine").collect())
+    assert held() == sorted(["{broken", line("x", latency_ms=1e12)])
+
+
+def test_retry_after_a_failed_append_converges(spark, tmp_path, monkeypatch):
+    """A failure between any two writes leaves nothing doubled after the next run."""
+    import pytest
+
+    from cellscope.plans import publish
+
+    real = publish.append
+    for broken in range(3):
+        root, wh = str(tmp_path / f"lake{broken}"), str(tmp_path / f"wh{broken}")
+        land(spark, root, (line("g1"), "2024-01-05", "00"), ("{broken", "2024-01-05", "00"))
+        calls = iter(range(10))
+
+        def fail(*a, **k):
+            if next(calls) == broken:
+                raise RuntimeError("lost")
+            return real(*a, **k)
+
+        monkeypatch.setattr(publish, "append", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            load_date(spark, root, wh, "2024-01-05", on_malformed="quarantine")
+        monkeypatch.setattr(publish, "append", real)
+        load_date(spark, root, wh, "2024-01-05", on_malformed="quarantine")
+        assert spark.read.parquet(raw_path(wh)).count() == 1
+        assert spark.read.parquet(f"{wh}/raw/_quarantine").count() == 1
+
+
+def test_changed_rows_replace_stored_ones(spark, tmp_path):
+    from cellscope.plans.pipeline import publish_fact
+
+    path = str(tmp_path / "fact")
+    rows = lambda *r: spark.createDataFrame(list(r), "event_id string, t string, v int").selectExpr(
+        "event_id", "timestamp(t) AS event_time", "v")
+    publish_fact(spark, rows(("a", "2024-01-01", 1), ("b", "2024-01-02", 1)), path)
+    publish_fact(spark, rows(("a", "2024-01-03", 2), ("c", "2024-01-01", 1)), path, late="replace")
+    got = sorted((r.event_id, str(r.event_date), r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("a", "2024-01-03", 2), ("b", "2024-01-02", 1), ("c", "2024-01-01", 1)]
 
 
 def test_pipeline_on_empty_lake_is_a_no_op(spark, tmp_path):
@@ -119,3 +175,11 @@ def test_command_line_load(spark, tmp_path, capsys):
     assert main(["load", "--lake", root, "--warehouse", str(tmp_path / "wh"), "--date", DATES[0]]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["date"] == DATES[0] and out["rows_inserted"] > 0 and out["objects_skipped"] == 0
+    assert main(["run-date", "--lake", root, "--warehouse", str(tmp_path / "wh"), "--date", DATES[0],
+                 "--on-malformed", "quarantine"]) == 0
+    assert main(["kpi", "--warehouse", str(tmp_path / "wh"), "--date", DATES[0]]) == 0
+    lake.write_ndjson(spark.createDataFrame([("{broken", DATES[1], "00")], "value string, dt string, hr string"), root)
+    assert main(["run-date", "--lake", root, "--warehouse", str(tmp_path / "wh"), "--date", DATES[1]]) == 1
+    assert "not loaded" in capsys.readouterr().out
+    assert main(["stream-load", "--lake", root + "-s", "--warehouse", str(tmp_path / "wh-s"),
+                 "--checkpoint", str(tmp_path / "ck")]) == 0

@@ -78,3 +78,13 @@ def test_msisdn_mask(spark):
     from cellscope.functions import expressions as X
     df = spark.createDataFrame([("+994501234567",), ("+99450***4567",), (None,)], "m string")
     assert [r[0] for r in df.select(X.mask_msisdn("m")).collect()] == ["+99450***4567", "+99450***4567", None]
+
+
+def test_mask_fails_closed(spark):
+    from cellscope.functions import expressions as X
+
+    cases = {"+994501234567": "+99450***4567", "994501234567": "+99450***4567", "0501234567": "+99450***4567",
+             "+99450 123 45 67": "+99450***4567", "00994-50-123-45-67": "+99450***4567", "+99450***4567": "+99450***4567",
+             "(050) 123.45.67": "+99450***4567", "12345": None, "sim-0501234567": None, "": None, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "m string")
+    assert {r.m: r.x for r in df.select("m", X.mask_msisdn("m").alias("x")).collect()} == cases

@@ -1,13 +1,10 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from cellscope.plans.load import raw_path
 from cellscope.sources import lake
 from cellscope.streaming.landing import land_stream
-from cellscope.streaming.loader import dedupe_within, lake_stream, stream_load
-from cellscope.plans.load import parse_lines
+from cellscope.streaming.loader import stream_load
 
 MSG_SCHEMA = "value string, timestamp timestamp"
 
@@ -42,21 +39,28 @@ def test_landing_restart_adds_no_duplicates_then_load(spark, tmp_path):
     assert lake.read_lines(spark, root).count() == 6
 
     # one file per micro-batch: later batches check ids against rows stored by earlier ones
-    stream_load(spark, root, wh, ck2, dedup_horizon_days=1, max_files_per_trigger=1).awaitTermination()
+    stream_load(spark, root, wh, ck2, max_files_per_trigger=1).awaitTermination()
     assert spark.read.parquet(raw_path(wh)).count() == 5  # e0 re-delivered once, kept once
-    stream_load(spark, root, wh, ck2, dedup_horizon_days=1).awaitTermination()
+    stream_load(spark, root, wh, ck2).awaitTermination()
     assert spark.read.parquet(raw_path(wh)).count() == 5
 
 
-def test_dedupe_within_watermark(spark, tmp_path):
-    root = str(tmp_path / "lake")
-    lines = spark.createDataFrame([(rec(1), "2024-01-01", "00"), (rec(1), "2024-01-01", "01"), (rec(2), "2024-01-01", "01")],
-                                  "value string, dt string, hr string")
-    lake.write_ndjson(lines, root)
-    rows = dedupe_within(parse_lines(lake_stream(spark, root)), "1 hour")
-    q = rows.writeStream.format("memory").queryName("dedup_out").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert sorted(r.event_id for r in spark.sql("select event_id from dedup_out").collect()) == ["e1", "e2"]
+def test_late_first_delivery_is_loaded(spark, tmp_path):
+    """Three ids, the last one 11 hours older by change time, and a re-delivery: all ids stay."""
+    root, wh, hour = str(tmp_path / "lake"), str(tmp_path / "wh"), 3_600_000
+    base = 1704067200000 + 24 * hour
+    for k, r in enumerate([rec(1, base), rec(2, base), rec(3, base - 11 * hour), rec(1, base - 11 * hour)]):
+        lake.write_ndjson(spark.createDataFrame([(r, "2024-01-02", f"{k:02d}")], "value string, dt string, hr string"), root)
+    stream_load(spark, root, wh, str(tmp_path / "ck"), max_files_per_trigger=1).awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(raw_path(wh)).collect()) == ["e1", "e2", "e3"]
+
+
+def test_landing_returns_when_fewer_batches_arrive(spark, tmp_path):
+    src, root = str(tmp_path / "src"), str(tmp_path / "lake")
+    write_messages(src, "m.json", [(rec(1), "2024-01-01T10:00:00Z")])
+    msgs = spark.readStream.schema(MSG_SCHEMA).json(src)
+    q = land_stream(msgs, root, str(tmp_path / "ck"), max_batches=5)
+    assert not q.isActive and lake.read_lines(spark, root).count() == 1
 
 
 def test_landing_stops_after_max_batches(spark, tmp_path):
