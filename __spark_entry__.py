@@ -151,8 +151,8 @@ def q_cell_weekly_quality(spark, d):
 
 def q_dq_unique(spark, d):
     L = _layers(spark, d)
-    return quality.checks_table(quality.staging_checks(L.stg)
-                                + quality.curated_key_checks(L.dim_cell, L.dim_sub, L.voice, L.data)
+    return quality.checks_table([quality.event_key_checks(L.stg)]
+                                + quality.dimension_key_checks(L.dim_cell, L.dim_sub)
                                 + quality.serving_checks(L.ranking(), L.churn()))
 
 
@@ -167,9 +167,15 @@ def q_dq_relationships(spark, d):
     return quality.checks_table(quality.relationship_checks(L.dim_cell, L.dim_sub, L.voice, L.data))
 
 
+def _curated_checks(L: Layers, event_models: tuple[str, ...]) -> list:
+    return ([quality.event_key_checks(L.stg, event_models)] + quality.dimension_key_checks(L.dim_cell, L.dim_sub)
+            + [quality.accepted_values(L.voice, "fct_voice_call", "call_result", S.CALL_RESULTS)]
+            + quality.relationship_checks(L.dim_cell, L.dim_sub, L.voice, L.data))
+
+
 def q_dq_gate(spark, d):
     L = _layers(spark, d)
-    checks = quality.checks_table(quality.curated_checks(L.dim_cell, L.dim_sub, L.voice, L.data))
+    checks = quality.checks_table(_curated_checks(L, ("fct_voice_call", "fct_data_session")))
     return quality.gate_decision(checks, "curated")
 
 
@@ -192,8 +198,7 @@ def q_dq_completeness(spark, d):
 
 def q_dq_summary(spark, d):
     L = _layers(spark, d)
-    checks = quality.checks_table(quality.staging_checks(L.stg)
-                                  + quality.curated_checks(L.dim_cell, L.dim_sub, L.voice, L.data))
+    checks = quality.checks_table(_curated_checks(L, ("stg_network_events", "fct_voice_call", "fct_data_session")))
     return quality.flag_summary(staging.flag_counts(L.stg), checks)
 
 

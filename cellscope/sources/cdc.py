@@ -78,15 +78,15 @@ def _field(record: Column, name: str, dtype) -> Column:
     return F.try_variant_get(record, f"$.{name}", dtype.simpleString())
 
 
-def unfit(record: Column, values: dict[str, Column]) -> Column:
-    """True if a contract column is present in the record but its value can't be stored: the
-    read of it gave NULL, or it exceeds the column's fixed-point type."""
-    out = F.lit(False)
-    for c, value in values.items():
-        given = F.try_variant_get(record, f"$.{c}", "variant")
-        stored = value.try_cast(S.RAW_DECIMALS[c]) if c in S.RAW_DECIMALS else value
-        out = out | (given.isNotNull() & ~F.is_variant_null(given) & stored.isNull())
-    return F.coalesce(out, F.lit(False))
+def _given(record: Column) -> Column:
+    """How many contract columns the record holds a value for; NULL if it is no JSON object."""
+    return F.size(F.map_filter(_as_object_map(record), lambda k, v: k.isin(*S.RECORD_COLUMNS) & ~F.is_variant_null(v)))
+
+
+def _stored() -> Column:
+    """How many contract columns got a value that their fixed-point types can hold."""
+    fits = [F.col(c).try_cast(S.RAW_DECIMALS[c]) if c in S.RAW_DECIMALS else F.col(c) for c in S.RECORD_COLUMNS]
+    return sum((x.isNotNull().cast("int") for x in fits), F.lit(0))
 
 
 def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str = "cdc_ts_ms",
@@ -115,10 +115,6 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
             values[c] = _field(rec, c, T.LongType()).try_cast("int")
         else:
             values[c] = _field(rec, c, types[c])
-    bad = _as_object_map(rec).isNull() | values["event_id"].isNull() | unfit(rec, values)
-    if on_malformed != "quarantine":
-        why = F.concat(F.lit("record does not fit the raw contract: "), line)
-        values["event_id"] = F.when(bad, F.raise_error(why)).otherwise(values["event_id"])
     cols = [v.alias(c) for c, v in values.items()]
     ts = F.col(ts_col) if ts_col in records.columns else F.lit(None).cast("bigint")
     cols += [
@@ -127,9 +123,13 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
         F.coalesce(ts, _field(rec, S.SOURCE_TS_FIELD, T.LongType())).alias("_cdc_source_ts_ms"),
         (loaded_at if loaded_at is not None else F.current_timestamp()).alias("_loaded_at"),
     ]
+    out = records.select(*cols, _given(rec).alias("_given"), line.alias("_text"))
+    # a value that is given but not stored has the wrong type or is out of range
+    bad = F.col("_given").isNull() | F.col("event_id").isNull() | (F.col("_given") > _stored())
     if on_malformed == "quarantine":
-        cols.append(F.when(bad, line).alias("_corrupt_record"))
-    return records.select(*cols)
+        return out.withColumn("_corrupt_record", F.when(bad, F.col("_text"))).drop("_given", "_text")
+    why = F.concat(F.lit("record does not fit the raw contract: "), F.col("_text"))
+    return out.withColumn("event_id", F.when(bad, F.raise_error(why)).otherwise(F.col("event_id"))).drop("_given", "_text")
 
 
 def flatten_nested(events: DataFrame, value_col: str = "value", on_malformed: str = "failfast") -> DataFrame:

@@ -38,10 +38,11 @@ def stream_load(spark: SparkSession, lake_root: str, warehouse: str, checkpoint:
     target_path = raw_path(warehouse)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("_loaded_at", F.current_timestamp())
-        target = publish.read_table(batch.sparkSession, target_path)
-        new = ingest.keep_first(batch, target)
-        publish.append(new.select(*S.RAW_COLUMNS, "_ingest_date"), target_path, ("_ingest_date",))
+        # decoded once: keep-first looks at the batch several times
+        with publish.staged(batch.withColumn("_loaded_at", F.current_timestamp()), "batch") as rows:
+            target = publish.read_table(batch.sparkSession, target_path)
+            new = ingest.keep_first(rows, target)
+            publish.append(new.select(*S.RAW_COLUMNS, "_ingest_date"), target_path, ("_ingest_date",))
 
     writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

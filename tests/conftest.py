@@ -12,7 +12,7 @@ from cellscope.session import get_spark  # noqa: E402
 def spark(tmp_path_factory):
     ckpt = str(tmp_path_factory.mktemp("ckpt"))
     s = get_spark("local[4]", 4, app_name="cellscope-tests",
-                  extra={"spark.checkpoint.dir": ckpt, "spark.sql.adaptive.coalescePartitions.enabled": "true"})
+                  extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g", "spark.sql.adaptive.coalescePartitions.enabled": "true"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
