@@ -5,17 +5,20 @@ more; the result gives each document the smallest doc_id it reaches over links.
 
 1. Every whole text becomes its shingle set, a 128-bit fingerprint of the set and 128 SetSketch
    registers (exponentially spaced truncated minima, two bytes each). Equal sets are one node.
-2. Bands of four registers are hashed into buckets. Two sets at the threshold share none of the
-   32 buckets with probability below 1e-5.
+2. Bands of registers are hashed into buckets: 32 narrow bands of four registers, of which two
+   sets at the threshold share none with probability below 1e-5, and 16 wide bands of eight,
+   whose buckets stay small inside large groups.
 3. A bucket of n nodes gives at most 2(n-1) pairs: every node with the bucket's smallest id and
    with its smallest hash (another hub in every bucket). Pairs are estimated jointly by
    likelihood from their registers; those whose likelihood at the threshold is 18 below the best
    (six standard deviations) go, the rest are confirmed on full sets: first one pair for each
    node, then the pairs that still stand between two components.
-4. Buckets that still hold several components are searched whole: every pair of nodes of
-   different components, through the same estimate and confirmation. So no pair is given up for
-   the size of a bucket, and pairs inside a component, which can't change the result, are never
-   listed: a group of n copies costs n, not n squared.
+4. Narrow buckets that still hold several components are searched whole, so no pair is given up
+   for the size of a bucket, and pairs inside a component, which can't change the result, are
+   never listed. A node's shingles that occur in another component at all bound its overlap with
+   any node there, which rules out most pairs exactly; the others go through the same estimate
+   and confirmation. Large buckets are dealt out as pairs of blocks of 512 nodes, and each pair
+   of nodes is looked at in the first band that it shares.
 5. Components come from alternating large-star and small-star steps over the confirmed pairs.
 
 Nothing is collected: sketches, pairs, texts of candidates and component labels are tables in
@@ -31,6 +34,7 @@ links whatever any of them links.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -41,11 +45,11 @@ from pyspark.sql import functions as F
 from cellscope.llm import shingles as S
 from cellscope.llm.common import drop_paths, map_batches, staged
 
-BAND_REGISTERS = 4
-BANDS = S.M // BAND_REGISTERS
+NARROW, WIDE = 4, 8
 THRESHOLD = (75, 100)
 MARGIN = 18.0
 SALTS = 8
+BLOCK = 512
 
 
 def sketch(docs: DataFrame) -> DataFrame:
@@ -74,12 +78,12 @@ def nodes_of(sketches: DataFrame) -> DataFrame:
                  F.first("n_shingles").alias("n"), F.first("regs").alias("regs")))
 
 
-def band_rows(nodes: DataFrame) -> DataFrame:
-    """(bucket, rid): one row for each node and band."""
-    width = 2 * BAND_REGISTERS
-    return (nodes.select("rid", "regs", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-            .select(F.xxhash64("band", F.substring("regs", F.col("band") * width + 1, F.lit(width))).alias("bucket"),
-                    "rid"))
+def band_rows(nodes: DataFrame, registers: int) -> DataFrame:
+    """(bucket, band, rid): one row for each node and band of so many registers."""
+    width = 2 * registers
+    return (nodes.select("rid", "regs", F.explode(F.sequence(F.lit(0), F.lit(S.M // registers - 1))).alias("band"))
+            .select(F.xxhash64(F.lit(registers), "band", F.substring("regs", F.col("band") * width + 1, F.lit(width)))
+                    .alias("bucket"), "band", "rid"))
 
 
 def star_pairs(rows: DataFrame, made: list[str] | None = None) -> DataFrame:
@@ -135,6 +139,101 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -
     return map_batches(both, run, "a long, b long")
 
 
+def foreign_counts(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rid, m): how many shingles of a node occur in a node of another component. `members`:
+    distinct (rid, c); `texts`: rid, text. No overlap with such a node is larger than m."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rid, c, text in zip(*(batch.column(x).to_pylist() for x in ("rid", "c", "text"))):
+                s = S.shingle_set(text).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(s), pa.repeat(pa.scalar(rid, pa.int64()), len(s)),
+                                                  pa.repeat(pa.scalar(c, pa.int64()), len(s))], ["shingle", "rid", "c"])
+
+    made: list[str] = []
+    rows = staged(members.join(texts, "rid").select("rid", "c", "text")
+                  .mapInArrow(run, "shingle long, rid long, c long"), "shingles", made)
+    foreign = staged(rows.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+                     .where("lo < hi").select("shingle"), "foreign", made)
+    out = staged(rows.join(foreign, "shingle").groupBy("rid").agg(F.count("*").alias("m")), "counts")
+    drop_paths(texts.sparkSession, made)
+    return out
+
+
+def linkable(members: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Of `members` (rid, c) the nodes that may still link to another component: rid, n, m, regs,
+    text_hash. A node whose foreign shingles are too few even for a partner inside its own set
+    can't; without such nodes others have fewer foreign shingles, so the count is repeated while
+    it drops a tenth of the nodes."""
+    size = members.count()
+    while True:
+        counts = foreign_counts(members, texts.select("rid", "text"))
+        found = staged(nodes.select("rid", "n", "regs", "text_hash").join(counts, "rid")
+                       .where(F.col("m") * threshold[1] >= F.col("n") * threshold[0]), "linkable")
+        left = found.count()
+        if left >= 0.9 * size:
+            return found
+        members, size = members.join(found.select("rid"), "rid", "left_semi"), left
+
+
+def _pairs_in_blocks(found: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket but two components that sizes, foreign shingles and
+    registers allow. `found`: bucket, band, size (of the bucket), rid, c, n, m, regs, text_hash."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    dealt = (found.withColumn("blocks", blocks).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own",
+                     "band", "rid", "c", "n", "m", "regs", "text_hash"))
+    key = ["bucket", "lo", "hi"]
+    up, down = threshold
+
+    def search(t: dict) -> Iterator[pa.RecordBatch]:
+        """All pairs of one pair of blocks, a stretch of rows at a time."""
+        regs = np.frombuffer(b"".join(t["regs"]), np.uint16).reshape(-1, S.M)
+        bands = regs.view(np.uint64)
+        c, n, m, own = (np.array(t[x], np.int64) for x in ("c", "n", "m", "own"))
+        lo, hi, band = t["lo"][0], t["hi"][0], t["band"][0]
+        first, second = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        for at in range(0, len(first), 64):
+            i = np.repeat(first[at:at + 64], len(second))
+            j = np.tile(second, len(first[at:at + 64]))
+            small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            # an overlap of k suffices if down * k >= up * (n + n' - k)
+            keep = ((c[i] != c[j]) & (small * down >= large * up)
+                    & (np.minimum(m[i], m[j]) * (down + up) >= up * (n[i] + n[j])))
+            if lo == hi:
+                keep &= i < j
+            i, j = i[keep], j[keep]
+            if len(i):
+                once = (bands[i] == bands[j]).argmax(1) == band
+                i, j = i[once], j[once]
+            if len(i):
+                _, near = S.may_reach(regs[i], regs[j], n[i].astype(float), n[j].astype(float), up / down, MARGIN)
+                i, j = i[near], j[near]
+            if len(i):
+                take = lambda x, k: pa.array([t[x][q] for q in k.tolist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([take("rid", i), take("rid", j), take("text_hash", i),
+                                                  take("text_hash", j)], ["a", "b", "a_text", "b_text"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("own", "band", "lo", "hi", "rid", "c", "n", "m", "regs", "text_hash")
+        held, current = {x: [] for x in names}, None
+        for batch in batches:
+            cols = {x: batch.column(x).to_pylist() for x in (*key, *names)}
+            for r, k in enumerate(zip(*(cols[x] for x in key))):
+                if k != current:
+                    if len(held["rid"]) > 1:
+                        yield from search(held)
+                    held, current = {x: [] for x in names}, k
+                for x in names:
+                    held[x].append(cols[x][r])
+        if len(held["rid"]) > 1:
+            yield from search(held)
+
+    return (dealt.repartition(*key).sortWithinPartitions(*key)
+            .mapInArrow(run, "a long, b long, a_text long, b_text long"))
+
+
 def components(pairs: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) for every node of the undirected pairs (a, b): component is the
     smallest node it reaches. Alternates large-star and small-star steps, each an aggregate for
@@ -196,23 +295,19 @@ def link(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
 
     sketches = staged(sketch(docs), "sketches")
     nodes = staged(nodes_of(sketches), "nodes")
-    rows = band_rows(nodes)
+    narrow = band_rows(nodes, NARROW)
     made: list[str] = []      # tables that only the search needs
-    stars = star_pairs(rows, made).select(F.col("rid").alias("a"), F.col("hub").alias("b"))
-    pairs = staged(_estimated(stars, nodes, threshold), "pairs", made)
+    stars = staged(star_pairs(narrow.unionByName(band_rows(nodes, WIDE)), made)
+                   .select(F.col("rid").alias("a"), F.col("hub").alias("b")), "stars", made)
 
-    source = docs.select(F.col("doc_id").cast("long").alias("rid"), F.xxhash64("text").alias("text_hash"), "text")
-
-    def texts_of(found: DataFrame) -> DataFrame:
-        ends = (found.select(F.explode(F.array(F.struct(F.col("a").alias("rid"), F.col("a_text").alias("text_hash")),
-                                               F.struct(F.col("b").alias("rid"), F.col("b_text").alias("text_hash"))))
-                             .alias("x")).select("x.*").distinct())
-        # repeated rows of one document are one text
-        return source.join(ends, ["rid", "text_hash"]).dropDuplicates(["rid", "text_hash"])
-
-    texts = staged(texts_of(pairs), "texts", made)
+    # texts of all nodes that share a bucket; repeated rows of one document are one text
+    ends = stars.select(F.col("a").alias("rid")).union(stars.select("b")).distinct()
+    ends = nodes.select("rid", "text_hash").join(ends, "rid", "left_semi")
+    texts = staged(docs.select(F.col("doc_id").cast("long").alias("rid"), F.xxhash64("text").alias("text_hash"), "text")
+                   .join(ends, ["rid", "text_hash"], "left_semi").dropDuplicates(["rid", "text_hash"]), "texts", made)
 
     # one pair for each node, then those that still stand between components
+    pairs = staged(_estimated(stars, nodes, threshold), "pairs", made)
     choice = F.row_number().over(W.partitionBy("a").orderBy(*_first_choice(F.col("est"))))
     first = staged(pairs.withColumn("k", choice).where("k = 1").drop("k"), "first", made)
     labels = components(_confirmed(first, texts, threshold))
@@ -221,22 +316,19 @@ def link(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     if not open_pairs.isEmpty():
         labels = components(_as_edges(labels).unionByName(_confirmed(open_pairs, texts, threshold)))
 
-    # buckets that hold several components: all pairs between them that were not tried yet
-    tagged = staged(rows.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
-                    .select("bucket", "rid", F.coalesce("component", "rid").alias("c")), "tagged", made)
-    mixed = (tagged.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-             .where("lo < hi").select("bucket"))
-    mixed = staged(mixed, "mixed-buckets", made)
-    left = staged(tagged.join(mixed, "bucket"), "mixed", made)
+    # narrow buckets that still hold several components
+    tagged = staged(narrow.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
+                    .select("bucket", "band", "rid", F.coalesce("component", "rid").alias("c")), "tagged", made)
+    mixed = staged(tagged.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"))
+                   .where("lo < hi").select("bucket", "size"), "mixed", made)
+    left = staged(tagged.join(mixed, "bucket"), "left", made)
     if not left.isEmpty():
-        cross = (left.select("bucket", F.col("rid").alias("a"), F.col("c").alias("ca"))
-                 .join(left.select("bucket", F.col("rid").alias("b"), F.col("c").alias("cb")), "bucket")
-                 .where("ca < cb").select("a", "b").distinct())
+        found = linkable(left.select("rid", "c").distinct(), nodes, texts, threshold)
         tried = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rest = staged(_estimated(cross.join(tried, ["a", "b"], "left_anti"), nodes, threshold), "rest", made)
+        rest = staged(_pairs_in_blocks(left.join(found, "rid"), threshold).join(tried, ["a", "b"], "left_anti"),
+                      "rest", made)
         if not rest.isEmpty():
-            more = staged(texts_of(rest), "more-texts", made)
-            labels = components(_as_edges(labels).unionByName(_confirmed(rest, more, threshold)))
+            labels = components(_as_edges(labels).unionByName(_confirmed(rest, texts, threshold)))
     # the result reads the sketches, the nodes and the last labels
     drop_paths(docs.sparkSession, made)
 
