@@ -77,7 +77,7 @@ def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600,
     Slices are `chunk_seconds` long. A (subscriber, chunk) with more than `max_rows_per_group`
     events - a hot subscriber - is cut into k equal sub-slices, k = ceil(rows / limit). The
     hot-chunk list comes from a map-side-combined count and has at most
-    rows / `max_rows_per_group` entries, so it is broadcast. `max_rows_per_group=None` skips
+    rows / `max_rows_per_group` entries, left to the size-checked join choice. `max_rows_per_group=None` skips
     that extra counting pass for inputs known to have no hot subscriber. Pass 2 holds one row
     per run: about one per active slice plus one per plan change.
     """
@@ -92,7 +92,7 @@ def dim_subscriber(valid: DataFrame, chunk_seconds: int = 3600,
         hot = (obs.groupBy("subscriber_id", "chunk").agg(F.count(F.lit(1)).alias("n"))
                .where(F.col("n") > max_rows_per_group)
                .select("subscriber_id", "chunk", F.ceil(F.col("n") / F.lit(max_rows_per_group)).alias("k")))
-        obs = obs.join(F.broadcast(hot), ["subscriber_id", "chunk"], "left")
+        obs = obs.join(hot, ["subscriber_id", "chunk"], "left")
         offset = F.unix_micros("event_time") - F.col("chunk") * F.lit(chunk_us)
         obs = obs.withColumn("sub", F.coalesce(F.floor(offset * F.col("k") / F.lit(chunk_us)), F.lit(0)))
 
