@@ -8,6 +8,7 @@ library once and then looked up; a text that the border rule doesn't cover is en
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -17,7 +18,18 @@ MAX_WORDS = 400_000
 MAX_CORES = 900_000
 
 #: Letters for which lower case and normal form are plain, then marks that end a word.
-_CORE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]+)")
+_CORE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the others, in
+    order, as the characters from U+0100."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
 #: A word with its single leading blank, or white space that no word takes.
 _UNIT = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
 #: White space other than blank, tab and line ends: such texts are encoded whole.
@@ -34,6 +46,7 @@ class TextIds:
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
         # this vocabulary drops white space and lower-cases; the byte-level one keeps both
         self.drops_space = self.tokenizer.normalizer is not None
+        self.model = self.tokenizer.model
         self.words: dict = {}
         self.cores: dict = {}
 
@@ -48,13 +61,21 @@ class TextIds:
             got = self.cores[core] = self._encode(core)
         return got
 
+    def _letters(self, core: str) -> bytes:
+        """Ids of plain letters: one piece, so the library's merges are asked directly."""
+        got = self.cores.get(core)
+        if got is None:
+            if len(self.cores) >= MAX_CORES:
+                self.cores.clear()
+            written = core.encode().decode("latin-1").translate(_LETTERS)
+            got = self.cores[core] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+        return got
+
     def _word(self, key) -> bytes:
         word = key.decode() if self.drops_space else key
         m = _CORE.fullmatch(word)
         if m:
-            got = self._core(m[1].lower() if self.drops_space else m[1]) + self._core(m[2])
-        elif self.drops_space and word.isascii() and word.isalpha():
-            got = self._core(word.lower())
+            got = self._letters(m[1].lower() if self.drops_space else m[1]) + (self._core(m[2]) if m[2] else b"")
         else:
             got = self._core(word)
         if len(self.words) >= MAX_WORDS:
