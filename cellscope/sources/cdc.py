@@ -78,14 +78,18 @@ def _field(record: Column, name: str, dtype) -> Column:
     return F.try_variant_get(record, f"$.{name}", dtype.simpleString())
 
 
+#: Contract columns that can't take every value; text columns take any.
+TYPED_COLUMNS = tuple(c for c in S.RECORD_COLUMNS if c in S.RAW_DECIMALS or c in ("duration_sec", "subscriber_activation_date"))
+
+
 def _given(record: Column) -> Column:
-    """How many contract columns the record holds a value for; NULL if it is no JSON object."""
-    return F.size(F.map_filter(_as_object_map(record), lambda k, v: k.isin(*S.RECORD_COLUMNS) & ~F.is_variant_null(v)))
+    """How many typed columns the record holds a value for; NULL if it is no JSON object."""
+    return F.size(F.map_filter(_as_object_map(record), lambda k, v: k.isin(*TYPED_COLUMNS) & ~F.is_variant_null(v)))
 
 
 def _stored() -> Column:
-    """How many contract columns got a value that their fixed-point types can hold."""
-    fits = [F.col(c).try_cast(S.RAW_DECIMALS[c]) if c in S.RAW_DECIMALS else F.col(c) for c in S.RECORD_COLUMNS]
+    """How many typed columns got a value that their fixed-point types can hold."""
+    fits = [F.col(c).try_cast(S.RAW_DECIMALS[c]) if c in S.RAW_DECIMALS else F.col(c) for c in TYPED_COLUMNS]
     return sum((x.isNotNull().cast("int") for x in fits), F.lit(0))
 
 
