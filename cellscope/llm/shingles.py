@@ -17,6 +17,7 @@ Q = 65534
 _rng = np.random.default_rng(20240229)
 _LONGEST = 64                       # bytes of a word that the position table covers
 _BYTE = _rng.integers(0, 1 << 64, (_LONGEST, 256), np.uint64)
+_EXACT = _BYTE.copy()
 _BYTE[:, 65:91] = _BYTE[:, 97:123]  # A-Z as a-z
 _PLACE = _rng.integers(0, 1 << 64, SHINGLE_WORDS + 1, np.uint64) | np.uint64(1)
 _REGISTER = _rng.integers(0, 1 << 64, M, np.uint64) | np.uint64(1)
@@ -29,8 +30,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of every word, A-Z taken as a-z."""
+def word_hashes(text: str, exact: bool = False) -> np.ndarray:
+    """A 64-bit hash of every word, A-Z taken as a-z unless `exact`."""
     raw = np.frombuffer(text.encode(), np.uint8)
     word = ~_SPACE[raw]
     begins = word.copy()
@@ -43,10 +44,10 @@ def word_hashes(text: str) -> np.ndarray:
     pos = inside - starts[of_byte]
     first = np.flatnonzero(pos == 0)
     size = np.diff(np.append(first, len(inside)))
-    hashes = np.add.reduceat(_BYTE[pos % _LONGEST, raw[inside]], first)
+    hashes = np.add.reduceat((_EXACT if exact else _BYTE)[pos % _LONGEST, raw[inside]], first)
     for k in np.flatnonzero(size > _LONGEST):     # longer than the table: hash the word by itself
-        w = raw[starts[k]:starts[k] + size[k]].tobytes().lower()
-        hashes[k] = xxhash.xxh3_64_intdigest(w)
+        w = raw[starts[k]:starts[k] + size[k]].tobytes()
+        hashes[k] = xxhash.xxh3_64_intdigest(w if exact else w.lower())
     return _mix(hashes + size.astype(np.uint64))
 
 

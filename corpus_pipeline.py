@@ -5,7 +5,8 @@ as Parquet in the shared folder and reads it back as the next stage's input, so
 never repeats more than one stage. All stages but the last return the columns of `documents`.
 
 1. quality: documents that the attention-based classifier rejects go.
-2. lines: later occurrences of three-line windows are removed from the texts; no document goes.
+2. lines: later occurrences of three-line windows are removed from the texts, then those of
+   passages of more than 50 words that such windows miss; no document goes.
 3. near duplicates: one document of each linked group stays, the one with the smallest doc_id.
 4. decontamination: documents that hold a benchmark item go.
 5. packing: every remaining document becomes pieces of training windows, with their token ids.
@@ -19,8 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellscope.llm import decontam, line_dedup, mil_quality, near_dup, packing
-from cellscope.llm.common import fresh_path, ship, table
+from cellscope.llm import decontam, line_dedup, mil_quality, near_dup, packing, passages
+from cellscope.llm.common import fresh_path, ship, staged, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(docs)
+    ship(spark)
+    return passages.dedup(staged(line_dedup.dedup(docs), "lines"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
