@@ -28,8 +28,9 @@ adaptive execution can split, so a bucket with a third of all rows isn't one tas
 Defined results: null and empty texts, and texts without words, have the empty set: n_shingles
 0, linked with nothing. With fewer than five words the whole sequence is one shingle. Rows with
 a null doc_id can't be named in a component: component_id null, kept true. Repeated rows all
-appear in the result with the same component; one doc_id with several texts is one node that
-links whatever any of them links.
+appear in the result with the same component. Where one doc_id has several texts, `link` takes
+them as one document that links whatever any of them links (an empty text aside), while `keep_one`
+decides for each text by itself.
 """
 
 from __future__ import annotations
@@ -78,6 +79,17 @@ def nodes_of(sketches: DataFrame) -> DataFrame:
                  F.first("n_shingles").alias("n"), F.first("regs").alias("regs")))
 
 
+def shared_ids(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that a doc_id with several sets has in common."""
+    sets = sketches.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "fp1", "fp2")
+    fp = F.struct("fp1", "fp2")
+    several = staged(sets.groupBy("doc_id").agg(F.min(fp).alias("lo"), F.max(fp).alias("hi"))
+                     .where("lo <> hi").select("doc_id"), "several")
+    found = sets.join(several, "doc_id").distinct().join(nodes.select("fp1", "fp2", "rid"), ["fp1", "fp2"])
+    least = found.groupBy("doc_id").agg(F.min("rid").alias("b"))
+    return found.join(least, "doc_id").where("rid <> b").select(F.col("rid").alias("a"), "b").distinct()
+
+
 def band_rows(nodes: DataFrame, registers: int) -> DataFrame:
     """(bucket, band, rid): one row for each node and band of so many registers."""
     width = 2 * registers
@@ -310,7 +322,7 @@ def link(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     pairs = staged(_estimated(stars, nodes, threshold), "pairs", made)
     choice = F.row_number().over(W.partitionBy("a").orderBy(*_first_choice(F.col("est"))))
     first = staged(pairs.withColumn("k", choice).where("k = 1").drop("k"), "first", made)
-    labels = components(_confirmed(first, texts, threshold))
+    labels = components(_confirmed(first, texts, threshold).unionByName(shared_ids(sketches, nodes)))
     open_pairs = staged(_with_components(pairs, labels).where("ca <> cb")
                         .join(first.select("a", "b"), ["a", "b"], "left_anti"), "open", made)
     if not open_pairs.isEmpty():
@@ -340,10 +352,30 @@ def link(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
                     F.coalesce(F.col("doc_id") == F.col("c"), F.lit(True)).alias("kept")))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """_doc, _text (hash) and _id of every distinct row with a doc_id, _id in the order of both."""
+    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))
+    return staged(rows.distinct().orderBy("_doc", "_text").withColumn("_id", F.monotonically_increasing_id()), "numbered")
+
+
 def keep_one(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """The rows of `docs` (all columns) with one document of each component: the one with the
-    smallest doc_id, once if it is repeated. Rows without a doc_id stay."""
-    kept = link(docs, threshold).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]) \
-        .join(kept, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+    """The rows of `docs` (all columns) with one text of each component: the one with the smallest
+    doc_id, once if its row is repeated. Texts that share a doc_id alone aren't linked by it. Rows
+    without a doc_id stay."""
+    keys = staged(docs.where("doc_id IS NOT NULL")
+                  .groupBy(F.col("doc_id").cast("long").alias("_doc"))
+                  .agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi"))
+                  .where("lo <> hi"), "several")
+    if keys.isEmpty():
+        kept = link(docs, threshold).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id")).distinct()
+        named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]) \
+            .join(kept, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+    else:
+        ids = numbered(docs)
+        same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
+        kept = link(docs.join(ids, same).select(F.col("_id").alias("doc_id"), "text"), threshold) \
+            .where("kept").select(F.col("doc_id").alias("_id")).distinct()
+        # equal texts of one doc_id are one row
+        named = docs.where("doc_id IS NOT NULL").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]) \
+            .drop("_key").join(ids.join(kept, "_id", "left_semi"), same, "left_semi")
     return named.unionByName(docs.where("doc_id IS NULL"))

@@ -83,6 +83,18 @@ def test_odd_rows(spark, docs_of, odd_rows):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, -1, 1, 2, 3, 4, 5, 7, 8, 9]
 
 
+def test_one_id_with_several_texts(spark, docs_of, words):
+    rng = random.Random(8)
+    a, b, c, d = (words(90, 700 + k) for k in range(4))
+    rows = [(3, b), (5, a), (5, b), (7, edited(a, 1, rng)), (9, c), (9, d), (9, d), (8, edited(c, 1, rng)), (10, ""), (10, edited(d, 1, rng))]
+    df = docs_of(rows)
+    got = {(r["doc_id"], r["component_id"]) for r in near_dup.link(df).where("n_shingles > 0").collect()}
+    assert got == {(3, 3), (5, 3), (7, 3), (8, 8), (9, 8), (10, 8)}      # an id's texts are one document
+    left = [(r["doc_id"], r["text"]) for r in near_dup.keep_one(df).collect()]
+    want = [(3, b), (5, a), (8, rows[7][1]), (9, d), (10, "")]           # no unique text goes, no copy stays
+    assert sorted(left) == sorted(want)
+
+
 def test_empty_table(spark, docs_of):
     assert near_dup.link(docs_of([])).count() == 0
 
