@@ -12,10 +12,11 @@ the same join runs as a shuffled one over hashes alone. Only hits leave the stag
 reduced per document and item with partial aggregates, so a passage that a third of all documents hold is no group of
 its own anywhere.
 
-Defined results: null and empty texts match nothing; items of fewer words than the widest mask
-spans are too short to tell a leak from chance and are not searched; repeated rows and rows with a
-null doc_id are matched like any (a null id appears as such in the matches); repeated benchmark
-rows count once.
+Items of fewer words than a mask spans have one seed over all their words, so they are found word
+for word; documents get windows of such lengths only if the benchmark has them.
+
+Defined results: null and empty texts match nothing; repeated rows and rows with a null doc_id are
+matched like any (a null id appears as such in the matches); repeated benchmark rows count once.
 """
 
 from __future__ import annotations
@@ -41,18 +42,29 @@ def word_hashes(text: str) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
 
 
-def _seed(words: str, at: Column, mask: int) -> Column:
-    return F.xxhash64(F.lit(mask), *[F.get(words, at + k) for k, bit in enumerate(MASKS[mask]) if bit == "1"])
+def _seed(words: str, at: Column, number: int, mask: str) -> Column:
+    return F.xxhash64(F.lit(number), *[F.get(words, at + k) for k, bit in enumerate(mask) if bit == "1"])
+
 
+def _masks(lengths: list[int]) -> list[tuple[int, str]]:
+    """Number and positions of the masks; whole items of so many words have negative numbers."""
+    return [*enumerate(MASKS), *((-n, "1" * n) for n in lengths)]
 
-def seeds(text_rows: DataFrame, keep: list[str]) -> DataFrame:
-    """`keep`, w (hashed words), at (first word of the window) and seed for every window and mask."""
-    n = F.size("w")
-    each = F.when(n >= SPAN, F.sequence(F.lit(0), (n - SPAN + 1) * len(MASKS) - 1))
-    at = F.expr(f"k div {len(MASKS)}").cast("int")
-    mask = F.col("k") % len(MASKS)
-    value = reduce(lambda rest, m: F.when(mask == m, _seed("w", at, m)).otherwise(rest),
-                   range(len(MASKS) - 1), _seed("w", at, len(MASKS) - 1))
+
+def seeds(text_rows: DataFrame, keep: list[str], lengths: list[int] = []) -> DataFrame:  # noqa: B006
+    """`keep`, w (hashed words), at (first word of the window) and seed for every window and mask,
+    and for every window of one of the `lengths`."""
+    n, masks = F.size("w"), _masks(lengths)
+    if lengths:
+        every = lambda i, m: F.transform(F.sequence(F.lit(0), n - len(m)), lambda x: x * len(masks) + i)
+        runs = [F.when(n >= len(m), every(i, m)) for i, (_, m) in enumerate(masks)]
+        each = F.flatten(F.array_compact(F.array(*runs)))
+    else:
+        each = F.when(n >= SPAN, F.sequence(F.lit(0), (n - SPAN + 1) * len(MASKS) - 1))
+    at = F.expr(f"k div {len(masks)}").cast("int")
+    mask = F.col("k") % len(masks)
+    value = reduce(lambda rest, m: F.when(mask == m, _seed("w", at, *masks[m])).otherwise(rest),
+                   range(len(masks) - 1), _seed("w", at, *masks[-1]))
     return (text_rows.select(*keep, word_hashes("text").alias("w"))
             .select(*keep, "w", F.explode(each).alias("k"))
             .select(*keep, "w", at.alias("at"), value.alias("seed")))
@@ -61,8 +73,13 @@ def seeds(text_rows: DataFrame, keep: list[str]) -> DataFrame:
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
     """item_id, b_seed, b_at and the block of aligned words that holds the window: b_from (its
     first word in the item, a multiple of STEP or as far as the item goes) and b_words."""
+    items = benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct()
     first = F.greatest(F.lit(0), F.least(F.col("at") - F.col("at") % STEP, F.size("w") - BLOCK))
-    return (seeds(benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct(), ["item_id"])
+    whole = reduce(lambda rest, n: F.when(F.size("w") == n, _seed("w", F.lit(0), -n, "1" * n)).otherwise(rest),
+                   range(1, SPAN), F.lit(None).cast("long"))
+    short = (items.select("item_id", word_hashes("text").alias("w")).where(F.size("w").between(1, SPAN - 1))
+             .select("item_id", "w", F.lit(0).alias("at"), whole.alias("seed")))
+    return (seeds(items, ["item_id"]).unionByName(short)
             .select("item_id", F.col("seed").alias("b_seed"), F.col("at").alias("b_at"), first.alias("b_from"),
                     F.slice("w", first + 1, BLOCK).alias("b_words")).distinct())
 
@@ -71,13 +88,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_0
     """doc_id, text_hash, item_id, matched (words of the best block that agree) for every document
     and item that it holds."""
     table = staged(benchmark_seeds(benchmark), "seeds")
+    size = F.size("b_words")
+    lengths = sorted(r["n"] for r in table.where(size < SPAN).select(size.alias("n")).distinct().collect())
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     if table.count() <= broadcast_rows:
-        hits = seeds(source, ["doc_id", "text_hash"]).join(F.broadcast(table), F.col("seed") == F.col("b_seed"))
+        hits = seeds(source, ["doc_id", "text_hash"], lengths).join(F.broadcast(table), F.col("seed") == F.col("b_seed"))
     else:
         # too large to broadcast: only hashes and places go through the shuffle, and the words of
         # documents with a hit are joined back
-        bare = seeds(source, ["doc_id", "text_hash"]).drop("w")
+        bare = seeds(source, ["doc_id", "text_hash"], lengths).drop("w")
         found = bare.join(table, F.col("seed") == F.col("b_seed"))
         own = source.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), word_hashes("text").alias("w")) \
             .dropDuplicates(["_id", "_hash"])

@@ -121,6 +121,18 @@ def test_leaks_odd_rows(spark, docs_of, odd_rows, words):
     assert decontam.leaks(docs_of(rows), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_short_items_are_found_word_for_word(spark, docs_of, words, limit):
+    bench = spark.createDataFrame([(1, "Who wrote Faust, part two?"), (2, "qqq"), (3, words(30, 1)), (4, "a b c d e f g h i"),
+                                   (5, "...")], "item_id long, text string")
+    rows = [(1, f"{words(20, 2)}. Who wrote FAUST part two {words(9, 3)}"), (2, "who wrote faust part two"),
+            (3, f"who wrote faust part one {words(12, 4)}"), (4, "x qqq"), (5, words(30, 1) + " a b c d e f g h i"),
+            (6, "a b c d e f g h"), (7, ""), (8, None), (9, "wrote faust part two who")]
+    got = {(r["doc_id"], r["item_id"], r["matched"]) for r in decontam.leaks(docs_of(rows), bench, broadcast_rows=limit).collect()}
+    assert got == {(1, 1, 5), (2, 1, 5), (4, 2, 1), (5, 3, 20), (5, 4, 9)}
+    assert {r["doc_id"] for r in decontam.clean(docs_of(rows), bench, broadcast_rows=limit).collect()} == {3, 6, 7, 8, 9}
+
+
 def test_no_python_in_the_plan(spark, docs_of, words):
     bench = spark.createDataFrame([(1, words(30, 1))], "item_id long, text string")
     plan = decontam.clean(docs_of([(1, words(40, 1))]), bench)._jdf.queryExecution().toString()
