@@ -2,7 +2,8 @@
 
 Both vocabularies split a text into pieces before any merge, and no piece crosses the borders
 used here, so the ids of a text are the ids of its parts in order. Each part is encoded by the
-library once and then looked up; a text that the border rule doesn't cover is encoded whole.
+library once and then looked up; a text that the border rule doesn't cover is encoded whole, and
+so is one that holds an added token's string, which the library's plain call makes one id.
 """
 
 from __future__ import annotations
@@ -43,7 +44,9 @@ class TextIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # in any case of letters, should a token be looked for behind the normalizer
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         # this vocabulary drops white space and lower-cases; the byte-level one keeps both
         self.drops_space = self.tokenizer.normalizer is not None
         self.model = self.tokenizer.model
@@ -84,6 +87,8 @@ class TextIds:
         return got
 
     def encode(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return self._encode(text)
         if self.drops_space:
             units = text.encode().split()       # of bytes: splits at ASCII white space only
         elif _ODD_SPACE.search(text):

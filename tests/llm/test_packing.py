@@ -24,6 +24,19 @@ def test_ids_are_the_librarys(name, words):
         assert np.frombuffer(ids.encode(text), "<u4").tolist() == want, text
 
 
+@pytest.mark.parametrize("name,end", [("word_bpe_49k.json", 49407), ("byte_bpe_50k.json", 50256)])
+def test_added_tokens_are_encoded_as_by_the_plain_call(name, end, words):
+    from tokenizers import Tokenizer
+
+    plain, ids = Tokenizer.from_file(tokenizer_path(name)), TextIds(tokenizer_path(name))
+    texts = ODD + ["<|endoftext|>", "a<|endoftext|>b", f"{words(20, 1)} <|endoftext|>\n{words(5, 2)}", "<|startoftext|> x",
+                   "<|ENDOFTEXT|> <|endof text|> <|", "x <|endoftext|><|endoftext|>"]
+    for text in texts:
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids.encode(text), "<u4").tolist() == want, text
+    assert np.frombuffer(ids.encode("<|endoftext|>"), "<u4").tolist() == [end]
+
+
 def ids_of(name, text, end):
     ids = TextIds(tokenizer_path(name))
     return ids.tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
