@@ -9,8 +9,8 @@ of lost or repeated tasks are never read.
 `read` checks every record: gzip checksum, version line, Content-Length, the blank lines behind
 the block, block digest and, for responses, payload digest. After a failed check it searches for
 the next gzip member or version line from which a whole record passes the checks, goes on there
-and logs the bytes between as a gap. Files are read in parallel, as streams: memory holds one
-record.
+and logs the bytes between as a gap. A gzip member may hold several records, and a header may have
+any length. Files are read in parallel, as streams: memory holds one member or plain record.
 
 Files are opened through Arrow's file systems (local and shared folders, HDFS, object stores).
 
@@ -42,6 +42,7 @@ VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 ROLL_BYTES = 256 << 20
 CHUNK = 1 << 20
+#: Bytes of a plain record's header that are read at first; longer ones are read on.
 MAX_HEADER = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -219,27 +220,63 @@ def _checked(fields: dict[str, bytes], block: bytes, end: int) -> dict:
     return out
 
 
-def _one(src: _Bytes, at: int) -> tuple[dict, int]:
-    """The record at `at`, after all checks, and where the next one starts."""
-    if src.get(at, 3) == MAGIC:
-        data, end = _inflate(src, at)
-        head, sep, rest = data.partition(b"\r\n\r\n")
-        if not sep:
-            raise _Bad("no end of header", end)
+def _of_member(data: bytes) -> tuple[list[dict], str]:
+    """The records of a sound member's content that pass all checks, and why others don't."""
+    found, why, at = [], "", 0
+    while at < len(data):
+        end = None
         try:
-            fields = _parse(head)
+            if not data.startswith(b"WARC/", at):
+                raise _Bad("no version line")
+            body = data.find(b"\r\n\r\n", at) + 4
+            if body < 4:
+                raise _Bad("no end of header")
+            fields = _parse(data[at:body - 4])
+            stop = body + int(fields["content-length"])
+            if data[stop:stop + 4] != b"\r\n\r\n" or not (stop + 4 == len(data) or data.startswith(b"WARC/1.", stop + 4)):
+                raise _Bad("block is not Content-Length long")
+            end = stop + 4      # whatever is wrong now, the record's extent is known
+            found.append(_checked(fields, data[body:stop], end))
         except _Bad as e:
-            raise _Bad(str(e), end) from None
-        n = int(fields["content-length"])
-        if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
-            raise _Bad("block is not Content-Length long", end)
-        return _checked(fields, rest[:n], end), end
-    start = src.get(at, MAX_HEADER)
-    if not start.startswith(b"WARC/"):
-        raise _Bad("neither member nor version line")
-    head, sep, _ = start.partition(b"\r\n\r\n")
-    if not sep:
-        raise _Bad("no end of header")
+            why = why or str(e)
+            end = end or data.find(b"WARC/1.", at + 1)
+        at = end if end > 0 else len(data)
+    return found, why or "empty member" * (not found)
+
+
+def _head(src: _Bytes, at: int) -> bytes:
+    """The header of the plain record at `at`, however long; what can't be one is told early."""
+    size, seen = MAX_HEADER, 0
+    while True:
+        start = src.get(at, size)
+        if not start.startswith(b"WARC/"):
+            raise _Bad("neither member nor version line")
+        head, sep, _ = start.partition(b"\r\n\r\n")
+        if sep:
+            return head
+        whole = start.rfind(b"\r\n")
+        if whole < 0 or len(start) < size:
+            raise _Bad("no end of header")
+        if whole >= seen:       # lines that were not there yet
+            lines = start[seen:whole].split(b"\r\n")
+            if not seen and not re.fullmatch(rb"WARC/1\.\d", lines.pop(0)):
+                raise _Bad("no version line")
+            if not all(b":" in x for x in lines):
+                raise _Bad("header line without a name")
+            seen = whole + 2
+        size *= 2
+
+
+def _next(src: _Bytes, at: int) -> tuple[list[dict], str, int]:
+    """The records of the member or the plain record at `at`, after all checks, why others in the
+    member fail, and where the next member or record starts."""
+    if src.get(at, 3) == MAGIC:
+        data, end = _inflate(src, at)
+        found, why = _of_member(data)
+        if not found:
+            raise _Bad(why, end)
+        return found, why, end
+    head = _head(src, at)
     fields = _parse(head)
     n, body = int(fields["content-length"]), at + len(head) + 4
     if body + n + 4 > src.size:
@@ -248,16 +285,17 @@ def _one(src: _Bytes, at: int) -> tuple[dict, int]:
     if src.get(body + n, 4) != b"\r\n\r\n":
         raise _Bad("block is not Content-Length long")
     # a plain record's length can't be trusted once its digest differs: search from its start
-    return _checked(fields, block, None), body + n + 4
+    return [_checked(fields, block, None)], "", body + n + 4
 
 
 def salvage(f, size: int) -> Iterator[tuple[str, int, int, dict | str]]:
     """('record', start, end, fields) for every record that passes, and ('gap', start, end,
-    reason) for the bytes between."""
+    reason) for the bytes between. Records of one member all have its start and end; a gap has
+    them too if other records of the member fail."""
     src, at, gap, why = _Bytes(f, size), 0, None, ""
     while at < size:
         try:
-            found, end = _one(src, at)
+            found, bad, end = _next(src, at)
         except _Bad as e:
             if gap is None:
                 gap, why = at, str(e)
@@ -267,7 +305,10 @@ def salvage(f, size: int) -> Iterator[tuple[str, int, int, dict | str]]:
         if gap is not None:
             yield "gap", gap, at, why
             gap = None
-        yield "record", at, end, found
+        for x in found:
+            yield "record", at, end, x
+        if bad:
+            yield "gap", at, end, bad
         at = end
     if gap is not None:
         yield "gap", gap, size, why

@@ -105,3 +105,26 @@ def test_wrong_content_with_sound_checksum():
     bad = good.replace(b"\r\n\r\nabc", b"\r\n\r\nabd")
     data = warc.member(bad) + warc.member(good)
     assert run(data) == ([1], [(0, len(warc.member(bad)))])
+
+
+def test_members_of_several_records():
+    r = [warc.record(i, "u", f"page {i}".encode(), None, False) for i in range(7)]
+    nested = warc.record(9, "u", r[0], None, False)
+    wrong = nested.replace(b"page 0", b"page X")             # digest differs, extent is known
+    short = r[5].replace(b"page 5", b"page")                  # shorter than it says
+    parts = [warc.member(b"".join(x)) for x in (r[:3], [r[3], wrong, r[4]], [short, r[6]], [b"no record"])]
+    at = [sum(map(len, parts[:i])) for i in range(5)]
+    data = b"".join(parts)
+    out = list(warc.salvage(io.BytesIO(data), len(data)))
+    assert [x["page_id"] for kind, _, _, x in out if kind == "record"] == [0, 1, 2, 3, 4, 6]
+    assert [(a, b) for kind, a, b, _ in out if kind == "gap"] == [(at[1], at[2]), (at[2], at[3]), (at[3], at[4])]
+    assert all((a, b) == (at[0], at[1]) for _, a, b, _ in out[:3])
+
+
+@pytest.mark.parametrize("n", [100, 70_000, 3_000_000])
+def test_long_headers(n):
+    r = [warc.record(i, "u" * (n if i == 1 else 1), b"abc", None, False) for i in range(3)]
+    assert run(b"".join(r)) == ([0, 1, 2], [])
+    assert run(b"".join(map(warc.member, r))) == ([0, 1, 2], [])
+    noise = b"WARC/1.1\r\nno name " + b"x" * n + b"\r\n"
+    assert run(r[0] + noise + r[1]) == ([0, 1], [(len(r[0]), len(r[0]) + len(noise))])
