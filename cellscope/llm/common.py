@@ -98,6 +98,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, schema)
 
 
+def batched(rows: Iterator[tuple], schema: pa.Schema, most: int = 1024, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of at most `most` rows and about `chars` characters in text columns."""
+    wide = [k for k, f in enumerate(schema) if f.type == pa.string()]
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(row[k] or "") for k in wide)
+        if len(held) >= most or size >= chars:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """A text column as Python strings; null is the empty text."""
     return [x or "" for x in batch.column(name).to_pylist()]

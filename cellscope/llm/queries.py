@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellscope.llm import decontam, langid, line_dedup, mil_quality, near_dup, packing, rules, secret_scan, token_orc, warc
+from cellscope.llm import (conversations, decontam, langid, line_dedup, merkle, mil_quality, near_dup, packing, rules, secret_scan,
+                           shards, token_orc, warc)
 from cellscope.llm.common import table
 
 
@@ -48,8 +49,21 @@ def op10_setsketch_near_dup(spark, sf_dir):
     return near_dup.link(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_shards(spark, sf_dir):
+    return shards.report(table(spark, sf_dir, "documents"))
+
+
+def op12_glr_conversations(spark, sf_dir):
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mil_quality, op2_line_dedup, op3_secret_scan, op4_decision_list, op5_packing, op6_warc, op7_token_orc,
-    op8_spaced_seed_leaks, op9_rank_order_langid, op10_setsketch_near_dup)}
+    op8_spaced_seed_leaks, op9_rank_order_langid, op10_setsketch_near_dup, op11_prefix_shards, op12_glr_conversations,
+    op13_merkle_manifest)}
 
 ORACLE_SQL = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op8_spaced_seed_leaks": decontam.ORACLE_SQL}
