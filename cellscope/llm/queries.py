@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellscope.llm import (conversations, decontam, langid, line_dedup, merkle, mil_quality, near_dup, packing, rules, secret_scan,
+from cellscope.llm import (conversations, decontam, langid, line_dedup, merkle, mil_quality, near_dup, oracles, packing, rules, secret_scan,
                            shards, token_orc, warc)
 from cellscope.llm.common import table
 
@@ -66,4 +66,5 @@ QUERIES = {f.__name__: f for f in (
     op8_spaced_seed_leaks, op9_rank_order_langid, op10_setsketch_near_dup, op11_prefix_shards, op12_glr_conversations,
     op13_merkle_manifest)}
 
-ORACLE_SQL = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op8_spaced_seed_leaks": decontam.ORACLE_SQL}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op8_spaced_seed_leaks": decontam.ORACLE_SQL,
+              "op11_prefix_shards": oracles.SHARDS, "op12_glr_conversations": oracles.CONVERSATIONS, "op13_merkle_manifest": oracles.MERKLE}
