@@ -79,6 +79,26 @@ def drop_paths(spark: SparkSession, made: list[str]) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def as_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the whole row as one column `_row`: whatever other columns are called, they
+    can't clash with those an operator adds."""
+    return docs.select(F.struct("*").alias("_row"), "doc_id", "text")
+
+
+def from_rows(rows: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    """The columns of `docs` from `_row`, those named in `new` replaced."""
+    return rows.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
+
+
+def with_text(rows: DataFrame, docs: DataFrame, text: Column, changed: Column) -> DataFrame:
+    """`from_rows` with another text, and `n_chars`, if there, up to date where it changed."""
+    new = {"text": text}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(changed, F.length(text).cast(kind)).otherwise(F.col("_row").getField("n_chars"))
+    return from_rows(rows, docs, **new)
+
+
 def id_bucket(doc_id: Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo `mod` (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(mod)

@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import staged
+from cellscope.llm.common import as_rows, from_rows, staged
 
 #: Positions with 1 are hashed, positions with 0 are ignored.
 MASKS = ("1101011001", "1010110011", "1100101101")
@@ -125,8 +125,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of `docs` (all columns) that hold no benchmark item."""
     found = matches(docs, benchmark, **options).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")),
-                     "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return from_rows(as_rows(docs).join(found, same, "left_anti"), docs)
 
 
 def _oracle() -> str:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import SPACE
+from cellscope.llm.common import SPACE, as_rows, with_text
 
 WINDOW = 3
 
@@ -79,11 +79,10 @@ def _rest() -> Column:
 def dedup(docs: DataFrame) -> DataFrame:
     """`docs` (all columns) with `text` rid of later occurrences and `n_chars`, if there, brought
     up to date for the rows that changed."""
-    out = _marked(docs).withColumn("text", _rest())
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    gone = _positions(docs)
+    rows = as_rows(docs)
+    marked = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
+    return with_text(marked.withColumn("_left", _rest()), docs, F.col("_left"), F.col("_gone").isNotNull())
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope.llm import shingles as S
-from cellscope.llm.common import drop_paths, map_batches, staged
+from cellscope.llm.common import as_rows, drop_paths, map_batches, staged, with_text
 
 WINDOW = 51
 RUN = 16
@@ -155,8 +155,5 @@ def dedup(docs: DataFrame) -> DataFrame:
                    .select(F.col("_id").alias("r_id"), F.col("_hash").alias("r_hash"), "_rest"), "rests")
     drop_paths(spark, made)
 
-    out = docs.select("*", *own).join(rests, _same("", "r"), "left").withColumn("text", F.coalesce("_rest", "text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_rest").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    out = as_rows(docs).select("_row", "text", *own).join(rests, _same("", "r"), "left")
+    return with_text(out, docs, F.coalesce("_rest", "text"), F.col("_rest").isNotNull())
