@@ -11,14 +11,13 @@ more; the result gives each document the smallest doc_id it reaches over links.
 3. A bucket of n nodes gives at most 2(n-1) pairs: every node with the bucket's smallest id and
    with its smallest hash (another hub in every bucket). Pairs are estimated jointly by
    likelihood from their registers; those whose likelihood at the threshold is 18 below the best
-   (six standard deviations) go, the rest are confirmed on full sets: first one pair for each
-   node, then the pairs that still stand between two components.
+   (six standard deviations) go, and of the rest one for each node is confirmed on full sets.
 4. Narrow buckets that still hold several components are searched whole, so no pair is given up
-   for the size of a bucket, and pairs inside a component, which can't change the result, are
-   never listed. A node's shingles that occur in another component at all bound its overlap with
-   any node there, which rules out most pairs exactly; the others go through the same estimate
-   and confirmation. Large buckets are dealt out as pairs of blocks of 512 nodes, and each pair
-   of nodes is looked at in the first band that it shares.
+   for the size of a bucket. A node's shingles that occur in another component at all hold its
+   overlap with any node there: they rule out most nodes and pairs exactly, and decide the others
+   where they meet. Large buckets are dealt out as pairs of blocks of 512 nodes; each pair of nodes
+   is looked at in the first band that it shares, and skipped where its components are joined
+   already. Only links that join two components leave a block, so no list of pairs is ever made.
 5. Components come from alternating large-star and small-star steps over the confirmed pairs.
 
 Nothing is collected: sketches, pairs, texts of candidates and component labels are tables in
@@ -44,13 +43,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope.llm import shingles as S
-from cellscope.llm.common import drop_paths, map_batches, staged
+from cellscope.llm.common import as_rows, batched, drop_paths, from_rows, map_batches, staged
 
 NARROW, WIDE = 4, 8
 THRESHOLD = (75, 100)
 MARGIN = 18.0
 SALTS = 8
 BLOCK = 512
+BLOCK_BYTES = 16 << 20
 
 
 def sketch(docs: DataFrame) -> DataFrame:
@@ -151,9 +151,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -
     return map_batches(both, run, "a long, b long")
 
 
-def foreign_counts(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """(rid, m): how many shingles of a node occur in a node of another component. `members`:
-    distinct (rid, c); `texts`: rid, text. No overlap with such a node is larger than m."""
+def shingle_rows(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(shingle, rid, c) for every shingle of `members`: distinct (rid, c); `texts`: rid, text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rid, c, text in zip(*(batch.column(x).to_pylist() for x in ("rid", "c", "text"))):
@@ -161,46 +160,59 @@ def foreign_counts(members: DataFrame, texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(s), pa.repeat(pa.scalar(rid, pa.int64()), len(s)),
                                                   pa.repeat(pa.scalar(c, pa.int64()), len(s))], ["shingle", "rid", "c"])
 
-    made: list[str] = []
-    rows = staged(members.join(texts, "rid").select("rid", "c", "text")
-                  .mapInArrow(run, "shingle long, rid long, c long"), "shingles", made)
-    foreign = staged(rows.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                     .where("lo < hi").select("shingle"), "foreign", made)
-    out = staged(rows.join(foreign, "shingle").groupBy("rid").agg(F.count("*").alias("m")), "counts")
-    drop_paths(texts.sparkSession, made)
-    return out
-
-
-def linkable(members: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Of `members` (rid, c) the nodes that may still link to another component: rid, n, m, regs,
-    text_hash. A node whose foreign shingles are too few even for a partner inside its own set
-    can't; without such nodes others have fewer foreign shingles, so the count is repeated while
-    it drops a tenth of the nodes."""
+    return members.join(texts, "rid").select("rid", "c", "text").mapInArrow(run, "shingle long, rid long, c long")
+
+
+def linkable(members: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: tuple[int, int],
+             made: list[str]) -> DataFrame:
+    """Of `members` (rid, c) the nodes that may still link to another component: rid, n, m, regs and
+    foreign, the m shingles that also occur in a node of another component. They hold every overlap
+    with such a node. A node whose foreign shingles are too few even for a partner inside its own
+    set can't link; without such nodes others have fewer foreign shingles, so the count is repeated
+    while it drops a tenth of the nodes."""
+    rows = staged(shingle_rows(members, texts.select("rid", "text")), "shingles", made)
     size = members.count()
     while True:
-        counts = foreign_counts(members, texts.select("rid", "text"))
-        found = staged(nodes.select("rid", "n", "regs", "text_hash").join(counts, "rid")
-                       .where(F.col("m") * threshold[1] >= F.col("n") * threshold[0]), "linkable")
+        shared = staged(rows.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+                        .where("lo < hi").select("shingle"), "foreign", made)
+        counts = rows.join(shared, "shingle").groupBy("rid").agg(F.count("*").alias("m"))
+        found = staged(nodes.select("rid", "n", "regs").join(counts, "rid")
+                       .where(F.col("m") * threshold[1] >= F.col("n") * threshold[0]), "linkable", made)
         left = found.count()
         if left >= 0.9 * size:
-            return found
-        members, size = members.join(found.select("rid"), "rid", "left_semi"), left
+            break
+        rows, size = staged(rows.join(found.select("rid"), "rid", "left_semi"), "shingles", made), left
+    # no larger than the node's own set
+    held = (rows.join(found.select("rid"), "rid", "left_semi").join(shared, "shingle")
+            .groupBy("rid").agg(F.sort_array(F.collect_list("shingle")).alias("foreign")))
+    return staged(found.join(held, "rid"), "foreign-sets", made)
+
+
+def _find(parent: dict, x: int) -> int:
+    while x in parent:
+        x = parent[x]
+    return x
 
 
-def _pairs_in_blocks(found: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of nodes of one bucket but two components that sizes, foreign shingles and
-    registers allow. `found`: bucket, band, size (of the bucket), rid, c, n, m, regs, text_hash."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+def links_in_blocks(found: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Links (a, b) between nodes of one bucket but two components, enough of them to join whatever
+    the bucket's links join. `found`: bucket, band, blocks, rid, c, n, m, regs, foreign.
+
+    The nodes of a bucket are dealt out as pairs of blocks with all that a decision needs, so pairs
+    are ruled out, confirmed and joined where they meet. Sizes, foreign shingles and registers rule
+    most of them out; of the others, the likeliest first, those whose components are not yet joined here are
+    confirmed by their foreign shingles, which hold the whole overlap. Only links that joined two
+    components leave a task: fewer than there are nodes in its blocks, however many pairs it saw."""
     own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
-    dealt = (found.withColumn("blocks", blocks).withColumn("own", own)
+    dealt = (found.withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own",
-                     "band", "rid", "c", "n", "m", "regs", "text_hash"))
+                     "band", "rid", "c", "n", "m", "regs", "foreign"))
     key = ["bucket", "lo", "hi"]
     up, down = threshold
 
-    def search(t: dict) -> Iterator[pa.RecordBatch]:
-        """All pairs of one pair of blocks, a stretch of rows at a time."""
+    def candidates(t: dict, sets: list) -> Iterator[tuple[int, int]]:
+        """Pairs that may link, a stretch of rows at a time, the likeliest first."""
         regs = np.frombuffer(b"".join(t["regs"]), np.uint16).reshape(-1, S.M)
         bands = regs.view(np.uint64)
         c, n, m, own = (np.array(t[x], np.int64) for x in ("c", "n", "m", "own"))
@@ -216,34 +228,45 @@ def _pairs_in_blocks(found: DataFrame, threshold: tuple[int, int]) -> DataFrame:
             if lo == hi:
                 keep &= i < j
             i, j = i[keep], j[keep]
-            if len(i):
+            if len(i):        # each pair in the first band that it shares
                 once = (bands[i] == bands[j]).argmax(1) == band
                 i, j = i[once], j[once]
             if len(i):
-                _, near = S.may_reach(regs[i], regs[j], n[i].astype(float), n[j].astype(float), up / down, MARGIN)
-                i, j = i[near], j[near]
-            if len(i):
-                take = lambda x, k: pa.array([t[x][q] for q in k.tolist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([take("rid", i), take("rid", j), take("text_hash", i),
-                                                  take("text_hash", j)], ["a", "b", "a_text", "b_text"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("own", "band", "lo", "hi", "rid", "c", "n", "m", "regs", "text_hash")
+                est, near = S.may_reach(regs[i], regs[j], n[i].astype(float), n[j].astype(float), up / down, MARGIN)
+                order = np.flatnonzero(near)[np.argsort(-est[near], kind="stable")]
+                yield from zip(i[order].tolist(), j[order].tolist())
+
+    def search(t: dict) -> Iterator[tuple[int, int]]:
+        sets, parent = t["foreign"], {}
+        for i, j in candidates(t, sets):
+            x, y = _find(parent, t["c"][i]), _find(parent, t["c"][j])
+            if x == y:
+                continue
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if down * common >= up * (t["n"][i] + t["n"][j] - common):
+                parent[max(x, y)] = min(x, y)
+                yield t["rid"][i], t["rid"][j]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
+        names = ("own", "band", "lo", "hi", "rid", "c", "n", "m", "regs", "foreign")
         held, current = {x: [] for x in names}, None
         for batch in batches:
-            cols = {x: batch.column(x).to_pylist() for x in (*key, *names)}
+            cols = {x: batch.column(x).to_pylist() for x in (*key, *names) if x != "foreign"}
+            foreign = batch.column("foreign")
             for r, k in enumerate(zip(*(cols[x] for x in key))):
                 if k != current:
                     if len(held["rid"]) > 1:
                         yield from search(held)
                     held, current = {x: [] for x in names}, k
-                for x in names:
+                for x in names[:-1]:
                     held[x].append(cols[x][r])
+                held["foreign"].append(foreign[r].values.to_numpy().copy())
         if len(held["rid"]) > 1:
             yield from search(held)
 
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     return (dealt.repartition(*key).sortWithinPartitions(*key)
-            .mapInArrow(run, "a long, b long, a_text long, b_text long"))
+            .mapInArrow(lambda batches: batched(rows(batches), schema, 4096), "a long, b long"))
 
 
 def components(pairs: DataFrame, name: str = "components") -> DataFrame:
@@ -284,11 +307,15 @@ def components(pairs: DataFrame, name: str = "components") -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _with_components(pairs: DataFrame, labels: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """`pairs` with ca and cb; a node without a label is its own component."""
-    side = lambda x, c: labels.select(F.col("node").alias(x), F.col("component").alias(c))
-    return (pairs.join(side(a, "ca"), a, "left").join(side(b, "cb"), b, "left")
-            .withColumns({"ca": F.coalesce("ca", a), "cb": F.coalesce("cb", b)}))
+def in_blocks(left: DataFrame, found: DataFrame) -> DataFrame:
+    """`left` (bucket, band, rid, c) of the nodes `found`, with the number of blocks that their
+    bucket is cut into: at most `BLOCK` nodes and about `BLOCK_BYTES` of shingles each. Buckets whose nodes
+    are of one component by now go."""
+    rows = left.join(found.select("rid", "m"), "rid")
+    sizes = (rows.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("m").alias("shingles"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+             .where("lo < hi")
+             .select("bucket", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")))
+    return left.join(sizes, "bucket").join(found, "rid")
 
 
 def _as_edges(labels: DataFrame) -> DataFrame:
@@ -323,24 +350,16 @@ def link(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     choice = F.row_number().over(W.partitionBy("a").orderBy(*_first_choice(F.col("est"))))
     first = staged(pairs.withColumn("k", choice).where("k = 1").drop("k"), "first", made)
     labels = components(_confirmed(first, texts, threshold).unionByName(shared_ids(sketches, nodes)))
-    open_pairs = staged(_with_components(pairs, labels).where("ca <> cb")
-                        .join(first.select("a", "b"), ["a", "b"], "left_anti"), "open", made)
-    if not open_pairs.isEmpty():
-        labels = components(_as_edges(labels).unionByName(_confirmed(open_pairs, texts, threshold)))
 
     # narrow buckets that still hold several components
     tagged = staged(narrow.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
                     .select("bucket", "band", "rid", F.coalesce("component", "rid").alias("c")), "tagged", made)
-    mixed = staged(tagged.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"))
-                   .where("lo < hi").select("bucket", "size"), "mixed", made)
+    mixed = staged(tagged.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+                   .where("lo < hi").select("bucket"), "mixed", made)
     left = staged(tagged.join(mixed, "bucket"), "left", made)
     if not left.isEmpty():
-        found = linkable(left.select("rid", "c").distinct(), nodes, texts, threshold)
-        tried = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rest = staged(_pairs_in_blocks(left.join(found, "rid"), threshold).join(tried, ["a", "b"], "left_anti"),
-                      "rest", made)
-        if not rest.isEmpty():
-            labels = components(_as_edges(labels).unionByName(_confirmed(rest, texts, threshold)))
+        found = linkable(left.select("rid", "c").distinct(), nodes, texts, threshold, made)
+        labels = components(_as_edges(labels).unionByName(links_in_blocks(in_blocks(left, found), threshold)))
     # the result reads the sketches, the nodes and the last labels
     drop_paths(docs.sparkSession, made)
 
@@ -362,20 +381,19 @@ def keep_one(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFra
     """The rows of `docs` (all columns) with one text of each component: the one with the smallest
     doc_id, once if its row is repeated. Texts that share a doc_id alone aren't linked by it. Rows
     without a doc_id stay."""
-    keys = staged(docs.where("doc_id IS NOT NULL")
-                  .groupBy(F.col("doc_id").cast("long").alias("_doc"))
-                  .agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi"))
-                  .where("lo <> hi"), "several")
-    if keys.isEmpty():
-        kept = link(docs, threshold).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id")).distinct()
-        named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]) \
-            .join(kept, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+    made: list[str] = []
+    rows = as_rows(docs).select("_row", F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))
+    named = rows.where("_doc IS NOT NULL")
+    several = named.groupBy("_doc").agg(F.min("_text").alias("lo"), F.max("_text").alias("hi")).where("lo <> hi")
+    if several.isEmpty():
+        kept = link(docs, threshold).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
+        named = named.dropDuplicates(["_doc"]).join(kept, F.col("_doc") == F.col("_kept"), "left_semi")
     else:
         ids = numbered(docs)
         same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
-        kept = link(docs.join(ids, same).select(F.col("_id").alias("doc_id"), "text"), threshold) \
-            .where("kept").select(F.col("doc_id").alias("_id")).distinct()
+        found = staged(docs.select("doc_id", "text").join(ids, same).select(F.col("_id").alias("doc_id"), "text"), "own-ids", made)
+        kept = link(found, threshold).where("kept").select(F.col("doc_id").alias("_id")).distinct()
         # equal texts of one doc_id are one row
-        named = docs.where("doc_id IS NOT NULL").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]) \
-            .drop("_key").join(ids.join(kept, "_id", "left_semi"), same, "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL"))
+        named = named.dropDuplicates(["_doc", "_text"]).join(ids.join(kept, "_id", "left_semi"), ["_doc", "_text"], "left_semi")
+        drop_paths(docs.sparkSession, made)
+    return from_rows(named, docs).unionByName(from_rows(rows.where("_doc IS NULL"), docs))

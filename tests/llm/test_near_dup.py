@@ -125,3 +125,47 @@ def test_shingle_counts(text):
     w = text.encode().lower().split()
     n = len({tuple(w[k:k + 5]) for k in range(len(w) - 4)}) if len(w) >= 5 else int(bool(w))
     assert len(shingles.shingle_set(text)) == n
+
+
+def test_hot_group_of_three_thousand_near_copies(spark, docs_of, words):
+    """One large group near the threshold: no link lost, and far fewer links than pairs."""
+    rng = random.Random(11)
+    base = words(100, 77)
+    rows = [(i, edited(base, rng.choice([1, 2, 3, 3, 3, 4, 4]), rng)) for i in range(3000)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.link(docs_of(rows, partitions=6)).collect()}
+    # by numpy: sets over a common numbering, overlaps of all pairs as a product of matrices
+    import numpy as np
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    seen = {}
+    for s in sets:
+        for x in s:
+            seen[x] = seen.get(x, 0) + 1
+    number = {x: k for k, x in enumerate(x for x, n in seen.items() if n > 1)}
+    m = np.zeros((len(rows), len(number)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [number[x] for x in s if x in number]] = 1
+    size = np.array([len(s) for s in sets])
+    both = (m @ m.T).round().astype(np.int64)
+    near = 100 * both >= 75 * (size[:, None] + size[None] - both)
+    np.fill_diagonal(near, True)
+    label = np.arange(len(rows))
+    while True:
+        new = np.where(near, label[None], len(rows)).min(1)
+        if (new == label).all():
+            break
+        label = new
+    assert got == {i: (int(size[i]), int(label[i])) for i in range(len(rows))}
+    assert 50 < len(set(label.tolist())) < 2950
+
+
+def test_blocks_return_spanning_links_only(spark):
+    import numpy as np
+    n = 60
+    common = np.arange(100, dtype=np.int64)
+    rows = []
+    for i in range(n):
+        s = np.sort(np.append(common, [1000 + i]))
+        rows.append((1, 0, 1, i, i, len(s), 100, bytearray(shingles.registers(s.astype(np.uint64)).tobytes()), common.tolist()))
+    df = spark.createDataFrame(rows, "bucket long, band int, blocks int, rid long, c long, n long, m long, regs binary, foreign array<long>")
+    links = [tuple(r) for r in near_dup.links_in_blocks(df, (75, 100)).collect()]
+    assert len(links) <= n - 1 and len(links) > 0
