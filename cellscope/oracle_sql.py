@@ -461,14 +461,55 @@ first_delivery AS (
                  FROM landed) WHERE rn = 1
 )"""
 
-_q("cdc_unwrap", f"SELECT {RECORD_COLS}, CAST(json(extra) AS VARCHAR) AS extra, _cdc_source_ts_ms FROM network_events")
-_q("flatten_events", f"SELECT {RECORD_COLS}, CAST(json(extra) AS VARCHAR) AS extra FROM network_events")
-_q("epoch_day_decode", "SELECT event_id, subscriber_activation_date FROM network_events")
-_q("drift_extra", """
-SELECT event_id, k AS drift_key, CAST(json_extract(extra, '$.' || k) AS VARCHAR) AS drift_value
-FROM (SELECT event_id, extra, unnest(json_keys(extra)) AS k FROM network_events)
-UNION ALL
-SELECT event_id, 'probe_version' AS drift_key, '"v2"' AS drift_value FROM network_events""")
+# change records as JSON text, written and decoded by DuckDB's own JSON functions
+_FLAT = """'event_id', event_id, 'event_type', event_type, 'event_time_raw', event_time_raw, 'subscriber_id', subscriber_id,
+  'subscriber_msisdn_masked', subscriber_msisdn_masked, 'subscriber_plan', subscriber_plan,
+  'subscriber_activation_date', {activation}, 'cell_id', cell_id, 'cell_region', cell_region,
+  'cell_radio_tech', cell_radio_tech, 'signal_dbm', signal_dbm, 'duration_sec', duration_sec, 'call_result', call_result,
+  'data_volume_mb', data_volume_mb, 'avg_throughput_mbps', avg_throughput_mbps, 'latency_ms', latency_ms, 'extra', extra"""
+_EPOCH_DAY = "date_diff('day', DATE '1970-01-01', subscriber_activation_date)"
+WIRE = f"""
+wire AS (SELECT CAST(CASE WHEN event_type <> 'sms'
+    THEN json_object('before', NULL, 'after', json_object({_FLAT.format(activation=_EPOCH_DAY)}), 'source', json_object('ts_ms', _cdc_source_ts_ms), 'op', 'c')
+    ELSE json_object({_FLAT.format(activation=_EPOCH_DAY)}, '__source_ts_ms', _cdc_source_ts_ms) END AS VARCHAR) AS value FROM network_events),
+record AS (SELECT CASE WHEN value ->> '$.op' IS NOT NULL THEN value -> '$.after' ELSE CAST(value AS JSON) END AS r,
+                  CAST(coalesce(value ->> '$.source.ts_ms', value ->> '$.__source_ts_ms') AS BIGINT) AS ts FROM wire)"""
+_TYPES = {"signal_dbm": "DOUBLE", "duration_sec": "INTEGER", "data_volume_mb": "DOUBLE", "avg_throughput_mbps": "DOUBLE", "latency_ms": "DOUBLE"}
+_DECODED = ", ".join(
+    "DATE '1970-01-01' + CAST(r ->> '$.subscriber_activation_date' AS INTEGER) AS subscriber_activation_date" if c == "subscriber_activation_date"
+    else f"CAST(r ->> '$.{c}' AS {_TYPES.get(c, 'VARCHAR')}) AS {c}" for c in (x.strip() for x in RECORD_COLS.split(",")))
+_q("cdc_unwrap", f"SELECT {_DECODED}, CAST(json(r ->> '$.extra') AS VARCHAR) AS extra, ts AS _cdc_source_ts_ms FROM record", WIRE)
+
+_q("flatten_events", """
+SELECT r ->> '$.event_id' AS event_id, r ->> '$.event_type' AS event_type, r ->> '$.event_time' AS event_time_raw,
+       r ->> '$.subscriber.subscriber_id' AS subscriber_id, r ->> '$.subscriber.msisdn_masked' AS subscriber_msisdn_masked,
+       r ->> '$.subscriber.plan' AS subscriber_plan, CAST(r ->> '$.subscriber.activation_date' AS DATE) AS subscriber_activation_date,
+       r ->> '$.cell.cell_id' AS cell_id, r ->> '$.cell.region' AS cell_region, r ->> '$.cell.radio_tech' AS cell_radio_tech,
+       CAST(r ->> '$.signal_dbm' AS DOUBLE) AS signal_dbm, CAST(r ->> '$.duration_sec' AS INTEGER) AS duration_sec,
+       r ->> '$.call_result' AS call_result, CAST(r ->> '$.data_volume_mb' AS DOUBLE) AS data_volume_mb,
+       CAST(r ->> '$.avg_throughput_mbps' AS DOUBLE) AS avg_throughput_mbps, CAST(r ->> '$.latency_ms' AS DOUBLE) AS latency_ms,
+       CAST(r -> '$.extra' AS VARCHAR) AS extra FROM nested""", """
+nested AS (SELECT CAST(CAST(json_object('event_id', event_id, 'event_type', event_type, 'event_time', event_time_raw,
+    'subscriber', json_object('subscriber_id', subscriber_id, 'msisdn_masked', subscriber_msisdn_masked, 'plan', subscriber_plan,
+                              'activation_date', CAST(subscriber_activation_date AS VARCHAR)),
+    'cell', json_object('cell_id', cell_id, 'region', cell_region, 'radio_tech', cell_radio_tech), 'signal_dbm', signal_dbm,
+    'duration_sec', duration_sec, 'call_result', call_result, 'data_volume_mb', data_volume_mb,
+    'avg_throughput_mbps', avg_throughput_mbps, 'latency_ms', latency_ms, 'extra', json(extra)) AS VARCHAR) AS JSON) AS r FROM network_events)""")
+
+_q("epoch_day_decode", """
+SELECT r ->> '$.event_id' AS event_id,
+       CASE WHEN regexp_full_match(r ->> '$.subscriber_activation_date', '-?[0-9]+')
+            THEN DATE '1970-01-01' + TRY_CAST(r ->> '$.subscriber_activation_date' AS INTEGER)
+            ELSE TRY_CAST(r ->> '$.subscriber_activation_date' AS DATE) END AS subscriber_activation_date FROM dated""", f"""
+dated AS (SELECT CAST(CAST(CASE WHEN event_type = 'sms' THEN json_object({_FLAT.format(activation='CAST(subscriber_activation_date AS VARCHAR)')})
+    ELSE json_object({_FLAT.format(activation=_EPOCH_DAY)}) END AS VARCHAR) AS JSON) AS r FROM network_events)""")
+
+_q("drift_extra", f"""
+SELECT r ->> '$.event_id' AS event_id, key AS drift_key, CAST(drift -> key AS VARCHAR) AS drift_value
+FROM (SELECT r, drift, unnest(json_keys(drift)) AS key FROM
+      (SELECT r, json_merge_patch(CAST(r ->> '$.extra' AS JSON), json_object('probe_version', r -> '$.probe_version')) AS drift FROM drifted))""", f"""
+drifted AS (SELECT CAST(CAST(json_object({_FLAT.format(activation=_EPOCH_DAY)}, 'probe_version', 'v2', 'inserted_at', CAST(_loaded_at AS VARCHAR),
+    '__source_ts_ms', _cdc_source_ts_ms) AS VARCHAR) AS JSON) AS r FROM network_events)""")
 _q("ingest_hour_partitions", """
 SELECT strftime(epoch_ms(_cdc_source_ts_ms), '%Y-%m-%d') AS dt, strftime(epoch_ms(_cdc_source_ts_ms), '%H') AS hr,
        CAST(count(*) AS BIGINT) AS row_count

@@ -1,9 +1,9 @@
 """Decoding change records: envelope unwrap, nested-event flatten, drift catch-all.
 
-Each message is parsed once into a VARIANT (`parse_json`); contract columns are read from it
-with typed `try_variant_get` paths (no schema inference), and keys outside the contract are
-taken from the same value as a `map<string, variant>`, so unknown keys keep their JSON types.
-Row-local: no shuffle.
+Each message is parsed once into a VARIANT (`parse_json`). The contract's columns are read from it
+as one typed struct and all its keys as one `map<string, variant>` (no schema inference), so
+unknown keys keep their JSON types. Each of these values is computed once, in a projection of its
+own. Row-local: no shuffle.
 """
 
 from __future__ import annotations
@@ -19,6 +19,11 @@ ANY_MAP = "map<string,variant>"
 NESTED_KNOWN_KEYS = ("event_id", "event_type", "event_time", "subscriber", "cell", "signal_dbm",
                      "duration_sec", "call_result", "data_volume_mb", "avg_throughput_mbps",
                      "latency_ms")
+ENVELOPE = f"struct<op:string,after:variant,source:struct<ts_ms:bigint>,{S.SOURCE_TS_FIELD}:bigint>"
+NESTED_EVENT = ("struct<event_id:string,event_type:string,event_time:string,"
+                "subscriber:struct<subscriber_id:string,msisdn_masked:string,plan:string,activation_date:string>,"
+                "cell:struct<cell_id:string,region:string,radio_tech:string>,signal_dbm:double,duration_sec:bigint,"
+                "call_result:string,data_volume_mb:double,avg_throughput_mbps:double,latency_ms:double>")
 
 
 def drop_tombstones(messages: DataFrame, value_col: str = "value") -> DataFrame:
@@ -41,50 +46,47 @@ def unwrap(messages: DataFrame, value_col: str = "value", on_malformed: str = "f
     Adds `record` (VARIANT, the message parsed once), `_line` (its text) and `cdc_ts_ms`.
     """
     text = F.col(value_col).cast("string")
-    v = _parse(text, on_malformed)
-    is_envelope = F.try_variant_get(v, "$.op", "string").isNotNull()
-    after = F.try_variant_get(v, "$.after", "variant")
-    after = F.when(~F.is_variant_null(after), after)          # JSON null -> SQL NULL
-    record = F.when(is_envelope, after).otherwise(v)
-    ts = F.when(is_envelope, F.try_variant_get(v, "$.source.ts_ms", "bigint")) \
-        .otherwise(F.try_variant_get(v, f"$.{S.SOURCE_TS_FIELD}", "bigint"))
-    return (messages.select("*", record.alias("record"), text.alias("_line"), ts.alias("cdc_ts_ms"))
-            .where(~is_envelope | F.col("record").isNotNull()))
+    rows = messages.select("*", text.alias("_line"), _parse(text, on_malformed).alias("_message"))
+    rows = rows.withColumn("_head", F.try_variant_get("_message", "$", ENVELOPE))
+    is_envelope = F.coalesce(F.col("_head.op").isNotNull(), F.lit(False))
+    after = F.when(~F.is_variant_null("_head.after"), F.col("_head.after"))     # JSON null -> SQL NULL
+    found = F.struct(is_envelope.alias("enveloped"), F.when(is_envelope, after).otherwise(F.col("_message")).alias("record"),
+                     F.when(is_envelope, F.col("_head.source.ts_ms")).otherwise(F.col(f"_head.{S.SOURCE_TS_FIELD}")).alias("ts"))
+    # as the only element of an array: a filter on what a generator made stays behind it, where the
+    # parsed value is at hand; behind a projection it would move to the scan and parse once more
+    return (rows.select(*messages.columns, "_line", F.explode(F.array(found)).alias("_found"))
+            .where("NOT _found.enveloped OR _found.record IS NOT NULL")
+            .select(*messages.columns, F.col("_found.record").alias("record"), "_line", F.col("_found.ts").alias("cdc_ts_ms")))
 
 
 def _as_object_map(v: Column) -> Column:
     return F.try_variant_get(v, "$", ANY_MAP)
 
 
-def drift_extra(record: Column, known: tuple[str, ...]) -> Column:
+def drift_extra(every: Column, known: tuple[str, ...]) -> Column:
     """B2 + T2: every key outside `known` as one JSON object, nothing dropped.
 
-    `record` is the parsed record (VARIANT). A nested `extra` (an object, or an object encoded
+    `every` is the record as a map of its keys. A nested `extra` (an object, or an object encoded
     as a JSON string by the CDC converter) is merged in; top-level keys win on a clash.
     `__source_ts_ms` and `inserted_at` are delivery metadata, not drift, and are removed.
     """
-    every = _as_object_map(record)
     skip = sorted(set(known) | set(S.NON_DRIFT_KEYS))
     top = F.map_filter(every, lambda k, v: ~k.isin(*skip))
     nested_raw = every["extra"]
     nested = F.coalesce(_as_object_map(nested_raw),
-                        _as_object_map(F.try_parse_json(F.try_variant_get(nested_raw, "$", "string"))),
-                        F.create_map().cast(ANY_MAP))
-    nested = F.map_filter(nested, lambda k, v: ~k.isin(*skip) & ~F.array_contains(F.map_keys(top), k))
+                        _as_object_map(F.try_parse_json(F.try_variant_get(nested_raw, "$", "string"))))
+    clash = lambda k: k.isin(*skip) | F.map_contains_key(every, k)
+    nested = F.map_filter(F.coalesce(nested, F.create_map().cast(ANY_MAP)), lambda k, v: ~clash(k))
     return F.coalesce(F.to_json(F.map_concat(nested, top)), F.lit("{}"))
 
 
-def _field(record: Column, name: str, dtype) -> Column:
-    return F.try_variant_get(record, f"$.{name}", dtype.simpleString())
-
-
 #: Contract columns that can't take every value; text columns take any.
 TYPED_COLUMNS = tuple(c for c in S.RECORD_COLUMNS if c in S.RAW_DECIMALS or c in ("duration_sec", "subscriber_activation_date"))
 
 
-def _given(record: Column) -> Column:
+def _given(every: Column) -> Column:
     """How many typed columns the record holds a value for; NULL if it is no JSON object."""
-    return F.size(F.map_filter(_as_object_map(record), lambda k, v: k.isin(*TYPED_COLUMNS) & ~F.is_variant_null(v)))
+    return F.when(every.isNotNull(), F.size(F.map_filter(every, lambda k, v: k.isin(*TYPED_COLUMNS) & ~F.is_variant_null(v))))
 
 
 def _stored() -> Column:
@@ -98,9 +100,11 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
                   on_malformed: str = "failfast") -> DataFrame:
     """Flat record -> raw.network_events columns.
 
-    `record_col` is the parsed record (VARIANT, from `unwrap`) or its JSON text. Known columns
-    are read from the parsed value (an absent key gives NULL), the activation date is decoded
-    from epoch days (B4), unknown keys go to `extra` (B2), the object key and CDC time are
+    `record_col` is the parsed record (VARIANT, from `unwrap`) or its JSON text. The known columns
+    are one typed struct read from the parsed value in one pass (an absent key gives NULL), all keys are one
+    map, from which drift (B2) and the count of given values come; each is computed once, in a projection
+    of its own, so that the generated code of every step stays small. The activation date is decoded
+    from epoch days (B4), the object key and CDC time are
     attached. A line is rejected if it is not a JSON object, has no event id (the raw key) or
     holds a value that its column can't take (wrong type, out of the contract's range): it fails
     the read, or with `on_malformed="quarantine"` keeps its text in `_corrupt_record`.
@@ -110,24 +114,20 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
     else:
         rec = _parse(F.col(record_col).cast("string"), on_malformed)
     line = F.col("_line") if "_line" in records.columns else F.col(record_col).cast("string")
-    types = {f.name: f.dataType for f in S.RECORD_SCHEMA.fields}
-    values = {}
-    for c in S.RECORD_COLUMNS:
-        if c == "subscriber_activation_date":
-            values[c] = X.epoch_day_to_date(_field(rec, c, T.StringType()))
-        elif c == "duration_sec":
-            values[c] = _field(rec, c, T.LongType()).try_cast("int")
-        else:
-            values[c] = _field(rec, c, types[c])
-    cols = [v.alias(c) for c, v in values.items()]
     ts = F.col(ts_col) if ts_col in records.columns else F.lit(None).cast("bigint")
-    cols += [
-        drift_extra(rec, S.RECORD_COLUMNS).alias("extra"),
+    rows = records.select(
+        rec.alias("_rec"), line.alias("_text"), ts.alias("_ts"),
         (object_key if object_key is not None else F.lit(None).cast("string")).alias("_source_object_key"),
-        F.coalesce(ts, _field(rec, S.SOURCE_TS_FIELD, T.LongType())).alias("_cdc_source_ts_ms"),
-        (loaded_at if loaded_at is not None else F.current_timestamp()).alias("_loaded_at"),
-    ]
-    out = records.select(*cols, _given(rec).alias("_given"), line.alias("_text"))
+        (loaded_at if loaded_at is not None else F.current_timestamp()).alias("_loaded_at"))
+    rows = rows.select("*", F.try_variant_get("_rec", "$", S.RECORD_SCHEMA.simpleString()).alias("_known"),
+                       _as_object_map(F.col("_rec")).alias("_every")).drop("_rec")
+    rows = rows.select("_known", "_text", "_source_object_key", "_loaded_at",
+                       F.coalesce("_ts", F.col(f"_known.{S.SOURCE_TS_FIELD}")).alias("_cdc_source_ts_ms"),
+                       drift_extra(F.col("_every"), S.RECORD_COLUMNS).alias("extra"), _given(F.col("_every")).alias("_given"))
+    decoded = {"subscriber_activation_date": X.epoch_day_to_date("_known.subscriber_activation_date"),
+               "duration_sec": F.col("_known.duration_sec").try_cast("int")}
+    out = rows.select(*[decoded.get(c, F.col(f"_known.{c}")).alias(c) for c in S.RECORD_COLUMNS],
+                      "extra", "_source_object_key", "_cdc_source_ts_ms", "_loaded_at", "_given", "_text")
     # a value that is given but not stored has the wrong type or is out of range
     bad = F.col("_given").isNull() | F.col("event_id").isNull() | (F.col("_given") > _stored())
     if on_malformed == "quarantine":
@@ -139,27 +139,25 @@ def record_to_raw(records: DataFrame, record_col: str = "record", ts_col: str =
 def flatten_nested(events: DataFrame, value_col: str = "value", on_malformed: str = "failfast") -> DataFrame:
     """B1: nested event JSON (subscriber and cell as objects) -> flat source record columns.
 
-    Parsed once; `event_time` becomes `event_time_raw`, subscriber/cell fields get their
-    prefixes, keys outside the nested contract are collected into `extra`.
+    Parsed once and read as one typed struct; `event_time` becomes `event_time_raw`, subscriber/cell
+    fields get their prefixes, keys outside the nested contract are collected into `extra`.
     """
-    ev = _parse(F.col(value_col).cast("string"), on_malformed)
-
-    def get(path: str, dtype: str = "string") -> Column:
-        return F.try_variant_get(ev, f"$.{path}", dtype)
-
-    return events.select(
-        get("event_id").alias("event_id"), get("event_type").alias("event_type"),
-        get("event_time").alias("event_time_raw"),
-        get("subscriber.subscriber_id").alias("subscriber_id"),
-        get("subscriber.msisdn_masked").alias("subscriber_msisdn_masked"),
-        get("subscriber.plan").alias("subscriber_plan"),
-        X.epoch_day_to_date(get("subscriber.activation_date")).alias("subscriber_activation_date"),
-        get("cell.cell_id").alias("cell_id"), get("cell.region").alias("cell_region"),
-        get("cell.radio_tech").alias("cell_radio_tech"),
-        get("signal_dbm", "double").alias("signal_dbm"), get("duration_sec", "bigint").try_cast("int").alias("duration_sec"),
-        get("call_result").alias("call_result"), get("data_volume_mb", "double").alias("data_volume_mb"),
-        get("avg_throughput_mbps", "double").alias("avg_throughput_mbps"), get("latency_ms", "double").alias("latency_ms"),
-        drift_extra(ev, NESTED_KNOWN_KEYS).alias("extra"))
+    rows = events.select(_parse(F.col(value_col).cast("string"), on_malformed).alias("_event"))
+    rows = rows.select(F.try_variant_get("_event", "$", NESTED_EVENT).alias("_known"), _as_object_map(F.col("_event")).alias("_every"))
+    rows = rows.select("_known", drift_extra(F.col("_every"), NESTED_KNOWN_KEYS).alias("extra"))
+    known = lambda path: F.col(f"_known.{path}")
+    return rows.select(
+        known("event_id").alias("event_id"), known("event_type").alias("event_type"),
+        known("event_time").alias("event_time_raw"),
+        known("subscriber.subscriber_id").alias("subscriber_id"),
+        known("subscriber.msisdn_masked").alias("subscriber_msisdn_masked"),
+        known("subscriber.plan").alias("subscriber_plan"),
+        X.epoch_day_to_date(known("subscriber.activation_date")).alias("subscriber_activation_date"),
+        known("cell.cell_id").alias("cell_id"), known("cell.region").alias("cell_region"),
+        known("cell.radio_tech").alias("cell_radio_tech"),
+        known("signal_dbm").alias("signal_dbm"), known("duration_sec").try_cast("int").alias("duration_sec"),
+        known("call_result").alias("call_result"), known("data_volume_mb").alias("data_volume_mb"),
+        known("avg_throughput_mbps").alias("avg_throughput_mbps"), known("latency_ms").alias("latency_ms"), "extra")
 
 
 def record_json(raw: DataFrame, activation_as_epoch_days: bool = True, envelope: Column | None = None,

@@ -128,3 +128,30 @@ def test_epoch_day_decode_rejects_non_dates(spark):
     df = spark.createDataFrame([("19936",), ("2024-07-01",), ("true",), ("1.5",)], "v string")
     got = [r[0] for r in df.select(X.epoch_day_to_date("v")).collect()]
     assert got == [dt.date(2024, 8, 1), dt.date(2024, 7, 1), None, None]
+
+
+def test_decode_parses_once_and_keeps_its_filter_off_the_scan(spark, tmp_path):
+    """One parse of each message; the delete filter stays behind it; every step is compiled."""
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([(json.dumps(RECORD),)], "value string").write.parquet(path)
+    out = cdc.record_to_raw(cdc.unwrap(spark.read.parquet(path)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("VariantExpressionEvalUtils.parseJson(value") == 1
+    assert plan.count("VariantExpressionEvalUtils.parseJson(") == 2      # the other: an `extra` that is JSON in a string
+    scan = next(x for x in plan.splitlines() if "FileScan" in x)
+    assert "parseJson" not in scan and "PushedFilters: []" in scan
+    for line in plan.splitlines():
+        if any(x in line for x in ("Project", "Filter", "Generate")) and "lambda" not in line and "FileScan" not in line:
+            assert "*(" in line, line        # whole-stage code, but for the functions over the map's entries
+
+
+def test_wrong_types_are_seen_by_the_struct_read(spark):
+    bad = [dict(RECORD, event_id=f"b{i}", **{c: v}) for i, (c, v) in enumerate([
+        ("signal_dbm", "loud"), ("duration_sec", 10 ** 12), ("latency_ms", {"ms": 3}), ("data_volume_mb", [1]),
+        ("subscriber_activation_date", "soon"), ("avg_throughput_mbps", 1e9)])]
+    good = [dict(RECORD, event_id="ok1", signal_dbm="-80.5"), dict(RECORD, event_id="ok2", subscriber_id=77, cell_id=True)]
+    msgs = spark.createDataFrame([(json.dumps(x),) for x in bad + good] + [("[1]",), ("3",)], "value string")
+    out = cdc.record_to_raw(cdc.unwrap(msgs, on_malformed="quarantine"), on_malformed="quarantine").collect()
+    kept = {r.event_id: r for r in out if r._corrupt_record is None}
+    assert set(kept) == {"ok1", "ok2"} and len(out) == 10
+    assert kept["ok1"].signal_dbm == -80.5 and kept["ok2"].subscriber_id == "77" and kept["ok2"].cell_id == "true"
