@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscope.session import ensure_session, session_key
+from cellscope.plans import publish
 from cellscope.plans.layers import Layers
 from cellscope import schemas as S
 from cellscope.operators import curated, incremental, ingest, kpi, quality, serving, staging
@@ -46,9 +47,28 @@ def _layers(spark: SparkSession, sf_dir: str) -> Layers:
     return _LAYERS[key]
 
 
+_STAGED: dict = {}
+
+
+def _staged_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """Layers over a written staging table, for queries of which several branches read a layer: it is derived
+    from `events` once for a session and data folder, as a run of the pipeline writes it once."""
+    key = (session_key(spark), sf_dir)
+    if key not in _STAGED:
+        layers = Layers(_raw_table(spark, sf_dir))
+        made: list[str] = []
+        layers.__dict__["stg"] = publish.stage(layers.stg, "stg", made)
+        _STAGED[key] = (spark, layers, made)
+    return _STAGED[key][1]
+
+
 def reset_cache() -> None:
-    """Forget layer objects."""
+    """Forget layer objects, delete staged tables."""
     _LAYERS.clear()
+    for spark, _, made in _STAGED.values():
+        for path in made:
+            publish.drop(spark, path)
+    _STAGED.clear()
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -111,11 +131,11 @@ def q_cell_quality_ranking(spark, d):
 
 
 def q_dim_subscriber(spark, d):
-    return _layers(spark, d).dim_sub
+    return _staged_layers(spark, d).dim_sub
 
 
 def q_churn_signals(spark, d):
-    return _layers(spark, d).churn()
+    return _staged_layers(spark, d).churn()
 
 
 def q_subscriber_activity(spark, d):
@@ -129,7 +149,7 @@ def q_poor_experience(spark, d):
 
 
 def q_plan_as_of_event(spark, d):
-    L = _layers(spark, d)
+    L = _staged_layers(spark, d)
     return curated.plan_as_of_event(L.voice, L.data, L.dim_sub)
 
 
@@ -150,7 +170,7 @@ def q_cell_weekly_quality(spark, d):
 
 
 def q_dq_unique(spark, d):
-    L = _layers(spark, d)
+    L = _staged_layers(spark, d)
     return quality.checks_table([quality.event_key_checks(L.stg)]
                                 + quality.dimension_key_checks(L.dim_cell, L.dim_sub)
                                 + quality.serving_checks(L.ranking(), L.churn()))
@@ -163,7 +183,7 @@ def q_dq_accepted_values(spark, d):
 
 
 def q_dq_relationships(spark, d):
-    L = _layers(spark, d)
+    L = _staged_layers(spark, d)
     return quality.checks_table(quality.relationship_checks(L.dim_cell, L.dim_sub, L.voice, L.data))
 
 
@@ -174,13 +194,13 @@ def _curated_checks(L: Layers, event_models: tuple[str, ...]) -> list:
 
 
 def q_dq_gate(spark, d):
-    L = _layers(spark, d)
+    L = _staged_layers(spark, d)
     checks = quality.checks_table(_curated_checks(L, ("fct_voice_call", "fct_data_session")))
     return quality.gate_decision(checks, "curated")
 
 
 def q_layer_counts(spark, d):
-    L = _layers(spark, d)
+    L = _staged_layers(spark, d)
     others = quality.layer_counts({
         ("raw", "network_events"): L.raw,
         ("curated", "dim_cell_site"): L.dim_cell, ("curated", "dim_subscriber"): L.dim_sub,
@@ -197,7 +217,7 @@ def q_dq_completeness(spark, d):
 
 
 def q_dq_summary(spark, d):
-    L = _layers(spark, d)
+    L = _staged_layers(spark, d)
     checks = quality.checks_table(_curated_checks(L, ("stg_network_events", "fct_voice_call", "fct_data_session")))
     return quality.flag_summary(staging.flag_counts(L.stg), checks)
 
@@ -307,7 +327,7 @@ def q_load_report(spark, d):
 
 
 def q_fct_incremental(spark, d):
-    L = _layers(spark, d)
+    L = _staged_layers(spark, d)
     first_run = L.voice.where(F.col("event_time") < F.lit("2024-01-16 00:00:00").cast("timestamp"))
     states = [incremental.merge(first_run, L.voice, late=mode).select(F.lit(mode).alias("late_mode"), "*")
               for mode in ("drop", "upsert")]

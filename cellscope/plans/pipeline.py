@@ -63,8 +63,8 @@ def publish_dims(spark: SparkSession, valid_all: DataFrame, valid_run: DataFrame
     """Cell dimension (SCD1) and subscriber history (SCD2).
 
     Incremental (default): the cell dimension merges its stored latest state with the run's
-    rows, the subscriber history is rebuilt only for subscribers seen in the run. Both equal a
-    full rebuild because the raw table is append-only. The first run, or
+    rows, the subscriber history its stored versions with those of the run; older rows are read only for
+    subscribers of whom a late event splits a stored version. Both equal a full rebuild because the raw table is append-only. The first run, or
     `incremental_dims=False`, rebuilds from all valid rows as the source system does.
     """
     cell_state = publish.read_table(spark, paths["dim_cell_site"])
@@ -74,11 +74,11 @@ def publish_dims(spark: SparkSession, valid_all: DataFrame, valid_run: DataFrame
                              "dim-cell", reads_target=True)
     else:
         publish.full_refresh(curated.dim_cell_site(valid_all, keep_state=True), paths["dim_cell_site"], "dim-cell")
-    if incremental_dims and sub_state is not None:
-        publish.full_refresh(curated.merge_dim_subscriber(sub_state, valid_all, valid_run),
+    if incremental_dims and sub_state is not None and set(curated.VERSION_STATE) <= set(sub_state.columns):
+        publish.full_refresh(curated.merge_dim_subscriber(sub_state, valid_all, valid_run, stage=publish.stage),
                              paths["dim_subscriber"], "dim-sub", reads_target=True)
     else:
-        publish.full_refresh(curated.dim_subscriber(valid_all), paths["dim_subscriber"], "dim-sub")
+        publish.full_refresh(curated.dim_subscriber(valid_all, keep_state=True), paths["dim_subscriber"], "dim-sub")
 
 
 def publish_kpi(spark: SparkSession, warehouse: str, date: str, keep_flags: tuple[str, ...] = (),

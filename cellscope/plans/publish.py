@@ -64,8 +64,9 @@ def staged(df: DataFrame, name: str):
         drop(df.sparkSession, path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to a fresh folder of the shared checkpoint location and read it back.
+def stage(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
+    """Write `df` once to a fresh folder of the shared checkpoint location and read it back. The folder
+    is added to `made`, for `drop` when nothing reads it any more.
 
     Cuts the lineage (a lost executor re-reads the staged files instead of recomputing the
     whole plan) and decouples a plan from the table it is about to overwrite.
@@ -73,6 +74,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -136,3 +136,76 @@ def test_history_without_hot_split_is_identical(spark):
                 event_time=T0 + dt.timedelta(seconds=rnd.randint(0, 9000))) for i in range(200)]
     v = valid(spark, evs)
     assert scd2_rows(curated.dim_subscriber(v, max_rows_per_group=None)) == brute_force_scd2(evs)
+
+
+def versions_of(df):
+    return sorted((tuple(r) for r in df.select(*curated._VERSION).collect()), key=str)
+
+
+def random_events(rnd, n, hours, subs=4, start=0):
+    return [dict(event_id=f"{start + i:05d}", subscriber_id=f"s{rnd.randint(0, subs - 1)}", subscriber_plan=rnd.choice(["A", "A", "A", "B", None]),
+                 subscriber_msisdn_masked=f"+99450***{rnd.randint(0, 9999):04d}", event_time=T0 + dt.timedelta(seconds=rnd.randint(0, hours * 3600)))
+            for i in range(n)]
+
+
+def test_history_over_months_equals_brute_force(spark):
+    """Slices of an hour, groups of 30 days and the history above them all take part."""
+    rnd = random.Random(13)
+    evs = random_events(rnd, 500, 24 * 200)
+    for e in evs[:60]:      # bursts within one hour, so that inner runs are complete at the first level
+        e["event_time"] = T0 + dt.timedelta(days=40, seconds=rnd.randint(0, 600))
+    assert scd2_rows(curated.dim_subscriber(valid(spark, evs))) == brute_force_scd2(evs)
+
+
+def test_incremental_history_equals_rebuild_with_late_and_repeated_events(spark):
+    rnd = random.Random(17)
+    evs = sorted(random_events(rnd, 360, 24 * 90), key=lambda e: e["event_time"])
+    late = [evs.pop(rnd.randrange(50, 250)) for _ in range(25)]
+    days = [evs[:150], evs[150:260] + late[:12], evs[260:] + late[12:], evs[300:] + late]      # the last: a re-run
+    seen, state = [], curated.dim_subscriber(valid(spark, days[0]), keep_state=True)
+    seen += days[0]
+    for new in days[1:]:
+        known = {e["event_id"] for e in seen}
+        seen += [e for e in new if e["event_id"] not in known]
+        state = curated.merge_dim_subscriber(state, valid(spark, seen), valid(spark, new))
+        state = spark.createDataFrame(state.collect(), state.schema)
+        assert versions_of(state) == versions_of(curated.dim_subscriber(valid(spark, seen)))
+        assert scd2_rows(state) == brute_force_scd2(seen)
+
+
+def test_incremental_history_reads_no_old_rows_unless_a_version_is_split(spark):
+    day = dt.timedelta(days=1)
+    ev = lambda i, plan, at: dict(event_id=str(i), subscriber_id="s", subscriber_plan=plan, event_time=T0 + at)
+    old = [ev(1, "A", 0 * day), ev(2, "A", 4 * day), ev(3, "B", 9 * day)]
+    state = curated.dim_subscriber(valid(spark, old), keep_state=True)
+    state = spark.createDataFrame(state.collect(), state.schema)
+
+    class Unread:
+        def join(self, *a):
+            raise AssertionError("read the history")
+
+    for new in ([ev(4, "B", 10 * day)], [ev(4, "C", 10 * day)], [ev(4, "A", 2 * day)], [ev(4, "B", 6 * day)], [ev(4, "C", 6 * day)],
+                [ev(0, "A", -1 * day)], [ev(0, "Z", -1 * day)], [ev(4, None, 9 * day)]):
+        got = curated.merge_dim_subscriber(state, Unread(), valid(spark, new))
+        assert scd2_rows(got) == brute_force_scd2(old + new)
+    new = [ev(4, "B", 2 * day)]
+    assert scd2_rows(curated.merge_dim_subscriber(state, valid(spark, old + new), valid(spark, new))) == brute_force_scd2(old + new)
+
+
+def test_plan_as_of_event_equals_brute_force_for_a_hot_subscriber(spark):
+    rnd = random.Random(23)
+    evs = random_events(rnd, 500, 24 * 12, subs=3)
+    for e in evs[:250]:
+        e["subscriber_id"] = "hot"
+    v = valid(spark, evs)
+    dim = curated.dim_subscriber(valid(spark, evs[::3]))      # events before, at and between versions
+    versions = scd2_rows(dim)
+    voice = v.select("event_id", "event_time", "subscriber_id", "cell_id", F.lit("completed").alias("call_result"))
+    data = voice.select("event_id", "event_time", "subscriber_id", "cell_id", F.lit(1.0).alias("latency_ms")).limit(0)
+    got = {r.event_id: (r.plan, r.valid_from) for r in
+           curated.plan_as_of_event(voice, data, dim, chunk_seconds=7200, max_rows_per_group=5).collect()}
+    want = {}
+    for e in evs:
+        own = [(p, a) for s, p, a, b, _ in versions if s == e["subscriber_id"] and a <= e["event_time"] and (b is None or e["event_time"] < b)]
+        want[e["event_id"]] = own[0] if own else (None, None)
+    assert got == want
