@@ -39,23 +39,25 @@ def publish_fact(spark: SparkSession, source: DataFrame, path: str, late: str =
                  key: str = "event_id") -> None:
     """Merge `source` into a fact table partitioned by `event_date`.
 
-    upsert: unseen ids are appended (late data kept). drop: rows newer than the table's newest
+    upsert: unseen ids are added (late data kept). drop: rows newer than the table's newest
     event time replace matching ids; replace: all rows do. The touched dates (of new rows and of
-    replaced old rows) are rewritten through a staged copy with dynamic partition overwrite.
+    replaced old rows) are replaced. Either way readers see all of it or nothing.
     """
     source = source.withColumn("event_date", F.to_date("event_time"))
     target = publish.read_table(spark, path)
     if target is None:
-        publish.replace_partitions(source, path, ("event_date",), "fact-init")
+        publish.replace_partitions(source, path, ("event_date",))
         return
     new = incremental.new_rows(target, source, key, late=late)
     if late == "upsert":
-        publish.append(new, path, ("event_date",))
+        publish.add(new, path, ("event_date",))
         return
     with publish.staged(new, "fact-new") as new:
         touched = incremental.touched_partitions(target, new, key, "event_date")
-        old = target.join(touched, "event_date", "left_semi").join(new.select(key), key, "left_anti")
-        publish.replace_partitions(old.unionByName(new), path, ("event_date",), "fact-merge", reads_target=True)
+        # one value for each date that the run rewrites; a date whose rows all moved is left without any
+        dates = [str(r["event_date"]) for r in touched.collect()]
+        old = target.where(F.col("event_date").cast("string").isin(*dates)) if dates else target.limit(0)
+        publish.replace_partitions(old.join(new.select(key), key, "left_anti").unionByName(new), path, ("event_date",), touched=dates)
 
 
 def publish_dims(spark: SparkSession, valid_all: DataFrame, valid_run: DataFrame, paths: dict,
@@ -70,15 +72,17 @@ def publish_dims(spark: SparkSession, valid_all: DataFrame, valid_run: DataFrame
     cell_state = publish.read_table(spark, paths["dim_cell_site"])
     sub_state = publish.read_table(spark, paths["dim_subscriber"])
     if incremental_dims and cell_state is not None and "_event_id" in cell_state.columns:
-        publish.full_refresh(curated.merge_dim_cell_site(cell_state, valid_run), paths["dim_cell_site"],
-                             "dim-cell", reads_target=True)
+        publish.full_refresh(curated.merge_dim_cell_site(cell_state, valid_run), paths["dim_cell_site"])
     else:
-        publish.full_refresh(curated.dim_cell_site(valid_all, keep_state=True), paths["dim_cell_site"], "dim-cell")
+        publish.full_refresh(curated.dim_cell_site(valid_all, keep_state=True), paths["dim_cell_site"])
     if incremental_dims and sub_state is not None and set(curated.VERSION_STATE) <= set(sub_state.columns):
-        publish.full_refresh(curated.merge_dim_subscriber(sub_state, valid_all, valid_run, stage=publish.stage),
-                             paths["dim_subscriber"], "dim-sub", reads_target=True)
+        made: list[str] = []
+        stage = lambda df, name: publish.stage(df, name, made)
+        publish.full_refresh(curated.merge_dim_subscriber(sub_state, valid_all, valid_run, stage), paths["dim_subscriber"])
+        for p in made:
+            publish.drop(spark, p)
     else:
-        publish.full_refresh(curated.dim_subscriber(valid_all, keep_state=True), paths["dim_subscriber"], "dim-sub")
+        publish.full_refresh(curated.dim_subscriber(valid_all, keep_state=True), paths["dim_subscriber"])
 
 
 def publish_kpi(spark: SparkSession, warehouse: str, date: str, keep_flags: tuple[str, ...] = (),
@@ -91,9 +95,11 @@ def publish_kpi(spark: SparkSession, warehouse: str, date: str, keep_flags: tupl
         return
     stg = lambda df: staging.stg_valid(staging.stg_network_events(df.drop("_ingest_date"), keep_flags))
     touched = stg(raw.where(F.col("_ingest_date") == date)).select(F.to_date("event_time").alias("kpi_date")).distinct()
-    source = stg(raw).withColumn("kpi_date", F.to_date("event_time")).join(touched, "kpi_date", "left_semi").drop("kpi_date")
-    publish.replace_partitions(kpi.cell_hourly_kpi(source, exact), table(warehouse, "curated", "agg_cell_hourly_kpi"),
-                               ("kpi_date",), "kpi")
+    dates = [str(r["kpi_date"]) for r in touched.collect()]       # one for each date that the run replaces
+    if dates:
+        source = stg(raw).where(F.to_date("event_time").cast("string").isin(*dates))
+        publish.replace_partitions(kpi.cell_hourly_kpi(source, exact), table(warehouse, "curated", "agg_cell_hourly_kpi"),
+                                   ("kpi_date",), touched=dates)
 
 
 def publish_dq_summary(spark: SparkSession, warehouse: str, date: str, result: PipelineResult) -> None:
@@ -104,7 +110,7 @@ def publish_dq_summary(spark: SparkSession, warehouse: str, date: str, result: P
         rows += [("test", r["check_name"], r["failing_rows"], r["status"]) for r in result.checks.get(layer, [])]
     df = spark.createDataFrame(rows, "kind string, name string, failing_rows long, status string")
     publish.replace_partitions(df.withColumn("run_date", F.lit(date)), table(warehouse, "quality", "dq_summary"),
-                               ("run_date",), "dq")
+                               ("run_date",), touched=[date])
 
 
 def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
@@ -144,8 +150,8 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     publish_fact(spark, voice_run, paths["fct_voice_call"], late)
     publish_fact(spark, data_run, paths["fct_data_session"], late)
 
-    dim_cell = spark.read.parquet(paths["dim_cell_site"])
-    dim_sub = spark.read.parquet(paths["dim_subscriber"])
+    dim_cell = publish.read_table(spark, paths["dim_cell_site"])
+    dim_sub = publish.read_table(spark, paths["dim_subscriber"])
     # event_date stays: the serving windows use it to prune partitions
     with_date = lambda df: df.withColumn("event_date", F.to_date("event_time"))
     voice = publish.read_table(spark, paths["fct_voice_call"], with_date(voice_run))
@@ -157,10 +163,10 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     ref = serving.reference_time_value(voice, data)
     ranking = serving.cell_quality_ranking(voice, data, dim_cell, ref)
     churn = serving.churn_signals(voice, data, dim_cell, dim_sub, ref)
-    publish.full_refresh(ranking, table(warehouse, "serving", "vw_cell_quality_ranking"), "ranking")
-    publish.full_refresh(churn, table(warehouse, "serving", "vw_subscriber_churn_signals"), "churn")
-    ranking = spark.read.parquet(table(warehouse, "serving", "vw_cell_quality_ranking"))
-    churn = spark.read.parquet(table(warehouse, "serving", "vw_subscriber_churn_signals"))
+    publish.full_refresh(ranking, table(warehouse, "serving", "vw_cell_quality_ranking"))
+    publish.full_refresh(churn, table(warehouse, "serving", "vw_subscriber_churn_signals"))
+    ranking = publish.read_table(spark, table(warehouse, "serving", "vw_cell_quality_ranking"))
+    churn = publish.read_table(spark, table(warehouse, "serving", "vw_subscriber_churn_signals"))
     ranking.createOrReplaceTempView("vw_cell_quality_ranking")
     churn.createOrReplaceTempView("vw_subscriber_churn_signals")
     # serving tests report but do not block (Q14); so do freshness and drift (Q8, Q9, Q11)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 from cellscope.operators import incremental
+from cellscope.plans import publish
 from cellscope.plans.pipeline import publish_fact
 
 T = dt.datetime(2024, 1, 10)
@@ -25,7 +26,7 @@ def test_upserted_event_with_changed_date_leaves_one_row(spark, tmp_path):
     publish_fact(spark, first, path, late="drop")
     moved = spark.createDataFrame([("x", T + dt.timedelta(days=3), 2)], SCHEMA)
     publish_fact(spark, moved, path, late="drop")
-    got = sorted((r.event_id, r.v, str(r.event_date)) for r in spark.read.parquet(path).collect())
+    got = sorted((r.event_id, r.v, str(r.event_date)) for r in publish.read_table(spark, path).collect())
     assert got == [("x", 2, "2024-01-13"), ("y", 1, "2024-01-10")]
 
 
@@ -34,4 +35,4 @@ def test_upsert_publish_is_idempotent(spark, tmp_path):
     rows = spark.createDataFrame([("x", T, 1), ("y", T - dt.timedelta(days=2), 1)], SCHEMA)
     publish_fact(spark, rows, path, late="upsert")
     publish_fact(spark, rows, path, late="upsert")
-    assert spark.read.parquet(path).count() == 2
+    assert publish.read_table(spark, path).count() == 2

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from cellscope.operators import curated, staging
+from cellscope.plans import publish
 from cellscope.plans.load import load_date, raw_path
 from cellscope.plans.pipeline import run_pipeline, table
 from cellscope.sources import cdc, fixture, lake
@@ -47,12 +48,12 @@ def test_pipeline_two_dates_and_rerun(spark, tmp_path):
     assert r2.counts["network_events"] == in_dates.count()
     assert r2.counts["fct_voice_call"] == valid.where("event_type = 'voice_call'").count()
     assert r2.counts["fct_data_session"] == valid.where("event_type = 'data_session'").count()
-    kpi = spark.read.parquet(table(wh, "curated", "agg_cell_hourly_kpi"))
+    kpi = publish.read_table(spark, table(wh, "curated", "agg_cell_hourly_kpi"))
     kpi_rows = kpi.count()
     assert {str(r.kpi_date) for r in kpi.select("kpi_date").distinct().collect()} >= set(DATES)
     r3 = run_pipeline(spark, root, wh, DATES[1])
     assert r3.load.rows_inserted == 0 and r3.counts == r2.counts
-    assert spark.read.parquet(table(wh, "curated", "agg_cell_hourly_kpi")).count() == kpi_rows
+    assert publish.read_table(spark, table(wh, "curated", "agg_cell_hourly_kpi")).count() == kpi_rows
     assert spark.sql("select count(*) from vw_cell_quality_ranking").first()[0] == r3.counts["vw_cell_quality_ranking"]
     assert all(c["status"] == "pass" for c in r3.checks["curated"])
     from cellscope.plans.pipeline import register_views
@@ -64,10 +65,10 @@ def test_pipeline_two_dates_and_rerun(spark, tmp_path):
     # incrementally maintained dimensions equal a full rebuild from the loaded raw table
     loaded_valid = staging.stg_valid(staging.stg_network_events(spark.read.parquet(raw_path(wh)).drop("_ingest_date")))
     full_cell = curated.dim_cell_site(loaded_valid)
-    got_cell = spark.read.parquet(table(wh, "curated", "dim_cell_site")).select(*full_cell.columns)
+    got_cell = publish.read_table(spark, table(wh, "curated", "dim_cell_site")).select(*full_cell.columns)
     assert sorted(map(tuple, got_cell.collect())) == sorted(map(tuple, full_cell.collect()))
     full_sub = curated.dim_subscriber(loaded_valid)
-    got_sub = spark.read.parquet(table(wh, "curated", "dim_subscriber")).select(*full_sub.columns)
+    got_sub = publish.read_table(spark, table(wh, "curated", "dim_subscriber")).select(*full_sub.columns)
     assert sorted(map(str, got_sub.collect())) == sorted(map(str, full_sub.collect()))
 
 
@@ -89,7 +90,7 @@ def test_kpi_counts_rows_ingested_on_other_days(spark, tmp_path):
     land(spark, root, (line("a"), "2024-01-10", "00"), (line("b"), "2024-01-20", "00"))
     run_pipeline(spark, root, wh, "2024-01-10")
     run_pipeline(spark, root, wh, "2024-01-20")
-    (r,) = spark.read.parquet(table(wh, "curated", "agg_cell_hourly_kpi")).collect()
+    (r,) = publish.read_table(spark, table(wh, "curated", "agg_cell_hourly_kpi")).collect()
     assert r.call_attempts == 2
 
 
@@ -99,7 +100,7 @@ def test_pipeline_with_an_empty_fact(spark, tmp_path):
     first = run_pipeline(spark, root, wh, "2024-01-10")
     assert (first.counts["fct_voice_call"], first.counts["fct_data_session"]) == (1, 0) and first.failed == []
     assert run_pipeline(spark, root, wh, "2024-01-11").counts["fct_data_session"] == 1
-    summary = spark.read.parquet(table(wh, "quality", "dq_summary"))
+    summary = publish.read_table(spark, table(wh, "quality", "dq_summary"))
     assert {str(r.run_date) for r in summary.select("run_date").distinct().collect()} == {"2024-01-10", "2024-01-11"}
 
 
@@ -156,7 +157,7 @@ def test_changed_rows_replace_stored_ones(spark, tmp_path):
         "event_id", "timestamp(t) AS event_time", "v")
     publish_fact(spark, rows(("a", "2024-01-01", 1), ("b", "2024-01-02", 1)), path)
     publish_fact(spark, rows(("a", "2024-01-03", 2), ("c", "2024-01-01", 1)), path, late="replace")
-    got = sorted((r.event_id, str(r.event_date), r.v) for r in spark.read.parquet(path).collect())
+    got = sorted((r.event_id, str(r.event_date), r.v) for r in publish.read_table(spark, path).collect())
     assert got == [("a", "2024-01-03", 2), ("b", "2024-01-02", 1), ("c", "2024-01-01", 1)]
 
 
