@@ -3,7 +3,7 @@
     python -m cellscope load        --lake ROOT --warehouse ROOT --date YYYY-MM-DD
     python -m cellscope run-date    --lake ROOT --warehouse ROOT --date YYYY-MM-DD [--late drop|upsert|replace]
     python -m cellscope kpi         --warehouse ROOT --date YYYY-MM-DD
-    python -m cellscope stream-load --lake ROOT --warehouse ROOT --checkpoint DIR
+    python -m cellscope stream-load --lake ROOT --warehouse ROOT --checkpoint DIR [--on-malformed failfast|quarantine]
     python -m cellscope land        --lake ROOT --checkpoint DIR --servers HOST:PORT --topic NAME
                                     [--batch-size N] [--max-batches N]
 
@@ -37,7 +37,8 @@ def build_parser() -> argparse.ArgumentParser:
         if name == "run-date":
             p.add_argument("--late", choices=("upsert", "drop", "replace"), default="upsert")
     command("kpi", "replace the hourly KPI of the event dates that one ingestion date touches", "--warehouse", "--date")
-    command("stream-load", "load newly landed objects once, from a checkpoint", "--lake", "--warehouse", "--checkpoint")
+    p = command("stream-load", "load newly landed objects once, from a checkpoint", "--lake", "--warehouse", "--checkpoint")
+    p.add_argument("--on-malformed", choices=("failfast", "quarantine"), default="failfast")
     p = command("land", "land the change stream in the lake", "--lake", "--checkpoint", "--servers", "--topic")
     p.add_argument("--batch-size", type=int, default=200)
     p.add_argument("--max-batches", type=int, default=None)
@@ -70,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "stream-load":
         from cellscope.streaming.loader import stream_load
 
-        stream_load(spark, args.lake, args.warehouse, args.checkpoint).awaitTermination()
+        stream_load(spark, args.lake, args.warehouse, args.checkpoint, on_malformed=args.on_malformed).awaitTermination()
     else:
         from cellscope.streaming.landing import kafka_source, land_stream
 

@@ -1,10 +1,16 @@
-"""Streaming load of newly landed lake objects into the raw table.
+"""Streaming load of newly landed lake objects into the raw table.
 
-The file source's checkpoint is the object ledger: each file is processed once, a restart
-continues with the files not yet committed (W6). Each micro-batch goes through the same
-keep-first insert as the batch loader, so a replayed batch inserts nothing twice (A12). That
-insert is also the duplicate suppression (W4): it compares ids with the whole raw table, however
-late a re-delivery is, and never drops a first delivery.
+The file source's checkpoint knows which files it has handed out: each is processed once, a
+restart continues with the files not yet committed (W6). Every micro-batch is committed by the
+batch loader's own code, so both share one object ledger, one quarantine and the keep-first
+insert: objects that a batch load recorded are skipped, `load_date` skips what the stream loaded,
+and a batch that is replayed after a crash adds nothing. The insert is also the duplicate
+suppression (W4): it compares ids with the whole raw table, however late a re-delivery is, and
+never drops a first delivery.
+
+A bad object doesn't stop the stream. Under "quarantine" its bad lines go to the quarantine and
+the rest is loaded. Under "failfast" it stays out as a whole and is listed in `raw/_failed_objects`;
+not being in the ledger, it is tried again by `load_date`, which ends with an error while it is bad.
 """
 
 from __future__ import annotations
@@ -13,10 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cellscope import schemas as S
 from cellscope.operators import ingest
 from cellscope.plans import publish
-from cellscope.plans.load import parse_lines, raw_path
+from cellscope.plans import load
 from cellscope.sources import lake
 
 
@@ -31,20 +36,34 @@ def lake_stream(spark: SparkSession, lake_root: str, max_files_per_trigger: int
             .select("value", "dt", "hr", lake.object_key_of(F.col("_metadata.file_path")).alias("object_key")))
 
 
-def stream_load(spark: SparkSession, lake_root: str, warehouse: str, checkpoint: str,
-                available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Load landed objects continuously (or drain them once with `available_now`)."""
-    rows = parse_lines(lake_stream(spark, lake_root, max_files_per_trigger))
-    target_path = raw_path(warehouse)
+def commit_batch(batch: DataFrame, warehouse: str, on_malformed: str, name: str) -> None:
+    """Load the lines of one micro-batch (value, dt, hr, object_key)."""
+    spark = batch.sparkSession
+    # read once from the lake; the dates of a batch are few
+    with publish.staged(batch, "batch") as lines:
+        dates = [r["dt"] for r in lines.select("dt").distinct().collect()]
+        fresh = ingest.objects_to_load(lines.select("object_key").distinct(), load.ledger(spark, warehouse, dates))
+        with publish.staged(fresh, "batch-objects") as todo:
+            if todo.isEmpty():
+                return
+            parsed = load.parse_lines(lines.join(todo, "object_key", "left_semi"), "quarantine")
+            with publish.staged(parsed, "batch-parsed") as parsed:
+                _, failed = load.store(spark, warehouse, parsed, todo, on_malformed, name)
+                known = publish.read_table(spark, load.failed_path(warehouse), failed)
+                new = failed.join(known.select("object_key"), "object_key", "left_anti")
+                if not new.isEmpty():
+                    publish.append(new.select("object_key", "example", F.current_timestamp().alias("failed_at"),
+                                              ingest.object_date("object_key").alias("_ingest_date")),
+                                   load.failed_path(warehouse), ("_ingest_date",))
+
 
+def stream_load(spark: SparkSession, lake_root: str, warehouse: str, checkpoint: str, available_now: bool = True,
+                max_files_per_trigger: int | None = None, on_malformed: str = "failfast") -> StreamingQuery:
+    """Load landed objects continuously (or drain them once with `available_now`)."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # decoded once: keep-first looks at the batch several times
-        with publish.staged(batch.withColumn("_loaded_at", F.current_timestamp()), "batch") as rows:
-            target = publish.read_table(batch.sparkSession, target_path)
-            new = ingest.keep_first(rows, target)
-            publish.append(new.select(*S.RAW_COLUMNS, "_ingest_date"), target_path, ("_ingest_date",))
+        commit_batch(batch, warehouse, on_malformed, f"batch-{batch_id}")
 
-    writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    lines = lake_stream(spark, lake_root, max_files_per_trigger)
+    writer = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
-

@@ -82,3 +82,75 @@ def test_loader_starts_before_anything_landed(spark, tmp_path):
     lake.write_ndjson(spark.createDataFrame([(rec(1), "2024-01-01", "00")], "value string, dt string, hr string"), root)
     stream_load(spark, root, wh, str(tmp_path / "ck")).awaitTermination()
     assert spark.read.parquet(raw_path(wh)).count() == 1
+
+
+def land_objects(spark, root, *objects):
+    for lines, dt, hr in objects:
+        lake.write_ndjson(spark.createDataFrame([(x, dt, hr) for x in lines], "value string, dt string, hr string").coalesce(1), root)
+
+
+def ids(spark, wh):
+    return sorted(r.event_id for r in spark.read.parquet(raw_path(wh)).collect())
+
+
+def test_bad_object_does_not_stop_the_stream_and_load_date_skips_the_rest(spark, tmp_path):
+    import pytest
+
+    from cellscope.plans.load import MalformedObjects, failed_path, load_date
+
+    root, wh, ck = str(tmp_path / "lake"), str(tmp_path / "wh"), str(tmp_path / "ck")
+    land_objects(spark, root, ([rec(1)], "2024-01-02", "00"), ([rec(2), "{broken"], "2024-01-02", "01"), ([rec(3)], "2024-01-02", "02"))
+    load = lambda: stream_load(spark, root, wh, ck, max_files_per_trigger=1).awaitTermination()
+    load()
+    assert ids(spark, wh) == ["e1", "e3"]                   # the bad object stays out as a whole
+    assert [r.example for r in spark.read.parquet(failed_path(wh)).collect()] == ["{broken"]
+    land_objects(spark, root, ([rec(4)], "2024-01-02", "03"))
+    load()                                                   # a restart goes on behind it
+    load()
+    assert ids(spark, wh) == ["e1", "e3", "e4"] and spark.read.parquet(failed_path(wh)).count() == 1
+    with pytest.raises(MalformedObjects) as e:               # one ledger: only the bad object is left to load
+        load_date(spark, root, wh, "2024-01-02")
+    assert (e.value.result.objects_seen, e.value.result.objects_skipped, e.value.result.rows_inserted) == (4, 3, 0)
+    done = load_date(spark, root, wh, "2024-01-02", on_malformed="quarantine")
+    assert (done.objects_skipped, done.objects_loaded, done.rows_inserted) == (3, 1, 1) and ids(spark, wh) == ["e1", "e2", "e3", "e4"]
+
+
+def test_stream_quarantines_lines_and_skips_objects_of_batch_loads(spark, tmp_path):
+    from cellscope.plans.load import ledger_path, load_date, quarantine_path
+
+    root, wh, ck = str(tmp_path / "lake"), str(tmp_path / "wh"), str(tmp_path / "ck")
+    land_objects(spark, root, ([rec(1)], "2024-01-02", "00"))
+    assert load_date(spark, root, wh, "2024-01-02").rows_inserted == 1
+    land_objects(spark, root, ([rec(2), "[1]", rec(5)], "2024-01-02", "01"), ([rec(3)], "2024-01-03", "02"))
+    for _ in range(2):
+        stream_load(spark, root, wh, ck, on_malformed="quarantine").awaitTermination()
+    assert ids(spark, wh) == ["e1", "e2", "e3", "e5"]
+    assert [r._corrupt_record for r in spark.read.parquet(quarantine_path(wh)).collect()] == ["[1]"]
+    objects = [r.object_key for r in spark.read.parquet(ledger_path(wh)).collect()]
+    assert len(objects) == len(set(objects)) == 3
+    assert load_date(spark, root, wh, "2024-01-02").objects_loaded == 0 == load_date(spark, root, wh, "2024-01-03").objects_loaded
+
+
+def test_batch_killed_between_rows_and_ledger_repeats_nothing(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from cellscope.plans import load as plan
+    from cellscope.plans import publish
+    from cellscope.streaming.loader import commit_batch
+
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land_objects(spark, root, ([rec(1), "bad", rec(2)], "2024-01-02", "00"))
+    batch, append = lake.read_lines(spark, root), publish.append
+    for stop in (plan.raw_path(wh), plan.ledger_path(wh)):
+        def killed(df, path, by=()):
+            if path == stop:
+                raise KeyboardInterrupt
+            append(df, path, by)
+        with monkeypatch.context() as m:
+            m.setattr(publish, "append", killed)
+            with pytest.raises(KeyboardInterrupt):
+                commit_batch(batch, wh, "quarantine", "b0")
+    for _ in range(2):
+        commit_batch(batch, wh, "quarantine", "b0")
+    assert ids(spark, wh) == ["e1", "e2"]
+    assert spark.read.parquet(plan.quarantine_path(wh)).count() == 1 == spark.read.parquet(plan.ledger_path(wh)).count()
