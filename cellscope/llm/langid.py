@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from cellscope.llm.common import blocks, id_bucket, map_batches, texts
 
 PROFILE_SIZE = 400
-_LETTER = re.compile(r"[^\W\d_]")
+#: What makes a text one in a language: a letter by its Unicode category, no number like ½ or Ⅷ.
+_LETTER = regex.compile(r"\p{L}")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _EDGE = 1     # stands for whatever separates words; no letter has this code
 

@@ -189,11 +189,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, max_passages:
             if len(bag) > max_passages:
                 bag = bag[np.linspace(0, len(bag) - 1, max_passages).astype(int)]
             out.append(bag.tobytes())
-        return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "bag": pa.array(out, pa.binary())}
+        return {**{c: batch.column(c) for c in ("doc_id", "label", "text_hash")}, "bag": pa.array(out, pa.binary())}
 
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id") \
+        .select("doc_id", "label", F.xxhash64("text").alias("text_hash"), "text")
     kind = sample.schema["doc_id"].dataType.simpleString()
-    got = map_batches(sample, passages, f"doc_id {kind}, label int, bag binary").dropDuplicates(["doc_id"]).collect()
+    # of an id with several texts the one with the least hash: the same model on every run
+    got = (map_batches(sample, passages, f"doc_id {kind}, label int, text_hash long, bag binary")
+           .groupBy("doc_id").agg(F.min(F.struct("text_hash", "label", "bag")).alias("m")).select("doc_id", "m.label", "m.bag").collect())
     got.sort(key=lambda r: str(r["doc_id"]))
     bags = [np.frombuffer(r["bag"], np.float32).reshape(-1, N_FEATURES) for r in got]
     return fit_bags(bags, np.array([r["label"] for r in got]), **options)

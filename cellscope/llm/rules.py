@@ -197,9 +197,11 @@ def base_failed() -> Column:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, **options) -> list[Rule]:
     """Learn from at most `max_rows` labelled documents (ids bounded, hence broadcast)."""
     ids = training_ids(labels, max_rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    got = with_ratios(statistics(sample, keep=("doc_id", "label"))).dropDuplicates(["doc_id"]) \
-        .select("doc_id", "label", *FEATURES, base_failed().alias("base_failed")).collect()
+    sample = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(ids), "doc_id")
+    found = with_ratios(statistics(sample, keep=("doc_id", "label", "text_hash"))) \
+        .select("doc_id", F.struct("text_hash", "label", *FEATURES, base_failed().alias("base_failed")).alias("row"))
+    # of an id with several texts the one with the least hash: the same rules on every run
+    got = found.groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.*").collect()
     got.sort(key=lambda r: str(r["doc_id"]))
     got = [r for r in got if not r["base_failed"]]     # what the fixed rules reject needs no rule
     x = np.array([[float(r[f]) for f in FEATURES] for r in got]).reshape(len(got), len(FEATURES))
