@@ -200,6 +200,20 @@ def drift_keys(stg: DataFrame, known=S.KNOWN_DRIFT_KEYS) -> DataFrame:
             .groupBy("drift_key").agg(F.count(F.lit(1)).alias("row_count")))
 
 
+def drift_report(stg: DataFrame, most: int = 100) -> DataFrame:
+    """The `most` frequent unrecognised keys with their exact counts, and one row (drift_key NULL) for all
+    others: how many keys, and in how many places. Producers choose the keys, so their number has no bound; the
+    report has one."""
+    counts = drift_keys(stg)
+    top = counts.orderBy(F.desc("row_count"), "drift_key").limit(most) \
+        .select("drift_key", F.lit(1).cast("long").alias("n_keys"), "row_count")
+    # all keys count once towards the rest, the listed ones are taken off again: exact, one row
+    taken = top.select((-F.col("n_keys")).alias("n_keys"), (-F.col("row_count")).alias("row_count"))
+    rest = counts.select(F.lit(1).cast("long").alias("n_keys"), "row_count").unionByName(taken) \
+        .agg(F.sum("n_keys").alias("n_keys"), F.sum("row_count").alias("row_count")).where("n_keys > 0")
+    return top.unionByName(rest.select(F.lit(None).cast("string").alias("drift_key"), "n_keys", "row_count"))
+
+
 def volte_counts(stg: DataFrame) -> DataFrame:
     """Distribution of the promoted drift column."""
     return stg.groupBy("volte_enabled").agg(F.count(F.lit(1)).alias("row_count"))

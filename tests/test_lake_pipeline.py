@@ -184,3 +184,23 @@ def test_command_line_load(spark, tmp_path, capsys):
     assert "not loaded" in capsys.readouterr().out
     assert main(["stream-load", "--lake", root + "-s", "--warehouse", str(tmp_path / "wh-s"),
                  "--checkpoint", str(tmp_path / "ck")]) == 0
+
+
+def test_kpi_runs_beside_the_gates_and_source_is_reconciled(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from cellscope.operators import quality
+
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land(spark, root, (line("a"), "2024-01-10", "00"), (line("b", time="2024-01-11T01:00:00"), "2024-01-10", "01"))
+    source = spark.createDataFrame([("2024-01-10 10:05:00",), ("2024-01-10 11:00:00",), ("2024-01-11 01:00:00",), ("2024-01-12 00:00:00",)],
+                                   "t string").select(F.col("t").cast("timestamp").alias("t"))
+    with monkeypatch.context() as m:
+        m.setattr(quality, "gate", lambda *a: (_ for _ in ()).throw(RuntimeError("gate")))
+        with pytest.raises(RuntimeError, match="gate"):
+            run_pipeline(spark, root, wh, "2024-01-10")
+    assert publish.read_table(spark, table(wh, "curated", "agg_cell_hourly_kpi")).count() == 2
+    res = run_pipeline(spark, root, wh, "2024-01-10", source=source, source_time="t")
+    assert {(str(r.window_date), r.source_rows, r.raw_rows, r.status) for r in res.checks["reconcile"]} == \
+        {("2024-01-10", 2, 1, "fail"), ("2024-01-11", 1, 1, "pass")}
+    assert (res.counts["stg_network_events"], res.counts["stg_network_events_valid"], res.counts["stg_network_events_rejected"]) == (2, 2, 0)

@@ -45,3 +45,14 @@ def test_reconcile_thresholds(spark):
                                 [(T + dt.timedelta(days=2),)] * 970, "t timestamp")
     got = {r.window_date.day: r.status for r in quality.reconcile(src, raw, "t", "t").collect()}
     assert got == {1: "pass", 2: "warn", 3: "fail"}
+
+
+def test_drift_report_is_bounded_and_exact(spark):
+    import json
+
+    rows = [(json.dumps({f"k{j}": 1 for j in range(i % 7)} | {"volte_enabled": True}),) for i in range(70)]
+    stg = spark.createDataFrame(rows, "extra string")
+    got = [tuple(r) for r in quality.drift_report(stg, most=2).collect()]
+    assert sorted(got, key=str) == sorted([("k0", 1, 60), ("k1", 1, 50), (None, 4, 40 + 30 + 20 + 10)], key=str)
+    assert [r["drift_key"] for r in quality.drift_report(stg).orderBy("drift_key").collect()] == [f"k{j}" for j in range(6)]
+    assert quality.drift_report(stg.where("false")).count() == 0
