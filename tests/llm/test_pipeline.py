@@ -88,7 +88,7 @@ def test_registered_queries():
 
     names = set(E.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontamination", "packing"]
 
 
@@ -98,7 +98,7 @@ def test_oracle_sql(spark, name):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     cur = con.execute(queries.ORACLE_SQL[name])
     cols = [c[0] for c in cur.description]
