@@ -1,9 +1,9 @@
 """Hourly cell KPIs (E14) and the per-region daily roll-up.
 
-One `groupBy(cell_id, hour)` over the valid events. Counts and sums combine map-side. The
-exact 95th percentile keeps a value->count map per group (partial aggregation still applies,
-memory is bounded by distinct latencies per cell-hour); `exact=False` switches to
-`percentile_approx`, a fixed-size sketch per group, for very hot cell-hours.
+The KPIs come from partial aggregates per (cell, hour, latency value): counts and sums that add
+up, and by their keys the histogram that the exact 95th percentile needs. One shuffle of the
+events makes them; a stored set of them merges with that of new rows, so a run doesn't read old
+events. The percentile is selected from the histogram (quantiles.py), never from a group in one task.
 """
 
 from __future__ import annotations
@@ -13,36 +13,67 @@ from pyspark.sql import functions as F
 
 from cellscope import schemas as S
 from cellscope.functions import expressions as X
+from cellscope.operators.quantiles import exact_quantiles
 
-def cell_hourly_kpi(valid: DataFrame, exact: bool = True) -> DataFrame:
-    """agg_cell_hourly_kpi: one row per cell and hour of event time (valid rows, T17)."""
+KPI_KEYS = ["cell_id", "kpi_hour"]
+KPI_COUNTS = ["row_count", "call_attempts", "dropped_calls", "failed_setups", "data_sessions", "throughput_n", "signal_n"]
+KPI_SUMS = ["volume_sum", "throughput_sum", "signal_sum"]
+# latencies have one decimal: 24,414 bins of 4,096 steps cover the column's range
+LATENCY_UNIT, LATENCY_SHIFTS = 0.1, (12,)
+
+
+def kpi_partials(valid: DataFrame) -> DataFrame:
+    """Partial aggregates of valid rows: one row per cell, hour of event time and latency."""
     et = F.col("event_type")
     voice, data = et == "voice_call", et == "data_session"
     cr = F.col("call_result")
-    p95 = (F.percentile(F.col("latency_ms"), F.lit(0.95)) if exact
-           else F.percentile_approx(F.col("latency_ms"), F.lit(0.95), F.lit(10000)))
-    agg = (valid.where(F.col("event_time").isNotNull())
-           .groupBy("cell_id", F.date_trunc("hour", "event_time").alias("kpi_hour"))
-           .agg(F.count_if(voice).alias("call_attempts"),
-                F.count_if(voice & (cr == "dropped")).alias("dropped_calls"),
-                F.count_if(voice & (cr == "failed_setup")).alias("failed_setups"),
-                F.count_if(data).alias("data_sessions"),
-                F.sum(F.when(data, F.col("data_volume_mb").cast("decimal(18,6)"))).alias("total_volume_mb"),
-                X.exact_avg(F.when(data, F.col("avg_throughput_mbps"))).alias("avg_throughput_mbps"),
-                p95.alias("p95_latency_ms"),
-                X.exact_avg("signal_dbm").alias("avg_signal_dbm")))
-    return agg.select(
+    fixed = lambda c: F.col(c).cast("decimal(18,6)")
+    total = lambda c: F.sum(c).cast("decimal(38,6)")
+    return (valid.where(F.col("event_time").isNotNull())
+            .groupBy("cell_id", F.date_trunc("hour", "event_time").alias("kpi_hour"), F.col("latency_ms").cast("double").alias("latency_ms"))
+            .agg(F.count(F.lit(1)).alias("row_count"),
+                 F.count_if(voice).alias("call_attempts"),
+                 F.count_if(voice & (cr == "dropped")).alias("dropped_calls"),
+                 F.count_if(voice & (cr == "failed_setup")).alias("failed_setups"),
+                 F.count_if(data).alias("data_sessions"),
+                 F.count(F.when(data, F.col("avg_throughput_mbps"))).alias("throughput_n"),
+                 F.count("signal_dbm").alias("signal_n"),
+                 total(F.when(data, fixed("data_volume_mb"))).alias("volume_sum"),
+                 total(F.when(data, fixed("avg_throughput_mbps"))).alias("throughput_sum"),
+                 total(fixed("signal_dbm")).alias("signal_sum")))
+
+
+def kpi_from_partials(partials: DataFrame) -> DataFrame:
+    """agg_cell_hourly_kpi from partial aggregates, of which a key may have several rows."""
+    counted = (partials.groupBy(*KPI_KEYS, "latency_ms")
+               .agg(*[F.sum(c).alias(c) for c in KPI_COUNTS], *[F.sum(c).cast("decimal(38,6)").alias(c) for c in KPI_SUMS]))
+    return _finish(counted)
+
+
+def _finish(counted: DataFrame) -> DataFrame:
+    agg = (counted.groupBy(*KPI_KEYS)
+           .agg(*[F.sum(c).alias(c) for c in KPI_COUNTS], *[F.sum(c).cast("decimal(38,6)").alias(c) for c in KPI_SUMS]))
+    p95 = (exact_quantiles(counted, KPI_KEYS, "latency_ms", "row_count", (0.95,), LATENCY_UNIT, LATENCY_SHIFTS)
+           .select(F.col("cell_id").alias("_cell"), F.col("kpi_hour").alias("_hour"), F.col("quantiles")[0].alias("p95")))
+    joined = agg.join(p95, F.col("cell_id").eqNullSafe(F.col("_cell")) & (F.col("kpi_hour") == F.col("_hour")), "left")
+    mean = lambda total, n: F.try_divide(F.col(total), F.col(n).cast("decimal(20,0)"))
+    return joined.select(
         "cell_id", "kpi_hour", "call_attempts", "dropped_calls", "failed_setups",
         X.round_half_up(X.exact_ratio(F.col("dropped_calls") + F.col("failed_setups"),
                                       "call_attempts"), 4).alias("drop_rate"),
         "data_sessions",
-        F.col("total_volume_mb").cast("double").alias("total_volume_mb"),
-        X.round_half_up("avg_throughput_mbps", 4).alias("avg_throughput_mbps"),
-        F.round("p95_latency_ms", 4).alias("p95_latency_ms"),
-        X.round_half_up("avg_signal_dbm", 4).alias("avg_signal_dbm"),
+        F.col("volume_sum").cast("double").alias("total_volume_mb"),
+        X.round_half_up(mean("throughput_sum", "throughput_n"), 4).alias("avg_throughput_mbps"),
+        F.round("p95", 4).alias("p95_latency_ms"),
+        X.round_half_up(mean("signal_sum", "signal_n"), 4).alias("avg_signal_dbm"),
         F.to_date("kpi_hour").alias("kpi_date"))
 
 
+def cell_hourly_kpi(valid: DataFrame) -> DataFrame:
+    """agg_cell_hourly_kpi: one row per cell and hour of event time (valid rows, T17)."""
+    return _finish(kpi_partials(valid))
+
+
 def region_quality(valid: DataFrame, period: str = "day", level: str = "cell_region") -> DataFrame:
     """Worst regions (or cells: `level="cell_id"`) per day (or week: `period="week"`, weeks
     start Monday), with the KPI at fault (E16).

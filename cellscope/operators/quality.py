@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope import schemas as S
+from cellscope.operators.quantiles import exact_quantiles
 
 class QualityGateError(RuntimeError):
     """Raised when a blocking check fails; nothing downstream is published."""
@@ -253,16 +254,18 @@ def reconcile(source: DataFrame, raw: DataFrame, source_time: str, raw_time: str
 def cdc_latency(raw: DataFrame) -> DataFrame:
     """End-to-end CDC latency per load date: `_loaded_at` minus the source change time (Q15).
 
-    Rows are counted per date and latency first, which combines map-side; both percentiles then
-    come from one weighted pass over the distinct latencies."""
+    Rows are counted per date and latency first, which combines map-side; the percentiles are then
+    selected from the distinct latencies (quantiles.py) in three steps of 16 bits, so that no task
+    holds the latencies of a day."""
     lat = ((F.unix_micros("_loaded_at") - F.col("_cdc_source_ts_ms") * 1000) / F.lit(1_000_000)).cast("double")
     counted = (raw.where(F.col("_cdc_source_ts_ms").isNotNull())
                .groupBy(F.to_date("_loaded_at").alias("load_date"), lat.alias("lat")).agg(F.count(F.lit(1)).alias("n")))
-    both = F.percentile("lat", F.array(F.lit(0.5), F.lit(0.95)), F.col("n"))
-    return (counted.groupBy("load_date")
-            .agg(F.sum("n").alias("row_count"), both.alias("p"), F.max("lat").alias("top"))
-            .select("load_date", "row_count", F.round(F.col("p")[0], 3).alias("p50_latency_s"),
-                    F.round(F.col("p")[1], 3).alias("p95_latency_s"), F.round("top", 3).alias("max_latency_s")))
+    totals = counted.groupBy("load_date").agg(F.sum("n").alias("row_count"), F.max("lat").alias("top"))
+    both = (exact_quantiles(counted, ["load_date"], "lat", "n", (0.5, 0.95), 1e-6, (32, 16))
+            .select(F.col("load_date").alias("_date"), "quantiles"))
+    return (totals.join(both, F.col("load_date").eqNullSafe(F.col("_date")), "left")
+            .select("load_date", "row_count", F.round(F.col("quantiles")[0], 3).alias("p50_latency_s"),
+                    F.round(F.col("quantiles")[1], 3).alias("p95_latency_s"), F.round("top", 3).alias("max_latency_s")))
 
 
 def flag_summary(flag_counts: DataFrame, checks: DataFrame) -> DataFrame:

@@ -1,6 +1,10 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from cellscope.operators import kpi
+from cellscope.operators.quantiles import exact_quantiles
 
 T = dt.datetime(2024, 1, 1, 10, 5)
 SCHEMA = ("event_type string, event_time timestamp, cell_id string, cell_region string, call_result string, "
@@ -24,9 +28,39 @@ def test_hourly_kpi_measures(spark):
     assert r.kpi_hour == dt.datetime(2024, 1, 1, 10) and str(r.kpi_date) == "2024-01-01"
 
 
-def test_hourly_kpi_approximate_percentile(spark):
-    (r,) = kpi.cell_hourly_kpi(rows(spark), exact=False).collect()
-    assert abs(r.p95_latency_ms - 95.05) <= 1.0
+def test_hourly_kpi_from_merged_partials(spark):
+    from functools import reduce
+
+    valid = rows(spark).unionByName(rows(spark).withColumn("cell_id", F.lit(None).cast("string")).where("latency_ms is null"))
+    whole = sorted(map(str, kpi.cell_hourly_kpi(valid).collect()))
+    parts = [kpi.kpi_partials(valid.where(F.abs(F.xxhash64(F.coalesce("latency_ms", F.lit(0.0)))) % 3 == i)) for i in range(3)]
+    assert sorted(map(str, kpi.kpi_from_partials(reduce(type(valid).unionByName, parts)).collect())) == whole
+    assert len(whole) == 2 and kpi.cell_hourly_kpi(valid.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("unit,shifts", [(0.1, (12,)), (0.1, (8, 4)), (1e-6, (32, 16)), (1000.0, (0,))])
+def test_quantiles_equal_brute_force(spark, unit, shifts):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    groups = {"hot": [round(x, 1) for x in rng.gamma(2, 40, 6000)], "one": [7.5], "two": [1.0, 2.0], "ties": [3.0] * 50 + [4.0],
+              "below": [-5.5, -0.1, 0.0, 12.3], None: [round(x, 1) for x in rng.normal(0, 900, 700)]}
+    data = [(k, float(x)) for k, xs in groups.items() for x in xs] + [("hot", None), ("void", None)]
+    counted = spark.createDataFrame(data, "k string, x double").groupBy("k", "x").agg(F.count(F.lit(1)).alias("n"))
+    probs = (0.0, 0.5, 0.95, 1.0)
+    got = {r.k: r.quantiles for r in exact_quantiles(counted, ["k"], "x", "n", probs, unit, shifts).collect()}
+    assert set(got) == set(groups)
+    for k, xs in groups.items():
+        assert np.allclose(got[k], np.quantile(xs, probs), rtol=0, atol=1e-9), k
+
+
+def test_quantiles_sort_no_group_in_one_task(spark):
+    df = kpi.cell_hourly_kpi(rows(spark))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in text
+    counted = spark.range(200_000).select(F.lit("hot").alias("k"), (F.col("id") / 10).alias("x"), F.lit(1).alias("n"))
+    (r,) = exact_quantiles(counted, ["k"], "x", "n", (0.95,), 0.1, (12,)).collect()
+    assert abs(r.quantiles[0] - 0.95 * 19999.9) < 1e-6
 
 
 def test_throughput_can_be_at_fault(spark):
