@@ -158,7 +158,8 @@ def q_fct_by_date(spark, d):
 
 
 def q_cell_hourly_kpi(spark, d):
-    return kpi.cell_hourly_kpi(_layers(spark, d).valid)
+    _, _, made = _STAGED.setdefault(("kpi", session_key(spark), d), (spark, None, []))
+    return kpi.cell_hourly_kpi(_layers(spark, d).valid, lambda df, name: publish.stage(df, name, made))
 
 
 def q_region_quality(spark, d):

@@ -8,7 +8,9 @@ events. The percentile is selected from the histogram (quantiles.py), never from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellscope import schemas as S
@@ -22,15 +24,16 @@ KPI_SUMS = ["volume_sum", "throughput_sum", "signal_sum"]
 LATENCY_UNIT, LATENCY_SHIFTS = 0.1, (12,)
 
 
-def kpi_partials(valid: DataFrame) -> DataFrame:
-    """Partial aggregates of valid rows: one row per cell, hour of event time and latency."""
+def kpi_partials(valid: DataFrame, *by: Column) -> DataFrame:
+    """Partial aggregates of valid rows: one row per cell, hour of event time and latency (and `by`)."""
     et = F.col("event_type")
     voice, data = et == "voice_call", et == "data_session"
     cr = F.col("call_result")
     fixed = lambda c: F.col(c).cast("decimal(18,6)")
     total = lambda c: F.sum(c).cast("decimal(38,6)")
     return (valid.where(F.col("event_time").isNotNull())
-            .groupBy("cell_id", F.date_trunc("hour", "event_time").alias("kpi_hour"), F.col("latency_ms").cast("double").alias("latency_ms"))
+            .groupBy(*by, "cell_id", F.date_trunc("hour", "event_time").alias("kpi_hour"),
+                     F.col("latency_ms").cast("double").alias("latency_ms"))
             .agg(F.count(F.lit(1)).alias("row_count"),
                  F.count_if(voice).alias("call_attempts"),
                  F.count_if(voice & (cr == "dropped")).alias("dropped_calls"),
@@ -69,9 +72,13 @@ def _finish(counted: DataFrame) -> DataFrame:
         F.to_date("kpi_hour").alias("kpi_date"))
 
 
-def cell_hourly_kpi(valid: DataFrame) -> DataFrame:
-    """agg_cell_hourly_kpi: one row per cell and hour of event time (valid rows, T17)."""
-    return _finish(kpi_partials(valid))
+def cell_hourly_kpi(valid: DataFrame, stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """agg_cell_hourly_kpi: one row per cell and hour of event time (valid rows, T17).
+
+    The partials are read three times, each time with other columns; `stage` (a write and a read back)
+    saves making them again from the events."""
+    partials = kpi_partials(valid)
+    return _finish(stage(partials, "kpi-partials") if stage else partials)
 
 
 def region_quality(valid: DataFrame, period: str = "day", level: str = "cell_region") -> DataFrame:

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellscope.operators import curated, incremental, kpi, quality, serving, staging
+from cellscope.operators import curated, incremental, ingest, kpi, quality, serving, staging
 from cellscope.plans import publish
 from cellscope.plans.load import LoadResult, load_date, raw_path
 
@@ -85,21 +85,42 @@ def publish_dims(spark: SparkSession, valid_all: DataFrame, valid_run: DataFrame
         publish.full_refresh(curated.dim_subscriber(valid_all, keep_state=True), paths["dim_subscriber"])
 
 
-def publish_kpi(spark: SparkSession, warehouse: str, date: str, keep_flags: tuple[str, ...] = (),
-                exact: bool = True) -> None:
+def publish_kpi(spark: SparkSession, warehouse: str, date: str, keep_flags: tuple[str, ...] = ()) -> None:
     """Hourly KPI (a job of its own in the source system, needing the raw table alone): replace
-    every event date that rows ingested on `date` touch, from all raw rows of those dates, so
-    that events ingested on other days stay counted."""
+    every event date that rows ingested on `date` touch, with events ingested on other days counted.
+
+    `_kpi_partials` stores the partial aggregates of each ingestion date, so only raw rows of `date` are
+    read, and those of dates whose number of raw rows is not the one that `_kpi_covered` has for them
+    (never counted, loaded since, or counted under other `keep_flags`: of all dates then). The KPI is
+    published first, then the partials, then the numbers: a run killed in between is repeated by the next one.
+    """
     raw = publish.read_table(spark, raw_path(warehouse))
     if raw is None:
         return
-    stg = lambda df: staging.stg_valid(staging.stg_network_events(df.drop("_ingest_date"), keep_flags))
-    touched = stg(raw.where(F.col("_ingest_date") == date)).select(F.to_date("event_time").alias("kpi_date")).distinct()
-    dates = [str(r["kpi_date"]) for r in touched.collect()]       # one for each date that the run replaces
-    if dates:
-        source = stg(raw).where(F.to_date("event_time").cast("string").isin(*dates))
-        publish.replace_partitions(kpi.cell_hourly_kpi(source, exact), table(warehouse, "curated", "agg_cell_hourly_kpi"),
-                                   ("kpi_date",), touched=dates)
+    paths = {n: table(warehouse, "curated", n) for n in ("agg_cell_hourly_kpi", "_kpi_partials", "_kpi_covered")}
+    flags = ",".join(sorted(keep_flags))
+    as_text = F.col("_ingest_date").cast("string").alias("_ingest_date")
+    # one row for each ingestion date; no column is read for it, only the files' row counts
+    have = raw.groupBy(as_text).agg(F.count(F.lit(1)).alias("raw_rows")).withColumn("keep_flags", F.lit(flags))
+    have = spark.createDataFrame(have.collect(), have.schema)
+    covered = publish.read_table(spark, paths["_kpi_covered"], have)
+    stale = have.join(covered, [*have.columns], "left_anti").select("_ingest_date").collect()
+    dates = sorted({date, *[r["_ingest_date"] for r in stale]})
+    rows = raw.where(F.col("_ingest_date").cast("string").isin(*dates))
+    valid = staging.stg_valid(staging.stg_network_events(rows.drop("_ingest_date"), keep_flags))
+    ingested = F.to_date(ingest.object_date("_source_object_key")).cast("string")
+    new = kpi.kpi_partials(valid, ingested.alias("_ingest_date")).withColumn("kpi_date", F.to_date("kpi_hour"))
+    with publish.staged(new, "kpi-partials") as new:
+        old = publish.read_table(spark, paths["_kpi_partials"], new)
+        mine = F.col("_ingest_date").cast("string").isin(*dates)
+        touched = new.select("kpi_date").union(old.where(mine).select("kpi_date")).distinct()
+        touched = [str(r["kpi_date"]) for r in touched.collect()]       # one for each date that the run replaces
+        if touched:
+            merged = old.where(~mine).unionByName(new).where(F.col("kpi_date").cast("string").isin(*touched))
+            publish.replace_partitions(kpi.kpi_from_partials(merged), paths["agg_cell_hourly_kpi"], ("kpi_date",), touched=touched)
+        gone = tuple(f"_ingest_date={d}/" for d in dates)
+        publish.publish(new, paths["_kpi_partials"], ("_ingest_date", "kpi_date"), keep=lambda part, _: not part.startswith(gone))
+    publish.full_refresh(have, paths["_kpi_covered"])
 
 
 def publish_dq_summary(spark: SparkSession, warehouse: str, date: str, result: PipelineResult) -> None:
@@ -115,7 +136,7 @@ def publish_dq_summary(spark: SparkSession, warehouse: str, date: str, result: P
 
 def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
                  late: str = "upsert", keep_flags: tuple[str, ...] = (),
-                 exact_kpi: bool = True, incremental_dims: bool = True,
+                 incremental_dims: bool = True,
                  on_malformed: str = "failfast", source: DataFrame | None = None,
                  source_time: str = "event_time") -> PipelineResult:
     """Load one logical date and publish every layer that depends on it.
@@ -127,8 +148,7 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
 
     late: incremental policy of the facts ("upsert" keeps late rows, "drop" reproduces the
     source system's watermark, "replace" also takes changed rows). keep_flags: flags that do not
-    reject a row (T1). exact_kpi: exact or approximate p95. incremental_dims: merge instead of
-    rebuild. on_malformed: see `load_date`. source: the source system's rows, if at hand: their
+    reject a row (T1). incremental_dims: merge instead of rebuild. on_malformed: see `load_date`. source: the source system's rows, if at hand: their
     counts by day of `source_time` are compared with the raw table's (Q10), for days that the newest source row closed.
     """
     result = PipelineResult(load=load_date(spark, lake_root, warehouse, date, on_malformed))
@@ -140,7 +160,7 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
     stg_all = staging.stg_network_events(raw_all.drop("_ingest_date"), keep_flags)
     stg_run = staging.stg_network_events(raw_run, keep_flags)
 
-    publish_kpi(spark, warehouse, date, keep_flags, exact_kpi)
+    publish_kpi(spark, warehouse, date, keep_flags)
     if source is not None:
         newest = source.agg(F.max(source_time).cast("timestamp").alias("t")).first()["t"]
         result.checks["reconcile"] = quality.reconcile(source, stg_all, source_time, "event_time", closed_before=F.lit(newest)).collect()

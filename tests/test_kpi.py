@@ -1,10 +1,15 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from cellscope.operators import kpi
+from cellscope.operators import kpi, staging
 from cellscope.operators.quantiles import exact_quantiles
+from cellscope.plans import publish
+from cellscope.plans.load import load_date, raw_path
+from cellscope.plans.pipeline import publish_kpi, table
+from cellscope.sources import lake
 
 T = dt.datetime(2024, 1, 1, 10, 5)
 SCHEMA = ("event_type string, event_time timestamp, cell_id string, cell_region string, call_result string, "
@@ -68,3 +73,79 @@ def test_throughput_can_be_at_fault(spark):
     data += [("voice_call", T, "slow", "slow", "completed", None, None, None, None)]
     got = {r.cell_region: r.kpi_at_fault for r in kpi.region_quality(spark.createDataFrame(data, SCHEMA)).collect()}
     assert got == {"slow": "throughput", "fast": "latency"}
+
+
+def kpi_rows(spark, wh):
+    return sorted(map(str, publish.read_table(spark, table(wh, "curated", "agg_cell_hourly_kpi")).collect()))
+
+
+def all_from_raw(spark, wh):
+    raw = spark.read.parquet(raw_path(wh)).drop("_ingest_date")
+    got = kpi.cell_hourly_kpi(staging.stg_valid(staging.stg_network_events(raw)))
+    return sorted(map(str, got.collect()))
+
+
+def land_events(spark, root, day, *events):
+    lines = [(json.dumps({"event_id": i, "event_type": "data_session", "event_time_raw": t, "subscriber_id": "s", "cell_id": "C",
+                          "cell_region": "R", "data_volume_mb": 1.5, "avg_throughput_mbps": 3.0, "latency_ms": lat, "signal_dbm": -80.0,
+                          "__source_ts_ms": 1}), day, "00") for i, t, lat in events]
+    lake.write_ndjson(spark.createDataFrame(lines, "value string, dt string, hr string").coalesce(1), root)
+
+
+def test_kpi_state_merges_late_rows_without_reading_old_raw(spark, tmp_path, monkeypatch):
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land_events(spark, root, "2024-01-10", ("a", "2024-01-10T10:01:00", 10.0), ("b", "2024-01-10T10:02:00", 30.0))
+    land_events(spark, root, "2024-01-11", ("c", "2024-01-10T10:03:00", 90.5), ("d", "2024-01-11T08:00:00", 5.0))
+    land_events(spark, root, "2024-01-12", ("e", "2024-01-10T10:04:00", 70.0), ("f", "2024-01-12T00:00:00", None))
+    load_date(spark, root, wh, "2024-01-10")
+    load_date(spark, root, wh, "2024-01-11")         # loaded, its KPI not asked for
+    publish_kpi(spark, wh, "2024-01-10")
+    assert kpi_rows(spark, wh) == all_from_raw(spark, wh) and len(kpi_rows(spark, wh)) == 2
+    load_date(spark, root, wh, "2024-01-12")
+    seen = []
+    with monkeypatch.context() as m:
+        whole = staging.stg_network_events
+        m.setattr(staging, "stg_network_events", lambda raw, *a: (seen.extend(raw.select("_source_object_key").distinct().collect()), whole(raw, *a))[1])
+        publish_kpi(spark, wh, "2024-01-12")
+    assert len(seen) == 1 and "dt=2024-01-12" in seen[0][0]       # rows of the run's date only
+    assert kpi_rows(spark, wh) == all_from_raw(spark, wh) and len(kpi_rows(spark, wh)) == 3
+    for again in ("2024-01-12", "2024-01-10"):
+        publish_kpi(spark, wh, again)
+        assert kpi_rows(spark, wh) == all_from_raw(spark, wh)
+
+
+@pytest.mark.parametrize("step", [1, 2, 3])
+def test_killed_kpi_run_is_made_good_by_the_next(spark, tmp_path, monkeypatch, step):
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land_events(spark, root, "2024-01-10", ("a", "2024-01-10T10:01:00", 10.0))
+    load_date(spark, root, wh, "2024-01-10")
+    publish_kpi(spark, wh, "2024-01-10")
+    land_events(spark, root, "2024-01-11", ("b", "2024-01-10T10:02:00", 20.0), ("c", "2024-01-11T10:02:00", 20.0))
+    load_date(spark, root, wh, "2024-01-11")
+    calls, write = [], publish.publish
+    with monkeypatch.context() as m:
+        def killed(*a, **k):
+            calls.append(a)
+            if len(calls) == step:
+                raise KeyboardInterrupt
+            return write(*a, **k)
+        m.setattr(publish, "publish", killed)
+        with pytest.raises(KeyboardInterrupt):
+            publish_kpi(spark, wh, "2024-01-11")
+    land_events(spark, root, "2024-01-12", ("d", "2024-01-11T10:05:00", 40.0))
+    load_date(spark, root, wh, "2024-01-12")
+    publish_kpi(spark, wh, "2024-01-12")             # the killed date is made good by another one's run
+    assert kpi_rows(spark, wh) == all_from_raw(spark, wh)
+
+
+def test_other_flags_count_everything_again(spark, tmp_path):
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land_events(spark, root, "2024-01-10", ("a", "2024-01-10T10:01:00", 10.0), (None, "2024-01-10T10:01:00", 10.0))
+    land_events(spark, root, "2024-01-11", ("b", "2024-01-10T10:02:00", -20.0))
+    load_date(spark, root, wh, "2024-01-10", "quarantine")
+    load_date(spark, root, wh, "2024-01-11")
+    publish_kpi(spark, wh, "2024-01-11")
+    publish_kpi(spark, wh, "2024-01-11", keep_flags=("negative_latency",))
+    covered = publish.read_table(spark, table(wh, "curated", "_kpi_covered"))
+    assert {(r["_ingest_date"], r.raw_rows, r.keep_flags) for r in covered.collect()} == \
+        {("2024-01-10", 1, "negative_latency"), ("2024-01-11", 1, "negative_latency")}
