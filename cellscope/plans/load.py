@@ -17,6 +17,7 @@ all-or-nothing, so a lost executor only retries tasks, never publishes half a wr
 Tables (Parquet, under `warehouse`):
 * `raw/network_events`, partitioned by `_ingest_date` (the object's `dt`);
 * `raw/_loaded_objects` (object_key, loaded_at), partitioned by `_ingest_date`;
+* `raw/_event_ids`, the ids of the raw table in hash buckets (keys.py), which new ids are compared with;
 * `raw/_quarantine` (_source_object_key, _corrupt_record), partitioned by `_ingest_date`;
 * `raw/_failed_objects` (object_key, example, failed_at), partitioned by `_ingest_date`: objects that the
   streaming load left out; `load_date` tries them again, since they aren't in the ledger.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cellscope import schemas as S
 from cellscope.operators import ingest
-from cellscope.plans import publish
+from cellscope.plans import keys, publish
 from cellscope.sources import cdc, lake
 
 
@@ -110,12 +111,15 @@ def store(spark: SparkSession, warehouse: str, parsed: DataFrame, todo: DataFram
         rows = rows.join(out.withColumnRenamed("object_key", "_source_object_key"), "_source_object_key", "left_anti")
         todo = todo.join(out, "object_key", "left_anti")
 
-    target = publish.read_table(spark, raw_path(warehouse))
-    new = ingest.keep_first(rows.withColumn("_loaded_at", F.current_timestamp()), target)
-    # the inserted-row count is a metric of the append itself: no second pass over the rows
-    counter = Observation(f"load-{name}")
-    new = new.select(*S.RAW_COLUMNS, "_ingest_date").observe(counter, F.count(F.lit(1)).alias("rows"))
-    publish.append(new, raw_path(warehouse), ("_ingest_date",))
+    ids = keys.cover(spark, warehouse, raw_path(warehouse))
+    first = ingest.keep_first(rows.withColumn("_loaded_at", F.current_timestamp()))
+    # staged: behind the shuffles of keep_first the join would move the stored ids instead of the batch
+    with publish.staged(first.select(*S.RAW_COLUMNS, "_ingest_date"), "first") as first:
+        # the inserted-row count is a metric of the append itself: no second pass over the rows
+        counter = Observation(f"load-{name}")
+        new = first.join(ids, keys.KEY, "left_anti").observe(counter, F.count(F.lit(1)).alias("rows"))
+        publish.append(new, raw_path(warehouse), ("_ingest_date",))
+    keys.cover(spark, warehouse, raw_path(warehouse))
 
     loaded = todo.select("object_key", F.current_timestamp().alias("loaded_at"), ingest.object_date("object_key").alias("_ingest_date"))
     publish.append(loaded, ledger_path(warehouse), ("_ingest_date",))
