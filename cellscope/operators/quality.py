@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cellscope import schemas as S
 from cellscope.operators.quantiles import exact_quantiles
 
+
 class QualityGateError(RuntimeError):
     """Raised when a blocking check fails; nothing downstream is published."""
 
@@ -74,32 +75,55 @@ def equal_counts(total: DataFrame, parts: list[DataFrame], name: str, model: str
 
 
 def model_checks(df: DataFrame, model: str, not_null: tuple[str, ...] = (), unique: str | None = None,
-                 severity: str = "error") -> DataFrame:
-    """Every not-null check of a model plus its unique-key check from ONE pass over it.
+                 severity: str = "error", accepted: dict | None = None) -> DataFrame:
+    """Every not-null and accepted-values check of a model plus its unique-key check from ONE pass over it.
 
     With a unique key the model is grouped once by that key (the per-key count combines
-    map-side); the not-null counts ride along as per-key sums. One row per check comes out.
+    map-side); the other counts ride along as per-key sums. One row per check comes out.
     """
-    specs = [(f"not_null_{model}_{c}", c) for c in not_null]
-    if unique is not None:
-        per_key = df.groupBy(unique).agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, (_, c) in enumerate(specs)])
-        totals = per_key.agg(
-            *[F.sum(f"_null_{i}").alias(f"f{i}") for i in range(len(specs))],
-            F.count_if(F.col(unique).isNotNull() & (F.col("_n") > 1)).alias("f_unique"))
-        specs_all = specs + [(f"unique_{model}_{unique}", unique)]
-        cols = [f"f{i}" for i in range(len(specs))] + ["f_unique"]
-    else:
-        totals = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"f{i}") for i, (_, c) in enumerate(specs)])
-        specs_all, cols = specs, [f"f{i}" for i in range(len(specs))]
+    specs = [(f"not_null_{model}_{c}", c, F.col(c).isNull()) for c in not_null]
+    specs += [(f"accepted_values_{model}_{c}", c, F.col(c).isNotNull() & ~F.col(c).isin(*values))
+              for c, values in (accepted or {}).items()]
+    bad = [F.count_if(x).alias(f"f{i}") for i, (_, _, x) in enumerate(specs)]
+    named = [(name, c) for name, c, _ in specs]
+    if unique is None:
+        return _check_rows(df.agg(*bad), [(*x, model, severity) for x in named])
+    per_key = df.groupBy(unique).agg(F.count(F.lit(1)).alias("_n"), *bad)
+    totals = per_key.agg(*[F.sum(f"f{i}").alias(f"f{i}") for i in range(len(specs))],
+                         F.count_if(F.col(unique).isNotNull() & (F.col("_n") > 1)).alias(f"f{len(specs)}"))
+    return _check_rows(totals, [(*x, model, severity) for x in [*named, (f"unique_{model}_{unique}", unique)]])
+
+
+def _check_rows(totals: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFrame:
+    """One row with the counts f0, f1, ... -> a row for each check (name, column, model, severity)."""
     rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(model).alias("model"),
                               F.lit(column).alias("column_name"), F.lit(severity).alias("severity"),
-                              F.coalesce(F.col(c), F.lit(0)).cast("long").alias("failing_rows"))
-                     for (name, column), c in zip(specs_all, cols)])
+                              F.coalesce(F.col(f"f{i}"), F.lit(0)).cast("long").alias("failing_rows"))
+                     for i, (name, column, model, severity) in enumerate(checks)])
     return totals.select(F.inline(rows))
 
 
+def all_relationships(children: dict[str, tuple[DataFrame, dict[str, str]]], parents: dict[str, tuple[DataFrame, str]],
+                      severity: str = "error") -> DataFrame:
+    """Q7 for many foreign keys from ONE pass over each table and one join.
+
+    `children` maps a model to its rows and {foreign key: parent model}, `parents` a parent model to its rows and
+    key. Each child counts its non-NULL key values, tagged with the parent, map-side; the tagged counts meet the tagged
+    keys of all parents in one anti-join, so a hot key is one row and no check reads a table again."""
+    checks, counts = [], []
+    for model, (df, keys) in children.items():
+        first = len(checks)
+        checks += [(f"relationships_{model}_{c}_to_{parent}", c, model, severity) for c, parent in keys.items()]
+        links = F.array(*[F.struct(F.lit(first + i).alias("check"), F.lit(parent).alias("parent"), F.col(c).cast("string").alias("key"))
+                          for i, (c, parent) in enumerate(keys.items())])
+        counts.append(df.select(F.inline(links)).where("key IS NOT NULL").groupBy("check", "parent", "key")
+                      .agg(F.count(F.lit(1)).alias("n")))
+    known = reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("parent"), F.col(key).cast("string").alias("key")).distinct()
+                                           for name, (df, key) in parents.items()])
+    orphans = reduce(DataFrame.unionByName, counts).join(known, ["parent", "key"], "left_anti")
+    return _check_rows(orphans.agg(*[F.sum(F.when(F.col("check") == i, F.col("n"))).alias(f"f{i}") for i in range(len(checks))]), checks)
+
+
 def checks_table(checks: list) -> DataFrame:
     """All checks (Check objects or ready check rows) as one DataFrame with a status."""
     rows = reduce(DataFrame.unionByName, [c.as_row() if isinstance(c, Check) else c for c in checks])
@@ -113,6 +137,20 @@ def staging_checks(stg: DataFrame) -> list:
     return [model_checks(stg, "stg_network_events", ("event_id",), "event_id")]
 
 
+def stored_key_checks(ids: DataFrame, raw_rows: int) -> DataFrame | None:
+    """Q1 of staging from the stored ids of the raw table (plans/keys.py), which lie in buckets: no shuffle.
+
+    Ids are only ever stored from raw rows, and every raw row's id is. So as many of them as raw rows, none of them
+    twice and none NULL, means that the key holds. None if it doesn't: then `staging_checks` says where."""
+    per_id = ids.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    seen = per_id.agg(F.count("event_id").alias("different"), F.sum("n").alias("stored")).first()
+    if not seen["different"] == (seen["stored"] or 0) == raw_rows:
+        return None
+    model = "stg_network_events"
+    return _check_rows(ids.sparkSession.createDataFrame([(0, 0)], "f0 long, f1 long"),
+                       [(f"{kind}_{model}_event_id", "event_id", model, "error") for kind in ("not_null", "unique")])
+
+
 def event_key_checks(stg: DataFrame, models: tuple[str, ...] = ("stg_network_events", "fct_voice_call",
                                                                 "fct_data_session")) -> DataFrame:
     """Q1 and Q12 on the event id of staging and of both facts, from ONE pass over staging (the
@@ -122,13 +160,9 @@ def event_key_checks(stg: DataFrame, models: tuple[str, ...] = ("stg_network_eve
                "fct_data_session": valid & (et == "data_session")}
     per_key = stg.groupBy("event_id").agg(*[F.count_if(rows_of[m]).alias(m) for m in models])
     given = F.col("event_id").isNotNull()
-    totals = per_key.agg(*[F.sum(F.when(~given, F.col(m))).alias(f"not_null_{m}") for m in models],
-                         *[F.count_if(given & (F.col(m) > 1)).alias(f"unique_{m}") for m in models])
-    rows = F.array(*[F.struct(F.lit(f"{kind}_{m}_event_id").alias("check_name"), F.lit(m).alias("model"),
-                              F.lit("event_id").alias("column_name"), F.lit("error").alias("severity"),
-                              F.coalesce(F.col(f"{kind}_{m}"), F.lit(0)).cast("long").alias("failing_rows"))
-                     for m in models for kind in ("not_null", "unique")])
-    return totals.select(F.inline(rows))
+    totals = per_key.agg(*[c for i, m in enumerate(models) for c in (
+        F.sum(F.when(~given, F.col(m))).alias(f"f{2 * i}"), F.count_if(given & (F.col(m) > 1)).alias(f"f{2 * i + 1}"))])
+    return _check_rows(totals, [(f"{kind}_{m}_event_id", "event_id", m, "error") for m in models for kind in ("not_null", "unique")])
 
 
 def dimension_key_checks(dim_cell: DataFrame, dim_sub: DataFrame) -> list:
@@ -137,30 +171,19 @@ def dimension_key_checks(dim_cell: DataFrame, dim_sub: DataFrame) -> list:
             model_checks(dim_sub, "dim_subscriber", ("subscriber_id", "valid_from"))]
 
 
-def curated_key_checks(dim_cell: DataFrame, dim_sub: DataFrame, voice: DataFrame, data: DataFrame) -> list:
-    """Q12 on the curated model: keys present and unique."""
-    return [
-        *dimension_key_checks(dim_cell, dim_sub),
-        model_checks(voice, "fct_voice_call", ("event_id",), "event_id"),
-        model_checks(data, "fct_data_session", ("event_id",), "event_id"),
-    ]
-
-
 def relationship_checks(dim_cell: DataFrame, dim_sub: DataFrame, voice: DataFrame, data: DataFrame) -> list:
     """Q7: every fact key has its dimension row."""
-    return [
-        relationships(voice, "fct_voice_call", "cell_id", dim_cell, "cell_id", "dim_cell_site"),
-        relationships(voice, "fct_voice_call", "subscriber_id", dim_sub, "subscriber_id", "dim_subscriber"),
-        relationships(data, "fct_data_session", "cell_id", dim_cell, "cell_id", "dim_cell_site"),
-        relationships(data, "fct_data_session", "subscriber_id", dim_sub, "subscriber_id", "dim_subscriber"),
-    ]
+    keys = {"cell_id": "dim_cell_site", "subscriber_id": "dim_subscriber"}
+    return [all_relationships({"fct_voice_call": (voice, keys), "fct_data_session": (data, keys)},
+                              {"dim_cell_site": (dim_cell, "cell_id"), "dim_subscriber": (dim_sub, "subscriber_id")})]
 
 
 def curated_checks(dim_cell: DataFrame, dim_sub: DataFrame, voice: DataFrame, data: DataFrame) -> list:
-    """Q6, Q7, Q12 on the curated model (block serving)."""
-    return (curated_key_checks(dim_cell, dim_sub, voice, data)
-            + [accepted_values(voice, "fct_voice_call", "call_result", S.CALL_RESULTS)]
-            + relationship_checks(dim_cell, dim_sub, voice, data))
+    """Q6, Q7, Q12 on the curated model (block serving): each fact is read twice, by its id and by its foreign keys."""
+    return [*dimension_key_checks(dim_cell, dim_sub),
+            model_checks(voice, "fct_voice_call", ("event_id",), "event_id", accepted={"call_result": S.CALL_RESULTS}),
+            model_checks(data, "fct_data_session", ("event_id",), "event_id"),
+            *relationship_checks(dim_cell, dim_sub, voice, data)]
 
 
 def serving_checks(ranking: DataFrame, churn: DataFrame) -> list:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellscope.operators import curated, incremental, ingest, kpi, quality, serving, staging
-from cellscope.plans import publish
+from cellscope.plans import keys, publish
 from cellscope.plans.load import LoadResult, load_date, raw_path
 
 
@@ -166,7 +166,8 @@ def run_pipeline(spark: SparkSession, lake_root: str, warehouse: str, date: str,
         result.checks["reconcile"] = quality.reconcile(source, stg_all, source_time, "event_time", closed_before=F.lit(newest)).collect()
 
     # staging gate (Q1) on the whole model: an id of this run may clash with an earlier one
-    result.checks["staging"] = quality.gate(quality.checks_table(quality.staging_checks(stg_all)), "staging")
+    known = quality.stored_key_checks(keys.cover(spark, warehouse, raw_path(warehouse)), raw_all.count())
+    result.checks["staging"] = quality.gate(quality.checks_table([known] if known is not None else quality.staging_checks(stg_all)), "staging")
 
     # curated: dimensions merged (or rebuilt), facts merged from this run's rows
     valid_all, valid_run = staging.stg_valid(stg_all), staging.stg_valid(stg_run)

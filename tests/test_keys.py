@@ -115,3 +115,18 @@ def test_raw_table_without_stored_ids_and_another_number_of_buckets(spark, tmp_p
     assert load.load_date(spark, root, wh, DAYS[1]).rows_inserted == 1
     assert raw_ids(spark, wh) == ["a", "b", "y", "z"]
     assert stored.select(F.count_distinct("event_id")).first()[0] == 3
+
+
+def test_staging_gate_finds_a_repeated_raw_row(spark, tmp_path):
+    from cellscope.operators import quality
+    from cellscope.plans.pipeline import run_pipeline
+
+    root, wh = str(tmp_path / "lake"), str(tmp_path / "wh")
+    land(spark, root, DAYS[0], "a", "b")
+    first = run_pipeline(spark, root, wh, DAYS[0])
+    assert [(r.check_name, r.failing_rows) for r in first.checks["staging"]] == \
+        [("not_null_stg_network_events_event_id", 0), ("unique_stg_network_events_event_id", 0)]
+    copy = spark.read.parquet(load.raw_path(wh)).where("event_id = 'a'")
+    publish.append(publish.stage(copy, "copy"), load.raw_path(wh), ("_ingest_date",))
+    with pytest.raises(quality.QualityGateError, match="unique_stg_network_events_event_id=1"):
+        run_pipeline(spark, root, wh, DAYS[0])
