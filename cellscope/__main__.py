@@ -4,6 +4,8 @@
     python -m cellscope run-date    --lake ROOT --warehouse ROOT --date YYYY-MM-DD [--late drop|upsert|replace]
     python -m cellscope kpi         --warehouse ROOT --date YYYY-MM-DD
     python -m cellscope stream-load --lake ROOT --warehouse ROOT --checkpoint DIR [--on-malformed failfast|quarantine]
+    python -m cellscope stream-facts --warehouse ROOT --checkpoint DIR [--delay SECONDS]
+    python -m cellscope merge-late  --warehouse ROOT --fact fct_voice_call|fct_data_session
     python -m cellscope land        --lake ROOT --checkpoint DIR --servers HOST:PORT --topic NAME
                                     [--batch-size N] [--max-batches N]
 
@@ -37,6 +39,9 @@ def build_parser() -> argparse.ArgumentParser:
         if name == "run-date":
             p.add_argument("--late", choices=("upsert", "drop", "replace"), default="upsert")
     command("kpi", "replace the hourly KPI of the event dates that one ingestion date touches", "--warehouse", "--date")
+    p = command("stream-facts", "add newly loaded raw rows to the facts, late ones to their side tables", "--warehouse", "--checkpoint")
+    p.add_argument("--delay", type=int, default=0)
+    command("merge-late", "add a fact's late rows to it", "--warehouse", "--fact")
     p = command("stream-load", "load newly landed objects once, from a checkpoint", "--lake", "--warehouse", "--checkpoint")
     p.add_argument("--on-malformed", choices=("failfast", "quarantine"), default="failfast")
     p = command("land", "land the change stream in the lake", "--lake", "--checkpoint", "--servers", "--topic")
@@ -68,6 +73,14 @@ def main(argv: list[str] | None = None) -> int:
         from cellscope.plans.pipeline import publish_kpi
 
         publish_kpi(spark, args.warehouse, args.date)
+    elif args.command == "stream-facts":
+        from cellscope.streaming.facts import stream_facts
+
+        stream_facts(spark, args.warehouse, args.checkpoint, args.delay).awaitTermination()
+    elif args.command == "merge-late":
+        from cellscope.streaming.facts import merge_late
+
+        out = {"rows_added": merge_late(spark, args.warehouse, args.fact)}
     elif args.command == "stream-load":
         from cellscope.streaming.loader import stream_load
 
