@@ -35,15 +35,22 @@ def objects(spark: SparkSession, lake_root: str, date: str | None = None) -> Dat
         files = (spark.read.format("binaryFile").option("basePath", lake_dir(lake_root))
                  .option("recursiveFileLookup", "true").load(path))
         return files.select(object_key_of(F.col("_metadata.file_path")).alias("object_key"))
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "object_key string")
 
 
 def read_lines(spark: SparkSession, lake_root: str, date: str | None = None) -> DataFrame:
-    """Non-blank lines of one date (or the whole lake) with their object key, dt, hr."""
-    df = spark.read.schema(LAKE_PARTITIONS).option("basePath", lake_dir(lake_root)).text(lake_dir(lake_root))
-    if date:
-        df = df.where(F.col("dt") == date)
+    """Non-blank lines of one date (or the whole lake) with their object key, dt, hr. Only the folder of the
+    date is listed, not the lake's other days."""
+    path = lake_dir(lake_root) + (f"/dt={date}" if date else "")
+    try:
+        df = spark.read.schema(LAKE_PARTITIONS).option("basePath", lake_dir(lake_root)).text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "value string, dt string, hr string, object_key string")
     return (df.where(F.trim("value") != "")
             .select("value", "dt", "hr", object_key_of(F.col("_metadata.file_path")).alias("object_key")))
 

@@ -204,3 +204,14 @@ def test_kpi_runs_beside_the_gates_and_source_is_reconciled(spark, tmp_path, mon
     assert {(str(r.window_date), r.source_rows, r.raw_rows, r.status) for r in res.checks["reconcile"]} == \
         {("2024-01-10", 2, 1, "fail"), ("2024-01-11", 1, 1, "pass")}
     assert (res.counts["stg_network_events"], res.counts["stg_network_events_valid"], res.counts["stg_network_events_rejected"]) == (2, 2, 0)
+
+
+def test_a_date_lists_and_reads_its_own_folder_only(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    land(spark, root, (line("a"), "2024-01-10", "00"), (line("b"), "2024-01-11", "05"), (line("c"), "2024-01-11", "06"))
+    lines = lake.read_lines(spark, root, "2024-01-11")
+    assert sorted((r.dt, r.hr) for r in lines.select("dt", "hr").collect()) == [("2024-01-11", "05"), ("2024-01-11", "06")]
+    assert all("dt=2024-01-11/" in r.object_key for r in lines.collect())
+    assert len(lines.inputFiles()) == 2         # of the listing, before any pruning
+    assert lake.objects(spark, root, "2024-01-11").count() == 2
+    assert lake.read_lines(spark, root, "2024-02-01").count() == lake.objects(spark, root, "2024-02-01").count() == 0
