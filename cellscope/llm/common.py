@@ -137,6 +137,18 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def stretches(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Borders of runs of items whose sizes come to at most `most`, or of one larger item."""
+    start = held = 0
+    for k, size in enumerate(sizes):
+        if k > start and held + size > most:
+            yield start, k
+            start, held = k, 0
+        held += size
+    if sizes:
+        yield start, len(sizes)
+
+
 def blocks(text: str, size: int = 1 << 20) -> list[str]:
     """Stretches of at most `size` characters that make up the text, cut behind white space
     where there is any: bounds the memory that one very long text takes."""

@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import fresh_path, staged, texts
+from cellscope.llm.common import fresh_path, staged, stretches, texts
 from cellscope.llm.tokens import text_ids, tokenizer_path
 
 END_ID = 0
+#: Characters encoded at once, in whole texts.
+PART = 8 << 20
 OPTIONS = {
     "orc.create.index": "true", "orc.row.index.stride": "2000", "orc.stripe.size": str(16 << 20),
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd",
@@ -38,20 +40,20 @@ OPTIONS = {
 def encode(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID) -> DataFrame:
     """doc_id, n_tokens and ids (array of int, with the end id) of every row, in input order."""
     path = tokenizer_path(tokenizer)
-    end = np.array([end_id], "<u4").tobytes()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = text_ids(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):      # a part at a time: ids outgrow their texts
-                part = batch.slice(at, 1000)
-                found = [ids_of.encode(x) + end for x in texts(part)]
-                n = np.array([len(x) // 4 for x in found], np.int64)
-                ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), ids],
-                                                 ["doc_id", "n_tokens", "ids"])
+            found = texts(batch)
+            for a, b in stretches([len(x) for x in found], PART):      # a part at a time: ids outgrow their texts
+                flat, n = ids_of.encode_all(found[a:b])
+                upto = np.cumsum(n)
+                flat = np.insert(flat, upto, end_id).view("<i4")
+                ends = np.concatenate(([0], upto + np.arange(1, len(n) + 1))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), pa.array(n + 1),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_tokens", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>")
 

@@ -4,22 +4,37 @@ Both vocabularies split a text into pieces before any merge, and no piece crosse
 used here, so the ids of a text are the ids of its parts in order. Each part is encoded by the
 library once and then looked up; a text that the border rule doesn't cover is encoded whole, and
 so is one that holds an added token's string, which the library's plain call makes one id.
+
+Byte-level texts are cut, compared and put together as arrays, many texts at a time, and the
+library gets the unseen parts joined by a byte that keeps them apart.
 """
 
 from __future__ import annotations
 
 import re
+import string
 from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Entries kept of words and of their letter cores; a full table starts anew, which bounds memory.
 MAX_WORDS = 400_000
 MAX_CORES = 900_000
+#: Bytes kept in the table of byte-level parts, with what an entry takes besides its content; a full
+#: table starts anew with the parts of the texts at hand.
+MAX_BYTES = 160 << 20
+_ENTRY = 160
+#: Longest part kept there, in bytes, and new parts given to the library in one call.
+MAX_KEPT = 200
+TOGETHER = 200
 
 #: Letters for which lower case and normal form are plain, then marks that end a word.
 _CORE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Such letters as UTF-8.
+_PLAIN = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -31,8 +46,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
-#: A word with its single leading blank, or white space that no word takes.
-_UNIT = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
+#: Bytes of the white space that parts words in the byte-level vocabulary.
+_GAP = np.isin(np.arange(256), list(b" \t\n\r"))
+#: ASCII letters, and the marks that end a word behind one.
+_LETTER = np.isin(np.arange(256), list(string.ascii_letters.encode()))
+_MARK = np.isin(np.arange(256), list(string.punctuation.encode()))
 #: White space other than blank, tab and line ends: such texts are encoded whole.
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
@@ -52,9 +70,21 @@ class TextIds:
         self.model = self.tokenizer.model
         self.words: dict = {}
         self.cores: dict = {}
+        if not self.drops_space:
+            vocab = self.tokenizer.get_vocab()
+            merged = set().union(*(k for k in vocab if len(k) > 1))
+            # a control byte that no merge takes: words beside it are merged as if each stood alone
+            bar = next(b for b in range(32) if _LETTERS[b] in vocab and _LETTERS[b] not in merged)
+            self.bar, self.bar_id = bytes([bar]), vocab[_LETTERS[bar]]
+            # between other words it is a piece of its own
+            self.line_end = vocab[_LETTERS[10]]
+            self.held = 0
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._ids(text).tobytes()
 
     def _core(self, core: str) -> bytes:
         got = self.cores.get(core)
@@ -74,11 +104,11 @@ class TextIds:
             got = self.cores[core] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
         return got
 
-    def _word(self, key) -> bytes:
-        word = key.decode() if self.drops_space else key
+    def _word(self, key: bytes) -> bytes:
+        word = key.decode()
         m = _CORE.fullmatch(word)
         if m:
-            got = self._letters(m[1].lower() if self.drops_space else m[1]) + (self._core(m[2]) if m[2] else b"")
+            got = self._letters(m[1].lower()) + (self._core(m[2]) if m[2] else b"")
         else:
             got = self._core(word)
         if len(self.words) >= MAX_WORDS:
@@ -87,17 +117,100 @@ class TextIds:
         return got
 
     def encode(self, text: str) -> bytes:
+        if not self.drops_space:
+            return self.encode_all([text])[0].tobytes()
         if self.added and self.added.search(text):
             return self._encode(text)
-        if self.drops_space:
-            units = text.encode().split()       # of bytes: splits at ASCII white space only
-        elif _ODD_SPACE.search(text):
-            return self._encode(text)
-        else:
-            units = _UNIT.findall(text)
+        units = text.encode().split()       # of bytes: splits at ASCII white space only
         get, word = self.words.get, self._word
         return b"".join([get(u) or word(u) for u in units])
 
+    def _together(self, parts: list[bytes], bar: bytes, bar_id: int, ids_of: Callable[[bytes], np.ndarray]) -> Iterator[bytes]:
+        """Ids of each part, many by one call of the library, which keeps the bars between them apart."""
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at:at + TOGETHER]
+            ids = ids_of(bar.join(some))
+            data, ends = ids.tobytes(), 4 * np.flatnonzero(ids == bar_id)
+            for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(data)], strict=True):
+                yield data[a:b]
+
+    def _merged(self, letters: bytes) -> np.ndarray:
+        """Ids by the library's merges alone, for plain letters."""
+        return np.array([t.id for t in self.model.tokenize(letters.decode("latin-1").translate(_LETTERS))], "<u4")
+
+    def _learn(self, parts: list[bytes], whole: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of parts that the table lacks. A full table starts anew."""
+        plain, other, single = [], [], []
+        for x in parts:
+            if _PLAIN.fullmatch(x):
+                plain.append(x)
+            elif x in whole or x.isspace():
+                single.append(x)
+            else:
+                other.append(x)
+        new = dict(zip(plain, self._together(plain, self.bar, self.bar_id, self._merged)))
+        new.update(zip(other, self._together(other, b"\n", self.line_end, lambda x: self._ids(x.decode()))))
+        new.update((x, self._encode(x.decode())) for x in single)
+        kept = {x: ids for x, ids in new.items() if len(x) <= MAX_KEPT and x not in whole}
+        size = sum(map(len, kept)) + sum(map(len, kept.values())) + _ENTRY * len(kept)
+        if self.held + size > MAX_BYTES:
+            self.words.clear()
+            self.held = 0
+        self.words.update(kept)
+        self.held += size
+        return new
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after another, and the number of ids of each.
+
+        The texts are cut at the borders all at once, equal parts are found by Arrow's hash table,
+        and only different ones are looked up or given to the library."""
+        if self.drops_space:
+            found = [self.encode(x) for x in texts]
+            return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
+        data = [x.encode() for x in texts]
+        edges = np.concatenate(([0], np.cumsum([len(x) for x in data], dtype=np.int64)))
+        flat = np.frombuffer(b"".join(data), np.uint8)
+        cut = _borders(flat, edges)
+        whole = set()
+        for k, x in enumerate(texts):
+            if self.added and self.added.search(x) or _ODD_SPACE.search(x):
+                cut[edges[k] + 1:edges[k + 1]] = False
+                whole.add(data[k])
+        at = np.flatnonzero(cut)
+        units = pa.Array.from_buffers(pa.binary(), len(at), [
+            None, pa.py_buffer(np.append(at, len(flat)).astype(np.int32)), pa.py_buffer(flat)]).dictionary_encode()
+        ends, content = units.dictionary.buffers()[1:]
+        ends = np.frombuffer(ends, np.int32)[:len(units.dictionary) + 1].tolist()
+        content = content.to_pybytes() if content else b""
+        keys = [content[a:b] for a, b in zip(ends, ends[1:])]
+        got = list(map(self.words.get, keys))
+        lacking = [k for k, ids in zip(keys, got) if ids is None]
+        if lacking:
+            new = self._learn(lacking, whole)
+            got = [new[k] if ids is None else ids for k, ids in zip(keys, got)]
+        size = np.fromiter(map(len, got), np.int64, len(got)) >> 2
+        which = units.indices.to_numpy()
+        n = size[which]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        source = np.repeat((np.cumsum(size) - size)[which] - upto[:-1], n)
+        source += np.arange(len(source))
+        return np.frombuffer(b"".join(got), "<u4")[source], np.diff(upto[np.searchsorted(at, edges)])
+
+
+def _borders(flat: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where parts begin in the bytes of texts that begin at `edges`: a word with its single leading
+    blank, cut where a mark follows an ASCII letter; white space but for the last one before a word,
+    which is a part of its own unless a blank."""
+    first = np.zeros(len(flat) + 1, bool)
+    first[edges] = True
+    cut, gap = first[:-1].copy(), _GAP[flat]
+    before, here = gap[:-1], gap[1:]
+    cut[1:] |= np.where(here, ~before, before & (flat[:-1] != 32))
+    cut[:-1] |= before & ~here & ~first[1:-1]       # the last white space before a word of the same text
+    cut[1:] |= _LETTER[flat[:-1]] & _MARK[flat[1:]]
+    return cut
+
 
 @lru_cache(2)
 def text_ids(path: str) -> TextIds:

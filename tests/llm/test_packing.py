@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellscope.llm import packing, token_orc
+from cellscope.llm import packing, token_orc, tokens
 from cellscope.llm.tokens import TextIds, tokenizer_path
 
 ODD = ["", " ", "a  b\n\nc \n d\t\te  ", "it's 'S DON'T <|endoftext|> x y", "\x0b a\x0cb\xa0c", " x　y",
@@ -37,6 +37,64 @@ def test_added_tokens_are_encoded_as_by_the_plain_call(name, end, words):
     assert np.frombuffer(ids.encode("<|endoftext|>"), "<u4").tolist() == [end]
 
 
+@pytest.mark.parametrize("most", [None, 2000])
+def test_ids_of_many_texts_at_once_are_the_librarys(words, monkeypatch, most):
+    if most:
+        monkeypatch.setattr(tokens, "MAX_BYTES", most)      # the table starts anew again and again
+        monkeypatch.setattr(tokens, "MAX_KEPT", 5)
+    ids = TextIds(tokenizer_path("byte_bpe_50k.json"))
+    rng = random.Random(2)
+    kinds = ["aB. '\n\té,!s_1\x1f", "ab \n\r\t.'stvre-", "ÀÖ×öø÷ÿé. ,a9", "a\x00\x01 b\nĀā", "日本 a.　。…—", "İßΣς ªº½ .a", "a'S'LL'm. \U0001F600"]
+    for k in range(25):
+        texts = ["".join(rng.choices(kind, k=rng.randint(0, 50))) for kind in kinds for _ in range(9)]
+        texts += ODD + ["", "<|endoftext|> a.b", "a<|EndOfText|>", words(50, k), "x" * 5000, " \n" * 99 + "a"]
+        rng.shuffle(texts)
+        flat, n = ids.encode_all(texts)
+        at = 0
+        for text, size in zip(texts, n.tolist(), strict=True):
+            assert flat[at:at + size].tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids, text
+            at += size
+        assert at == len(flat)
+    assert ids.encode_all([])[1].tolist() == [] and ids.encode_all(["", ""])[1].tolist() == [0, 0]
+
+
+class Counted:
+    """The library with its calls counted."""
+
+    def __init__(self, of):
+        self.of, self.calls = of, 0
+
+    def __getattr__(self, name):
+        def call(*args, **kinds):
+            self.calls += 1
+            return getattr(self.of, name)(*args, **kinds)
+        return call
+
+
+def test_orc_unseen_words_share_calls_of_the_library(monkeypatch):
+    import pyarrow as pa
+
+    class Docs:
+        schema = {"doc_id": type("F", (), {"dataType": type("T", (), {"simpleString": lambda _: "bigint"})()})}
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    ids = TextIds(tokenizer_path("byte_bpe_50k.json"))
+    plain, ids.tokenizer, ids.model = ids.tokenizer, Counted(ids.tokenizer), Counted(ids.model)
+    monkeypatch.setattr(token_orc, "text_ids", lambda path: ids)
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=9)) + rng.choice(["", ".", "#1"]) for _ in range(40)) for _ in range(100)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(100)), "text": texts})
+    out = pa.Table.from_batches(token_orc.encode(Docs())(iter([batch])))
+    assert out["ids"].to_pylist() == [plain.encode(x, add_special_tokens=False).ids + [token_orc.END_ID] for x in texts]
+    # a call for each of the 4,000 words would be the cost of the whole query
+    assert ids.tokenizer.calls + ids.model.calls < 100
+
+
 def ids_of(name, text, end):
     ids = TextIds(tokenizer_path(name))
     return ids.tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
