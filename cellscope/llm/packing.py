@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cellscope.llm.common import texts
-from cellscope.llm.tokens import text_ids, tokenizer_path
+from cellscope.llm.common import stretches, texts
+from cellscope.llm.tokens import PART, TextIds, text_ids, tokenizer_path
 
 CAPACITY = 2048
 MAX_PART = 512
@@ -115,12 +115,21 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = EN
     and the ids themselves (array of int) if asked for."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     path = tokenizer_path(tokenizer)
-    end = np.array([end_id], "<u4").tobytes()
     # a group is closed a little below full windows, so that nearly equal windows fit at once
     enough = group_windows * (capacity - max(1, capacity // 400))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     kinds = [None] + [pa.int64()] * 6
 
+    def encoded(found: list[str], ids_of: TextIds) -> Iterator[memoryview]:
+        """The ids of each text, with the end id, as bytes."""
+        for a, b in stretches([len(x) for x in found], PART):
+            flat, n = ids_of.encode_all(found[a:b])
+            upto = np.cumsum(n)
+            ids = memoryview(np.insert(flat, upto, end_id).tobytes())
+            ends = (4 * (upto + np.arange(1, len(n) + 1))).tolist()
+            for start, end in zip([0, *ends], ends):
+                yield ids[start:end]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = text_ids(path)
         sequence = TaskContext.get().partitionId() << 32
@@ -149,14 +158,13 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = EN
         id_type = pa.int64()
         for batch in batches:
             id_type = batch.column("doc_id").type
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                ids = ids_of.encode(text) + end
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded(texts(batch), ids_of)):
                 n = len(ids) // 4
                 full, parts = cuts(n, capacity, max_part)
 
                 def piece(start: int, length: int) -> tuple:
                     own = ids[4 * start:4 * (start + length)]
-                    return doc, start, length, zlib.crc32(own), n, own if with_ids else None
+                    return doc, start, length, zlib.crc32(own), n, bytes(own) if with_ids else None
 
                 place([[piece(s, capacity)] for s in full])
                 for start, length in parts:

@@ -26,11 +26,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellscope.llm.common import fresh_path, staged, stretches, texts
-from cellscope.llm.tokens import text_ids, tokenizer_path
+from cellscope.llm.tokens import PART, text_ids, tokenizer_path
 
 END_ID = 0
-#: Characters encoded at once, in whole texts.
-PART = 8 << 20
 OPTIONS = {
     "orc.create.index": "true", "orc.row.index.stride": "2000", "orc.stripe.size": str(16 << 20),
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd",

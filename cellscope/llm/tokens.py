@@ -5,8 +5,9 @@ used here, so the ids of a text are the ids of its parts in order. Each part is
 library once and then looked up; a text that the border rule doesn't cover is encoded whole, and
 so is one that holds an added token's string, which the library's plain call makes one id.
 
-Byte-level texts are cut, compared and put together as arrays, many texts at a time, and the
-library gets the unseen parts joined by a byte that keeps them apart.
+Texts are cut, compared and put together as arrays, many texts at a time, and the library gets
+the unseen parts joined by a byte that keeps them apart; plain letters of the vocabulary whose
+words have an end mark can't be joined, so each is merged by a call of its own.
 """
 
 from __future__ import annotations
@@ -20,20 +21,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Entries kept of words and of their letter cores; a full table starts anew, which bounds memory.
-MAX_WORDS = 400_000
-MAX_CORES = 900_000
-#: Bytes kept in the table of byte-level parts, with what an entry takes besides its content; a full
-#: table starts anew with the parts of the texts at hand.
+#: Characters encoded at once, in whole texts.
+PART = 8 << 20
+#: Bytes kept in the table of parts, with what an entry takes besides its content; a full table
+#: starts anew with the parts of the texts at hand, which bounds memory.
 MAX_BYTES = 160 << 20
 _ENTRY = 160
 #: Longest part kept there, in bytes, and new parts given to the library in one call.
 MAX_KEPT = 200
 TOGETHER = 200
 
-#: Letters for which lower case and normal form are plain, then marks that end a word.
-_CORE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-#: Such letters as UTF-8.
+#: Letters for which lower case and normal form are plain, as UTF-8.
 _PLAIN = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
@@ -48,6 +46,8 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 #: Bytes of the white space that parts words in the byte-level vocabulary.
 _GAP = np.isin(np.arange(256), list(b" \t\n\r"))
+#: Bytes of the white space that the other vocabulary drops.
+_DROPPED = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: ASCII letters, and the marks that end a word behind one.
 _LETTER = np.isin(np.arange(256), list(string.ascii_letters.encode()))
 _MARK = np.isin(np.arange(256), list(string.punctuation.encode()))
@@ -68,17 +68,20 @@ class TextIds:
         # this vocabulary drops white space and lower-cases; the byte-level one keeps both
         self.drops_space = self.tokenizer.normalizer is not None
         self.model = self.tokenizer.model
-        self.words: dict = {}
-        self.cores: dict = {}
-        if not self.drops_space:
+        self.words: dict[bytes, bytes] = {}
+        self.held = 0
+        if self.drops_space:
+            # between blanks, this control byte is a piece of its own
+            self.bar = b"\x01"
+            (self.apart_id,), self.apart = self._ids(self.bar.decode()), b" " + self.bar + b" "
+        else:
             vocab = self.tokenizer.get_vocab()
             merged = set().union(*(k for k in vocab if len(k) > 1))
             # a control byte that no merge takes: words beside it are merged as if each stood alone
             bar = next(b for b in range(32) if _LETTERS[b] in vocab and _LETTERS[b] not in merged)
             self.bar, self.bar_id = bytes([bar]), vocab[_LETTERS[bar]]
             # between other words it is a piece of its own
-            self.line_end = vocab[_LETTERS[10]]
-            self.held = 0
+            self.apart, self.apart_id = b"\n", vocab[_LETTERS[10]]
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -86,44 +89,8 @@ class TextIds:
     def _encode(self, text: str) -> bytes:
         return self._ids(text).tobytes()
 
-    def _core(self, core: str) -> bytes:
-        got = self.cores.get(core)
-        if got is None:
-            if len(self.cores) >= MAX_CORES:
-                self.cores.clear()
-            got = self.cores[core] = self._encode(core)
-        return got
-
-    def _letters(self, core: str) -> bytes:
-        """Ids of plain letters: one piece, so the library's merges are asked directly."""
-        got = self.cores.get(core)
-        if got is None:
-            if len(self.cores) >= MAX_CORES:
-                self.cores.clear()
-            written = core.encode().decode("latin-1").translate(_LETTERS)
-            got = self.cores[core] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-        return got
-
-    def _word(self, key: bytes) -> bytes:
-        word = key.decode()
-        m = _CORE.fullmatch(word)
-        if m:
-            got = self._letters(m[1].lower()) + (self._core(m[2]) if m[2] else b"")
-        else:
-            got = self._core(word)
-        if len(self.words) >= MAX_WORDS:
-            self.words.clear()
-        self.words[key] = got
-        return got
-
     def encode(self, text: str) -> bytes:
-        if not self.drops_space:
-            return self.encode_all([text])[0].tobytes()
-        if self.added and self.added.search(text):
-            return self._encode(text)
-        units = text.encode().split()       # of bytes: splits at ASCII white space only
-        get, word = self.words.get, self._word
-        return b"".join([get(u) or word(u) for u in units])
+        return self.encode_all([text])[0].tobytes()
 
     def _together(self, parts: list[bytes], bar: bytes, bar_id: int, ids_of: Callable[[bytes], np.ndarray]) -> Iterator[bytes]:
         """Ids of each part, many by one call of the library, which keeps the bars between them apart."""
@@ -134,6 +101,12 @@ class TextIds:
             for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(data)], strict=True):
                 yield data[a:b]
 
+    def _letters(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of words of plain letters: one piece each, so the library's merges are asked directly."""
+        merge, written = self.model.tokenize, b"\n".join(words).decode().lower().encode().decode("latin-1").translate(_LETTERS)
+        for word in written.split(_LETTERS[10]) if words else ():
+            yield array("I", [t.id for t in merge(word)]).tobytes()
+
     def _merged(self, letters: bytes) -> np.ndarray:
         """Ids by the library's merges alone, for plain letters."""
         return np.array([t.id for t in self.model.tokenize(letters.decode("latin-1").translate(_LETTERS))], "<u4")
@@ -144,12 +117,13 @@ class TextIds:
         for x in parts:
             if _PLAIN.fullmatch(x):
                 plain.append(x)
-            elif x in whole or x.isspace():
+            elif x in whole or x.isspace() or self.drops_space and self.bar in x:
                 single.append(x)
             else:
                 other.append(x)
-        new = dict(zip(plain, self._together(plain, self.bar, self.bar_id, self._merged)))
-        new.update(zip(other, self._together(other, b"\n", self.line_end, lambda x: self._ids(x.decode()))))
+        new = dict(zip(plain, self._letters(plain) if self.drops_space
+                       else self._together(plain, self.bar, self.bar_id, self._merged)))
+        new.update(zip(other, self._together(other, self.apart, self.apart_id, lambda x: self._ids(x.decode()))))
         new.update((x, self._encode(x.decode())) for x in single)
         kept = {x: ids for x, ids in new.items() if len(x) <= MAX_KEPT and x not in whole}
         size = sum(map(len, kept)) + sum(map(len, kept.values())) + _ENTRY * len(kept)
@@ -165,19 +139,21 @@ class TextIds:
 
         The texts are cut at the borders all at once, equal parts are found by Arrow's hash table,
         and only different ones are looked up or given to the library."""
-        if self.drops_space:
-            found = [self.encode(x) for x in texts]
-            return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
         data = [x.encode() for x in texts]
         edges = np.concatenate(([0], np.cumsum([len(x) for x in data], dtype=np.int64)))
         flat = np.frombuffer(b"".join(data), np.uint8)
-        cut = _borders(flat, edges)
-        whole = set()
+        cut = (_words if self.drops_space else _borders)(flat, edges)
+        whole, ranges = set(), []
         for k, x in enumerate(texts):
-            if self.added and self.added.search(x) or _ODD_SPACE.search(x):
-                cut[edges[k] + 1:edges[k + 1]] = False
+            if self.added and self.added.search(x) or not self.drops_space and _ODD_SPACE.search(x):
+                cut[edges[k]], cut[edges[k] + 1:edges[k + 1]] = True, False
                 whole.add(data[k])
+                ranges.append((edges[k], edges[k + 1]))
         at = np.flatnonzero(cut)
+        first = np.searchsorted(at, edges)      # the number of each text's first part
+        if self.drops_space:
+            flat, cut = _without_space(flat, cut, ranges)
+            at = np.flatnonzero(cut)
         units = pa.Array.from_buffers(pa.binary(), len(at), [
             None, pa.py_buffer(np.append(at, len(flat)).astype(np.int32)), pa.py_buffer(flat)]).dictionary_encode()
         ends, content = units.dictionary.buffers()[1:]
@@ -195,7 +171,7 @@ class TextIds:
         upto = np.concatenate(([0], np.cumsum(n)))
         source = np.repeat((np.cumsum(size) - size)[which] - upto[:-1], n)
         source += np.arange(len(source))
-        return np.frombuffer(b"".join(got), "<u4")[source], np.diff(upto[np.searchsorted(at, edges)])
+        return np.frombuffer(b"".join(got), "<u4")[source], np.diff(upto[first])
 
 
 def _borders(flat: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -212,6 +188,27 @@ def _borders(flat: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return cut
 
 
+def _words(flat: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where words begin, cut where a mark follows an ASCII letter; white space is in no part."""
+    word = ~_DROPPED[flat]
+    start = np.ones(len(flat) + 1, bool)
+    start[1:-1] = ~word[:-1]
+    start[edges] = True
+    cut = word & start[:-1]
+    cut[1:] |= _LETTER[flat[:-1]] & _MARK[flat[1:]]
+    return cut
+
+
+def _without_space(flat: np.ndarray, cut: np.ndarray, whole: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and borders without white space, A to Z in lower case unless a character beyond ASCII
+    follows, which might make one with it first; the ranges of whole texts as they are."""
+    keep, upper = ~_DROPPED[flat], flat - np.uint8(65) < 26
+    upper[:-1] &= flat[1:] < 128
+    for a, b in whole:
+        keep[a:b], upper[a:b] = True, False
+    return np.where(upper, flat | np.uint8(32), flat)[keep], cut[keep]
+
+
 @lru_cache(2)
 def text_ids(path: str) -> TextIds:
     """One per Python worker and file."""

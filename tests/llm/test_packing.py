@@ -95,6 +95,67 @@ def test_orc_unseen_words_share_calls_of_the_library(monkeypatch):
     assert ids.tokenizer.calls + ids.model.calls < 100
 
 
+@pytest.mark.parametrize("most", [None, 2000])
+def test_word_ids_of_many_texts_at_once_are_the_librarys(words, monkeypatch, most):
+    if most:
+        monkeypatch.setattr(tokens, "MAX_BYTES", most)      # the table starts anew again and again
+        monkeypatch.setattr(tokens, "MAX_KEPT", 5)
+    ids = TextIds(tokenizer_path("word_bpe_49k.json"))
+    rng = random.Random(5)
+    kinds = ["aB. '\n\té,!s_1\x1f", "HhAaTJ\u0331\u030c\u0300\u0304 .", "ÀÖ×öø÷ÿé. ,a9A", "a\x00\x01 b\nĀāB\x01", "日本 a.　。…—\xa0\x85B",
+             "İßΣς ªº½ .aKſµ", "a'S'LL'm. \U0001F600'sRE", "<≠\u0338=a> ;\u037e`", "\x0b\x0c\r \x1c\x1d\u2028aB", "각ᄀᆨ\u0338 \u0301A.", "<|>\u0338endEND "]
+    for k in range(25):
+        texts = ["".join(rng.choices(kind, k=rng.randint(0, 50))) for kind in kinds for _ in range(9)]
+        texts += ODD + ["", "<|endoftext|> A.b", " \nA<|endoftext|> ", "a<|EndOfText|>", words(50, k), "x" * 5000, " \n" * 99 + "A", "A", "\u0331", "\x01"]
+        rng.shuffle(texts)
+        flat, n = ids.encode_all(texts)
+        at = 0
+        for text, size in zip(texts, n.tolist(), strict=True):
+            assert flat[at:at + size].tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids, text
+            at += size
+        assert at == len(flat)
+    assert ids.encode_all([])[1].tolist() == [] and ids.encode_all(["", " \n"])[1].tolist() == [0, 0]
+
+
+class Looked(dict):
+    """A table with its lookups counted."""
+
+    gets = 0
+
+    def get(self, *key):
+        self.gets += 1
+        return super().get(*key)
+
+
+def test_packing_looks_up_equal_words_once(monkeypatch):
+    import pyarrow as pa
+
+    class Docs:
+        schema = {"doc_id": type("F", (), {"dataType": type("T", (), {"simpleString": lambda _: "bigint"})()})}
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    ids = TextIds(tokenizer_path("word_bpe_49k.json"))
+    plain, ids.tokenizer, ids.words = ids.tokenizer, Counted(ids.tokenizer), Looked()
+    monkeypatch.setattr(packing, "text_ids", lambda path: ids)
+    monkeypatch.setattr(packing, "TaskContext", type("C", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": lambda _: 0})())}))
+    rng = random.Random(6)
+    vocab = ["".join(rng.choices("abcdefgh", k=9)) + rng.choice(["", ".", "#1", "1"]) for _ in range(1000)]
+    texts = [" ".join(rng.choices(vocab, k=40)) for _ in range(500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(500)), "text": texts})
+    found = defaultdict(list)
+    for r in pa.Table.from_batches(packing.pack(Docs(), with_ids=True)(iter([batch]))).to_pylist():
+        found[r["doc_id"]].append((r["start"], r["ids"]))
+    for doc, text in enumerate(texts):
+        assert [x for _, own in sorted(found[doc]) for x in own] == plain.encode(text, add_special_tokens=False).ids + [packing.END_ID]
+    # a lookup for each of the 20,000 words, and a call for each unseen one, would be the cost of the whole query
+    assert ids.words.gets < 3000 and ids.tokenizer.calls < 50
+
+
 def ids_of(name, text, end):
     ids = TextIds(tokenizer_path(name))
     return ids.tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
