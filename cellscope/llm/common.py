@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -104,6 +105,29 @@ def id_bucket(doc_id: Column, mod: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(mod)
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed but its allocators hold. Python workers are
+    kept for later tasks, and wait beside an executor whose heap has grown meanwhile."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
+
+
+def giving_back(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                release: Callable[[], None] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`fn` for mapInArrow, with `release` and `give_back` once a task is through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            if release:
+                release()
+            give_back()
+
+    return run
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Arrow batches of `df` through `fn`, which returns the columns of `schema` by name.
 
@@ -115,7 +139,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(fn(batch))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(giving_back(run), schema)
 
 
 def batched(rows: Iterator[tuple], schema: pa.Schema, most: int = 1024, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:

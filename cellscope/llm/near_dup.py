@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellscope.llm import shingles as S
-from cellscope.llm.common import as_rows, batched, drop_paths, from_rows, map_batches, staged
+from cellscope.llm.common import as_rows, batched, drop_paths, from_rows, giving_back, map_batches, staged
 
 NARROW, WIDE = 4, 8
 THRESHOLD = (75, 100)
@@ -160,7 +160,7 @@ def shingle_rows(members: DataFrame, texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(s), pa.repeat(pa.scalar(rid, pa.int64()), len(s)),
                                                   pa.repeat(pa.scalar(c, pa.int64()), len(s))], ["shingle", "rid", "c"])
 
-    return members.join(texts, "rid").select("rid", "c", "text").mapInArrow(run, "shingle long, rid long, c long")
+    return members.join(texts, "rid").select("rid", "c", "text").mapInArrow(giving_back(run), "shingle long, rid long, c long")
 
 
 def linkable(members: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: tuple[int, int],
@@ -266,7 +266,7 @@ def links_in_blocks(found: DataFrame, threshold: tuple[int, int]) -> DataFrame:
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     return (dealt.repartition(*key).sortWithinPartitions(*key)
-            .mapInArrow(lambda batches: batched(rows(batches), schema, 4096), "a long, b long"))
+            .mapInArrow(giving_back(lambda batches: batched(rows(batches), schema, 4096)), "a long, b long"))
 
 
 def components(pairs: DataFrame, name: str = "components") -> DataFrame:

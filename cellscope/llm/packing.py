@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cellscope.llm.common import stretches, texts
+from cellscope.llm.common import giving_back, stretches, texts
 from cellscope.llm.tokens import PART, TextIds, text_ids, tokenizer_path
 
 CAPACITY = 2048
@@ -181,4 +181,4 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = EN
             yield table(id_type)
 
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run, lambda: text_ids(path).release()), schema + (", ids array<int>" if with_ids else ""))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import fresh_path, staged, stretches, texts
+from cellscope.llm.common import fresh_path, giving_back, staged, stretches, texts
 from cellscope.llm.tokens import PART, text_ids, tokenizer_path
 
 END_ID = 0
@@ -53,7 +53,8 @@ def encode(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int =
                     [batch.column("doc_id").slice(a, b - a), pa.array(n + 1),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_tokens", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run, lambda: text_ids(path).release()),
+                                                    f"doc_id {kind}, n_tokens long, ids array<int>")
 
 
 def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID) -> None:

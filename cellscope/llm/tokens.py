@@ -26,6 +26,8 @@ PART = 8 << 20
 #: Bytes kept in the table of parts, with what an entry takes besides its content; a full table
 #: starts anew with the parts of the texts at hand, which bounds memory.
 MAX_BYTES = 160 << 20
+#: Bytes that a waiting worker keeps there for its next task.
+IDLE_BYTES = 48 << 20
 _ENTRY = 160
 #: Longest part kept there, in bytes, and new parts given to the library in one call.
 MAX_KEPT = 200
@@ -134,6 +136,12 @@ class TextIds:
         self.held += size
         return new
 
+    def release(self) -> None:
+        """At the end of a task: a large table goes, so that workers that wait are small."""
+        if self.held > IDLE_BYTES:
+            self.words = {}
+            self.held = 0
+
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after another, and the number of ids of each.
 

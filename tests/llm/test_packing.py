@@ -2,12 +2,13 @@
 import random
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellscope.llm import packing, token_orc, tokens
+from cellscope.llm import common, packing, token_orc, tokens
 from cellscope.llm.tokens import TextIds, tokenizer_path
 
 ODD = ["", " ", "a  b\n\nc \n d\t\te  ", "it's 'S DON'T <|endoftext|> x y", "\x0b a\x0cb\xa0c", " x　y",
@@ -256,3 +257,60 @@ def test_orc_reads_are_pruned(spark, docs_of, words, tmp_path):
     flat = [x for part in ids for x in part]
     assert flat == sorted(flat) and len(flat) == 300
     assert all(po.ORCFile(f).compression == "ZSTD" for f in files)
+
+
+@pytest.mark.parametrize("module, file", [(packing, "word_bpe_49k.json"), (token_orc, "byte_bpe_50k.json")])
+def test_a_worker_that_waits_keeps_no_large_table(monkeypatch, module, file):
+    import pyarrow as pa
+
+    class Docs:
+        schema = {"doc_id": type("F", (), {"dataType": type("T", (), {"simpleString": lambda _: "bigint"})()})}
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    ids = TextIds(tokenizer_path(file))
+    monkeypatch.setattr(module, "text_ids", lambda path: ids)
+    monkeypatch.setattr(packing, "TaskContext", type("C", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": lambda _: 0})())}))
+    monkeypatch.setattr(tokens, "IDLE_BYTES", 100_000)
+    freed = []
+    monkeypatch.setattr(common, "give_back", lambda: freed.append(ids.held))
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(40)) for _ in range(100)]
+    run = packing.pack(Docs()) if module is packing else token_orc.encode(Docs())
+    few, many = ([pa.RecordBatch.from_pydict({"doc_id": list(range(len(x))), "text": x})] for x in (texts[:5], texts))
+    list(run(iter(few)))
+    assert ids.words and freed == [ids.held]        # a small table serves the next task
+    again = list(run(iter(many)))
+    assert not ids.words and freed[1:] == [0]
+    assert list(run(iter(many))) == again
+
+
+def test_memory_freed_by_arrow_goes_back_to_the_system():
+    import subprocess
+    import sys
+
+    code = """
+import pyarrow as pa
+from cellscope.llm.common import giving_back
+
+def held():
+    return int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+
+def fn(batches):
+    kept = []
+    for batch in batches:
+        kept += [pa.array([b"x" * 1000] * 1000, pa.binary()) for _ in range(200)], [bytes(300) + bytes([k % 250]) * 300 for k in range(100_000)]
+        yield batch
+
+batch = pa.RecordBatch.from_pydict({"a": [1]})
+before = held()
+assert list(giving_back(fn)(iter([batch]))) == [batch]
+print(held() - before)
+"""
+    root = str(Path(tokens.__file__).resolve().parents[2])
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    assert int(out) < 100       # of more than 250 MB
